@@ -10,7 +10,9 @@ decompressing one frame. Ids are little-endian, two bytes each if the vocabulary
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -29,17 +31,27 @@ DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS = 2_000
 SAMPLE_IDS = 4_096
 LEVEL = 3
-#: Chunks a worker remembers the ids of.
-MEMORY = 700_000
+#: Chunks a worker remembers the ids of before it starts anew, and characters it encodes in one go.
+MEMORY = 600_000
+STRETCH = 1 << 20
 BLOCK_SCHEMA = "part int, block int, first_id long, last_id long, doc_ids array<long>, counts array<long>, bounds array<long>, frames binary, dictionary string, width int"
 
 
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: printable Latin-1 as itself, the others by the characters from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return {b: chr(b if b in shown else next(hidden)) for b in range(256)}
+
+
 class Encoder:
     """Ids of texts by a file of the tokenizers library, remembering what it said about a chunk.
 
     A text is cut before each single space that a visible character follows: no token of a byte-level pre-tokenizer with
     the usual pattern lies across such a place, so the ids of the chunks joined are the ids of the text. Which files this
-    holds for is asked of the file; any other is applied to whole texts.
+    holds for is asked of the file; any other is applied to whole texts. A chunk of one word, or of words and end marks on
+    single lines, has its words and marks as pre-tokens, which go to the file's model as they are; all others go through
+    the whole tokenizer.
     """
 
     def __init__(self, path: str, kind: str):
@@ -49,34 +61,83 @@ class Encoder:
         pre, self.vocabulary = self.tokenizer.pre_tokenizer, self.tokenizer.get_vocab_size()
         self.by_chunk = type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space and pre.use_regex and self.tokenizer.normalizer is None
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters, self.model, self.code = _byte_letters(), self.tokenizer.model, {2: "H", 4: "I"}[int(kind[-1])]
+        self.marks = {x: self._packed([t.id for t in self.model.tokenize(self.letters[ord(x)])]) for x in ".,;:!?\n"} if self.by_chunk else {}
+        probes = ["a", " b", "word", " \u00e9tait,", " end.\nNext", " what?", "\u044f\u0437\u044b\u043a!"]
+        self.by_word = self.by_chunk and all(np.array(i, kind).tobytes() == self._by_words(p) for p, i in zip(probes, self._ids(probes)))
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, text: str) -> np.ndarray:
-        if not self.by_chunk or any(x in text for x in self.special):
-            return np.array(self._ids([text])[0], self.kind)
-        chunks = _chunks(text)
-        known = self.known
-        try:
-            return np.frombuffer(b"".join([known[c] for c in chunks]), self.kind)
-        except KeyError:
-            if len(known) > MEMORY:
-                known.clear()
-            new = list({c for c in chunks if c not in known})
-            for k in range(0, len(new), 4096):
-                known.update((c, np.array(i, self.kind).tobytes()) for c, i in zip(new[k : k + 4096], self._ids(new[k : k + 4096])))
-            return np.frombuffer(b"".join([known[c] for c in chunks]), self.kind)
-
-
-def _chunks(text: str) -> list[str]:
+    def _packed(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def _pre_token(self, word: str) -> bytes:
+        shown = word.replace(" ", self.letters[32]) if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return self._packed([t.id for t in self.model.tokenize(shown)])
+
+    def _by_words(self, chunk: str) -> bytes | None:
+        """The ids of a chunk of plain words, or None if it is another."""
+        bare = chunk[1:] if chunk[:1] == " " else chunk
+        # letters in blocks that every version of Unicode agrees on
+        if bare.isalpha() and (bare.isascii() or max(bare) < "\u0500"):
+            return self._pre_token(chunk)
+        if "\n" in chunk:
+            lines = [self._by_words(x) for x in chunk.split("\n")]
+            return None if None in lines else self.marks["\n"].join(lines)
+        if chunk[-1:] in self.marks:
+            word = self._by_words(chunk[:-1]) if chunk[-2:-1].isalpha() else None
+            return None if word is None else word + self.marks[chunk[-1]]
+        return None
+
+    def _learn(self, keys: set) -> None:
+        rest, known = [], self.known
+        for key in keys:
+            got = self._by_words(key[0] if type(key) is tuple else " " + key) if self.by_word else None
+            if got is None:
+                rest.append(key)
+            else:
+                known[key] = got
+        for k in range(0, len(rest), 4096):
+            part = rest[k : k + 4096]
+            known.update((c, self._packed(i)) for c, i in zip(part, self._ids([c[0] if type(c) is tuple else " " + c for c in part])))
+
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text. Texts are taken in stretches of about STRETCH characters."""
+        own, size = [], 0
+        for text in texts:
+            own.append(text)
+            size += len(text)
+            if size >= STRETCH:
+                yield from self._stretch(own)
+                own, size = [], 0
+        yield from self._stretch(own)
+
+    def _stretch(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.by_chunk or any(x in t for t in texts for x in self.special):
+            return [np.array(i, self.kind) for i in self._ids(texts)]
+        parts = [_chunks(t) for t in texts]
+        if len(self.known) > MEMORY:
+            self.known.clear()
+        self._learn(set().union(*parts).difference(self.known))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, p)), self.kind) for p in parts]
+
+
+#: A space that no visible character follows.
+LOOSE = re.compile(r" (?![^\s\x00-\x20\x7f-\xa0])")
+
+
+def _chunks(text: str) -> list:
+    """A text's chunks, each after its one space; the first, which has none before it, as a tuple."""
     parts = text.split(" ")
-    if all(parts) and all(p[0] > " " and not p[0].isspace() for p in parts[1:]):
-        return [parts[0], *[" " + p for p in parts[1:]]]
-    out = [parts[0]]
+    out: list = [(parts[0],)]
+    if not LOOSE.search(text):
+        return out + parts[1:]
     for p in parts[1:]:
-        if p and p[0] > " " and not p[0].isspace():
-            out.append(" " + p)
+        if p and not LOOSE.match(" " + p[0]):
+            out.append(p)
+        elif len(out) == 1:
+            out[0] = (out[0][0] + " " + p,)
         else:
             out[-1] += " " + p
     return out
@@ -100,7 +161,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
     def serialised(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = encoder(tokenizer, kind)
         for b in batches:
-            yield pd.DataFrame({"ids": [of(t or "")[:SAMPLE_IDS].tobytes() for t in b["t"]]})
+            yield pd.DataFrame({"ids": [x[:SAMPLE_IDS].tobytes() for x in of([t or "" for t in b["t"]])]})
 
     arrays = [r["ids"] for r in sample.mapInPandas(serialised, "ids binary").collect()]
     try:
@@ -130,8 +191,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, id
             return pd.DataFrame([row])
 
         for b in batches:
-            for i, text, part in zip(b["i"], b["t"], b["p"]):
-                raw = of(text or "").tobytes() + tail
+            for i, found, part in zip(b["i"], of([t or "" for t in b["t"]]), b["p"]):
+                raw = found.tobytes() + tail
                 ids.append(None if pd.isna(i) else int(i))
                 counts.append(len(raw) // width)
                 frames.append(squeeze.compress(raw))
