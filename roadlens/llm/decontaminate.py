@@ -30,6 +30,8 @@ SIMILARITY = 0.8
 SEED = 11
 #: Benchmark text handled in one pass; a larger benchmark takes several passes over the documents.
 PASS_CHARS = 32 << 20
+#: Characters of texts that are searched together.
+STRETCH = 1 << 19
 WORD = re.compile(r"\w+")
 
 
@@ -138,31 +140,56 @@ def _inside(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x
 
 
-def candidates(index: Index, seq: np.ndarray) -> set[tuple[int, int]]:
-    """(item, first word of the window) for all bucket hits of all windows of a sequence."""
-    known = np.flatnonzero(seq)
-    found: set[tuple[int, int]] = set()
+def candidates(index: Index, seq: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(place of the hit, item, place in the item) for all bucket hits of all windows of a sequence."""
+    known = np.flatnonzero(seq > 0)
     for repeat, (levels, bucket) in enumerate(zip(index.levels, index.buckets)):
-        starts, keys = walk(seq, known, repeat, lambda level, k: _inside(levels[level], k))
+        # the first sampled word alone rules out next to nothing
+        starts, keys = walk(seq, known, repeat, lambda level, k: _inside(levels[level], k) if level else np.ones(len(k), bool))
         for p, x in zip(starts.tolist(), keys.tolist()):
-            found.update((k, p - o) for k, o in bucket.get(x, ()))
-    return found
+            for k, o in bucket.get(x, ()):
+                yield p, k, o
 
 
-def matches(index: Index, text: str | None, similarity: float = SIMILARITY) -> list[tuple[int, int, int, int, int]]:
-    """item_id, n_words, distance, begin, end (in words) of the best match of each item found in a whole text."""
-    said = words(text)
-    get = index.vocabulary.get
-    seq = np.fromiter((get(w, 0) for w in said), np.int64, len(said))
+def matches(index: Index, texts: list[str | None], similarity: float = SIMILARITY) -> Iterator[list[tuple[int, int, int, int, int]]]:
+    """For each whole text: item_id, n_words, distance, begin, end (in words) of the best match of each item found.
+
+    Texts are searched in stretches of about STRETCH characters, end to end, with a gap that no walk crosses.
+    """
+    own, size = [], 0
+    for t in texts:
+        own.append(t)
+        size += len(t or "")
+        if size >= STRETCH:
+            yield from _stretch(index, own, similarity)
+            own, size = [], 0
+    yield from _stretch(index, own, similarity)
+
+
+def _stretch(index: Index, texts: list[str | None], similarity: float) -> list[list[tuple[int, int, int, int, int]]]:
+    get, gap = index.vocabulary.get, np.full(SAMPLED[-1] + 2, -1, np.int64)
+    seqs = [np.array([get(w, 0) for w in words(t)], np.int64) for t in texts]
+    if not seqs:
+        return []
+    begins = np.r_[0, np.cumsum([len(x) + len(gap) for x in seqs])]
+    found: dict[int, set[tuple[int, int]]] = {}
+    for p, k, o in candidates(index, np.concatenate([y for x in seqs for y in (x, gap)])):
+        d = int(np.searchsorted(begins, p, "right")) - 1
+        found.setdefault(d, set()).add((k, p - o - int(begins[d])))
+    return [_verified(index, seq, sorted(found.get(d, ())), similarity) for d, seq in enumerate(seqs)]
+
+
+def _verified(index: Index, seq: np.ndarray, near: list[tuple[int, int]], similarity: float) -> list[tuple[int, int, int, int, int]]:
+    """The best match of each item by exact edit distance around the windows given, and of short items anywhere."""
     best: dict[int, tuple[int, int, int]] = {}
     windows: dict[int, list[list[int]]] = {}
-    for k, p in sorted(candidates(index, seq)):
+    for k, p in near:
         n = len(index.items[k][1])
         most = int((1 - similarity) * n + 1e-9)
         lo, hi, own = max(0, p - most), min(len(seq), p + n + most), windows.setdefault(k, [])
         if own and lo <= own[-1][1]:
             own[-1][1] = max(hi, own[-1][1])
-        else:
+        elif lo < hi:
             own.append([lo, hi])
     for k, own in windows.items():
         ids = index.items[k][1].tolist()
@@ -204,7 +231,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
         def found(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for b in batches:
-                yield pd.DataFrame([(i, *m) for i, t in zip(b["doc_id"], b["text"]) for m in matches(shared.value, t, similarity)], columns=["doc_id", "item_id", "n_words", "distance", "begin", "end"]).astype({"doc_id": "Int64"})
+                yield pd.DataFrame([(i, *m) for i, got in zip(b["doc_id"], matches(shared.value, list(b["text"]), similarity)) for m in got], columns=["doc_id", "item_id", "n_words", "distance", "begin", "end"]).astype({"doc_id": "Int64"})
 
         out = out.union(docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(found, schema))
     return out
