@@ -14,6 +14,7 @@ to it are final; a worker remembers them by stretch.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -43,6 +44,9 @@ class Codec:
         self.ids = {self.pieces[i]: i for i in range(n) if not odd(i)}
         self.score = {self.pieces[i]: p.get_score(i) for i in range(n) if not odd(i)}
         self.longest = max(map(len, self.ids))
+        self.inside = {x[k : k + 2] for x in self.ids for k in range(len(x) - 1)}
+        # every ending of a piece: the piece's id, or -1 where it only ends longer ones
+        self.ends = {x[k:]: -1 for x in self.ids for k in range(1, len(x))} | self.ids
         self.unknown = p.unk_id()
         if any(SPACE in x.lstrip(SPACE) for x in self.ids):
             raise ValueError("a piece runs over the start of a word: stretches would not be independent")
@@ -57,13 +61,17 @@ class Codec:
 
     # BPE by its definition; only ever applied to a few characters, and to whole texts in tests.
     def merge(self, text: str) -> list[str]:
-        parts, score = list(text), self.score
-        while len(parts) > 1:
-            best = max(((score.get(a + b, -np.inf), -k) for k, (a, b) in enumerate(zip(parts, parts[1:]))))
-            if best[0] == -np.inf:
-                break
-            k = -best[1]
+        get, none = self.score.get, -np.inf
+        parts = list(text)
+        gains = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while gains and (best := max(gains)) != none:
+            k = gains.index(best)
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del gains[k]
+            if k:
+                gains[k - 1] = get(parts[k - 1] + parts[k], none)
+            if k < len(gains):
+                gains[k] = get(parts[k] + parts[k + 1], none)
         return parts
 
     def encode_plain(self, text: str) -> list[int]:
@@ -76,24 +84,23 @@ class Codec:
 
     def stream(self, chars: str) -> Iterator[int]:
         """Ids of a stretch, committed as soon as the window's paths meet."""
-        get, longest, pair, wide = self.ids.get, self.longest, self.pair, len(self.pieces)
+        ends, longest, pair, wide = self.ends.get, self.longest, self.pair.get, len(self.pieces)
+        row = wide + 2
         # boundary -> where its surviving piece begins, that piece's id (wide: none yet, wide + 1: a character of no piece)
         base, begin, last = 0, {0: 0}, {0: wide}
         n = len(chars)
         for i in range(1, n + 1):
-            for k in range(i - longest if i - longest > base else base, i):
-                piece = get(chars[k:i])
-                if piece is None:
-                    if k < i - 1:
-                        continue
-                    piece = wide + 1
-                if (before := last.get(k)) is None:
-                    continue
-                if (fits := pair.get(before * (wide + 2) + piece)) is None:
-                    fits = self._fits(before, piece)
-                if fits:
-                    begin[i], last[i] = k, piece
-                    break
+            k, piece = i - 1, ends(chars[i - 1])
+            begin[i], last[i] = k, wide + 1  # if nothing fits
+            while piece is not None:
+                if piece >= 0 and (before := last.get(k)) is not None:
+                    if (fits := pair(before * row + piece)) is None:
+                        fits = self._fits(before, piece)
+                    if fits:
+                        begin[i], last[i] = k, piece
+                        break
+                k -= 1
+                piece = ends(chars[k:i]) if k >= base else None
             if i == n or i % longest == 0:
                 meet = i if i == n else self._meeting(begin, max(base, i - longest + 1), i)
                 path, at = [], meet
@@ -133,13 +140,19 @@ class Codec:
         return fits
 
     def _stretch(self, s: str) -> bytes:
-        if len(s) > LONG:
-            return np.fromiter(self.stream(s), "<u4").tobytes()
+        """A stretch's ids: cut where no piece holds the two characters side by side, each part by the window."""
         got = self.known.get(s)
         if got is None:
-            if len(self.known) > MEMORY:
-                self.known.clear()
-            got = self.known[s] = np.fromiter(self.stream(s), "<u4").tobytes()
+            inside = self.inside
+            cuts = [0, *(k for k in range(1, len(s)) if s[k - 1 : k + 1] not in inside), len(s)]
+            if len(cuts) > 2:
+                got = b"".join([self._stretch(s[i:j]) for i, j in zip(cuts, cuts[1:])])
+            else:
+                got = array("I", self.stream(s)).tobytes()
+            if len(s) <= LONG:
+                if len(self.known) > MEMORY:
+                    self.known.clear()
+                self.known[s] = got
         return got
 
     def encode(self, text: str) -> np.ndarray:
