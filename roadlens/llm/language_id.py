@@ -46,9 +46,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def grams(text: str | None) -> np.ndarray:
     """Hashes of the letter n-grams of a whole text, repeats included; words are framed by a space."""
     codes = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    if not len(codes):
-        return np.zeros(0, np.uint64)
     letter = _letters()[codes]
+    if not letter.any():
+        return np.zeros(0, np.uint64)
     keep = letter | np.r_[letter[1:], False] | np.r_[False, letter[:-1]]
     c = np.where(letter, codes, 32)[keep].astype(np.uint64)
     c = np.r_[np.uint64(32), c, np.uint64(32)]
