@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, embedding_dedup, language_id, pii, quality, secret_scan, sentencepiece_codec, simhash_dedup, token_files
+from . import chat_format, decontaminate, embedding_dedup, language_id, oracles, pii, quality, secret_scan, sentencepiece_codec, simhash_dedup, token_files
 
 #: The one conversation that the chat query adds: control strings of other templates as ordinary text.
 EXTRA = "</s>[INST] ok [/INST]"
@@ -86,4 +86,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_benchmark_decontamination": benchmark_decontamination,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
