@@ -23,9 +23,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Recent
+
 SPACE = "▁"
 #: Stretches and pairs of pieces that a worker remembers, and the length up to which a stretch is remembered.
-MEMORY = 600_000
+MEMORY = 400_000
 PAIRS = 1_000_000
 LONG = 48
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -53,7 +55,7 @@ class Codec:
         for probe in ("", " a  b", "the of\tand", "éè x12\n\n"):
             if p.encode(probe) != self.encode_plain(probe):
                 raise ValueError("only BPE models without normalisation, with a leading space mark, are read")
-        self.known: dict[str, bytes] = {}
+        self.known: Recent = Recent(MEMORY)
         self.pair: dict[int, bool] = {}
         # an ASCII byte is a character by itself; other bytes have to be put together
         self.shown = [chr(self.bytes_[i]) if self.bytes_.get(i, 128) < 128 else x for i, x in enumerate(self.pieces)]
@@ -141,7 +143,7 @@ class Codec:
 
     def _stretch(self, s: str) -> bytes:
         """A stretch's ids: cut where no piece holds the two characters side by side, each part by the window."""
-        got = self.known.get(s)
+        got = self.known.recall(s)
         if got is None:
             inside = self.inside
             cuts = [0, *(k for k in range(1, len(s)) if s[k - 1 : k + 1] not in inside), len(s)]
@@ -150,8 +152,6 @@ class Codec:
             else:
                 got = array("I", self.stream(s)).tobytes()
             if len(s) <= LONG:
-                if len(self.known) > MEMORY:
-                    self.known.clear()
                 self.known[s] = got
         return got
 
@@ -160,6 +160,7 @@ class Codec:
             return np.zeros(0, "<u4")
         parts = [SPACE + x for x in text.split(" ")] if "  " not in text and SPACE not in text and text[0] != " " and text[-1] != " " else STRETCH.findall(SPACE + text.replace(" ", SPACE))
         known = self.known
+        known.turn()
         try:
             return np.frombuffer(b"".join([known[x] for x in parts]), "<u4")
         except KeyError:

@@ -22,17 +22,17 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import new_path, small
+from .common import Recent, new_path, small
 
 BLOCK_TOKENS = 1 << 18
 BLOCK_DOCS = 2_000
 DICTIONARY_BYTES = 64 << 10
-#: The dictionary is trained on at most so many documents, the first by a hash of their ids and texts, of at most so many ids each.
+#: The dictionary is trained on at most so many documents, the first by a hash of their ids, of at most so many ids each.
 SAMPLE_DOCS = 2_000
 SAMPLE_IDS = 4_096
 LEVEL = 3
-#: Chunks a worker remembers the ids of before it starts anew, and characters it encodes in one go.
-MEMORY = 600_000
+#: Chunks a worker remembers the ids of (as many again while they are still in use), and characters it encodes in one go.
+MEMORY = 500_000
 STRETCH = 1 << 20
 BLOCK_SCHEMA = "part int, block int, first_id long, last_id long, doc_ids array<long>, counts array<long>, bounds array<long>, frames binary, dictionary string, width int"
 
@@ -57,14 +57,15 @@ class Encoder:
     def __init__(self, path: str, kind: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind, self.known = Tokenizer.from_file(path), kind, {}
+        self.tokenizer, self.kind, self.known = Tokenizer.from_file(path), kind, Recent(MEMORY)
         pre, self.vocabulary = self.tokenizer.pre_tokenizer, self.tokenizer.get_vocab_size()
         self.by_chunk = type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space and pre.use_regex and self.tokenizer.normalizer is None
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters, self.model, self.code = _byte_letters(), self.tokenizer.model, {2: "H", 4: "I"}[int(kind[-1])]
         self.marks = {x: self._packed([t.id for t in self.model.tokenize(self.letters[ord(x)])]) for x in ".,;:!?\n"} if self.by_chunk else {}
         probes = ["a", " b", "word", " \u00e9tait,", " end.\nNext", " what?", "\u044f\u0437\u044b\u043a!"]
-        self.by_word = self.by_chunk and all(np.array(i, kind).tobytes() == self._by_words(p) for p, i in zip(probes, self._ids(probes)))
+        self.by_word = self.by_chunk and all(np.array(i, kind).tobytes() == self._by_words(p[1:] if p[0] == " " else (p,)) for p, i in zip(probes, self._ids(probes)))
+        self.known.clear()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -76,28 +77,30 @@ class Encoder:
         shown = word.replace(" ", self.letters[32]) if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
         return self._packed([t.id for t in self.model.tokenize(shown)])
 
-    def _by_words(self, chunk: str) -> bytes | None:
-        """The ids of a chunk of plain words, or None if it is another."""
-        bare = chunk[1:] if chunk[:1] == " " else chunk
+    def _by_words(self, key: str | tuple) -> bytes | None:
+        """The ids of a chunk of plain words, or None if it is another. What it has learnt of its parts is remembered."""
+        got = self.known.recall(key)
+        if got is not None:
+            return got
+        first = type(key) is tuple
+        bare = key[0] if first else key
         # letters in blocks that every version of Unicode agrees on
         if bare.isalpha() and (bare.isascii() or max(bare) < "\u0500"):
-            return self._pre_token(chunk)
-        if "\n" in chunk:
-            lines = [self._by_words(x) for x in chunk.split("\n")]
-            return None if None in lines else self.marks["\n"].join(lines)
-        if chunk[-1:] in self.marks:
-            word = self._by_words(chunk[:-1]) if chunk[-2:-1].isalpha() else None
-            return None if word is None else word + self.marks[chunk[-1]]
-        return None
+            got = self._pre_token(bare if first else " " + bare)
+        elif "\n" in bare:
+            head, *lines = bare.split("\n")
+            parts = [self._by_words((head,) if first else head), *(self._by_words((x,)) for x in lines)]
+            got = None if None in parts else self.marks["\n"].join(parts)
+        elif bare[-1:] in self.marks and bare[-2:-1].isalpha():
+            word = self._by_words((bare[:-1],) if first else bare[:-1])
+            got = None if word is None else word + self.marks[bare[-1]]
+        if got is not None:
+            self.known[key] = got
+        return got
 
     def _learn(self, keys: set) -> None:
-        rest, known = [], self.known
-        for key in keys:
-            got = self._by_words(key[0] if type(key) is tuple else " " + key) if self.by_word else None
-            if got is None:
-                rest.append(key)
-            else:
-                known[key] = got
+        known = self.known
+        rest = [k for k in keys if (self._by_words(k) if self.by_word else known.recall(k)) is None]
         for k in range(0, len(rest), 4096):
             part = rest[k : k + 4096]
             known.update((c, self._packed(i)) for c, i in zip(part, self._ids([c[0] if type(c) is tuple else " " + c for c in part])))
@@ -117,8 +120,7 @@ class Encoder:
         if not self.by_chunk or any(x in t for t in texts for x in self.special):
             return [np.array(i, self.kind) for i in self._ids(texts)]
         parts = [_chunks(t) for t in texts]
-        if len(self.known) > MEMORY:
-            self.known.clear()
+        self.known.turn()
         self._learn(set().union(*parts).difference(self.known))
         return [np.frombuffer(b"".join(map(self.known.__getitem__, p)), self.kind) for p in parts]
 
@@ -156,14 +158,17 @@ def _width(path: str) -> int:
 def train_dictionary(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> bytes:
     """A dictionary trained on a bounded sample of serialised id arrays; empty if there is too little to train on."""
     kind = f"<u{_width(tokenizer)}"
-    sample = docs.select(F.xxhash64(id_col, text_col).alias("o"), F.col(text_col).alias("t")).orderBy("o").limit(SAMPLE_DOCS)
+    draw = F.xxhash64(id_col)
+    # ids alone tell where the sample ends; the limit below only matters where ids repeat
+    last = docs.select(draw.alias("o")).orderBy("o").limit(SAMPLE_DOCS).agg(F.max("o")).first()[0]
+    sample = docs.filter(draw <= F.lit(last)).select(F.col(text_col).alias("t"))
 
     def serialised(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = encoder(tokenizer, kind)
         for b in batches:
             yield pd.DataFrame({"ids": [x[:SAMPLE_IDS].tobytes() for x in of([t or "" for t in b["t"]])]})
 
-    arrays = [r["ids"] for r in sample.mapInPandas(serialised, "ids binary").collect()]
+    arrays = [r["ids"] for r in sample.mapInPandas(serialised, "ids binary").limit(SAMPLE_DOCS).collect()] if last is not None else []
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, arrays).as_bytes()
     except (zstandard.ZstdError, ValueError):
