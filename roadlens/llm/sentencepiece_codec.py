@@ -20,16 +20,21 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Recent
 
 SPACE = "▁"
 #: Stretches and pairs of pieces that a worker remembers, and the length up to which a stretch is remembered.
-MEMORY = 400_000
-PAIRS = 1_000_000
+MEMORY = 250_000
+PAIRS = 500_000
 LONG = 48
+#: Characters of texts that are encoded before their ids are handed on.
+SLICE = 1 << 20
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -198,6 +203,17 @@ def codec(model: str) -> Codec:
     return Codec(model)
 
 
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """A batch in runs of rows that hold about SLICE characters, each with its texts."""
+    texts = batch.column(column)
+    sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < len(texts):
+        end = max(begin + 1, int(np.searchsorted(sizes, (sizes[begin - 1] if begin else 0) + SLICE)))
+        yield (part := batch.slice(begin, end - begin)), part.column(column).to_pylist()
+        begin = end
+
+
 def encoded(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
     """docs with piece_ids array<int>, n_pieces long, and exact boolean: whether the ids decode to the text.
 
@@ -205,17 +221,22 @@ def encoded(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
     itself, or lone surrogates, is encoded but does not decode to itself, and exact is false. Columns of these names are
     replaced; an empty table gives an empty one.
     """
+    docs = docs.drop("piece_ids", "n_pieces", "exact")
+    added = T.StructType().add("piece_ids", T.ArrayType(T.IntegerType())).add("n_pieces", "long").add("exact", "boolean")
+    at = docs.columns.index(text_col)
 
-    @F.pandas_udf("piece_ids array<int>, exact boolean")
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
-        for batch in texts:
-            ids = [None if t is None else own.encode(t) for t in batch]
-            exact = [i is None or own.decode(i) == t for i, t in zip(ids, batch)]
-            yield pd.DataFrame({"piece_ids": pd.Series([None if i is None else i.astype(np.int32) for i in ids], dtype=object), "exact": exact})
-
-    out = docs.drop("piece_ids", "n_pieces", "exact").withColumn("__e", encode(text_col))
-    return out.withColumns({"piece_ids": F.col("__e.piece_ids"), "n_pieces": F.coalesce(F.size("__e.piece_ids"), F.lit(0)).cast("long"), "exact": F.col("__e.exact")}).drop("__e")
+        for batch in batches:
+            for part, texts in _slices(batch, at):
+                ids = [None if t is None else own.encode(t) for t in texts]
+                counts = np.array([0 if i is None else len(i) for i in ids], np.int64)
+                exact = [i is None or own.decode(i) == t for i, t in zip(ids, texts)]
+                values = np.concatenate([np.zeros(0, "<u4"), *(i for i in ids if i is not None)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(values), mask=pa.array([i is None for i in ids]))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(counts), pa.array(exact, pa.bool_())], names=[*part.schema.names, *added.names])
+
+    return docs.mapInArrow(encode, T.StructType([*docs.schema.fields, *added.fields]))
 
 
 def decoded(ids: DataFrame, model: str, ids_col: str = "piece_ids") -> DataFrame:
