@@ -52,7 +52,7 @@ def human_size(n: Column) -> Column:
     out = F.format_string("%.1f " + UNITS[-1], size / 1024.0 ** (len(UNITS) - 1))
     for k in reversed(range(len(UNITS) - 1)):
         out = F.when(size < 1024.0 ** (k + 1), F.format_string("%.1f " + UNITS[k], size / 1024.0**k)).otherwise(out)
-    return out
+    return F.when(n.isNotNull(), out)
 
 
 def after(path: Column, folder: str) -> Column:
