@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -238,7 +239,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs (all columns) without a match. Rows with a null id are judged by their text's hash."""
-    key = F.coalesce(F.col("doc_id"), F.xxhash64("text"))
-    leaks = contaminated(docs.select(key.alias("doc_id"), "text"), benchmark, similarity).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks, key == F.col("__leak"), "left_anti").select(*docs.columns)
+    """The rows of docs (all columns) whose own text has no match. One pass over docs for each pass of the benchmark."""
+    for items in passes(benchmark):
+        docs = docs.filter(~_leaks(docs.sparkSession.sparkContext.broadcast(build(items)), similarity)("text"))
+    return docs
+
+
+def _leaks(shared: Broadcast, similarity: float):
+    @F.pandas_udf("boolean")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in batches:
+            yield pd.Series([bool(m) for m in matches(shared.value, list(b), similarity)], dtype=bool)
+
+    return of

@@ -159,21 +159,30 @@ def scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows:
     score is 0. An empty table gives an empty one. Other columns are not looked at.
     """
     rows = cut(docs.select(F.col("doc_id"), statistics_of(F.col("text")).alias("x")))
+    model = fit(labelled(rows, labels, fit_rows).select("x", "y", "calibrate"))
+    scored = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score_of(model, F.col("x")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def labelled(rows: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """rows that may be learnt from, with y and calibrate; at most about fit_rows of them, by a hash of their ids."""
     known = labels.filter(F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").cast("double").alias("y"))
     share = fit_rows / max(fit_rows, known.count())
     taken = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 4
-    model = fit(rows.join(taken, "doc_id").select("x", "y", fold.alias("calibrate")))
+    return rows.join(taken.withColumn("calibrate", fold), "doc_id")
 
+
+def score_of(model: Scorer, statistics_: Column) -> Column:
     @F.pandas_udf("double")
-    def score_of(x: pd.Series) -> pd.Series:
+    def of(x: pd.Series) -> pd.Series:
         return pd.Series(model(_matrix(x)))
 
-    scored = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score_of("x").alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return of(statistics_)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of docs (all columns) whose score reaches the threshold."""
-    rejected = scores(docs.select("doc_id", "text"), labels, threshold).filter("predicted = 0").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of docs (all columns) whose own text's score reaches the threshold; learnt from those that are labelled."""
+    seen = labelled(docs.select("doc_id", "text"), labels).select(statistics_of(F.col("text")).alias("x"), "y", "calibrate")
+    model = fit(seen)
+    return docs.filter(score_of(model, statistics_of(F.col("text"))) >= threshold)
