@@ -74,6 +74,21 @@ def blurred(x: np.ndarray, sigma: float) -> np.ndarray:
     return x
 
 
+def lanczos(x: np.ndarray, most: int, a: int = 4) -> np.ndarray:
+    """An image of (h, w, channels) bytes no side of which exceeds most, by Lanczos windows; sizes are cut to whole pixels."""
+    h, w = x.shape[:2]
+    if max(h, w) <= most:
+        return x
+    out = x.astype(float)
+    for axis, n in enumerate((h, w)):
+        m = max(1, int(n * most / max(h, w)))
+        centre = (np.arange(m) + 0.5) * n / m - 0.5
+        far = (np.arange(n)[None, :] - centre[:, None]) * m / n
+        k = np.where(np.abs(far) < a, np.sinc(far) * np.sinc(far / a), 0.0)
+        out = np.moveaxis(np.tensordot(k / k.sum(1, keepdims=True), out, (1, axis)), 0, axis)
+    return out.round().clip(0, 255).astype(np.uint8)
+
+
 def inside(h: int, w: int, polygon: list[tuple[float, float]]) -> np.ndarray:
     """Pixels within a polygon, by crossings."""
     y, x = np.mgrid[:h, :w]

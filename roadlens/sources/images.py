@@ -1,4 +1,4 @@
-"""Pixels of image files as rows (SRC11-13, RAS1-3, FN5-6, SNK2)."""
+"""Pixels of image files as rows (SRC11-12, RAS1-4, FN5-6, SNK2)."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.functions import numbers
+from roadlens.operators.kernels import lanczos
 
 
 def images(spark: SparkSession, path: str) -> DataFrame:
@@ -39,6 +40,17 @@ def standardised(rows: DataFrame) -> DataFrame:
     return rows.withColumn("rgb", rgb("pixels", "channels"))
 
 
+def limited(rows: DataFrame, most: int) -> DataFrame:
+    """rgb, height and width of images whose longer side exceeds most are scaled down (RAS4)."""
+
+    @F.pandas_udf("height int, width int, rgb binary")
+    def scaled(rgb: pd.Series, heights: pd.Series, widths: pd.Series) -> pd.DataFrame:
+        out = [lanczos(np.frombuffer(x, np.uint8).reshape(h, w, 3), most) for x, h, w in zip(rgb, heights, widths)]
+        return pd.DataFrame({"height": [x.shape[0] for x in out], "width": [x.shape[1] for x in out], "rgb": [x.tobytes() for x in out]})
+
+    return rows.withColumn("__s", scaled("rgb", "height", "width")).withColumns({c: F.col(f"__s.{c}") for c in ("rgb", "height", "width")}).drop("__s")
+
+
 def masks(rows: DataFrame, over: int = 127) -> DataFrame:
     """Adds mask (bytes, 0 or 255: any channel over the limit) and road_pixel_count."""
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +67,17 @@ def listing(spark: SparkSession, folder: str, extensions: tuple[str, ...] = IMAG
     return files.select("path", F.col("length").alias("size_bytes")).filter(text.extension(F.col("path")).isin(*extensions))
 
 
+def present(spark: SparkSession, folders: dict[str, str]) -> dict[str, bool]:
+    """Whether each named folder holds any image; a folder that is not there does not."""
+    out = {}
+    for name, folder in folders.items():
+        try:
+            out[name] = listing(spark, folder).limit(1).count() > 0
+        except AnalysisException:
+            out[name] = False
+    return out
+
+
 def discovered(spark: SparkSession, folder: str) -> DataFrame:
     """A manifest of the pairs {id}_sat.jpg and {id}_mask.png below {folder}/{split}."""
     files = listing(spark, folder).withColumns({"split": F.element_at(F.split("path", "/"), -2), "__name": text.basename(F.col("path"))})

@@ -1,14 +1,16 @@
 """Sources, sinks, streams and the plan from files to the master table."""
 
+import struct
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from roadlens import config
 from roadlens.errors import ConfigError, SourceError
-from roadlens.operators import augment, inference, tiling
+from roadlens.operators import augment, inference, kernels, tiling
 from roadlens.plans import dataset
-from roadlens.sources import images, manifests, tables
+from roadlens.sources import geotiff, images, manifests, tables
 from roadlens.streaming import ingest
 
 
@@ -123,6 +125,56 @@ def test_predictions_and_overlays(spark):
     assert np.array_equal(x[m == 0], np.frombuffer(shown["rgb"], np.uint8).reshape(-1, 3)[m == 0])
 
 
+def tiff(order, entries, w=40, h=30):
+    """A TIFF of tags alone."""
+    kinds = {"H": 3, "I": 4, "d": 12, "c": 2}
+    fields = [(256, "H", [w]), (257, "H", [h]), (258, "H", [8]), (277, "H", [3]), *entries]
+    body, place = b"", 8 + 2 + 12 * len(fields) + 4
+    heads = b""
+    for tag, kind, values in fields:
+        raw = struct.pack(f"{order}{len(values)}{kind}", *values)
+        if len(raw) <= 4:
+            heads += struct.pack(order + "HHI", tag, kinds[kind], len(values)) + raw.ljust(4, b"\0")
+        else:
+            heads += struct.pack(order + "HHII", tag, kinds[kind], len(values), place + len(body))
+            body += raw
+    mark = b"II*\0" if order == "<" else b"MM\0*"
+    return mark + struct.pack(order + "I", 8) + struct.pack(order + "H", len(fields)) + heads + b"\0" * 4 + body
+
+
+def test_geographic_metadata(spark, tmp_path):
+    scale, tie = (33550, "d", [2.0, 3.0, 0.0]), (33922, "d", [0.0, 0.0, 0.0, 100.0, 200.0, 0.0])
+    keys = lambda code, point: (34735, "H", [1, 1, 0, 2, 1025, 0, 1, point, 3072, 0, 1, code])
+    files = {
+        "a.tif": tiff("<", [scale, tie, keys(3857, 1), (42113, "c", [b"-", b"1", b"\0", b"\0", b"\0"])]), "b.tif": tiff(">", [scale, tie, keys(3857, 2)]), "c.tif": tiff("<", []),
+        "d.tif": b"II*\0\xff\xff\xff\xff", "e.png": images.png(picture(8, 8, 1)[0]), "f.tif": tiff("<", [(34264, "d", [2.0, 0, 0, 10, 0, -2.0, 0, 50, 0, 0, 0, 0, 0, 0, 0, 1]), keys(32767, 1)]),
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    out = {r["path"].rsplit("/", 1)[1]: r.asDict(True) for r in geotiff.metadata(spark, str(tmp_path)).collect()}
+    a = out["a.tif"]
+    assert (a["width"], a["height"], a["band_count"], a["dtype"], a["is_georeferenced"], a["crs"], a["nodata"]) == (40, 30, 3, "uint8", True, "EPSG:3857", -1.0)
+    assert a["bounds"] == {"left": 100.0, "bottom": 110.0, "right": 180.0, "top": 200.0} and a["resolution_y"] == 3.0
+    assert out["b.tif"]["transform"]["c"] == 99.0 and out["b.tif"]["transform"]["f"] == 201.5
+    assert out["c.tif"]["width"] == 40 and not out["c.tif"]["is_georeferenced"] and out["c.tif"]["transform"] is None
+    assert [out[n]["width"] for n in ("d.tif", "e.png")] == [None, None]
+    assert out["f.tif"]["bounds"]["right"] == 90.0 and out["f.tif"]["crs"] is None
+
+
+def test_large_images_are_scaled(spark):
+    flat = np.full((50, 100, 3), 77, np.uint8)
+    df = spark.createDataFrame([(50, 100, bytearray(flat.tobytes())), (8, 8, bytearray(flat[:8, :8].tobytes()))], "height int, width int, rgb binary")
+    out = images.limited(df, 40).collect()
+    assert [(r["height"], r["width"]) for r in out] == [(20, 40), (8, 8)] and all(set(r["rgb"]) == {77} for r in out)
+    wave = np.repeat((128 + 100 * np.sin(np.arange(200) / 20))[None, :, None], 200, 0).repeat(3, 2)
+    small = kernels.lanczos(wave.astype(np.uint8), 100)
+    assert np.abs(small[50, 5:-5, 0] - (wave[0, ::2, 0] + wave[0, 1::2, 0])[5:-5] / 2).max() < 2
+
+
+def test_presence(spark, folder, tmp_path):
+    assert manifests.present(spark, {"a": str(folder), "b": str(tmp_path), "c": str(tmp_path / "none")}) == {"a": True, "b": False, "c": False}
+
+
 def test_configuration(tmp_path):
     (tmp_path / "c.yaml").write_text("tiling:\n  tile_size: 256\n  other: 1\nsplits:\n  active_splits: [train, val]\n")
     got = config.load(tmp_path / "c.yaml")
