@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, held_out
+from .common import cut, held_out, small
 
 FEATURES = 256
 RIDGE = 1.0
@@ -170,7 +170,8 @@ def labelled(rows: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
     share = fit_rows / max(fit_rows, known.count())
     taken = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 4
-    return rows.join(taken.withColumn("calibrate", fold), "doc_id")
+    # so many narrow rows are broadcast, which leaves the texts where they are; more (ids labelled again and again) are not
+    return rows.join(small(taken.withColumn("calibrate", fold), fit_rows + fit_rows // 10), "doc_id")
 
 
 def score_of(model: Scorer, statistics_: Column) -> Column:
