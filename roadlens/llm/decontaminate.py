@@ -24,9 +24,12 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REPEATS = 3
+REPEATS = 4
 #: Steps of the walk whose words make up a key.
 SAMPLED = (0, 3, 5, 8, 10)
+#: Keys of an item that were sampled at fewer places are not used: a walk that hardly moved names a word or two, which any
+#: text may hold. Other starts and embeddings of the item make up for them.
+PLACES = 4
 SIMILARITY = 0.8
 SEED = 11
 #: Benchmark text handled in one pass; a larger benchmark takes several passes over the documents.
@@ -47,25 +50,28 @@ def _moves(step: int, repeat: int, ids: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(40)) & np.uint64(1)).astype(np.int64)
 
 
-def walk(seq: np.ndarray, starts: np.ndarray, repeat: int, alive=None) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the sampled steps for walks from starts; alive(level, keys) may end walks early. Returns starts, keys.
+def walk(seq: np.ndarray, starts: np.ndarray, repeat: int, alive=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the sampled steps for walks from starts; alive(level, keys) may end walks early.
 
-    Past the end of a sequence the walk stands on word -1.
+    Returns the starts of the walks that went on, their keys, and at how many places they were sampled. Past the end of a
+    sequence the walk stands on word -1.
     """
     at, key = starts.copy(), np.zeros(len(starts), np.uint64)
+    before, places = np.full(len(starts), -1), np.zeros(len(starts), np.int64)
     padded = np.r_[seq, np.full(SAMPLED[-1] + 2, -1, seq.dtype)]
     for step in range(SAMPLED[-1] + 1):
         now = padded[at]
         if step in SAMPLED:
             key = key * np.uint64(0x100000001B3) + (now + 2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(31)
+            places, before = places + (at != before), at
             if alive is not None:
                 go = alive(SAMPLED.index(step), key)
-                starts, at, key, now = starts[go], at[go], key[go], now[go]
+                starts, at, key, now, before, places = starts[go], at[go], key[go], now[go], before[go], places[go]
                 if not len(starts):
                     break
         at = at + _moves(step, repeat, now)
-    return starts, key
+    return starts, key, places
 
 
 def best_match(item: list, text: list, most: int) -> tuple[int, int, int] | None:
@@ -114,7 +120,8 @@ class Index:
 
 def build(items: list[tuple[int, str]]) -> Index:
     vocabulary: dict[str, int] = {}
-    rows = [(i, np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words(t)], np.int64)) for i, t in items]
+    # in order of text, so that the walks are the same however the items come
+    rows = [(i, np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words(t)], np.int64)) for i, t in sorted(items, key=lambda x: (x[1], x[0]))]
     rows = [(i, w) for i, w in rows if len(w)]
     long_, reach = [k for k, (_, w) in enumerate(rows) if len(w) >= len(SAMPLED)], len(SAMPLED)
     levels, buckets, short = [], [], {}
@@ -124,8 +131,10 @@ def build(items: list[tuple[int, str]]) -> Index:
         for k in long_:
             seq = rows[k][1]
             starts = np.arange(len(seq) - reach + 1)
-            at, key = walk(seq, starts, repeat, lambda level, keys: kept[level].append(keys) or np.ones(len(keys), bool))
-            for o, x in zip(at.tolist(), key.tolist()):
+            at, key, places = walk(seq, starts, repeat)
+            strong = at[places >= PLACES]
+            walk(seq, strong, repeat, lambda level, keys: kept[level].append(keys) or np.ones(len(keys), bool))
+            for o, x in zip(strong.tolist(), key[places >= PLACES].tolist()):
                 bucket.setdefault(x, []).append((k, o))
         levels.append([np.unique(np.concatenate(x)) for x in kept])
         buckets.append(bucket)
@@ -146,7 +155,7 @@ def candidates(index: Index, seq: np.ndarray) -> Iterator[tuple[int, int, int]]:
     known = np.flatnonzero(seq > 0)
     for repeat, (levels, bucket) in enumerate(zip(index.levels, index.buckets)):
         # the first sampled word alone rules out next to nothing
-        starts, keys = walk(seq, known, repeat, lambda level, k: _inside(levels[level], k) if level else np.ones(len(k), bool))
+        starts, keys, _ = walk(seq, known, repeat, lambda level, k: _inside(levels[level], k) if level else np.ones(len(k), bool))
         for p, x in zip(starts.tolist(), keys.tolist()):
             for k, o in bucket.get(x, ()):
                 yield p, k, o
@@ -194,8 +203,12 @@ def _verified(index: Index, seq: np.ndarray, near: list[tuple[int, int]], simila
             own.append([lo, hi])
     for k, own in windows.items():
         ids = index.items[k][1].tolist()
+        most, own_words = int((1 - similarity) * len(ids) + 1e-9), np.unique(index.items[k][1])
         for lo, hi in own:
-            got = best_match(ids, seq[lo:hi].tolist(), int((1 - similarity) * len(ids) + 1e-9))
+            # each word of the item but `most` has to be there
+            if _inside(own_words, seq[lo:hi]).sum() < len(ids) - most:
+                continue
+            got = best_match(ids, seq[lo:hi].tolist(), most)
             if got and (k not in best or got[0] < best[k][0]):
                 best[k] = (got[0], lo + got[1], lo + got[2])
     for n, table in index.short.items():
