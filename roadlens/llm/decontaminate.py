@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 REPEATS = 4
 #: Steps of the walk whose words make up a key.
 SAMPLED = (0, 3, 5, 8, 10)
-#: Keys of an item that were sampled at fewer places are not used: a walk that hardly moved names a word or two, which any
-#: text may hold. Other starts and embeddings of the item make up for them.
+#: Items of fewer words are too short for a walk.
+LONG = SAMPLED[-1] + 1
+#: Keys of an item that were sampled at fewer places are not used: a walk that hardly moved names a
+#: word or two, which any text may hold. Other starts and embeddings of the item make up for them.
 PLACES = 4
 SIMILARITY = 0.8
 SEED = 11
@@ -115,33 +117,43 @@ class Index:
     items: list[tuple[int, np.ndarray]]
     levels: list[list[np.ndarray]]
     buckets: list[dict[int, list[tuple[int, int]]]]
-    short: dict[int, dict[tuple, list[int]]]
+    short: dict[int, tuple[np.ndarray, dict[int, list[tuple[int, int]]]]]  # by length of piece: its key -> item, place in it
 
 
-def build(items: list[tuple[int, str]]) -> Index:
+def build(items: list[tuple[int, str]], similarity: float = SIMILARITY) -> Index:
     vocabulary: dict[str, int] = {}
     # in order of text, so that the walks are the same however the items come
     rows = [(i, np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words(t)], np.int64)) for i, t in sorted(items, key=lambda x: (x[1], x[0]))]
     rows = [(i, w) for i, w in rows if len(w)]
-    long_, reach = [k for k, (_, w) in enumerate(rows) if len(w) >= len(SAMPLED)], len(SAMPLED)
-    levels, buckets, short = [], [], {}
+    levels, buckets = [], []
     for repeat in range(REPEATS):
         kept: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)] for _ in SAMPLED]
         bucket: dict[int, list[tuple[int, int]]] = {}
-        for k in long_:
-            seq = rows[k][1]
-            starts = np.arange(len(seq) - reach + 1)
-            at, key, places = walk(seq, starts, repeat)
-            strong = at[places >= PLACES]
-            walk(seq, strong, repeat, lambda level, keys: kept[level].append(keys) or np.ones(len(keys), bool))
-            for o, x in zip(strong.tolist(), key[places >= PLACES].tolist()):
+        for k, (_, seq) in enumerate(rows):
+            if len(seq) < LONG:
+                continue
+            at, key, places = walk(seq, np.arange(len(seq) - len(SAMPLED) + 1), repeat)
+            # the walk from the first word never leaves the item: with it no exact copy is missed
+            strong = (places >= PLACES) | ((at == 0) & (repeat == 0))
+            walk(seq, at[strong], repeat, lambda level, keys: kept[level].append(keys) or np.ones(len(keys), bool))
+            for o, x in zip(at[strong].tolist(), key[strong].tolist()):
                 bucket.setdefault(x, []).append((k, o))
         levels.append([np.unique(np.concatenate(x)) for x in kept])
         buckets.append(bucket)
-    for k, (_, w) in enumerate(rows):
-        if len(w) < reach:
-            short.setdefault(len(w), {}).setdefault(tuple(w.tolist()), []).append(k)
-    return Index(vocabulary, rows, levels, buckets, short)
+    pieces: dict[int, dict[int, list[tuple[int, int]]]] = {}
+    for k, (_, seq) in enumerate(rows):
+        if len(seq) < LONG:
+            for part in np.array_split(np.arange(len(seq)), int((1 - similarity) * len(seq) + 1e-9) + 1):
+                pieces.setdefault(len(part), {}).setdefault(int(_piece_keys(seq[part], len(part))[0]), []).append((k, int(part[0])))
+    return Index(vocabulary, rows, levels, buckets, {n: (np.array(sorted(t), np.uint64), t) for n, t in pieces.items()})
+
+
+def _piece_keys(seq: np.ndarray, n: int) -> np.ndarray:
+    """A number for each run of n words."""
+    key = np.zeros(max(0, len(seq) - n + 1), np.uint64)
+    for j in range(n):
+        key = key * np.uint64(0x9E3779B97F4A7C15) + seq[j : len(seq) - n + 1 + j].astype(np.uint64)
+    return key
 
 
 def _inside(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -151,7 +163,10 @@ def _inside(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def candidates(index: Index, seq: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(place of the hit, item, place in the item) for all bucket hits of all windows of a sequence."""
+    """(place of the hit, item, place in the item) for all bucket hits of all windows of a sequence.
+
+    Items too short for a walk are cut into one piece more than they may have edits, so one piece is whole wherever they are.
+    """
     known = np.flatnonzero(seq > 0)
     for repeat, (levels, bucket) in enumerate(zip(index.levels, index.buckets)):
         # the first sampled word alone rules out next to nothing
@@ -159,6 +174,11 @@ def candidates(index: Index, seq: np.ndarray) -> Iterator[tuple[int, int, int]]:
         for p, x in zip(starts.tolist(), keys.tolist()):
             for k, o in bucket.get(x, ()):
                 yield p, k, o
+    for n, (keys, table) in index.short.items():
+        own = _piece_keys(seq, n)
+        for p in np.flatnonzero(_inside(keys, own)).tolist():
+            for k, o in table[int(own[p])]:
+                yield p, k, o
 
 
 def matches(index: Index, texts: list[str | None], similarity: float = SIMILARITY) -> Iterator[list[tuple[int, int, int, int, int]]]:
@@ -190,7 +210,7 @@ def _stretch(index: Index, texts: list[str | None], similarity: float) -> list[l
 
 
 def _verified(index: Index, seq: np.ndarray, near: list[tuple[int, int]], similarity: float) -> list[tuple[int, int, int, int, int]]:
-    """The best match of each item by exact edit distance around the windows given, and of short items anywhere."""
+    """The best match of each item by exact edit distance around the windows given; of equal ones the first."""
     best: dict[int, tuple[int, int, int]] = {}
     windows: dict[int, list[list[int]]] = {}
     for k, p in near:
@@ -205,17 +225,14 @@ def _verified(index: Index, seq: np.ndarray, near: list[tuple[int, int]], simila
         ids = index.items[k][1].tolist()
         most, own_words = int((1 - similarity) * len(ids) + 1e-9), np.unique(index.items[k][1])
         for lo, hi in own:
+            if k in best and not best[k][0]:
+                break
             # each word of the item but `most` has to be there
             if _inside(own_words, seq[lo:hi]).sum() < len(ids) - most:
                 continue
             got = best_match(ids, seq[lo:hi].tolist(), most)
             if got and (k not in best or got[0] < best[k][0]):
                 best[k] = (got[0], lo + got[1], lo + got[2])
-    for n, table in index.short.items():
-        run = np.lib.stride_tricks.sliding_window_view(seq, n) if len(seq) >= n else np.zeros((0, n), np.int64)
-        for p in np.flatnonzero((run > 0).all(axis=1)).tolist():
-            for k in table.get(tuple(run[p].tolist()), ()):
-                best.setdefault(k, (0, p, p + n))
     return [(index.items[k][0], len(index.items[k][1]), *v) for k, v in best.items()]
 
 
@@ -226,14 +243,15 @@ def passes(benchmark: DataFrame, pass_chars: int = PASS_CHARS) -> Iterator[list[
     n = -(-chars // pass_chars)
     for k in range(n):
         part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield [(r["item_id"], r["text"]) for r in part.toLocalIterator()]
+        # one task hands over what one pass holds, not a job for each of many small partitions
+        yield [(r["item_id"], r["text"]) for r in part.coalesce(1).toLocalIterator()]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, n_words, distance, begin, end: the best match of each benchmark item in each document.
 
     A match is a stretch of the document's words whose edit distance to the item, in words, is at most 1 - similarity of
-    the item's length; items shorter than a key match exactly. begin and end count words. Null texts and texts or items
+    the item's length. begin and end count words. Null texts and texts or items
     without words match nothing; rows of docs that repeat give rows that repeat, and items that repeat give rows each.
     Other columns are not looked at. Empty tables give an empty one.
     """
@@ -241,7 +259,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     schema = "doc_id long, item_id long, n_words int, distance int, begin int, end int"
     out = spark.createDataFrame([], schema)
     for items in passes(benchmark):
-        shared = spark.sparkContext.broadcast(build(items))
+        shared = spark.sparkContext.broadcast(build(items, similarity))
 
         def found(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for b in batches:
@@ -254,7 +272,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs (all columns) whose own text has no match. One pass over docs for each pass of the benchmark."""
     for items in passes(benchmark):
-        docs = docs.filter(~_leaks(docs.sparkSession.sparkContext.broadcast(build(items)), similarity)("text"))
+        docs = docs.filter(~_leaks(docs.sparkSession.sparkContext.broadcast(build(items, similarity)), similarity)("text"))
     return docs
 
 

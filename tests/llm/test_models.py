@@ -155,6 +155,29 @@ def test_recall_of_damaged_passages():
     assert found >= 0.97 * tried
 
 
+def test_short_items_are_always_found():
+    rng = random.Random(6)
+    items = [(k, " ".join(f"w{rng.randrange(50)}" for _ in range(1 + k % 12))) for k in range(240)]
+    index = decontaminate.build(items)
+    for (k, text), got in zip(items, decontaminate.matches(index, [f"a {t} b" for _, t in items])):
+        assert k in {m[0] for m in got}, text
+    # with as many edits as they may have, too: here the words are rare enough to tell the items by
+    items = [(k, " ".join(f"v{k}x{j}" for j in range(5 + k % 6))) for k in range(60)]
+    index = decontaminate.build(items)
+    for k, text in items:
+        w = text.split()
+        for j in rng.sample(range(len(w)), len(w) // 5):
+            w[j] = "other"
+        assert k in {m[0] for m in next(decontaminate.matches(index, ["a b " + " ".join(w) + " c"]))}
+
+
+def test_order_of_items_does_not_matter():
+    items = [(k, f"alpha{k % 7} beta{k} gamma delta{k % 3} eps zeta{k} eta theta iota kappa{k}") for k in range(40)]
+    texts = [f"x {t} y" for _, t in items[:10]]
+    a, b = (list(decontaminate.matches(decontaminate.build(x), texts)) for x in (items, items[::-1]))
+    assert [sorted(x) for x in a] == [sorted(x) for x in b]
+
+
 def test_leaks_of_odd_rows(spark):
     docs = "doc_id long, text string, item_id int, begin string"
     item = "One two, three four five six seven eight nine ten."
