@@ -10,7 +10,7 @@ from roadlens import config
 from roadlens.errors import ConfigError, SourceError
 from roadlens.operators import augment, inference, kernels, tiling
 from roadlens.plans import dataset
-from roadlens.sources import geotiff, images, manifests, tables
+from roadlens.sources import geotiff, images, manifests, tables, vector_files
 from roadlens.streaming import ingest
 
 
@@ -175,6 +175,34 @@ def test_presence(spark, folder, tmp_path):
     assert manifests.present(spark, {"a": str(folder), "b": str(tmp_path), "c": str(tmp_path / "none")}) == {"a": True, "b": False, "c": False}
 
 
+def shp(*records):
+    body = b""
+    for k, parts in enumerate(records):
+        points = [p for part in parts for p in part]
+        begins = [sum(map(len, parts[:i])) for i in range(len(parts))]
+        content = struct.pack("<i4d2i", 3, 0, 0, 0, 0, len(parts), len(points)) + struct.pack(f"<{len(parts)}i", *begins) + b"".join(struct.pack("<2d", *p) for p in points) if parts else struct.pack("<i", 0)
+        body += struct.pack(">2i", k + 1, len(content) // 2) + content
+    return struct.pack(">i", 9994) + b"\0" * 28 + struct.pack("<i", 3) + b"\0" * 64 + body
+
+
+def test_vector_files(spark, tmp_path):
+    (tmp_path / "a.geojson").write_text('{"type":"FeatureCollection","crs":{"properties":{"name":"EPSG:3857"}},"features":[{"type":"Feature","properties":{"highway":"road"},"geometry":{"type":"LineString","coordinates":[[0,1],[2,3]]}},\n{"geometry":{"type":"MultiLineString","coordinates":[[[0,0],[1,1]],[[5,5]]]}},{"geometry":{"type":"Point","coordinates":[1,2]}},{"geometry":null}]}')
+    (tmp_path / "b.json").write_text("[1, 2]")
+    (tmp_path / "c.SHP").write_bytes(shp([[(0.0, 0.0), (1.0, 2.0)], [(3.0, 3.0), (4.0, 4.0), (5.0, 5.0)]], [], [[(9.0, 9.0)]]))
+    (tmp_path / "d.shp").write_bytes(b"no shapes")
+    points = lambda r: [(p["x"], p["y"]) for p in r["points"]]
+    lines = {(r["feature"], r["part"]): points(r) for r in vector_files.geojson(spark, str(tmp_path / "*json")).collect()}
+    assert lines == {(0, 0): [(0.0, 1.0), (2.0, 3.0)], (1, 0): [(0.0, 0.0), (1.0, 1.0)]}
+    shapes = {(r["feature"], r["part"]): points(r) for r in vector_files.shapefile(spark, str(tmp_path)).collect()}
+    assert shapes == {(0, 0): [(0.0, 0.0), (1.0, 2.0)], (0, 1): [(3.0, 3.0), (4.0, 4.0), (5.0, 5.0)]}
+    every = vector_files.all_lines(spark, str(tmp_path)).collect()
+    assert len(every) == 4 and {r["crs"] for r in every} == {"EPSG:3857"}
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "x.json").write_text("{}")
+    with pytest.raises(SourceError):
+        vector_files.all_lines(spark, str(tmp_path / "none"))
+
+
 def test_configuration(tmp_path):
     (tmp_path / "c.yaml").write_text("tiling:\n  tile_size: 256\n  other: 1\nsplits:\n  active_splits: [train, val]\n")
     got = config.load(tmp_path / "c.yaml")
