@@ -231,7 +231,7 @@ def q_affine_xy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(events.join(boxes, "user_id").select("event_id", at["x"].alias("x"), at["y"].alias("y")))
 
 
-@query("SELECT event_id, round(radians(value) * 6378137.0::DOUBLE, 4) AS x, round(ln(tan(pi() / 4 + radians(user_id % 80) / 2)) * 6378137.0::DOUBLE, 4) AS y, round(value, 4) AS lon, round((user_id % 80)::DOUBLE, 4) AS lat FROM events")
+@query("SELECT event_id, round(radians(value) * 6378137.0::DOUBLE, 4) AS x, round(ln(tan(pi() / 4 + radians(user_id % 80) / 2)) * 6378137.0::DOUBLE, 4) + 0.0::DOUBLE AS y, round(value, 4) AS lon, round((user_id % 80)::DOUBLE, 4) AS lat FROM events")
 def q_mercator(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN14: to metres and back."""
     m = table(spark, sf_dir, "events").select("event_id", geo.to_mercator(F.col("value"), (F.col("user_id") % 80).cast("double")).alias("m")).select("event_id", "m.x", "m.y")
