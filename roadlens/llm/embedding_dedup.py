@@ -125,9 +125,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     component = connected_components(met, "node", "root")
     links = met.groupBy("node").agg(F.sum("links").alias("links"))
     known = distinct.join(links, "node", "left").join(component, "node", "left")
+    named = F.col("vec_id").isNotNull()
     return src.join(known, ["label", "v"], "left").select(
         "vec_id",
-        F.coalesce(F.coalesce("links", F.lit(0)) + F.col("n") - 1, F.lit(0)).cast("long").alias("n_links"),
-        (c := F.coalesce("component", "node", "vec_id")).alias("component_id"),
+        F.coalesce(F.when(named, F.coalesce("links", F.lit(0)) + F.col("n") - 1), F.lit(0)).cast("long").alias("n_links"),
+        (c := F.when(named, F.coalesce("component", "node", "vec_id"))).alias("component_id"),
         F.col("vec_id").eqNullSafe(c).alias("kept"),
     )

@@ -27,7 +27,8 @@ def brute_vectors(rows, threshold=0.93):
     """vec_id -> (n_links, component) for rows with distinct ids, sorted by id."""
     rows = sorted(rows, key=lambda r: r[0])
     ok = [l is not None and v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v) for _, v, l in rows]
-    unit = [np.array(v, float) / np.linalg.norm(np.array(v, float)) if g else None for (_, v, _), g in zip(rows, ok)]
+    scaled = [np.array(v, float) / np.abs(v).max() if g else None for (_, v, _), g in zip(rows, ok)]  # squares of large numbers would overflow
+    unit = [x / np.linalg.norm(x) if g else None for x, g in zip(scaled, ok)]
     links = [(i, j) for i in range(len(rows)) for j in range(i) if ok[i] and ok[j] and rows[i][2] == rows[j][2] and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= threshold]
     root = components(len(rows), links)
     return {r[0]: (sum(k in x for x in links), rows[root[k]][0]) for k, r in enumerate(rows)}
