@@ -1,7 +1,8 @@
 """Personal data in texts: regular expressions propose, checksums confirm, context words weigh. DataFrame functions only.
 
 All patterns run in linear time: repeats are possessive, and a match may begin only where its run begins (or where the
-match before ended), which changes no match.
+match before ended), which changes no match of the base kinds. Account numbers are proposed from every place where one may
+begin, in a window of bounded length, and may end at any word's end in it.
 """
 
 from __future__ import annotations
@@ -16,8 +17,16 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 #: A run of digits with single spaces or hyphens between. Shorter runs than a card's could only be dropped, so they are not matched.
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,}+"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-#: Added to the base kinds: account numbers with a mod-97 check.
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+#: Added to the base kinds: account numbers with a mod-97 check. The match is the country only, so that no candidate hides
+#: another; the group is the longest rest it may have and, if a word goes on there, that word's next character.
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}(?=([0-9]{2}(?: ?[A-Z0-9]){11,30}+[A-Za-z0-9]?))"
+SHORTEST, LONGEST = 15, 34
+#: Lengths of the ISO 13616 registry. They only choose between ends that the check confirms; other countries need no entry.
+REGISTERED = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 OCTET = r"^(0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])\.){3}0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])$"
 KINDS = ("email", "ip", "card", "phone", "iban")
 #: Words that make a kind likelier when they stand within REACH characters before a span. Fixed lists.
@@ -53,6 +62,28 @@ def mod97(iban: Column) -> Column:
     return rest == 1
 
 
+def _account_numbers(text: Column) -> Column:
+    """Spans of account numbers: at each beginning the end of its country's length or, if the check denies that, the last it confirms.
+
+    Spans may overlap, but none lies within an earlier one.
+    """
+    whole = lambda s: F.concat(s["hit"], s["group"])
+    bare = lambda s, n: F.replace(F.substring(whole(s), F.lit(1), n), F.lit(" "), F.lit(""))
+    at_word_end = lambda s, n: F.regexp(F.substring(whole(s), n, F.lit(2)), F.lit("^[A-Z0-9] ?$"))
+    lengths = F.create_map(*[F.lit(x) for n, countries in REGISTERED.items() for c in countries.split() for x in (c, n)])
+
+    def ended(s: Column) -> Column:
+        able = lambda n: at_word_end(s, n) & F.length(bare(s, n)).between(SHORTEST, LONGEST)
+        ends = F.filter(F.filter(F.sequence(F.lit(SHORTEST), F.length(whole(s))), able), lambda n: mod97(bare(s, n)))
+        usual = F.filter(ends, lambda n: F.length(bare(s, n)) == F.element_at(lengths, s["hit"]))
+        return F.struct(s["start"].alias("start"), (s["start"] + F.coalesce(F.get(usual, F.lit(0)), F.array_max(ends))).alias("end"))
+
+    spans = F.filter(F.transform(found(text, IBAN, group=1), ended), lambda s: s["end"].isNotNull())
+    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start: int, end: int>>)").alias("out"))
+    step = lambda a, s: F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["end"] > a["at"], F.concat(a["out"], F.array(s))).otherwise(a["out"]).alias("out"))
+    return F.aggregate(spans, start, step, lambda a: a["out"])
+
+
 def _score(text: Column, kind: str):
     """The kind's prior, raised if a context word stands shortly before the span."""
     near = r"(?i)\b(?:" + "|".join(CONTEXT[kind]) + r")\b"
@@ -71,7 +102,7 @@ def with_spans(docs: DataFrame, text_col: str = "text", out: str = "spans") -> D
     ip = F.filter(found(text, IP), lambda s: F.regexp(s["hit"], F.lit(OCTET)))
     card = F.filter(found(text, CARD), lambda s: (F.length(_digits(s["hit"])) <= 19) & luhn(_digits(s["hit"])))
     phone = F.filter(found(text, PHONE, guard=F.contains(text, F.lit("+"))), lambda s: F.length(_digits(s["hit"])).between(10, 15))
-    iban = F.filter(found(text, IBAN), lambda s: F.length(F.replace(s["hit"], F.lit(" "), F.lit(""))).between(15, 34) & mod97(F.replace(s["hit"], F.lit(" "), F.lit(""))))
+    iban = _account_numbers(text)
     names = [f"__{k}" for k in KINDS]
     step = docs.withColumns(dict(zip(names, (mail, ip, card, phone, iban))))
     all_ = F.concat(*[tagged(F.col(n), r, k, k != "iban", more=_score(text, k)) for r, (n, k) in enumerate(zip(names, KINDS))])

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -88,6 +89,35 @@ def test_private_data_of_the_whole_table(spark):
         check(r, texts[r["doc_id"]], base_private, ["email", "ip", "card", "phone"])
 
 
+ACCOUNTS = [
+    ("GB82WEST12345698765432 Please pay", "0:22"), ("DE89370400440532013000 2024", "0:22"), ("DE89 3704 0044 0532 0130 00 BIC COBADEFF", "0:27"), ("é😀 DE89 3704 0044 0532 0130 00 Bank", "3:30"),
+    ("DE89370400440532013000 GB82WEST12345698765432 A", "0:22 23:45"), ("AB12 CDEF GHIJ KLMN GB82 WEST 1234 5698 7654 32 OK", "20:47"), ("NO9386011117947 X", "0:15"), ("MT84 MALT 0110 0001 2345 MTLC AST0 01S 5", "0:38"),
+    ("DE89370400440532013000EUR", ""), ("DE89370400440532013001 A", ""), ("xDE89370400440532013000", ""), ("DE89370400440532013000x", ""), ("DE89370400440532013000  9", "0:22"),
+]
+
+
+def account(country, rest):
+    value = int("".join(str(int(c, 36)) for c in rest + country + "00"))
+    return f"{country}{98 - value % 97:02d}{rest}"
+
+
+def test_account_numbers_before_capitals_and_digits(spark):
+    rng = random.Random(4)
+    rows, want = [t for t, _ in ACCOUNTS], [w.split() for _, w in ACCOUNTS]
+    # every registered length and, for a country that has none, every length: in one piece and in groups of four
+    for n, c in [(n, c) for n, cs in pii.REGISTERED.items() for c in cs.split()] + [(n, "ZZ") for n in range(15, 35)]:
+        x = account(c, "".join(rng.choice("ABCXYZ0123456789") for _ in range(n - 4)))
+        for x in (x, " ".join(x[i : i + 4] for i in range(0, n, 4))):
+            rows += [f"to {x} Now", f"to {x} 7", f"to {x}."]
+            want += [[f"3:{3 + len(x)}"]] * 3
+    got = {r["doc_id"]: r["spans"] for r in pii.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    for i, (t, w) in enumerate(zip(rows, want)):
+        spans = [s.removeprefix("iban:") for s in got[i].split(",") if s.startswith("iban:")]
+        assert spans == w or ("ZZ" in t and spans[0].split(":")[0] == "3" and int(spans[0].split(":")[1]) >= int(w[0].split(":")[1])), t
+    masked = pii.masked(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(ACCOUNTS)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["text"] for r in masked][:3] == ["<IBAN> Please pay", "<IBAN> 2024", "<IBAN> BIC COBADEFF"]
+
+
 def test_masking_keeps_rows_and_columns(spark):
     df = spark.createDataFrame([(1, "mail a@b.co now", 15), (2, None, None), (3, "clean", 5)], "doc_id long, text string, n_chars long")
     out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.masked(df).collect()}
