@@ -7,9 +7,11 @@ Bit sampling keeps a few steps as the key of a bucket.
 
 Windows are as long as an item. A window is embedded from every start, in REPEATS random embeddings; a sampled part is
 the walk's first STEPS steps. As each item is embedded from all its own starts, a damaged window still has one clean
-stretch that gives its key: RECALL_NOTE in the README counts how often. Keys are evaluated step by step, and a walk
-ends as soon as no item has its beginning, which gives the same buckets as whole keys at a fraction of the cost.
-Every bucket hit names an item and a window; each such window is verified by exact edit distance in words.
+stretch that gives its key in most cases. Keys are evaluated step by step, and a walk ends as soon as no item has its
+beginning, which gives the same buckets as whole keys at a fraction of the cost.
+What walks miss, pieces find: items of any length are cut into one piece more than they may have edits, so that one piece
+is whole wherever they are. With them no match is missed.
+Every hit names an item and a window; each such window is verified by exact edit distance in words.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ REPEATS = 4
 SAMPLED = (0, 3, 5, 8, 10)
 #: Items of fewer words are too short for a walk.
 LONG = SAMPLED[-1] + 1
+#: Words that a piece is looked up by, at most; a whole piece has them, too.
+PIECE = 8
 #: Keys of an item that were sampled at fewer places are not used: a walk that hardly moved names a
 #: word or two, which any text may hold. Other starts and embeddings of the item make up for them.
 PLACES = 4
@@ -117,7 +121,7 @@ class Index:
     items: list[tuple[int, np.ndarray]]
     levels: list[list[np.ndarray]]
     buckets: list[dict[int, list[tuple[int, int]]]]
-    short: dict[int, tuple[np.ndarray, dict[int, list[tuple[int, int]]]]]  # by length of piece: its key -> item, place in it
+    pieces: dict[int, tuple[np.ndarray, dict[int, list[tuple[int, int]]]]]  # by number of words: their key -> item, place in it
 
 
 def build(items: list[tuple[int, str]], similarity: float = SIMILARITY) -> Index:
@@ -142,9 +146,9 @@ def build(items: list[tuple[int, str]], similarity: float = SIMILARITY) -> Index
         buckets.append(bucket)
     pieces: dict[int, dict[int, list[tuple[int, int]]]] = {}
     for k, (_, seq) in enumerate(rows):
-        if len(seq) < LONG:
-            for part in np.array_split(np.arange(len(seq)), int((1 - similarity) * len(seq) + 1e-9) + 1):
-                pieces.setdefault(len(part), {}).setdefault(int(_piece_keys(seq[part], len(part))[0]), []).append((k, int(part[0])))
+        for part in np.array_split(np.arange(len(seq)), int((1 - similarity) * len(seq) + 1e-9) + 1):
+            head = part[:PIECE]
+            pieces.setdefault(len(head), {}).setdefault(int(_piece_keys(seq[head], len(head))[0]), []).append((k, int(part[0]) if len(part) else 0))
     return Index(vocabulary, rows, levels, buckets, {n: (np.array(sorted(t), np.uint64), t) for n, t in pieces.items()})
 
 
@@ -165,7 +169,7 @@ def _inside(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
 def candidates(index: Index, seq: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(place of the hit, item, place in the item) for all bucket hits of all windows of a sequence.
 
-    Items too short for a walk are cut into one piece more than they may have edits, so one piece is whole wherever they are.
+    With the pieces, each match of an item has a hit; the walks alone lose some.
     """
     known = np.flatnonzero(seq > 0)
     for repeat, (levels, bucket) in enumerate(zip(index.levels, index.buckets)):
@@ -174,7 +178,7 @@ def candidates(index: Index, seq: np.ndarray) -> Iterator[tuple[int, int, int]]:
         for p, x in zip(starts.tolist(), keys.tolist()):
             for k, o in bucket.get(x, ()):
                 yield p, k, o
-    for n, (keys, table) in index.short.items():
+    for n, (keys, table) in index.pieces.items():
         own = _piece_keys(seq, n)
         for p in np.flatnonzero(_inside(keys, own)).tolist():
             for k, o in table[int(own[p])]:

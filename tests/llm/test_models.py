@@ -171,6 +171,21 @@ def test_short_items_are_always_found():
         assert k in {m[0] for m in next(decontaminate.matches(index, ["a b " + " ".join(w) + " c"]))}
 
 
+@pytest.mark.parametrize("even", [True, False])
+@pytest.mark.parametrize("n", [11, 12, 13, 15, 16, 20, 25, 30, 60])
+def test_no_damaged_item_is_missed_at_any_length(n, even):
+    rng = random.Random(n)
+    items = [(k, " ".join(f"v{k}x{j}" for j in range(n))) for k in range(150)]
+    texts = []
+    for _, text in items:
+        w, most = text.split(), int(n * 0.2 + 1e-9)
+        for j in [(i + 1) * (n + 1) // (most + 1) - 1 for i in range(most)] if even else rng.sample(range(n), most):
+            w[j] = "other"
+        texts.append("a b c " + " ".join(w) + " d e f")
+    found = decontaminate.matches(decontaminate.build(items), texts)
+    assert [k for (k, _), got in zip(items, found) if k not in {m[0] for m in got}] == []
+
+
 def test_order_of_items_does_not_matter():
     items = [(k, f"alpha{k % 7} beta{k} gamma delta{k % 3} eps zeta{k} eta theta iota kappa{k}") for k in range(40)]
     texts = [f"x {t} y" for _, t in items[:10]]
