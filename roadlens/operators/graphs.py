@@ -88,16 +88,16 @@ def pixel_components(masks: DataFrame, *keys: str, data: str = "data", width: st
     return masks.withColumn("__m", labelled(data, width)).select(*keys, "__m.*")
 
 
-def closeness(edges_: DataFrame, seeds: DataFrame, rounds: int = 64) -> DataFrame:
+def closeness(edges_: DataFrame, seeds: DataFrame) -> DataFrame:
     """node, reached, distance, closeness of the seeds given, by breadth-first joins over unweighted edges.
 
     A round holds one row for each seed and node reached, written to the shared folder; so seeds are to be few or dealt
-    with in turn. closeness is reached / distance, 0 for a node alone.
+    with in turn. Rounds go on until nothing new is reached, however far that is. closeness is reached / distance, 0 for a node alone.
     """
     both = cut(edges_.select("src", "dst").union(edges_.select("dst", "src")).distinct())
     seen = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("d")))
     front, step = seen, 0
-    while step < rounds:
+    while True:
         step += 1
         onward = front.join(both, front["node"] == both["src"]).select("seed", F.col("dst").alias("node")).distinct()
         front = cut(onward.join(seen, ["seed", "node"], "left_anti").withColumn("d", F.lit(step)))

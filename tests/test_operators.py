@@ -238,6 +238,13 @@ def test_graphs(spark):
     assert {r["node"]: r["centrality"] for r in graphs.degree_centrality(chain).collect()} == {0: 0.25, 1: 0.5, 2: 0.5, 3: 0.5, 4: 0.25}
 
 
+def test_closeness_reaches_the_end_of_a_long_road(spark):
+    n = 70
+    chain = spark.createDataFrame([(i, i + 1, 1.0) for i in range(n)], "src long, dst long, weight double")
+    (out,) = graphs.closeness(chain, spark.createDataFrame([(0,)], "node long")).collect()
+    assert (out["reached"], out["distance"], out["closeness"]) == (n, n * (n + 1) // 2, 2 / (n + 1))
+
+
 def test_pixel_components(spark):
     m = [1, 0, 0, 1, 0, 1, 0, 0, 0, 0, 0, 1, 1, 1, 0, 1]
     out = graphs.pixel_components(spark.createDataFrame([(1, m, 4), (2, [0] * 4, 2)], "id long, data array<int>, width int"), "id").collect()
