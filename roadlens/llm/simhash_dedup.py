@@ -151,27 +151,41 @@ def near_duplicates(docs: DataFrame, most: int = 3, id_col: str = "doc_id", text
     as numbers; a null id is never a component's name, unless all of a component have none, which leaves it null.
     Repeated rows and repeated ids are rows like others. An empty table gives an empty one.
     """
+    found = _grouped(docs, most, id_col, text_col, cell)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _grouped(docs: DataFrame, most: int, id_col: str = "doc_id", text_col: str = "text", cell: int = CELL) -> DataFrame:
+    """doc_id, fp, c, component_id: like near_duplicates, with the group itself, as groups of one repeated id share its name."""
     src = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), fingerprints(F.col(text_col)).alias("fp")))
     prints = cut(src.groupBy("fp").agg(F.min("doc_id").alias("least")))
     component = connected_components(links(prints.select("fp"), most, cell), "a", "b")
     named = prints.join(component, prints["fp"] == component["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
     names = named.groupBy("c").agg(F.min("least").alias("component_id"))
-    of_print = named.join(names, "c").select("fp", "component_id")
-    return src.join(of_print, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    of_print = named.join(names, "c").select("fp", "c", "component_id")
+    return src.join(of_print, "fp").select("doc_id", "fp", "c", "component_id")
 
 
 def one_of_each(docs: DataFrame, most: int = 3) -> DataFrame:
-    """The rows of docs (all columns) that represent their group: those whose id names it, each id once.
+    """The rows of docs (all columns) that represent their group: of those whose id names it, one of the least fingerprint.
 
-    Rows without an id stay only if no row of their group has one, one for each fingerprint.
+    An id with texts of several groups stays once for each group that it names, and only with such a text. Rows without an
+    id stay only if no row of their group has one, one for each fingerprint.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), most)
-    heads = cut(found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count())
-    kept = docs.join(heads.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    if heads.filter("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id"])
+    found = cut(_grouped(docs.select("doc_id", "text"), most))
+    heads = cut(found.filter(F.col("doc_id") == F.col("component_id")).groupBy("c").agg(F.min("doc_id").alias("__id"), F.min("fp").alias("__fp")))
+    often = cut(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1").select("__id"))
+    if often.limit(1).count():
+        # an id that repeats does not tell a row; its texts do
+        named = docs.withColumn("__id", F.col("doc_id").cast("long"))
+        once = named.join(heads.join(often, "__id", "left_anti").select("__id"), "__id", "left_semi")
+        again = named.join(heads.join(often, "__id", "left_semi").select("__id"), "__id", "left_semi").withColumn("__fp", fingerprints(F.col("text")))
+        again = again.join(heads, ["__id", "__fp"], "left_semi").dropDuplicates(["__id", "__fp"])
+        kept = once.select(*docs.columns).union(again.select(*docs.columns))
+    else:
+        kept = docs.join(heads.select(F.col("__id").alias("doc_id")), "doc_id", "left_semi").select(*docs.columns)
     if found.filter("component_id is null").limit(1).count():
-        nameless = found.filter("component_id is null").select("fingerprint").distinct()
-        alone = docs.filter("doc_id is null").withColumn("__fp", F.lpad(F.lower(F.hex(fingerprints(F.col("text")))), 16, "0")).join(nameless.withColumnRenamed("fingerprint", "__fp"), "__fp", "left_semi").dropDuplicates(["__fp"])
+        nameless = found.filter("component_id is null").select(F.col("fp").alias("__fp")).distinct()
+        alone = docs.filter("doc_id is null").withColumn("__fp", fingerprints(F.col("text"))).join(nameless, "__fp", "left_semi").dropDuplicates(["__fp"])
         kept = kept.union(alone.select(*docs.columns))
     return kept

@@ -134,6 +134,17 @@ def test_documents_odd_rows(spark):
     assert sorted((str(r["doc_id"]) for r in kept.collect())) == ["3", "7", "9", "None"]
 
 
+def test_one_of_each_tells_texts_of_one_id(spark):
+    a, b, c = ("the quick brown fox jumps over the lazy dog", "an entirely different text about roads and tiles", "some third thing that nobody has said before now")
+    prints = [simhash_dedup.fingerprint(x) for x in (a, b, c)]
+    assert all((x ^ y).bit_count() > 3 for i, x in enumerate(prints) for y in prints[:i])
+    keep = lambda rows: sorted((r["doc_id"], r["text"]) for r in simhash_dedup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    # two groups named by one id: both stay, once each
+    assert keep([(1, a), (1, b), (1, a), (2, b)]) == sorted([(1, a), (1, b)])
+    # the id's other text belongs to the group of a lower one and goes
+    assert keep([(1, a), (2, a), (2, b), (3, c)]) == sorted([(1, a), (2, b), (3, c)])
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     chain = [(i, i + 1) for i in range(60)] + [(1000, 2000 + i) for i in range(50)] + [(5000, None), (7, 7)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(chain, "a long, b long"), "a", "b").collect()}
