@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; where it is unset (tests, one machine) a temporary one."""
@@ -38,6 +41,19 @@ def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores: if a table as read has fewer splits than there are cores, its rows are dealt round; else it stays.
+
+    For steps that take long for a row. A table of that few splits is small, so the shuffle is, too.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    if splits >= cores:
+        return df
+    log.info("%d splits are dealt out to %d cores", splits, cores)
+    return df.repartition(cores)
+
+
 class Recent(dict):
     """A dictionary of at most about twice `most` entries: when it is full, what is then used again outlives the rest."""
 

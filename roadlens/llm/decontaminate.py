@@ -1,17 +1,24 @@
 """Documents that hold benchmark items, by CGK embedding and bit-sampling LSH, verified by exact edit distance.
 
 Texts are sequences of lower-case words. The CGK embedding (Chakraborty, Goldenberg, Koucky, 2016) walks through a
-sequence: in step j it writes down the word it stands on and moves on if a random bit of (j, word) says so. Two walks
-with the same bits fall into step again after an edit, so a small edit distance becomes a small Hamming distance.
+sequence: in each step it writes down the word it stands on and moves on if a random bit of (step, word) says so. Two
+walks with the same bits fall into step again after an edit, so a small edit distance becomes a small Hamming distance.
 Bit sampling keeps a few steps as the key of a bucket.
 
-Windows are as long as an item. A window is embedded from every start, in REPEATS random embeddings; a sampled part is
-the walk's first STEPS steps. As each item is embedded from all its own starts, a damaged window still has one clean
-stretch that gives its key in most cases. Keys are evaluated step by step, and a walk ends as soon as no item has its
-beginning, which gives the same buckets as whole keys at a fraction of the cost.
-What walks miss, pieces find: items of any length are cut into one piece more than they may have edits, so that one piece
-is whole wherever they are. With them no match is missed.
-Every hit names an item and a window; each such window is verified by exact edit distance in words.
+Each of REPEATS repeats has bits and sampled places of its own, drawn anew. A window is what is left of an item from one
+of its words on; every such window of every item is embedded, and so is every place of the text. A walk that leaves the
+item ends there, so windows of all lengths share one walk through the text. A key is kept if it sampled enough different
+words to tell the item by; an item of which no repeat keeps one gets its best, so that exact copies are never missed.
+With at most a fifth of its words edited, an item of six words or more has three whole ones in a row, from which each
+repeat takes a key with a chance of about a quarter: repeats, not a plainer path, make up the recall, which
+tests/llm/test_decontamination.py measures by length and rate of edits.
+
+Keys are looked up as they grow: where no item's key begins like it, a walk ends. That gives the same buckets as whole
+keys at a fraction of the cost. Every hit names an item and a place; the window around it is verified by exact edit
+distance in words.
+
+The index is flat arrays of numbers. A pass takes items of at most about PASS_WORDS words, whose index is below 200 MB;
+a larger benchmark takes several passes, one index at a time.
 """
 
 from __future__ import annotations
@@ -19,6 +26,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,22 +34,17 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REPEATS = 4
-#: Steps of the walk whose words make up a key.
-SAMPLED = (0, 3, 5, 8, 10)
-#: Items of fewer words are too short for a walk.
-LONG = SAMPLED[-1] + 1
-#: Words that a piece is looked up by, at most; a whole piece has them, too.
-PIECE = 8
-#: Keys of an item that were sampled at fewer places are not used: a walk that hardly moved names a
-#: word or two, which any text may hold. Other starts and embeddings of the item make up for them.
-PLACES = 4
+from .common import cut, spread
+
+REPEATS = 24
+#: Places of a walk that make up a key. The first is the first step, as a window begins at every word; so far the next are apart, at most.
+SAMPLED, APART = 3, 2
 SIMILARITY = 0.8
 SEED = 11
-#: Benchmark text handled in one pass; a larger benchmark takes several passes over the documents.
-PASS_CHARS = 32 << 20
+#: Words of the items handled in one pass.
+PASS_WORDS = 1 << 19
 #: Characters of texts that are searched together.
-STRETCH = 1 << 19
+STRETCH = 1 << 18
 WORD = re.compile(r"\w+")
 
 
@@ -49,35 +52,222 @@ def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def _moves(step: int, repeat: int, ids: np.ndarray) -> np.ndarray:
-    """A random bit for each word in this step of this embedding."""
-    h = (ids.astype(np.uint64) + np.uint64(1 + 1_000_003 * (repeat * 64 + step) + SEED)) * np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((h >> np.uint64(40)) & np.uint64(1)).astype(np.int64)
+def numbers(words_: list[str]) -> np.ndarray:
+    """A number other than zero for each word, the same everywhere."""
+    if not words_:
+        return np.zeros(0, np.uint64)
+    return pd.util.hash_array(np.array(words_, object), categorize=len(words_) > 64) | np.uint64(1)
+
+
+def edits_of(n, similarity: float = SIMILARITY):
+    """How many edits an item of n words may have."""
+    return np.floor((1 - similarity) * np.asarray(n) + 1e-9).astype(np.int64)
+
+
+@lru_cache(maxsize=None)
+def places(repeat: int) -> tuple[int, ...]:
+    """The sampled steps of a repeat."""
+    return (0, *np.cumsum(np.random.default_rng([SEED, repeat]).integers(1, APART + 1, SAMPLED - 1)).tolist())
+
+
+#: Steps of a walk at most, and repeats that take their random bits from one number.
+STEPS = APART * (SAMPLED - 1)
+SHARE = 64 // STEPS
+
+
+def random_bits(seq: np.ndarray) -> list[np.ndarray]:
+    """For each SHARE repeats a number for each word, of which each of them reads STEPS bits."""
+    out = []
+    for k in range(-(-REPEATS // SHARE)):
+        h = (seq ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1 + SEED) % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0x94D049BB133111EB)
+        out.append(h ^ (h >> np.uint64(32)))
+    return out
+
+
+def _grown(key: np.ndarray, word: np.ndarray) -> np.ndarray:
+    key = (key ^ word) * np.uint64(0x9E3779B97F4A7C15)
+    key ^= key >> np.uint64(31)
+    key *= np.uint64(0xD6E8FEB86659FD93)
+    return key
 
 
-def walk(seq: np.ndarray, starts: np.ndarray, repeat: int, alive=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of the sampled steps for walks from starts; alive(level, keys) may end walks early.
+def _padded(seq: np.ndarray) -> np.ndarray:
+    """With zeros behind it, so that walks need not look out for the end."""
+    return np.r_[seq, np.zeros(STEPS + 1, np.uint64)]
 
-    Returns the starts of the walks that went on, their keys, and at how many places they were sampled. Past the end of a
-    sequence the walk stands on word -1.
+
+@dataclass(frozen=True)
+class Walk:
+    """Walks from some starts, as far as they go on: one entry a level, which is a number of sampled places."""
+
+    starts: list[np.ndarray]
+    keys: list[np.ndarray]
+    distinct: list[np.ndarray]
+
+
+def walk(seq: np.ndarray, bits: list[np.ndarray], repeat: int, starts: np.ndarray, alive=None, ends: np.ndarray | None = None) -> Walk:
+    """Walks of a repeat through a padded sequence. alive(level, keys) may end walks early; ends: where each start's window ends.
+
+    Different words are counted where ends are given, as only keys of items have to be told apart.
     """
-    at, key = starts.copy(), np.zeros(len(starts), np.uint64)
-    before, places = np.full(len(starts), -1), np.zeros(len(starts), np.int64)
-    padded = np.r_[seq, np.full(SAMPLED[-1] + 2, -1, seq.dtype)]
-    for step in range(SAMPLED[-1] + 1):
-        now = padded[at]
-        if step in SAMPLED:
-            key = key * np.uint64(0x100000001B3) + (now + 2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(31)
-            places, before = places + (at != before), at
-            if alive is not None:
-                go = alive(SAMPLED.index(step), key)
-                starts, at, key, now, before, places = starts[go], at[go], key[go], now[go], before[go], places[go]
-                if not len(starts):
-                    break
-        at = at + _moves(step, repeat, now)
-    return starts, key, places
+    out, own, shift, step = Walk([], [], []), bits[repeat // SHARE], STEPS * (repeat % SHARE), 0
+    at, key = starts, np.uint64(0)
+    before, distinct = np.full(len(starts), -1), np.zeros(len(starts), np.int64)
+    for level, place in enumerate(places(repeat)):
+        for step in range(step, place):
+            at = at + ((own[at] >> np.uint64(shift + step)) & np.uint64(1)).astype(np.int64)
+        step = place
+        if ends is not None and not (inside := at < ends).all():
+            starts, at, before, distinct, ends = starts[inside], at[inside], before[inside], distinct[inside], ends[inside]
+            key = key[inside]
+        key = _grown(key, seq[at])
+        if ends is not None:
+            distinct, before = distinct + (at != before), at
+        elif alive is not None and len(go := np.flatnonzero(alive(level, key))) < len(starts):
+            starts, at, key = starts[go], at[go], key[go]
+        out.starts.append(starts)
+        out.keys.append(key)
+        out.distinct.append(distinct)
+        if not len(starts):
+            break
+    return out
+
+
+class Seen:
+    """A set of numbers as a bitmap: what is in it is told for sure, what is not is told with a chance of about 1/8 at most."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(6, int(len(keys) * 8).bit_length())
+        self.shift, self.map = np.uint64(64 - bits), np.zeros(1 << bits, bool)
+        self.map[keys >> self.shift] = True
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        return self.map[keys >> self.shift]
+
+
+@dataclass(frozen=True)
+class Index:
+    """One pass's items and, for each repeat and level, their keys in order with the places they stand for.
+
+    words holds all items' words one after another, begins where each item begins (and the last ends); a place is a place
+    in words. pairs are the numbers of all pairs of item and word, in order. prefixes tells for each repeat which keys of each
+    level after the first some item's key begins with; first tells which words some item's key in any repeat begins with.
+    """
+
+    ids: np.ndarray
+    words: np.ndarray
+    begins: np.ndarray
+    pairs: np.ndarray
+    keys: list[list[np.ndarray]]
+    where: list[list[np.ndarray]]
+    prefixes: list[list[Seen]]
+    first: Seen
+
+    def item_of(self, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.begins, place, "right") - 1
+
+    def nbytes(self) -> int:
+        flat = [x.nbytes for part in (self.keys, self.where) for r in part for x in r] + [s.map.nbytes for r in self.prefixes for s in r]
+        return sum(x.nbytes for x in (self.ids, self.words, self.begins, self.pairs)) + sum(flat)
+
+
+def enough(n: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """How many different words a key of an item of n words has to hold: as many as surely stand whole in a row, three at most."""
+    edits = edits_of(n, similarity)
+    return np.clip(-(-(n - edits) // (edits + 1)), 1, SAMPLED)
+
+
+def build(ids: np.ndarray, items: list[np.ndarray], similarity: float = SIMILARITY) -> Index:
+    """The index of items given as the numbers of their words."""
+    some = [k for k, w in enumerate(items) if len(w)]
+    ids, items = np.asarray(ids, np.int64)[some], [items[k] for k in some]
+    n = np.array([len(w) for w in items], np.int64)
+    begins, seq = np.r_[0, np.cumsum(n)], np.concatenate([np.zeros(0, np.uint64), *items])
+    starts, of, padded = np.arange(len(seq)), np.repeat(np.arange(len(n)), n), _padded(seq)
+    bits = random_bits(padded)
+    asked, last = enough(n, similarity)[of], begins[1:][of]
+    keys, where, prefixes = [], [], []
+    best = np.zeros(len(n), np.int64)  # for each item the most words that a key of it holds
+    found = np.zeros(len(n), bool)
+    spare: list[tuple[int, int, int, np.uint64]] = [(0, 0, 0, np.uint64(0))] * len(n)  # and that key, from its first word
+    for repeat in range(REPEATS) if len(seq) else ():
+        w = walk(padded, bits, repeat, starts, ends=last)
+        # a walk counts by the last place at which it stands inside the item
+        final = [~np.isin(a, b) for a, b in zip(w.starts, [*w.starts[1:], np.zeros(0, np.int64)])]
+        good = [f & (d >= asked[s]) for f, d, s in zip(final, w.distinct, w.starts)]
+        for level, (g, f, s, k, d) in enumerate(zip(good, final, w.starts, w.keys, w.distinct)):
+            found[of[s[g]]] = True
+            first = np.flatnonzero(f & (s == begins[of[s]]))
+            for j in first[d[first] > best[of[s[first]]]].tolist():
+                best[of[s[j]]], spare[of[s[j]]] = d[j], (repeat, level, int(s[j]), k[j])
+        order = [np.argsort(k[g], kind="stable") for k, g in zip(w.keys, good)]
+        keys.append([k[g][o] for k, g, o in zip(w.keys, good, order)])
+        where.append([s[g][o] for s, g, o in zip(w.starts, good, order)])
+        # beginnings of the keys kept, level by level
+        kept = np.concatenate([s[g] for s, g in zip(w.starts, good)])
+        prefixes.append([k[np.isin(s, kept)] for s, k in zip(w.starts, w.keys)])
+    for i in np.flatnonzero(~found).tolist():
+        repeat, level, place, key = spare[i]
+        at = int(np.searchsorted(keys[repeat][level], key))
+        keys[repeat][level] = np.insert(keys[repeat][level], at, key)
+        where[repeat][level] = np.insert(where[repeat][level], at, place)
+        w = walk(padded, bits, repeat, np.array([place]), ends=begins[i + 1 : i + 2])
+        for k, own in enumerate(w.keys[: level + 1]):
+            prefixes[repeat][k] = np.r_[prefixes[repeat][k], own]
+    pairs = np.unique(_grown(of.astype(np.uint64), seq))
+    first = np.unique(np.concatenate([np.zeros(0, np.uint64), *(p[0] for p in prefixes)]))
+    return Index(ids, seq, begins, pairs, keys, where, [[Seen(np.unique(k)) for k in p[1:]] for p in prefixes], Seen(first))
+
+
+def candidates(index: Index, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a sequence and the places in the items' words that they have a key in common with."""
+    at: list[np.ndarray] = [np.zeros(0, np.int64)]
+    theirs: list[np.ndarray] = [np.zeros(0, np.int64)]
+    padded = _padded(seq)
+    bits, starts = random_bits(padded), np.flatnonzero(seq)
+    if not index.prefixes:
+        return at[0], theirs[0]
+    # every walk begins with the word it starts on, in all repeats
+    starts = starts[index.first(_grown(np.uint64(0), seq[starts]))]
+    for repeat, (keys, where, prefixes) in enumerate(zip(index.keys, index.where, index.prefixes)):
+        w = walk(padded, bits, repeat, starts, lambda level, k, p=prefixes: p[level - 1](k) if 0 < level <= len(p) else np.full(len(k), level == 0))
+        for s, k, own, place in zip(w.starts, w.keys, keys, where):
+            lo = np.searchsorted(own, k, "left")
+            many = np.searchsorted(own, k, "right") - lo
+            at.append(np.repeat(s, many))
+            theirs.append(place[np.repeat(lo - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())])
+    return np.concatenate(at), np.concatenate(theirs)
+
+
+def _windows(index: Index, seq: np.ndarray, begins: np.ndarray, similarity: float) -> pd.DataFrame:
+    """doc, item, lo, hi: the windows around candidates that hold all words of their item but as many as may be edited.
+
+    seq holds texts one after another, with a zero behind each; begins tells where each begins, and the end.
+    """
+    at, theirs = candidates(index, seq)
+    item, doc = index.item_of(theirs), np.searchsorted(begins, at, "right") - 1
+    lined_up = np.unique(np.stack([doc, item, at - (theirs - index.begins[item])]), axis=1)
+    doc, item, at = lined_up
+    n = np.diff(index.begins)[item]
+    most = edits_of(n, similarity)
+    lo, hi = np.maximum(begins[doc], at - most), np.minimum(begins[doc + 1] - 1, at + n + most)
+    enough_there = np.zeros(len(at), bool)
+    for k in range(0, len(at), 4096):
+        part = slice(k, k + 4096)
+        size = hi[part] - lo[part]
+        of = np.repeat(np.arange(len(size)), size)
+        place = np.repeat(lo[part] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+        met = _among(index.pairs, _grown(item[part][of].astype(np.uint64), seq[place]))
+        enough_there[part] = np.bincount(of[met], minlength=len(size)) >= (n - most)[part]
+    return pd.DataFrame({"doc": doc, "item": item, "lo": lo, "hi": hi})[enough_there]
+
+
+def _among(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
+    if not len(sorted_):
+        return np.zeros(len(x), bool)
+    return sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x
 
 
 def best_match(item: list, text: list, most: int) -> tuple[int, int, int] | None:
@@ -113,82 +303,10 @@ def best_match(item: list, text: list, most: int) -> tuple[int, int, int] | None
     return distance, end - length, end
 
 
-@dataclass(frozen=True)
-class Index:
-    """One pass's items: their words by number, and for each embedding and level the beginnings of their keys."""
-
-    vocabulary: dict[str, int]
-    items: list[tuple[int, np.ndarray]]
-    levels: list[list[np.ndarray]]
-    buckets: list[dict[int, list[tuple[int, int]]]]
-    pieces: dict[int, tuple[np.ndarray, dict[int, list[tuple[int, int]]]]]  # by number of words: their key -> item, place in it
-
-
-def build(items: list[tuple[int, str]], similarity: float = SIMILARITY) -> Index:
-    vocabulary: dict[str, int] = {}
-    # in order of text, so that the walks are the same however the items come
-    rows = [(i, np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words(t)], np.int64)) for i, t in sorted(items, key=lambda x: (x[1], x[0]))]
-    rows = [(i, w) for i, w in rows if len(w)]
-    levels, buckets = [], []
-    for repeat in range(REPEATS):
-        kept: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)] for _ in SAMPLED]
-        bucket: dict[int, list[tuple[int, int]]] = {}
-        for k, (_, seq) in enumerate(rows):
-            if len(seq) < LONG:
-                continue
-            at, key, places = walk(seq, np.arange(len(seq) - len(SAMPLED) + 1), repeat)
-            # the walk from the first word never leaves the item: with it no exact copy is missed
-            strong = (places >= PLACES) | ((at == 0) & (repeat == 0))
-            walk(seq, at[strong], repeat, lambda level, keys: kept[level].append(keys) or np.ones(len(keys), bool))
-            for o, x in zip(at[strong].tolist(), key[strong].tolist()):
-                bucket.setdefault(x, []).append((k, o))
-        levels.append([np.unique(np.concatenate(x)) for x in kept])
-        buckets.append(bucket)
-    pieces: dict[int, dict[int, list[tuple[int, int]]]] = {}
-    for k, (_, seq) in enumerate(rows):
-        for part in np.array_split(np.arange(len(seq)), int((1 - similarity) * len(seq) + 1e-9) + 1):
-            head = part[:PIECE]
-            pieces.setdefault(len(head), {}).setdefault(int(_piece_keys(seq[head], len(head))[0]), []).append((k, int(part[0]) if len(part) else 0))
-    return Index(vocabulary, rows, levels, buckets, {n: (np.array(sorted(t), np.uint64), t) for n, t in pieces.items()})
-
-
-def _piece_keys(seq: np.ndarray, n: int) -> np.ndarray:
-    """A number for each run of n words."""
-    key = np.zeros(max(0, len(seq) - n + 1), np.uint64)
-    for j in range(n):
-        key = key * np.uint64(0x9E3779B97F4A7C15) + seq[j : len(seq) - n + 1 + j].astype(np.uint64)
-    return key
-
-
-def _inside(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
-    if not len(sorted_):
-        return np.zeros(len(x), bool)
-    return sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x
-
-
-def candidates(index: Index, seq: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(place of the hit, item, place in the item) for all bucket hits of all windows of a sequence.
-
-    With the pieces, each match of an item has a hit; the walks alone lose some.
-    """
-    known = np.flatnonzero(seq > 0)
-    for repeat, (levels, bucket) in enumerate(zip(index.levels, index.buckets)):
-        # the first sampled word alone rules out next to nothing
-        starts, keys, _ = walk(seq, known, repeat, lambda level, k: _inside(levels[level], k) if level else np.ones(len(k), bool))
-        for p, x in zip(starts.tolist(), keys.tolist()):
-            for k, o in bucket.get(x, ()):
-                yield p, k, o
-    for n, (keys, table) in index.pieces.items():
-        own = _piece_keys(seq, n)
-        for p in np.flatnonzero(_inside(keys, own)).tolist():
-            for k, o in table[int(own[p])]:
-                yield p, k, o
-
-
 def matches(index: Index, texts: list[str | None], similarity: float = SIMILARITY) -> Iterator[list[tuple[int, int, int, int, int]]]:
     """For each whole text: item_id, n_words, distance, begin, end (in words) of the best match of each item found.
 
-    Texts are searched in stretches of about STRETCH characters, end to end, with a gap that no walk crosses.
+    Texts are searched in stretches of about STRETCH characters.
     """
     own, size = [], 0
     for t in texts:
@@ -201,54 +319,52 @@ def matches(index: Index, texts: list[str | None], similarity: float = SIMILARIT
 
 
 def _stretch(index: Index, texts: list[str | None], similarity: float) -> list[list[tuple[int, int, int, int, int]]]:
-    get, gap = index.vocabulary.get, np.full(SAMPLED[-1] + 2, -1, np.int64)
-    seqs = [np.array([get(w, 0) for w in words(t)], np.int64) for t in texts]
-    if not seqs:
-        return []
-    begins = np.r_[0, np.cumsum([len(x) + len(gap) for x in seqs])]
-    found: dict[int, set[tuple[int, int]]] = {}
-    for p, k, o in candidates(index, np.concatenate([y for x in seqs for y in (x, gap)])):
-        d = int(np.searchsorted(begins, p, "right")) - 1
-        found.setdefault(d, set()).add((k, p - o - int(begins[d])))
-    return [_verified(index, seq, sorted(found.get(d, ())), similarity) for d, seq in enumerate(seqs)]
-
-
-def _verified(index: Index, seq: np.ndarray, near: list[tuple[int, int]], similarity: float) -> list[tuple[int, int, int, int, int]]:
-    """The best match of each item by exact edit distance around the windows given; of equal ones the first."""
-    best: dict[int, tuple[int, int, int]] = {}
-    windows: dict[int, list[list[int]]] = {}
-    for k, p in near:
-        n = len(index.items[k][1])
-        most = int((1 - similarity) * n + 1e-9)
-        lo, hi, own = max(0, p - most), min(len(seq), p + n + most), windows.setdefault(k, [])
-        if own and lo <= own[-1][1]:
-            own[-1][1] = max(hi, own[-1][1])
-        elif lo < hi:
-            own.append([lo, hi])
-    for k, own in windows.items():
-        ids = index.items[k][1].tolist()
-        most, own_words = int((1 - similarity) * len(ids) + 1e-9), np.unique(index.items[k][1])
-        for lo, hi in own:
-            if k in best and not best[k][0]:
+    split = [words(t) for t in texts]
+    begins = np.r_[0, np.cumsum([len(x) + 1 for x in split])].astype(np.int64)
+    seq = np.zeros(begins[-1], np.uint64)
+    is_word = np.ones(len(seq), bool)
+    is_word[begins[1:] - 1] = False
+    seq[is_word] = numbers([w for x in split for w in x])
+    found: list[list] = [[] for _ in texts]
+    for (doc, item), own in _windows(index, seq, begins, similarity).groupby(["doc", "item"]):
+        if (best := _best_of(index, int(item), seq, own.sort_values("lo")[["lo", "hi"]].to_numpy(), similarity)) is not None:
+            distance, lo, hi = best
+            found[doc].append((int(index.ids[item]), int(index.begins[item + 1] - index.begins[item]), distance, lo - int(begins[doc]), hi - int(begins[doc])))
+    return found
+
+
+def _best_of(index: Index, item: int, seq: np.ndarray, windows: np.ndarray, similarity: float) -> tuple[int, int, int] | None:
+    """The best match of an item by exact edit distance in windows given in order; of equal ones the first."""
+    ids = index.words[index.begins[item] : index.begins[item + 1]].tolist()
+    most, joined, best = int(edits_of(len(ids), similarity)), [], None
+    for lo, hi in windows.tolist():
+        if joined and lo <= joined[-1][1]:
+            joined[-1][1] = max(hi, joined[-1][1])
+        else:
+            joined.append([lo, hi])
+    for lo, hi in joined:
+        got = best_match(ids, seq[lo:hi].tolist(), most)
+        if got and (best is None or got[0] < best[0]):
+            best = (got[0], lo + got[1], lo + got[2])
+            if not got[0]:
                 break
-            # each word of the item but `most` has to be there
-            if _inside(own_words, seq[lo:hi]).sum() < len(ids) - most:
-                continue
-            got = best_match(ids, seq[lo:hi].tolist(), most)
-            if got and (k not in best or got[0] < best[k][0]):
-                best[k] = (got[0], lo + got[1], lo + got[2])
-    return [(index.items[k][0], len(index.items[k][1]), *v) for k, v in best.items()]
-
-
-def passes(benchmark: DataFrame, pass_chars: int = PASS_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """The items in lists of bounded size, one after another."""
-    rows = benchmark.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text").distinct()
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-chars // pass_chars)
+    return best
+
+
+def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        w = [numbers(words(t)) for t in b["text"]]
+        yield pd.DataFrame({"item_id": b["item_id"], "n": [len(x) for x in w], "words": [x.tobytes() for x in w]})
+
+
+def indices(benchmark: DataFrame, similarity: float = SIMILARITY, pass_words: int = PASS_WORDS) -> Iterator[Index]:
+    """The indices of the items, one after another, each of about pass_words words at most."""
+    rows = benchmark.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long"), "text").distinct()
+    items = cut(rows.mapInPandas(_numbered, "item_id long, n long, words binary").filter("n > 0"))
+    n = -(-(items.agg(F.sum("n")).first()[0] or 0) // pass_words)
     for k in range(n):
-        part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        # one task hands over what one pass holds, not a job for each of many small partitions
-        yield [(r["item_id"], r["text"]) for r in part.coalesce(1).toLocalIterator()]
+        part = (items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "words"), F.lit(n)) == k)).select("item_id", "words").toPandas()
+        yield build(part["item_id"].to_numpy(np.int64), [np.frombuffer(x, np.uint64) for x in part["words"]], similarity)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -261,23 +377,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     """
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, n_words int, distance int, begin int, end int"
-    out = spark.createDataFrame([], schema)
-    for items in passes(benchmark):
-        shared = spark.sparkContext.broadcast(build(items, similarity))
+    out, rows = spark.createDataFrame([], schema), spread(docs.select(F.col("doc_id").cast("long"), "text"))
+    for index in indices(benchmark, similarity):
+        shared = spark.sparkContext.broadcast(index)
 
         def found(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for b in batches:
                 yield pd.DataFrame([(i, *m) for i, got in zip(b["doc_id"], matches(shared.value, list(b["text"]), similarity)) for m in got], columns=["doc_id", "item_id", "n_words", "distance", "begin", "end"]).astype({"doc_id": "Int64"})
 
-        out = out.union(docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(found, schema))
+        out = out.union(rows.mapInPandas(found, schema))
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs (all columns) whose own text has no match. One pass over docs for each pass of the benchmark."""
-    for items in passes(benchmark):
-        docs = docs.filter(~_leaks(docs.sparkSession.sparkContext.broadcast(build(items, similarity)), similarity)("text"))
-    return docs
+    """The rows of docs (all columns) whose own text has no match; their order and number of repeats stay.
+
+    Null and empty texts match nothing and stay, as do all rows if the benchmark is empty. If the benchmark takes several
+    passes, what each leaves is written down before the next, so that a worker holds one index at a time.
+    """
+    kept, first = spread(docs), True
+    for index in indices(benchmark, similarity):
+        kept = (kept if first else cut(kept)).filter(~_leaks(docs.sparkSession.sparkContext.broadcast(index), similarity)("text"))
+        first = False
+    return kept
 
 
 def _leaks(shared: Broadcast, similarity: float):
