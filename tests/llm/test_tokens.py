@@ -81,14 +81,37 @@ def test_pieces_are_the_librarys():
             assert own.decode(own.encode(text)) == text
 
 
-def test_the_window_commits_before_the_end():
-    own = sentencepiece_codec.codec(PIECES)
-    stretch = "▁" + "theandtionofing" * 400
-    stream = own.stream(stretch)
-    first = next(stream)
-    # the generator stopped within the first windows: its frame still holds few boundaries
-    assert stream.gi_frame.f_locals["i"] <= 8 * own.longest and first == own.encode(stretch[1:])[0]
-    assert [first, *stream] == own.encode(stretch[1:]).tolist()
+def test_paths_commit_where_they_meet(spark):
+    own, library = sentencepiece_codec.codec(PIECES), SentencePieceProcessor(model_file=PIECES)
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    before = own.commits
+    values, counts = own.encode_all(texts)
+    assert own.commits - before > 100_000
+    bounds = np.r_[0, np.cumsum(counts)]
+    assert all(library.encode(t) == values[i:j].tolist() for t, i, j in zip(texts, bounds, bounds[1:]))
+
+
+@pytest.mark.parametrize("size", [40, 64, 1000])
+def test_texts_longer_than_a_slice_are_carried_on(monkeypatch, size):
+    monkeypatch.setattr(sentencepiece_codec, "SLICE", size)
+    own, library = sentencepiece_codec.codec(PIECES), SentencePieceProcessor(model_file=PIECES)
+    for text in ["theandtionofing" * 40, "a" * 700, "=" * 300 + "-" * 300, "ab cd the of" * 60, "中文" * 200, *random_texts(60, 8), "".join(random_texts(40, 9))]:
+        assert own.encode(text).tolist() == library.encode(text), text[:50]
+
+
+def test_a_text_of_ten_million_characters():
+    own, library = sentencepiece_codec.codec(PIECES), SentencePieceProcessor(model_file=PIECES)
+    text = "".join(random_texts(20_000, 2)) * 21
+    assert len(text) > 10_000_000 and own.encode(text).tolist() == library.encode(text)
+
+
+def test_pairs_are_told_as_merging_tells_them():
+    own, rng = sentencepiece_codec.codec(PIECES), random.Random(6)
+    short = [i for x, i in own.ids.items() if len(x) < 4]
+    pairs = np.array([(rng.choice(short if k % 2 else list(own.ids.values())), rng.choice(short)) for k in range(3000)])
+    for (a, b), fits in zip(pairs.tolist(), own._side_by_side(*pairs.T), strict=True):
+        want = [own.pieces[a], own.pieces[b]]
+        assert fits == (own.merge("".join(want)) == want), want
 
 
 def test_pieces_of_the_whole_table(spark):
