@@ -41,6 +41,14 @@ def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df over all cores: if a table as read has fewer splits than there are cores, its rows are dealt round; else it stays.
 

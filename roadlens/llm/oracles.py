@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import pii
 from .chat_format import END, ESCAPES, SAY, TURN
 
 
@@ -32,11 +33,11 @@ def _places(kind: str, rank: int, pattern: str, base: bool, keep: str, group: in
   FROM (SELECT doc_id, hits, grps, pieces, unnest(range(1, len(hits) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{p}') AS hits, regexp_extract_all(text, '{p}', {group}) AS grps, regexp_split_to_array(text, '{p}') AS pieces FROM d WHERE regexp_matches(text, '{p}')))) WHERE {keep}"""
 
 
-def _scanned(parts: list[str], counted: list[str]) -> str:
+def _scanned(parts: list[str], counted: list[str], kept: str = "SELECT * FROM p", more: str = "") -> str:
     counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in counted)
     listed = lambda only: f"coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e){only}, '')"
-    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), f AS ({" UNION ALL ".join(parts)})
-SELECT doc_id, {counts}, sha256({listed(" FILTER (base)")}) AS base_sha256, {listed(" FILTER (kind IS NOT NULL)")} AS spans FROM d LEFT JOIN f USING (doc_id) GROUP BY doc_id"""
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), p AS ({" UNION ALL ".join(parts)}), f AS ({kept})
+SELECT doc_id, {counts}, sha256({listed(" FILTER (base)")}) AS base_sha256, {listed(" FILTER (kind IS NOT NULL)")} AS spans{more} FROM d LEFT JOIN f USING (doc_id) GROUP BY doc_id"""
 
 
 #: RE2 has neither possessive repeats nor look-behind; these are the patterns without them, whose matches are the same.
@@ -55,18 +56,32 @@ SECRETS = _scanned(
 
 _DIGITS = "regexp_replace(h, '[^0-9]', '', 'g')"
 _LUHN = f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN reverse({_DIGITS})[i]::INT WHEN reverse({_DIGITS})[i]::INT > 4 THEN reverse({_DIGITS})[i]::INT * 2 - 9 ELSE reverse({_DIGITS})[i]::INT * 2 END)) % 10 = 0"
-_BARE = "replace(h, ' ', '')"
-#: The number that the check divides, as two digits for a letter, taken nine digits at a time by the fold.
-_MOD97 = f"list_reduce(list_prepend(0::BIGINT, list_transform(string_split({_BARE}[5:] || {_BARE}[:4], ''), lambda c: CASE WHEN c >= 'A' THEN 1000 + ascii(c) - 55 ELSE ascii(c) - 48 END::BIGINT)), lambda a, c: CASE WHEN c >= 1000 THEN (a * 100 + c - 1000) % 97 ELSE (a * 10 + c) % 97 END) = 1"
+#: The number that the check divides, as two digits for a letter, taken digit by digit by the fold.
+_MOD97 = "list_reduce(list_prepend(0::BIGINT, list_transform(string_split(bare[5:] || bare[:4], ''), lambda c: CASE WHEN c >= 'A' THEN 1000 + ascii(c) - 55 ELSE ascii(c) - 48 END::BIGINT)), lambda a, c: CASE WHEN c >= 1000 THEN (a * 100 + c - 1000) % 97 ELSE (a * 10 + c) % 97 END) = 1"
+_USUAL = "CASE " + " ".join(f"WHEN bare[:2] IN ({', '.join(repr(c) for c in cs.split())}) THEN {n}" for n, cs in pii.REGISTERED.items()) + " END"
+#: Account numbers: from each place p where one may begin to each word's end n within reach that the check confirms; the
+#: end of the country's usual length, else the last; none that lies within an earlier one.
+_ACCOUNTS = f"""SELECT doc_id, s, e, 4 AS rank, 'iban' AS kind, false AS base FROM (SELECT *, max(e) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS covered FROM (
+  SELECT doc_id, p - 1 AS s, p - 1 + coalesce(min(n) FILTER (length(bare) = {_USUAL}), max(n)) AS e FROM (
+    SELECT doc_id, p, n, replace(whole[:n], ' ', '') AS bare FROM (SELECT doc_id, p, whole, unnest(range(15, length(whole) + 1)) AS n FROM (
+      SELECT doc_id, p, regexp_extract(text[p:], '^[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}}[A-Za-z0-9]?') AS whole FROM (SELECT doc_id, text, unnest(range(1, length(text) + 1)) AS p FROM d WHERE regexp_matches(text, '[A-Z]{{2}}[0-9]{{2}}'))
+      WHERE regexp_matches(text[p:p + 3], '^[A-Z]{{2}}[0-9]{{2}}') AND (p = 1 OR NOT regexp_matches(text[p - 1:p - 1], '[A-Za-z0-9]'))))
+    WHERE regexp_full_match(whole[n:n + 1], '[A-Z0-9] ?'))
+  WHERE length(bare) BETWEEN 15 AND 34 AND {_MOD97} GROUP BY doc_id, p)) WHERE e > coalesce(covered, 0)"""
+_AROUND = f"translate(text[greatest(s - {pii.BEFORE} + 1, 1):s] || chr(10) || text[e + 1:e + {pii.BEHIND}], '{pii.UPPER}', '{pii.UPPER.lower()}')"
+_SCORE = "CASE kind " + " ".join(f"WHEN '{k}' THEN {pii.PRIOR[k]} + CASE WHEN regexp_matches(around, '{pii.near(pii.CONTEXT[k])}') THEN {pii.SUPPORT} ELSE 0 END + CASE WHEN regexp_matches(around, '{pii.near(pii.AGAINST[k])}') THEN {pii.CONTRARY} ELSE 0 END" for k in pii.KINDS) + " END"
 PRIVATE = _scanned(
     [
         _places("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", True, "true"),
         _places("ip", 1, r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", True, "list_max(list_transform(string_split(h, '.'), lambda q: coalesce(try_cast(q AS BIGINT), 999))) <= 255"),
         _places("card", 2, r"[0-9](?:[\x20-]?[0-9])+", True, f"length({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}"),
         _places("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", True, f"length({_DIGITS}) BETWEEN 10 AND 15"),
-        _places("iban", 4, r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}", False, f"length({_BARE}) BETWEEN 15 AND 34 AND {_MOD97}"),
+        _ACCOUNTS,
+        _places("ssn", 5, r"[0-9-]+", False, "regexp_full_match(h, '[0-9]{3}-[0-9]{2}-[0-9]{4}') AND h[:3] NOT IN ('000', '666') AND h[:1] <> '9' AND h[5:6] <> '00' AND h[8:] <> '0000'"),
     ],
-    ["email", "ip", "card", "phone"],
+    list(pii.BASE),
+    f"SELECT * FROM (SELECT *, {_SCORE} AS score FROM (SELECT p.*, {_AROUND} AS around FROM p JOIN d USING (doc_id))) WHERE base OR score >= {pii.LEAST}",
+    ", coalesce(string_agg(score::VARCHAR, ',' ORDER BY s, rank, e), '') AS scores",
 )
 
 ORACLES = {"op1_embedding_near_dedup": VECTORS, "op5_chat_formatting": CHATS, "op7_pii": PRIVATE, "op8_secret_scan": SECRETS}

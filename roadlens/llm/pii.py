@@ -3,6 +3,9 @@
 All patterns run in linear time: repeats are possessive, and a match may begin only where its run begins (or where the
 match before ended), which changes no match of the base kinds. Account numbers are proposed from every place where one may
 begin, in a window of bounded length, and may end at any word's end in it.
+
+A span's score is its kind's prior, raised by words near it that speak for the kind and lowered by words that speak
+against it. Added kinds count only from a score on, and masking leaves base kinds alone that do not reach it.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
 from .spans import found, listed, number_of, tagged
 
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -27,18 +31,38 @@ REGISTERED = {
     23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
     29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
 }
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 OCTET = r"^(0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])\.){3}0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])$"
-KINDS = ("email", "ip", "card", "phone", "iban")
-#: Words that make a kind likelier when they stand within REACH characters before a span. Fixed lists.
+#: Also added: social security numbers, which no checksum confirms. A run of digits and hyphens is one as a whole or not at all.
+SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+SSN_ISSUED = r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$"
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
+BASE = KINDS[:4]
+#: In hundredths: how likely a kind's match is personal data, by itself, and what words near it add or take.
+PRIOR = {"email": 90, "ip": 60, "card": 80, "phone": 70, "iban": 90, "ssn": 40}
+SUPPORT, CONTRARY = 25, -25
+#: A span that was added to the base kinds needs this score, and so does any span to be masked.
+LEAST = 50
+#: Characters before and behind a span whose words count.
+BEFORE, BEHIND = 48, 24
+#: Words that make a kind likelier. Fixed lists, in English, German, Spanish and French, without accents.
 CONTEXT = {
-    "email": ("mail", "e-mail", "contact", "write"),
-    "ip": ("ip", "address", "host", "server"),
-    "card": ("card", "credit", "visa", "payment"),
-    "phone": ("phone", "call", "tel", "mobile"),
-    "iban": ("iban", "account", "bank", "transfer"),
+    "email": "mail e-mail email contact write reach kontakt schreiben correo contacto escribir courriel contacter ecrire",
+    "ip": "ip address host server client login adresse rechner direccion servidor cliente serveur hote",
+    "card": "card credit debit visa mastercard payment paid karte kreditkarte zahlung tarjeta credito pago carte bancaire paiement",
+    "phone": "phone telephone tel call mobile cell fax telefon anrufen handy telefono llamar movil appeler portable",
+    "iban": "iban account bank transfer konto ueberweisung cuenta banco transferencia compte banque virement",
+    "ssn": "ssn social security taxpayer social-security sozialversicherung seguridad securite",
+}
+#: Words that make it less likely: numbers of other things look alike.
+AGAINST = {
+    "email": "example placeholder dummy",
+    "ip": "version release build firmware section chapter v",
+    "card": "order invoice tracking serial isbn article bestellung rechnung pedido factura commande facture",
+    "phone": "order invoice serial model part article coordinates",
+    "iban": "example placeholder dummy serial",
+    "ssn": "order invoice part serial model article phone version",
 }
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9}
-REACH, NEARBY = 48, 0.1
 
 
 def _digits(x: Column) -> Column:
@@ -84,58 +108,71 @@ def _account_numbers(text: Column) -> Column:
     return F.aggregate(spans, start, step, lambda a: a["out"])
 
 
+def near(words: str) -> str:
+    """An expression for lower-case text that holds one of the words, whole."""
+    return "(?:^|[^a-z0-9-])(?:" + "|".join(words.split()) + ")(?:[^a-z0-9-]|$)"
+
+
 def _score(text: Column, kind: str):
-    """The kind's prior, raised if a context word stands shortly before the span."""
-    near = r"(?i)\b(?:" + "|".join(CONTEXT[kind]) + r")\b"
+    """The kind's prior, moved by the words on either side of the span, in hundredths."""
 
     def score(s: Column) -> Column:
-        before = F.substring(text, F.greatest(s["start"] - REACH + 1, F.lit(1)), F.least(s["start"], F.lit(REACH)))
-        return F.lit(PRIOR[kind]) + F.when(F.regexp(before, F.lit(near)), NEARBY).otherwise(0.0)
+        before = F.substring(text, F.greatest(s["start"] - BEFORE + 1, F.lit(1)), F.least(s["start"], F.lit(BEFORE)))
+        around = F.translate(F.concat(before, F.lit("\n"), F.substring(text, s["end"] + 1, F.lit(BEHIND))), UPPER, UPPER.lower())
+        moved = lambda words, by: F.when(F.regexp(around, F.lit(near(words))), by).otherwise(0)
+        return F.lit(PRIOR[kind]) + moved(CONTEXT[kind], SUPPORT) + moved(AGAINST[kind], CONTRARY)
 
     return score
 
 
-def with_spans(docs: DataFrame, text_col: str = "text", out: str = "spans") -> DataFrame:
-    """docs with an array of spans (start, rank, end, kind, base, score), sorted by start and kind; null texts count as empty."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    mail = F.filter(found(text, EMAIL, guard=F.contains(text, F.lit("@"))), lambda s: F.lit(True))
-    ip = F.filter(found(text, IP), lambda s: F.regexp(s["hit"], F.lit(OCTET)))
-    card = F.filter(found(text, CARD), lambda s: (F.length(_digits(s["hit"])) <= 19) & luhn(_digits(s["hit"])))
-    phone = F.filter(found(text, PHONE, guard=F.contains(text, F.lit("+"))), lambda s: F.length(_digits(s["hit"])).between(10, 15))
-    iban = _account_numbers(text)
-    names = [f"__{k}" for k in KINDS]
-    step = docs.withColumns(dict(zip(names, (mail, ip, card, phone, iban))))
-    all_ = F.concat(*[tagged(F.col(n), r, k, k != "iban", more=_score(text, k)) for r, (n, k) in enumerate(zip(names, KINDS))])
-    return step.withColumn(out, F.array_sort(all_)).drop(*names)
+def spans_of(text: Column) -> Column:
+    """An array of spans (start, rank, end, kind, base, score), sorted by start and kind; null texts count as empty.
+
+    All matches of the base kinds are there, whatever their score; of the added kinds those whose score reaches LEAST.
+    """
+    text = F.coalesce(text, F.lit(""))
+    proposed = {
+        "email": found(text, EMAIL, guard=F.contains(text, F.lit("@"))),
+        "ip": F.filter(found(text, IP), lambda s: F.regexp(s["hit"], F.lit(OCTET))),
+        "card": F.filter(found(text, CARD), lambda s: (F.length(_digits(s["hit"])) <= 19) & luhn(_digits(s["hit"]))),
+        "phone": F.filter(found(text, PHONE, guard=F.contains(text, F.lit("+"))), lambda s: F.length(_digits(s["hit"])).between(10, 15)),
+        "iban": _account_numbers(text),
+        "ssn": F.filter(found(text, SSN), lambda s: F.regexp(s["hit"], F.lit(SSN_ISSUED))),
+    }
+    likely = lambda spans, k: spans if k in BASE else F.filter(spans, lambda s: s["score"] >= LEAST)
+    return F.array_sort(F.concat(*[likely(tagged(proposed[k], r, k, k in BASE, _score(text, k)), k) for r, k in enumerate(KINDS)]))
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: one row per row of docs.
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, scores: one row per row of docs.
 
-    A null text counts as empty; empty texts give no spans. Repeated rows give repeated rows, an empty table an empty one;
-    other columns are not looked at, whatever their names.
+    scores holds the score of each of the spans, in hundredths. A null text counts as empty; empty texts give no spans.
+    Repeated rows give repeated rows, an empty table an empty one; other columns are not looked at, whatever their names.
     """
-    seen = with_spans(docs.select("doc_id", "text"), out="all")
+    seen = docs.select("doc_id", spans_of(F.col("text")).alias("all"))
     base = F.filter("all", lambda s: s["base"])
-    counts = [number_of(F.col("all"), k).alias(f"n_{k}") for k in KINDS[:4]]
-    return seen.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("all")).alias("spans"))
+    counts = [number_of(F.col("all"), k).alias(f"n_{k}") for k in BASE]
+    scores = F.concat_ws(",", F.transform("all", lambda s: s["score"].cast("string")))
+    return seen.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("all")).alias("spans"), scores.alias("scores"))
 
 
-def masked(docs: DataFrame, least: float = 0.5) -> DataFrame:
+def masked(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """docs (all columns) with every span of at least that score replaced by <KIND> in text; n_chars follows if it is there.
 
-    Spans that overlap are masked as one, under the name of the first. Null texts stay null.
+    Spans that overlap are masked as one, under the name of the first. Null texts stay null, empty ones empty; a text
+    without spans stays as it is. Rows that repeat stay so, an empty table stays empty; other columns may have any names.
     """
-    seen = with_spans(docs.withColumn("__text", F.col("text")), "__text", "__all")
+    name = unused(docs, "spans")
+    seen = docs.withColumn(name, F.filter(spans_of(F.col("text")), lambda s: s["score"] >= least))
+    text, chosen = F.col("text"), F.col(name)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(a: Column, s: Column) -> Column:
-        fresh = F.concat(a["out"], F.substring(F.col("__text"), a["at"] + 1, s["start"] - a["at"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
+        fresh = F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
         return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] >= a["at"], fresh).otherwise(a["out"]).alias("out"))
 
-    chosen = F.filter("__all", lambda s: s["score"] >= least)
-    text = F.aggregate(chosen, start, step, lambda a: F.concat(a["out"], F.substring(F.col("__text"), a["at"] + 1, F.length("__text"))))
-    new = seen.withColumn("text", F.when(F.size(chosen) == 0, F.col("__text")).otherwise(text))
+    new = F.aggregate(chosen, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    out = seen.withColumn("text", F.when(F.size(chosen) == 0, text).otherwise(new))
     if "n_chars" in docs.columns:
-        new = new.withColumn("n_chars", F.when(F.size(chosen) == 0, F.col("n_chars")).otherwise(F.length("text")).cast(dict(docs.dtypes)["n_chars"]))
-    return new.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(F.size(chosen) == 0, F.col("n_chars")).otherwise(F.length("text")).cast(dict(docs.dtypes)["n_chars"]))
+    return out.drop(name)

@@ -39,6 +39,6 @@ def number_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def tagged(spans: Column, rank: int, kind: str, base: bool, score: Column | None = None, more=None) -> Column:
-    """Spans as structs that sort by start, then by the rank of their kind."""
-    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind"), F.lit(base).alias("base"), (more(s) if more else F.lit(1.0)).cast("double").alias("score")))
+def tagged(spans: Column, rank: int, kind: str, base: bool, score=lambda s: F.lit(100)) -> Column:
+    """Spans as structs that sort by start, then by the rank of their kind. score: of a span, in hundredths."""
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind"), F.lit(base).alias("base"), score(s).cast("int").alias("score")))

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,10 +119,42 @@ def test_account_numbers_before_capitals_and_digits(spark):
     assert [r["text"] for r in masked][:3] == ["<IBAN> Please pay", "<IBAN> 2024", "<IBAN> BIC COBADEFF"]
 
 
+CONTEXTS = [
+    ("her ssn is 078-05-1120 .", "ssn:11:22", "65"), ("row 078-05-1120 of", "", ""), ("SSN of the order 078-05-1120", "", ""), ("Social Security: 000-12-3456, 666-12-3456, 900-12-3456, 123-00-4567, 123-45-0000", "", ""),
+    ("ssn 078-05-1120-1 and 1078-05-1120", "", ""), ("078-05-1120" + " " * 12 + "(ssn)", "ssn:0:11", "65"), ("078-05-1120" + " " * 22 + "(ssn)", "", ""), ("ssn" + " " * 50 + "078-05-1120", "", ""),
+    ("ip 10.0.0.1", "ip:3:11", "85"), ("see 10.0.0.1", "ip:4:12", "60"), ("Version 10.0.0.1", "ip:8:16", "35"), ("server version 10.0.0.1", "ip:15:23", "60"), ("inversion 10.0.0.1", "ip:10:18", "60"),
+    ("order 4111 1111 1111 1111", "card:6:25", "55"), ("IBAN GB82WEST12345698765432", "iban:5:27", "115"), ("example a@b.co", "email:8:14", "65"),
+]
+
+
+def test_words_nearby_move_scores_over_the_threshold(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(CONTEXTS)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["spans"], r["scores"]) for r in pii.scan(df).collect()}
+    for i, (text, spans, scores) in enumerate(CONTEXTS):
+        assert got[i] == (spans, scores), text
+    texts = {r["doc_id"]: r["text"] for r in pii.masked(df).collect()}
+    assert texts[0] == "her ssn is <SSN> ." and texts[1] == CONTEXTS[1][0] and texts[2] == CONTEXTS[2][0]
+    # a base kind below the threshold is found but not masked
+    assert texts[8] == "ip <IP>" and texts[10] == "Version 10.0.0.1" and texts[11] == "server version <IP>"
+
+
+def test_private_data_by_sql_on_odd_texts(spark):
+    rows = [(i, t) for i, t in enumerate([*PRIVATE, *(t for t, _ in ACCOUNTS), *(t for t, _, _ in CONTEXTS)]) if len(t or "") < 10_000]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = con.execute(f"SELECT doc_id, spans, scores, base_sha256 FROM ({queries.ORACLES['op7_pii']})").fetchall()
+    got = [tuple(r) for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "spans", "scores", "base_sha256").collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_masking_keeps_rows_and_columns(spark):
-    df = spark.createDataFrame([(1, "mail a@b.co now", 15), (2, None, None), (3, "clean", 5)], "doc_id long, text string, n_chars long")
-    out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.masked(df).collect()}
-    assert out == {1: ("mail <EMAIL> now", 16), 2: (None, None), 3: ("clean", 5)}
+    rows = [(1, "mail a@b.co now", 15, "p", "q", "r"), (2, None, None, "p", "q", None), (3, "clean", 5, "p", "q", "r"), (3, "clean", 5, "p", "q", "r"), (4, "", 0, "p", "q", "r"), (5, "x" * 100_000 + " a@b.co", 100_007, "p", "q", "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, __text string, __email string, spans string")
+    out = pii.masked(df)
+    assert out.columns == df.columns and pii.masked(df.limit(0)).collect() == []
+    want = [(1, "mail <EMAIL> now", 16, "p", "q", "r"), *rows[1:5], (5, "x" * 100_000 + " <EMAIL>", 100_008, "p", "q", "r")]
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted(want, key=str)
 
 
 SECRETS = [
