@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from roadlens.session import cut
 
+from .components import connected_components
+
 
 def edges(links: DataFrame, a: str, b: str, weight: Column) -> DataFrame:
     """src, dst, weight: each pair of nodes once, with the sum of its weights."""
@@ -31,24 +33,10 @@ def degree_centrality(edges_: DataFrame) -> DataFrame:
 
 
 def components(edges_: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
-    """node, component: the smallest node that each node reaches.
-
-    Every round points all nodes of an edge at the least one seen from it, both ways (hash-to-min with stars), which
-    ends in a number of rounds that follows the logarithm of the longest path; each round is written to the shared folder.
-    """
-    big, little = F.greatest(a, b), F.least(a, b)
+    """node, component: the smallest node that each node reaches; a node with loops only is a component of its own."""
     nodes = edges_.select(F.col(a).alias("node")).union(edges_.select(F.col(b).alias("node"))).distinct()
-    star = cut(edges_.filter(F.col(a) != F.col(b)).select(big.alias("u"), little.alias("v")).distinct())
-    print_ = F.struct(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).alias("p")
-    before = None
-    while (now := star.agg(print_).first()["p"]) != before:
-        before = now
-        both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        wide = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = wide.groupBy("u").agg(F.min("v").alias("m"))
-        star = cut(wide.join(small, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).distinct())
-    return nodes.join(star.withColumnRenamed("u", "node"), "node", "left").select("node", F.coalesce("v", "node").alias("component"))
+    found = connected_components(edges_, a, b)
+    return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
 def largest_component(component_rows: DataFrame) -> DataFrame:

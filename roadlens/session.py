@@ -1,10 +1,12 @@
-"""Sessions and lineage cuts."""
+"""Sessions, lineage cuts in the cluster's shared folder and size-checked broadcasts."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def session(name: str = "roadlens", **settings: str) -> SparkSession:
@@ -15,9 +17,38 @@ def session(name: str = "roadlens", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute df once into the folder that spark.checkpoint.dir names; where that is unset, into a temporary one."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir. On one machine, where it is unset, a temporary one; a cluster has to name one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="roadlens-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="roadlens-"))
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes what was written to a path of new_path, through the file system that the path names."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Compute df once into the shared folder, so that later steps neither repeat it nor lose it with an executor."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """Mark df for broadcast if it has at most that many rows (of a fixed width); beyond that it joins by shuffle.
+
+    df has to be cheap to count: a cut table.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
