@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, held_out, small
+from .common import cut, held_out, small, spread
 
 FEATURES = 256
 RIDGE = 1.0
@@ -25,6 +25,8 @@ SEED = 7
 BINS = 4096
 #: The fit takes at most about this many labelled rows, chosen by a hash of their ids; more would not change 257 weights.
 FIT_ROWS = 400_000
+#: Partitions that sum normal equations, at most.
+SUMS = 64
 STATISTICS = (
     "log_chars log_words word_len word_len_sd long_words upper digit space mark pipe symbol marks_per_word "
     "distinct_words log_distinct repeated_pairs top_word log_lines line_len repeated_lines sentence_ends capital_words non_ascii vowels entropy"
@@ -125,16 +127,19 @@ def fit(rows: DataFrame, calibration: str = "calibrate") -> Scorer:
     base = Scorer(mean, scale, np.zeros(FEATURES + 1))
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((FEATURES + 1, FEATURES + 2))
+        total, seen = np.zeros((FEATURES + 1, FEATURES + 2)), 0
         for b in batches:
             f = base.features(_matrix(b["x"]))
             total += f.T @ np.hstack([f, b["y"].to_numpy(float)[:, None]])
-        yield pd.DataFrame({"k": np.arange(len(total)), "row": list(total)})
+            seen += len(b)
+        if seen:
+            yield pd.DataFrame({"k": np.arange(len(total)), "row": list(total)})
 
     def added(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"k": [key[0]], "row": [np.sum(part["row"].tolist(), axis=0)]})
 
-    system = rows.filter(~F.col(calibration)).select("x", "y").mapInPandas(sums, "k int, row array<double>").groupBy("k").applyInPandas(added, "k int, row array<double>")
+    # the labelled rows are bounded in number, so a fixed number of tasks sums them, and as many matrices are shuffled at most
+    system = rows.filter(~F.col(calibration)).select("x", "y").coalesce(SUMS).mapInPandas(sums, "k int, row array<double>").groupBy("k").applyInPandas(added, "k int, row array<double>")
     a = np.array([r["row"] for r in system.orderBy("k").collect()])
     penalty = RIDGE * np.eye(FEATURES + 1)
     penalty[0, 0] = 1e-6
@@ -158,7 +163,7 @@ def scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows:
     or repeated in docs, each pair counts. Null and empty texts are scored as empty ones. With no labels at all every
     score is 0. An empty table gives an empty one. Other columns are not looked at.
     """
-    rows = cut(docs.select(F.col("doc_id"), statistics_of(F.col("text")).alias("x")))
+    rows = cut(spread(docs.select("doc_id", "text")).select(F.col("doc_id"), statistics_of(F.col("text")).alias("x")))
     model = fit(labelled(rows, labels, fit_rows).select("x", "y", "calibrate"))
     scored = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score_of(model, F.col("x")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
@@ -183,7 +188,12 @@ def score_of(model: Scorer, statistics_: Column) -> Column:
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of docs (all columns) whose own text's score reaches the threshold; learnt from those that are labelled."""
+    """The rows of docs (all columns) whose own text's score reaches the threshold; learnt from those that are labelled.
+
+    Null and empty texts are scored like any other, as empty. Rows with equal texts stay or go together; with no labels at
+    all every score is 0 and all rows go. An empty table stays empty. Other columns may have any names and hold anything.
+    """
+    docs = spread(docs)
     seen = labelled(docs.select("doc_id", "text"), labels).select(statistics_of(F.col("text")).alias("x"), "y", "calibrate")
     model = fit(seen)
     return docs.filter(score_of(model, statistics_of(F.col("text"))) >= threshold)
