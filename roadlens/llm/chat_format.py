@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 
 TURN, SAY, END = "<|turn|>", "<|say|>", "<|end|>"
 MARK = "␛"
+#: Code points of a block in which a long text is looked up.
+BLOCK = 4096
 #: Control strings and what stands for them inside texts. MARK itself comes first, so that a marked text is unambiguous.
 ESCAPES = ((MARK, MARK + "0"), ("<|", MARK + "1"), ("</s>", MARK + "2"), ("<s>", MARK + "3"), ("[INST]", MARK + "4"), ("[/INST]", MARK + "5"))
 PART = "struct<type: string, text: string, ref: string, width: int, height: int, seconds: double, pages: int>"
+ATTACHED = ("image", "audio", "document")
 #: Tokens that attachments expand to: an image by 512-pixel tiles, audio by the second, documents by the page.
 IMAGE_BASE, IMAGE_TILE, AUDIO_SECOND, PAGE = 85, 170, 25, 512
 
@@ -55,13 +58,13 @@ def expanded_tokens(part: Column) -> Column:
 
 
 def _visited(part: Column, at: Column) -> Column:
-    """A part as text: text parts escaped, others as their placeholder; parts of unknown type vanish."""
-    other = F.concat(F.lit("<|"), part["type"], F.lit(":"), at.cast("string"), F.lit("|>"))
-    return F.when(part["type"] == "text", escaped(F.coalesce(part["text"], F.lit("")))).when(part["type"].isin("image", "audio", "document"), other).otherwise("")
+    """A part as text: text parts escaped, others as their placeholder; a part of no known type is one, too, named `other`."""
+    name = F.when(part["type"].isin(*ATTACHED), part["type"]).otherwise(F.lit("other"))
+    return F.when(part["type"] == "text", escaped(F.coalesce(part["text"], F.lit("")))).otherwise(F.concat(F.lit("<|"), name, F.lit(":"), at.cast("string"), F.lit("|>")))
 
 
 def _attachment(part: Column, at: Column) -> Column:
-    return F.when(part["type"].isin("image", "audio", "document"), F.struct(at.cast("int").alias("part"), part["type"].alias("type"), part["ref"].alias("ref"), expanded_tokens(part).alias("tokens")))
+    return F.when(~part["type"].eqNullSafe(F.lit("text")), F.struct(at.cast("int").alias("part"), part["type"].alias("type"), part["ref"].alias("ref"), expanded_tokens(part).alias("tokens")))
 
 
 def formatted(turns: DataFrame, content: str = "content", conv: str = "conv_id", turn: str = "turn", role: str = "role") -> DataFrame:
@@ -70,7 +73,7 @@ def formatted(turns: DataFrame, content: str = "content", conv: str = "conv_id",
     turns has one row per turn with a content of typed parts (PART). Turns go by number, ties by role and text; a null
     number goes first, a null role is empty, a null content has no parts. A null conversation id is a conversation too.
     mask: turn (0 first), start and end of what the assistant says, in code points of formatted, and its place in the
-    turn. attachments: turn, part, type, ref, tokens, in order. An empty table gives an empty one; other columns are
+    turn. attachments: turn, part, type as given (null or unknown, too), ref, tokens, in order. An empty table gives an empty one; other columns are
     not looked at. A conversation's text is one value, as its hash needs, so it has to fit into one (2 GB).
     """
     flat = turns.select(F.col(conv).cast("long").alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(content, F.expr(f"cast(array() as array<{PART}>)")).alias("c"))
@@ -83,7 +86,7 @@ def formatted(turns: DataFrame, content: str = "content", conv: str = "conv_id",
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     placed = framed.withColumns({"k": F.row_number().over(order) - 1, "at": F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.length("text")})
     begin = F.col("at") + F.col("head")
-    spans = F.when(F.col("role") == "assistant", F.struct(F.col("k").alias("turn"), begin.alias("start"), (begin + F.col("n")).alias("end"), F.col("head").alias("inside")))
+    spans = F.when(F.col("role") == "assistant", F.struct(F.col("k").alias("turn"), begin.alias("start"), (begin + F.col("n")).alias("end")))
     att = F.transform("att", lambda a: F.struct(F.col("k").alias("turn"), a["part"].alias("part"), a["type"].alias("type"), a["ref"].alias("ref"), a["tokens"].alias("tokens")))
     return (
         placed.select("conv_id", "k", "text", spans.alias("span"), att.alias("att"))
@@ -106,10 +109,17 @@ def _after(block: Column) -> Column:
 
 
 def loss_text(formatted_text: Column, mask: Column) -> Column:
-    """All text under the loss mask, unescaped: the spans of the mask read from the formatted text, one after another."""
-    blocks = F.split(formatted_text, r"(?=<\|turn\|>)")
-    cut = F.transform(mask, lambda m: unescaped(F.substring(F.element_at(blocks, (m["turn"] + 1).cast("int")), (m["inside"] + 1).cast("int"), (m["end"] - m["start"]).cast("int"))))
-    return F.concat_ws("", cut)
+    """All text under the loss mask, unescaped: the spans from start to end of the mask, one after another.
+
+    The text is cut into equal blocks once, as finding a place in a long text takes as long as it is far.
+    """
+    blocks = F.regexp_extract_all(formatted_text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def part(m: Column) -> Column:
+        first, last = F.floor(m["start"] / BLOCK).cast("int"), F.floor(m["end"] / BLOCK).cast("int")
+        return F.substring(F.concat_ws("", F.slice(blocks, first + 1, last - first + 1)), (m["start"] - first * BLOCK + 1).cast("int"), (m["end"] - m["start"]).cast("int"))
+
+    return F.concat_ws("", F.transform(mask, lambda m: unescaped(part(m))))
 
 
 def digest(out: DataFrame) -> DataFrame:
