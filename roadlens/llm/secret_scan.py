@@ -15,7 +15,7 @@ from re import _parser as parser  # the standard library's own parse of an expre
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small
+from .common import cut, small, spread
 from .spans import found, listed, number_of, tagged
 
 #: A set of exact strings is followed up to this size when a query is derived.
@@ -161,15 +161,21 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "ke
     return met.select(key, kinds.alias("rules")).filter(F.size("rules") > 0)
 
 
-def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, out: str = "spans") -> DataFrame:
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with the key that an index of them goes by: a hash of id and text, so repeated and missing ids do no harm."""
+    return docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", F.xxhash64("doc_id", "text"))
+
+
+def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, out: str = "spans", index: DataFrame | None = None) -> DataFrame:
     """docs (doc_id, text) with an array of spans (start, rank, end, kind, base, score), sorted by start and kind.
 
-    Documents are keyed by id and text hash, so repeated and missing ids do no harm. The candidates' table is broadcast
-    if it is small; beyond that the join shuffles, for which documents and index are best stored bucketed by key.
+    index: a stored build_index of keyed(docs), for rules it was built with or some of them; without one it is built here.
+    The candidates' table is broadcast if it is small; beyond that the join shuffles, for which documents and index are
+    best stored bucketed by key.
     """
-    keyed = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", F.xxhash64("doc_id", "text"))
-    met = cut(candidates(build_index(keyed, rules), rules))
-    both = keyed.join(small(met, 1_000_000), "key", "left")
+    rows = keyed(spread(docs))
+    met = cut(candidates(build_index(rows, rules) if index is None else index, rules))
+    both = rows.join(small(met, 1_000_000), "key", "left")
     names = []
     for r in rules:
         full = trigram_query(r.pattern) is True
@@ -181,13 +187,13 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, out: str = "spa
     return both.withColumn(out, F.array_sort(all_)).drop("key", "rules", *names)
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, index: DataFrame | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans: one row per row of docs.
 
     A null text counts as empty; empty texts give no spans. Repeated rows and ids give rows each, an empty table an empty
     one; other columns are not looked at, whatever their names.
     """
-    seen = with_spans(docs.select("doc_id", "text"), rules, "all")
+    seen = with_spans(docs.select("doc_id", "text"), rules, "all", index)
     counts = [number_of(F.col("all"), r.kind).alias(f"n_{r.kind}") for r in rules if r.base]
     return seen.select("doc_id", *counts, F.sha2(listed(F.filter("all", lambda s: s["base"])), 256).alias("base_sha256"), listed(F.col("all")).alias("spans"))
 

@@ -230,12 +230,32 @@ def test_parts_become_placeholders_with_tokens(spark):
     content = [part(type="text", text="see <|image:9|> "), part(type="image", ref="a.png", width=600, height=512), part(type="audio", ref="b.wav", seconds=1.5), part(type="document", ref="c.pdf", pages=3), part(type="film"), part(type="text", text="end")]
     df = spark.createDataFrame([(1, 0, "user", content), (1, 1, "assistant", None)], f"conv_id long, turn long, role string, content array<{chat_format.PART}>")
     out = chat_format.formatted(df).first()
-    assert out["formatted"] == "<|turn|>user<|say|>see ␛1image:9|> <|image:1|><|audio:2|><|document:3|>end<|end|><|turn|>assistant<|say|><|end|>"
-    assert [(a["turn"], a["part"], a["type"], a["ref"], a["tokens"]) for a in out["attachments"]] == [(0, 1, "image", "a.png", 85 + 170 * 2), (0, 2, "audio", "b.wav", 38), (0, 3, "document", "c.pdf", 1536)]
+    assert out["formatted"] == "<|turn|>user<|say|>see ␛1image:9|> <|image:1|><|audio:2|><|document:3|><|other:4|>end<|end|><|turn|>assistant<|say|><|end|>"
+    assert [(a["turn"], a["part"], a["type"], a["ref"], a["tokens"]) for a in out["attachments"]] == [(0, 1, "image", "a.png", 85 + 170 * 2), (0, 2, "audio", "b.wav", 38), (0, 3, "document", "c.pdf", 1536), (0, 4, "film", None, 0)]
     start, end = out["mask"][0]["start"], out["mask"][0]["end"]
     assert out["formatted"][start:end] == "" and len(out["mask"]) == 1
 
 
+def test_the_mask_is_read_by_its_places(spark):
+    rows = [(1, t, "assistant" if t % 2 else "user", "é😀x|" * (997 * (t % 4)) + f"[INST]{t}") for t in range(12)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("content", chat_format.text_part(F.col("text")))
+    out = chat_format.formatted(df)
+    whole = "".join(r[3] for r in rows if r[2] == "assistant")
+    assert out.select(chat_format.loss_text(F.col("formatted"), F.col("mask"))).first()[0] == whole
+    r = out.first()
+    assert "".join(r["formatted"][m["start"] : m["end"]] for m in r["mask"]).replace("␛4", "[INST]") == whole
+    moved = F.transform("mask", lambda m: F.struct((m["start"] + 1).alias("start"), (m["end"] + 1).alias("end")))
+    assert out.select(chat_format.loss_text(F.col("formatted"), moved)).first()[0] != whole
+
+
+def test_a_stored_index_serves_again(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(SECRETS)], "doc_id long, text string")
+    index = secret_scan.build_index(secret_scan.keyed(docs))
+    some = secret_scan.RULES[:4]
+    for rules in (secret_scan.RULES, some):
+        assert secret_scan.scan(docs, rules, index).collect() == secret_scan.scan(docs, rules).collect()
+
+
 @pytest.mark.parametrize("name", ["op5_chat_formatting", "op7_pii", "op8_secret_scan"])
 def test_native_operators_run_no_python(spark, name):
     plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
