@@ -209,7 +209,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, id
         if ids:
             yield block().assign(part=last)
 
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as many ranges as the table has files at least, so that they do not grow with it
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(docs.inputFiles()))
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
     ordered = rows.repartitionByRange(n, "i").sortWithinPartitions("i").withColumn("p", F.spark_partition_id())
     ordered.mapInPandas(blocks, BLOCK_SCHEMA).write.mode("overwrite").parquet(f"{path}/blocks")
