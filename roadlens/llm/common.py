@@ -1,44 +1,17 @@
-"""Helpers shared by the operators: lineage cuts in the cluster's shared folder and size-checked broadcasts."""
+"""Helpers shared by the operators."""
 
 from __future__ import annotations
 
 import logging
-import tempfile
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-log = logging.getLogger(__name__)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests, one machine) a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="roadlens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Compute df once into the shared folder, so that later steps neither repeat it nor lose it with an executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+from roadlens.session import cut, drop_path, new_path, small
 
+__all__ = ["Recent", "cut", "drop_path", "held_out", "new_path", "small", "spread", "unused"]
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """Mark df for broadcast if it has at most that many rows (of a fixed width); beyond that it joins by shuffle.
-
-    df has to be cheap to count: a cut table.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+log = logging.getLogger(__name__)
 
 
 def unused(df: DataFrame, name: str) -> str:
@@ -50,15 +23,14 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df over all cores: if a table as read has fewer splits than there are cores, its rows are dealt round; else it stays.
+    """df over all cores: a table in fewer files than there are cores has its rows dealt round; any other stays.
 
-    For steps that take long for a row. A table of that few splits is small, so the shuffle is, too.
+    For steps that take long for a row. Large tables lie in many files, so nothing of them is shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    if splits >= cores:
+    cores, files = df.sparkSession.sparkContext.defaultParallelism, len(df.inputFiles())
+    if not 0 < files < cores:
         return df
-    log.info("%d splits are dealt out to %d cores", splits, cores)
+    log.info("the rows of %d files are dealt out to %d cores", files, cores)
     return df.repartition(cores)
 
 

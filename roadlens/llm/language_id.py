@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, held_out
+from .common import cut, held_out, spread
 
 SIZES = (3, 4)
 SLOTS = 1 << 20
@@ -148,7 +148,7 @@ def predictions(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
     the language first in order. Repeated rows are rows like others; an empty table gives an empty one. Other columns
     are not looked at.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, spread(docs.select("doc_id", "lang", "text"))
     model = fit(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "lang", "text"), fit_docs)
     shared = spark.sparkContext.broadcast(model)
 

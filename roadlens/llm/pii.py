@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import unused
+from .common import spread, unused
 from .spans import found, listed, number_of, tagged
 
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -149,7 +149,7 @@ def scan(docs: DataFrame) -> DataFrame:
     scores holds the score of each of the spans, in hundredths. A null text counts as empty; empty texts give no spans.
     Repeated rows give repeated rows, an empty table an empty one; other columns are not looked at, whatever their names.
     """
-    seen = docs.select("doc_id", spans_of(F.col("text")).alias("all"))
+    seen = spread(docs.select("doc_id", "text")).select("doc_id", spans_of(F.col("text")).alias("all"))
     base = F.filter("all", lambda s: s["base"])
     counts = [number_of(F.col("all"), k).alias(f"n_{k}") for k in BASE]
     scores = F.concat_ws(",", F.transform("all", lambda s: s["score"].cast("string")))
@@ -163,7 +163,7 @@ def masked(docs: DataFrame, least: int = LEAST) -> DataFrame:
     without spans stays as it is. Rows that repeat stay so, an empty table stays empty; other columns may have any names.
     """
     name = unused(docs, "spans")
-    seen = docs.withColumn(name, F.filter(spans_of(F.col("text")), lambda s: s["score"] >= least))
+    seen = spread(docs).withColumn(name, F.filter(spans_of(F.col("text")), lambda s: s["score"] >= least))
     text, chosen = F.col("text"), F.col(name)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 

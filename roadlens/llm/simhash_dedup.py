@@ -20,8 +20,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small
-from .components import connected_components
+from roadlens.operators.components import connected_components
+
+from .common import cut, small, spread, unused
 from .unions import join_roots
 
 CELL = 2048
@@ -157,12 +158,14 @@ def near_duplicates(docs: DataFrame, most: int = 3, id_col: str = "doc_id", text
 
 def _grouped(docs: DataFrame, most: int, id_col: str = "doc_id", text_col: str = "text", cell: int = CELL) -> DataFrame:
     """doc_id, fp, c, component_id: like near_duplicates, with the group itself, as groups of one repeated id share its name."""
-    src = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), fingerprints(F.col(text_col)).alias("fp")))
+    src = cut(spread(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).select("doc_id", fingerprints(F.col("text")).alias("fp")))
     prints = cut(src.groupBy("fp").agg(F.min("doc_id").alias("least")))
     component = connected_components(links(prints.select("fp"), most, cell), "a", "b")
-    named = prints.join(component, prints["fp"] == component["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
-    names = named.groupBy("c").agg(F.min("least").alias("component_id"))
-    of_print = named.join(names, "c").select("fp", "c", "component_id")
+    linked = cut(prints.join(component, prints["fp"] == component["node"]).select("fp", "least", F.col("component").alias("c")))
+    # a component may hold a third of all rows: its name is broadcast, or joined by exchanges on both sides, which AQE may split
+    names = small(cut(linked.groupBy("c").agg(F.min("least").alias("component_id"))), 500_000)
+    of_print = prints.join(linked.join(names, "c").select("fp", "c", "component_id"), "fp", "left")
+    of_print = of_print.select("fp", F.coalesce("c", "fp").alias("c"), F.when(F.col("c").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
     return src.join(of_print, "fp").select("doc_id", "fp", "c", "component_id")
 
 
@@ -170,22 +173,24 @@ def one_of_each(docs: DataFrame, most: int = 3) -> DataFrame:
     """The rows of docs (all columns) that represent their group: of those whose id names it, one of the least fingerprint.
 
     An id with texts of several groups stays once for each group that it names, and only with such a text. Rows without an
-    id stay only if no row of their group has one, one for each fingerprint.
+    id stay only if no row of their group has one, one for each fingerprint. Null and empty texts are one text, so one row
+    of them stays; repeated rows go; an empty table stays empty. Other columns may have any names and hold anything.
     """
+    id_, fp = unused(docs, "id"), unused(docs, "fp")
     found = cut(_grouped(docs.select("doc_id", "text"), most))
-    heads = cut(found.filter(F.col("doc_id") == F.col("component_id")).groupBy("c").agg(F.min("doc_id").alias("__id"), F.min("fp").alias("__fp")))
-    often = cut(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1").select("__id"))
+    heads = cut(found.filter(F.col("doc_id") == F.col("component_id")).groupBy("c").agg(F.min("doc_id").alias(id_), F.min("fp").alias(fp)))
+    often = cut(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias(id_)).count().filter("count > 1").select(id_))
     if often.limit(1).count():
         # an id that repeats does not tell a row; its texts do
-        named = docs.withColumn("__id", F.col("doc_id").cast("long"))
-        once = named.join(heads.join(often, "__id", "left_anti").select("__id"), "__id", "left_semi")
-        again = named.join(heads.join(often, "__id", "left_semi").select("__id"), "__id", "left_semi").withColumn("__fp", fingerprints(F.col("text")))
-        again = again.join(heads, ["__id", "__fp"], "left_semi").dropDuplicates(["__id", "__fp"])
+        named = docs.withColumn(id_, F.col("doc_id").cast("long"))
+        once = named.join(heads.join(often, id_, "left_anti").select(id_), id_, "left_semi")
+        again = named.join(heads.join(often, id_, "left_semi").select(id_), id_, "left_semi").withColumn(fp, fingerprints(F.col("text")))
+        again = again.join(heads, [id_, fp], "left_semi").dropDuplicates([id_, fp])
         kept = once.select(*docs.columns).union(again.select(*docs.columns))
     else:
-        kept = docs.join(heads.select(F.col("__id").alias("doc_id")), "doc_id", "left_semi").select(*docs.columns)
+        kept = docs.join(heads.select(F.col(id_).alias("doc_id")), "doc_id", "left_semi").select(*docs.columns)
     if found.filter("component_id is null").limit(1).count():
-        nameless = found.filter("component_id is null").select(F.col("fp").alias("__fp")).distinct()
-        alone = docs.filter("doc_id is null").withColumn("__fp", fingerprints(F.col("text"))).join(nameless, "__fp", "left_semi").dropDuplicates(["__fp"])
+        nameless = found.filter("component_id is null").select(F.col("fp").alias(fp)).distinct()
+        alone = docs.filter("doc_id is null").withColumn(fp, fingerprints(F.col("text"))).join(nameless, fp, "left_semi").dropDuplicates([fp])
         kept = kept.union(alone.select(*docs.columns))
     return kept
