@@ -10,25 +10,29 @@ import numpy as np
 
 #: Fixed values of the 5 x 5 chamfer metric: steps along an axis, a diagonal, and a knight's move.
 AXIS, DIAGONAL, KNIGHT = 1.0, 1.4, 2.1969
-STEPS = ((0, 1, AXIS), (1, 0, AXIS), (1, 1, DIAGONAL), (1, -1, DIAGONAL), (1, 2, KNIGHT), (1, -2, KNIGHT), (2, 1, KNIGHT), (2, -1, KNIGHT))
 
 
 def chamfer(mask: np.ndarray) -> np.ndarray:
     """Distance of every set pixel to the nearest clear one; infinite if there is none.
 
-    Relaxed over all steps at once until nothing changes: as many rounds as the widest road is wide.
+    Two sweeps over the rows, down and up (Borgefors, 1986). A row takes its least from the two rows before it, then from
+    its own pixels on one side; a running minimum does that for all of the row.
     """
-    d = np.where(mask > 0, np.inf, 0.0)
-    h, w = d.shape
-    while True:
-        around = np.pad(d, 2, constant_values=np.inf)
-        new = d
-        for dy, dx, cost in STEPS:
-            for s in (1, -1):
-                new = np.minimum(new, around[2 + s * dy : 2 + s * dy + h, 2 + s * dx : 2 + s * dx + w] + cost)
-        if np.array_equal(new, d):
-            return d
-        d = new
+    h, w = mask.shape
+    d = np.full((h, w + 4), np.inf)  # two columns on either side
+    d[:, 2:-2] = np.where(mask > 0, np.inf, 0.0)
+    along = np.arange(w) * AXIS
+    for _ in range(2):
+        before = last = np.full(w + 4, np.inf)
+        for row in d:
+            least = np.minimum(row[2:-2], last[2:-2] + AXIS)
+            for by, cost in ((1, DIAGONAL), (2, KNIGHT)):
+                least = np.minimum(least, np.minimum(last[2 - by : w + 2 - by], last[2 + by : w + 2 + by]) + cost)
+            least = np.minimum(least, np.minimum(before[1 : w + 1], before[3 : w + 3]) + KNIGHT)
+            row[2:-2] = np.minimum.accumulate(least - along) + along
+            before, last = last, row
+        d = d[::-1, ::-1]  # the second sweep is the first over the picture turned by half a circle
+    return d[:, 2:-2].copy()
 
 
 def gaussian(h: int, w: int, cx: float, cy: float, radius: float) -> np.ndarray:
@@ -57,10 +61,18 @@ def noise(y: np.ndarray, x: np.ndarray, rng: np.random.Generator, octaves: int =
     return out
 
 
-def noisy_blob(h: int, w: int, cx: int, cy: int, radius: int, rng: np.random.Generator, scale: float = 0.05) -> np.ndarray:
-    y, x = np.mgrid[:h, :w]
-    far = np.hypot(x - cx, y - cy) / max(radius, 1)
-    return np.where(far < 1, np.maximum(0, (noise(y * scale, x * scale, rng) + 0.5) * (1 - far**2)), 0.0)
+def noise_texture(size: int, scale: float, rng: np.random.Generator) -> np.ndarray:
+    """A square of noise, from which blobs cut patches at random places."""
+    y, x = np.mgrid[:size, :size] * scale
+    return noise(y, x, rng)
+
+
+def noisy_disc(radius: int, texture: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A square of 2 radius + 1 pixels: noise that falls off with the square of the distance from the middle, 0 beyond the radius."""
+    n = 2 * radius + 1
+    y, x = rng.integers(0, len(texture) - n + 1, 2)
+    far = np.add.outer(np.arange(-radius, radius + 1) ** 2, np.arange(-radius, radius + 1) ** 2) / max(radius, 1) ** 2
+    return np.where(far < 1, np.maximum(0, (texture[y : y + n, x : x + n] + 0.5) * (1 - far)), 0.0)
 
 
 def blurred(x: np.ndarray, sigma: float) -> np.ndarray:

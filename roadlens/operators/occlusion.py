@@ -18,7 +18,8 @@ from . import kernels
 
 TYPES = ("tree_canopy", "building_shadow", "vehicle", "cloud_cover")
 SEVERITIES = ("light", "medium", "heavy")
-#: The share of pixels that a type aims at in each severity, counts of vehicles and opacities of clouds.
+#: Fixed values, to "End of fixed values": the share of pixels that a type aims at in each severity, counts of vehicles, opacities of clouds,
+#: colours, sizes in pixels of a tile of 512, and limits of objects.
 TARGET = {
     "tree_canopy": {"light": (0.10, 0.25), "medium": (0.25, 0.50), "heavy": (0.50, 0.75)},
     "building_shadow": {"light": (0.05, 0.20), "medium": (0.20, 0.40), "heavy": (0.40, 0.65)},
@@ -26,70 +27,135 @@ TARGET = {
 }
 VEHICLES = {"light": (1, 3), "medium": (3, 8), "heavy": (8, 20)}
 OPACITY = {"light": (0.2, 0.5), "medium": (0.5, 0.75), "heavy": (0.75, 0.95)}
-CANOPY_RGB, CANOPY_SPREAD, CANOPY_ALPHA, CANOPY_EDGE, CANOPY_BLOB = (34, 85, 34), 20, (0.55, 0.80), 0.35, (30, 120)
-SHADOW_DARK, SUN, SHADOW_LENGTH, BUILDING = 0.35, (30, 150), (0.5, 2.0), (20, 80)
+CANOPY_RGB, CANOPY_SPREAD, CANOPY_ALPHA, CANOPY_EDGE, CANOPY_RADIUS, CANOPY_NOISE = (34, 85, 34), 20, (0.55, 0.80), 0.35, (15, 60), 0.05
+SHADOW_DARK, SHADOW_FADE, SUN, SHADOW_LENGTH, BUILDING, SHADOWS = 0.35, 0.4, (30, 150), (0.5, 2.0), (20, 80), 50
 VEHICLE_W, VEHICLE_H, HIGHLIGHT = (8, 25), (15, 45), 60
 VEHICLE_RGB = ((200, 200, 200), (40, 40, 40), (180, 30, 30), (30, 30, 160), (200, 180, 30), (50, 100, 50))
-CLOUD_RGB, CLOUD_SIGMA, CLOUD_BLUR, CLOUD_COVER, CLOUD_EDGE = (240, 242, 245), (20, 60), 15, 0.1, 0.15
-ROUNDS = {"tree_canopy": 100, "building_shadow": 50, "cloud_cover": 30}
+CLOUD_RGB, CLOUD_SIGMA, CLOUD_BLUR, CLOUD_COVER, CLOUD_EDGE, CLOUDS = (240, 242, 245), (20, 60), 15, 0.1, 0.15, 30
+#: End of fixed values.
 
 
 def generator(seed: int, *names: object) -> np.random.Generator:
     return np.random.default_rng(int.from_bytes(hashlib.md5(":".join(map(str, (seed, *names))).encode()).digest()[:8], "little"))
 
 
-def occlude(image: np.ndarray, road: np.ndarray, kind: str, severity: str, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """The occluded image and the mask of what is covered. Sizes of objects follow the tile's, from 512 pixels."""
-    h, w = image.shape[:2]
-    out, cover = image.astype(float), np.zeros((h, w), bool)
-    unit = max(h, w) / 512
-    between = lambda r: int(rng.integers(max(1, int(r[0] * unit)), max(1, int(r[1] * unit)) + 1))
-    if kind == "vehicle":
-        ys, xs = np.nonzero(road > 0)
-        for _ in range(int(rng.integers(VEHICLES[severity][0], VEHICLES[severity][1] + 1))):
-            # without any road a vehicle stands on the diagonal
-            k = int(rng.integers(0, len(ys) or min(h, w)))
-            cy, cx = (int(ys[k]), int(xs[k])) if len(ys) else (k, k)
-            vw, vh, rgb = between(VEHICLE_W), between(VEHICLE_H), np.array(VEHICLE_RGB[int(rng.integers(len(VEHICLE_RGB)))])
-            box = np.s_[max(0, cy - vh // 2) : min(h, cy + vh // 2 + 1), max(0, cx - vw // 2) : min(w, cx + vw // 2 + 1)]
-            out[box] = rgb
-            out[box][1 : max(2, vh // 6)] = np.minimum(255, rgb + HIGHLIGHT)
-            cover[box] = True
-        return out.clip(0, 255).astype(np.uint8), cover
-    target = rng.uniform(*TARGET[kind][severity])
-    layer = np.zeros((h, w))
-    for _ in range(ROUNDS[kind]):
-        if (cover if kind != "cloud_cover" else layer > CLOUD_COVER).mean() >= target:
+class Draw:
+    """The random choices of one tile. Sizes of objects follow the tile's, from 512 pixels."""
+
+    def __init__(self, shape: tuple[int, int], rng: np.random.Generator):
+        self.h, self.w = shape
+        self.unit, self.rng = max(shape) / 512, rng
+
+    def whole(self, low: int, high: int) -> int:
+        """A whole number from low to high, or the middle where there is none between."""
+        return int(self.rng.integers(low, high + 1)) if low <= high else (low + high) // 2
+
+    def pixels(self, bounds: tuple[int, int]) -> int:
+        return self.whole(*(max(1, int(b * self.unit)) for b in bounds))
+
+
+def _canopy(image: np.ndarray, road: np.ndarray, severity: str, draw: Draw) -> tuple[np.ndarray, np.ndarray]:
+    """Trees until the share aimed at is reached, however many that takes; each looks at the pixels of its own square only."""
+    out, cover, rng = image.astype(float), np.zeros((draw.h, draw.w), bool), draw.rng
+    wanted = rng.uniform(*TARGET["tree_canopy"][severity]) * cover.size
+    widest = max(1, int(CANOPY_RADIUS[1] * draw.unit))
+    texture = kernels.noise_texture(max(4 * widest, draw.h, draw.w) + 1, CANOPY_NOISE / draw.unit, rng)
+    covered = 0
+    while covered < wanted:
+        r = draw.pixels(CANOPY_RADIUS)
+        cx, cy = draw.whole(r, draw.w - r), draw.whole(r, draw.h - r)
+        tree = kernels.noisy_disc(r, texture, rng) > CANOPY_EDGE
+        top, left = max(0, cy - r), max(0, cx - r)
+        tree = tree[top - cy + r : draw.h - cy + r, left - cx + r : draw.w - cx + r]
+        box = np.s_[top : top + tree.shape[0], left : left + tree.shape[1]]
+        leaves = np.clip(np.array(CANOPY_RGB) + rng.uniform(-CANOPY_SPREAD, CANOPY_SPREAD, 3), 0, 255)
+        out[box][tree] += (leaves - out[box][tree]) * rng.uniform(*CANOPY_ALPHA)
+        covered += int((tree & ~cover[box]).sum())
+        cover[box] |= tree
+    return out, cover
+
+
+def _shadows(image: np.ndarray, road: np.ndarray, severity: str, draw: Draw) -> tuple[np.ndarray, np.ndarray]:
+    """Buildings' shadows, SHADOWS at most: what light is left is one layer, by which the image is multiplied in the end."""
+    light, rng = np.ones((draw.h, draw.w)), draw.rng
+    wanted = rng.uniform(*TARGET["building_shadow"][severity])
+    for _ in range(SHADOWS):
+        if (light < 1).mean() >= wanted:
+            break
+        x, y, wide, high = draw.whole(draw.w // 8, 7 * draw.w // 8), draw.whole(draw.h // 8, 7 * draw.h // 8), draw.pixels(BUILDING), draw.pixels(BUILDING)
+        sun, length = np.radians(rng.uniform(*SUN)), rng.uniform(*SHADOW_LENGTH) * max(wide, high)
+        corners = np.array([(x, y), (x + wide, y), (x + wide, y + high), (x, y + high)])
+        outline = np.vstack([corners, (corners + (length * np.array([np.cos(sun), np.sin(sun)])).astype(int))[::-1]])
+        (x0, y0), (x1, y1) = np.maximum(outline.min(0), 0), np.minimum(outline.max(0) + 1, (draw.w, draw.h))
+        if x0 >= x1 or y0 >= y1:
+            continue
+        shade = kernels.inside(y1 - y0, x1 - x0, [tuple(p) for p in (outline - (x0, y0)).tolist()])
+        depth = np.where(shade, kernels.chamfer(np.pad(shade, 1))[1:-1, 1:-1], 0)
+        depth /= max(depth.max(), 1)
+        light[y0:y1, x0:x1][shade] *= (SHADOW_DARK + (1 - SHADOW_DARK) * SHADOW_FADE * depth)[shade]
+    return image * light[:, :, None], light < 1
+
+
+def _vehicles(image: np.ndarray, road: np.ndarray, severity: str, draw: Draw) -> tuple[np.ndarray, np.ndarray]:
+    """Boxes with a bright front, centred on road pixels; without any road, on the diagonal. The last row and column painted do not count as covered."""
+    out, cover = image.copy(), np.zeros((draw.h, draw.w), bool)
+    spots = np.argwhere(road > 0)
+    if not len(spots):
+        spots = np.repeat(np.arange(min(draw.h, draw.w))[:, None], 2, 1)
+    for spot in spots[draw.rng.integers(0, len(spots), draw.whole(*VEHICLES[severity]))]:
+        size = np.array([draw.pixels(VEHICLE_H), draw.pixels(VEHICLE_W)])
+        paint = np.array(VEHICLE_RGB[draw.whole(0, len(VEHICLE_RGB) - 1)])
+        (y0, x0), (y1, x1) = np.maximum(spot - size // 2, 0), np.minimum(spot + size // 2, (draw.h, draw.w))
+        out[y0 : y1 + 1, x0 : x1 + 1] = paint
+        out[y0 + 1 : y0 + max(2, size[0] // 6) + 1, x0 + 1 : x1] = np.minimum(paint + HIGHLIGHT, 255)
+        cover[y0:y1, x0:x1] = True
+    return out, cover
+
+
+def _clouds(image: np.ndarray, road: np.ndarray, severity: str, draw: Draw) -> tuple[np.ndarray, np.ndarray]:
+    """The highest of bell curves, CLOUDS at most, blurred; a bell is the product of its profiles along the two axes."""
+    haze, rng = np.zeros((draw.h, draw.w)), draw.rng
+    wanted = rng.uniform(*TARGET["cloud_cover"][severity])
+    for _ in range(CLOUDS):
+        if (haze > CLOUD_COVER).mean() >= wanted:
             break
-        if kind == "tree_canopy":
-            r = between((CANOPY_BLOB[0] // 2, CANOPY_BLOB[1] // 2))
-            blob = kernels.noisy_blob(h, w, int(rng.integers(0, w)), int(rng.integers(0, h)), r, rng, 0.05 / unit) > CANOPY_EDGE
-            rgb = np.clip(np.array(CANOPY_RGB) + rng.uniform(-CANOPY_SPREAD, CANOPY_SPREAD, 3), 0, 255)
-            out[blob] += (rgb - out[blob]) * rng.uniform(*CANOPY_ALPHA)
-            cover |= blob
-        elif kind == "building_shadow":
-            x, y, bw, bh = int(rng.integers(w // 8, 7 * w // 8 + 1)), int(rng.integers(h // 8, 7 * h // 8 + 1)), between(BUILDING), between(BUILDING)
-            angle, length = np.radians(rng.uniform(*SUN)), rng.uniform(*SHADOW_LENGTH) * max(bw, bh)
-            dx, dy = int(length * np.cos(angle)), int(length * np.sin(angle))
-            box = [(x, y), (x + bw, y), (x + bw, y + bh), (x, y + bh)]
-            shade = kernels.inside(h, w, box) | kernels.inside(h, w, [(a + dx, b + dy) for a, b in box])
-            for (ax, ay), (bx, by) in zip(box, box[1:] + box[:1]):
-                shade |= kernels.inside(h, w, [(ax, ay), (bx, by), (bx + dx, by + dy), (ax + dx, ay + dy)])
-            away = kernels.chamfer(np.pad(shade, 1))[1:-1, 1:-1]
-            fade = np.where(shade, (1 - 0.4 * away / max(away.max(), 1e-9)) * (1 - SHADOW_DARK), 0)
-            out *= (1 - fade * (1 - SHADOW_DARK))[:, :, None]
-            cover |= shade
-        else:
-            sigma = rng.uniform(*CLOUD_SIGMA) * unit
-            layer = np.maximum(layer, kernels.gaussian(h, w, int(rng.integers(0, w + 1)), int(rng.integers(0, h + 1)), int(max(1, sigma * 1.5))))
-    if kind == "cloud_cover":
-        soft = kernels.blurred(layer, max(CLOUD_BLUR * unit, 0.5))
-        soft = np.clip(soft / (soft.max() + 1e-8), 0, 1)
-        out += (np.array(CLOUD_RGB) - out) * (soft * rng.uniform(*OPACITY[severity]))[:, :, None]
-        cover = soft > CLOUD_EDGE
+        spread = max(1.0, int(rng.uniform(*CLOUD_SIGMA) * draw.unit * 1.5) / 2)
+        down, across = (np.exp(-(((np.arange(n) - draw.whole(0, n)) / spread) ** 2) / 2) for n in (draw.h, draw.w))
+        haze = np.maximum(haze, np.outer(down, across))
+    haze = kernels.blurred(haze, max(CLOUD_BLUR * draw.unit, 0.5))
+    haze /= max(haze.max(), 1e-6)
+    white = (haze * rng.uniform(*OPACITY[severity]))[:, :, None]
+    return image * (1 - white) + np.array(CLOUD_RGB) * white, haze > CLOUD_EDGE
+
+
+PAINTERS = {"tree_canopy": _canopy, "building_shadow": _shadows, "vehicle": _vehicles, "cloud_cover": _clouds}
+
+
+def occlude(image: np.ndarray, road: np.ndarray, kind: str, severity: str, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """The occluded image and the mask of what is covered."""
+    out, cover = PAINTERS[kind](image, road, severity, Draw(image.shape[:2], rng))
     return out.clip(0, 255).astype(np.uint8), cover
 
 
+def applied(tiles: DataFrame, seed: int = 42) -> DataFrame:
+    """tiles (tile_id, height, width, rgb, mask, occlusion_type, severity and any others) with rgb occluded where a type is given (RAS20).
+
+    A null mask is one without road. Masks stay as they are: what is hidden is still road.
+    """
+
+    @F.pandas_udf("binary")
+    def painted(ids: pd.Series, heights: pd.Series, widths: pd.Series, rgb: pd.Series, masks: pd.Series, kinds: pd.Series, severities: pd.Series) -> pd.Series:
+        out = []
+        for i, h, w, x, m, kind, severity in zip(ids, heights, widths, rgb, masks, kinds, severities):
+            if kind is not None and x is not None:
+                road = np.zeros((h, w), np.uint8) if m is None else np.frombuffer(m, np.uint8).reshape(h, w)
+                x = occlude(np.frombuffer(x, np.uint8).reshape(h, w, 3), road, kind, severity, generator(seed, i, kind, severity))[0].tobytes()
+            out.append(x)
+        return pd.Series(out)
+
+    return tiles.withColumn("rgb", painted(F.col("tile_id").cast("string"), "height", "width", "rgb", "mask", "occlusion_type", "severity"))
+
+
 def simulate(tiles: DataFrame, seed: int = 42) -> DataFrame:
     """image_id, occlusion_type, severity, coverage_pct, road_coverage_pct, occluded (RGB bytes), cover (bytes).
 

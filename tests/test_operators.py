@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -176,12 +177,47 @@ def test_occlusions_are_repeatable_and_cover_what_they_say(spark, kind):
         cover = np.frombuffer(r["cover"], np.uint8).reshape(64, 64)
         assert r["coverage_pct"] == round(100 * float((cover > 0).mean()), 2)
         assert r["road_coverage_pct"] == (round(100 * float((cover[30:34] > 0).mean()), 2) if r["image_id"] != "t0" else 0)
-        if kind != "cloud_cover":
+        if kind in ("tree_canopy", "building_shadow"):
             changed = (np.frombuffer(r["occluded"], np.uint8).reshape(64, 64, 3) != rgb).any(2)
             assert not changed[cover == 0].any()
     assert a["t2"]["coverage_pct"] > 0
 
 
+def test_canopies_reach_what_they_aim_at():
+    rng = np.random.default_rng(1)
+    rgb, road = rng.integers(0, 256, (512, 512, 3), dtype=np.uint8), np.zeros((512, 512), np.uint8)
+    for severity, (low, high) in occlusion.TARGET["tree_canopy"].items():
+        for k in range(7):
+            start = time.process_time()
+            out, cover = occlusion.occlude(rgb, road, "tree_canopy", severity, occlusion.generator(k, severity))
+            assert low <= cover.mean() <= high + 0.02 and time.process_time() - start < 4
+            assert np.array_equal(out[~cover], rgb[~cover]) and (out[cover] != rgb[cover]).any(1).mean() > 0.9
+
+
+def test_shadows_and_clouds_and_vehicles_of_a_whole_tile():
+    rng = np.random.default_rng(1)
+    rgb, road = rng.integers(0, 256, (512, 512, 3), dtype=np.uint8), np.zeros((512, 512), np.uint8)
+    road[250:270] = 255
+    for k in range(5):
+        for kind in ("building_shadow", "cloud_cover"):
+            shares = [occlusion.occlude(rgb, road, kind, s, occlusion.generator(k, kind, s))[1].mean() for s in occlusion.SEVERITIES]
+            assert shares[0] >= 0.04 and shares == sorted(shares)
+        out, cover = occlusion.occlude(rgb, road, "vehicle", "heavy", occlusion.generator(k, "v"))
+        assert 8 * 8 * 15 * 0.3 < cover.sum() < 20 * 25 * 45 and cover[:200].sum() == 0
+        # the last row and column painted are not covered
+        beyond = (out != rgb).any(2) & ~cover
+        assert beyond.any() and not (beyond & ~(np.roll(cover, 1, 0) | np.roll(cover, 1, 1) | np.roll(cover, (1, 1), (0, 1)))).any()
+
+
+def test_occlusion_while_training_keeps_masks(spark):
+    rgb, road = np.full((32, 32, 3), 90, np.uint8), np.zeros((32, 32), np.uint8)
+    road[10:14] = 255
+    rows = [(f"t{i}", 32, 32, bytearray(rgb.tobytes()), bytearray(road.tobytes()), t, s) for i, (t, s) in enumerate([("vehicle", "heavy"), (None, None), ("tree_canopy", "light")])]
+    df = spark.createDataFrame(rows, "tile_id string, height int, width int, rgb binary, mask binary, occlusion_type string, severity string")
+    out = {r["tile_id"]: r for r in occlusion.applied(df).collect()}
+    assert [out[f"t{i}"]["rgb"] == rgb.tobytes() for i in range(3)] == [False, True, False] and all(r["mask"] == road.tobytes() for r in out.values())
+
+
 def test_lines_burnt_in(spark):
     rng = np.random.default_rng(5)
     segs = [(int(i % 3), *map(float, rng.uniform(-4, 14, 4))) for i in range(12)] + [(3, 2.0, 2.0, 2.0, 2.0), (4, 50.0, 50.0, 60.0, 60.0)]
