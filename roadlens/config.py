@@ -21,6 +21,8 @@ class Config:
     val_ratio: float = 0.15
     test_ratio: float = 0.15
     seed: int = 42
+    #: The longest side that images may have; longer ones are scaled down. None: as they are.
+    max_dimension: int | None = None
 
 
 def load(path: str | Path) -> Config:

@@ -115,14 +115,14 @@ def shadow_polygon(x: Column, y: Column, width: Column, height: Column, angle: C
     return F.array(*[F.struct(a.cast("long").alias("x"), b.cast("long").alias("y")) for a, b in points])
 
 
-def rasterised(h: int, w: int, x1: Column, y1: Column, x2: Column, y2: Column, reach: float, dx: float = 0.0) -> Column:
-    """255 for pixels whose centre lies within reach of a line from one point to another."""
-    ux, uy = x2 - x1, y2 - y1
-    square = F.greatest(ux * ux + uy * uy, F.lit(1e-12))
+def placeholder(h: int, w: int, grey: bool = False) -> Column:
+    """A dark raster for what is missing: 40 for each pixel in grey, 30 for each of three channels else."""
+    return F.array_repeat(F.lit(40 if grey else 30), h * w * (1 if grey else 3))
 
-    def near(y: Column, x: Column) -> Column:
-        t = F.least(F.greatest(((x - x1) * ux + (y - y1) * uy) / square, F.lit(0.0)), F.lit(1.0))
-        a, b = x - x1 - t * ux, y - y1 - t * uy
-        return F.when(a * a + b * b <= reach * reach, 255).otherwise(0)
 
-    return F.flatten(F.transform(indices(F.lit(h)), lambda y: F.transform(indices(F.lit(w)), lambda x: near(y + dx, x + dx))))
+def rgb(data: Column, channels: int) -> Column:
+    """Three channels of bytes for each pixel of a raster of any whole numbers: grey is repeated, channels after the third go, values wrap around at 256."""
+    byte = F.transform(data, lambda v: F.pmod(v.cast("long"), F.lit(256)).cast("int"))
+    if channels == 1:
+        return F.flatten(F.transform(byte, lambda v: F.array(v, v, v)))
+    return byte if channels == 3 else F.filter(byte, lambda v, i: i % channels < 3)

@@ -66,3 +66,14 @@ def split_name(raw: Column) -> Column:
     """train, val or test; valid counts as val, a missing name as train."""
     low = F.lower(F.trim(F.coalesce(raw, F.lit(""))))
     return F.when(low == "", "train").when(low == "valid", "val").otherwise(low)
+
+
+def stamp(moment: Column) -> Column:
+    """A time to the second, as YYYY-MM-DDThh:mm:ss."""
+    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def clock(seconds: Column) -> Column:
+    """Seconds as hh:mm:ss; days are left out, as on a clock."""
+    s = F.floor(seconds).cast("long")
+    return F.format_string("%02d:%02d:%02d", F.floor(s / 3600) % 24, F.floor(s / 60) % 60, s % 60)

@@ -1,4 +1,4 @@
-"""Road graphs (GR1-4): the plans that the reference only declares. Labelled an extension."""
+"""Road graphs (GR1-5): the plans that the reference only declares. Labelled an extension."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from roadlens.session import cut
 
 from .components import connected_components
+from .unions import join_roots
 
 
 def edges(links: DataFrame, a: str, b: str, weight: Column) -> DataFrame:
@@ -44,15 +45,40 @@ def largest_component(component_rows: DataFrame) -> DataFrame:
     return component_rows.groupBy("component").count().agg(F.coalesce(F.max("count"), F.lit(0)).alias("size"))
 
 
+def without(edges_: DataFrame, failed: DataFrame) -> DataFrame:
+    """The edges that stand when nodes fail (a column node) or edges do (src and dst, either way round)."""
+    if "node" in failed.columns:
+        return edges_.join(failed.select(F.col("node").alias("src")), "src", "left_anti").join(failed.select(F.col("node").alias("dst")), "dst", "left_anti")
+    both = failed.select("src", "dst").union(failed.select("dst", "src"))
+    return edges_.join(both, ["src", "dst"], "left_anti")
+
+
 def failure(edges_: DataFrame, failed: DataFrame) -> DataFrame:
-    """nodes_before, lcc_before, lcc_after, ratio: how much of the largest component is left when nodes fail."""
-    rest = edges_.join(failed.select(F.col("node").alias("src")), "src", "left_anti").join(failed.select(F.col("node").alias("dst")), "dst", "left_anti")
-    was, now = components(edges_), components(rest)
+    """nodes_before, lcc_before, lcc_after, ratio: how much of the largest component is left when nodes fail (node) or edges do (src, dst)."""
+    was, now = components(edges_), components(without(edges_, failed))
     counts = was.agg(F.count("*").alias("nodes_before"))
     out = counts.join(F.broadcast(largest_component(was).withColumnRenamed("size", "lcc_before"))).join(F.broadcast(largest_component(now).withColumnRenamed("size", "lcc_after")))
     return out.withColumn("ratio", F.when(F.col("lcc_before") > 0, F.col("lcc_after") / F.col("lcc_before")).otherwise(0.0))
 
 
+def regions(on: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """y, x and region (named by the number of its first pixel) of the set pixels of a mask; neighbours touch at sides or corners.
+
+    Runs of a row are united with those they touch in the row above, so the work follows the runs and not how far a region winds.
+    """
+    y, x = np.nonzero(on)
+    if not len(y):
+        return y, x, y
+    new = np.r_[True, (y[1:] != y[:-1]) | (x[1:] != x[:-1] + 1)]
+    run = np.cumsum(new) - 1
+    first, last = np.flatnonzero(new), np.r_[np.flatnonzero(new)[1:], len(y)] - 1
+    number = np.full((on.shape[0] + 1, on.shape[1] + 2), -1)  # of the run at each pixel, with a border
+    number[y + 1, x + 1] = run
+    pairs = [(run[met], above[met]) for above in (number[y, x], number[y, x + 1], number[y, x + 2]) for met in [above >= 0]]
+    label = join_roots(np.arange(len(first)), *(np.concatenate(side) for side in zip(*pairs)))
+    return y, x, first[label[run]]
+
+
 def pixel_components(masks: DataFrame, *keys: str, data: str = "data", width: str = "width") -> DataFrame:
     """keys, components, largest: 8-connected regions of masks held as arrays. A raster is labelled where it lies."""
 
@@ -61,26 +87,18 @@ def pixel_components(masks: DataFrame, *keys: str, data: str = "data", width: st
         for arrays, widths in pixels:
             rows = []
             for p, w in zip(arrays, widths):
-                on = np.asarray(p).reshape(-1, int(w)) > 0
-                label = np.where(on, np.arange(1, on.size + 1).reshape(on.shape), 0)
-                while True:
-                    around = np.lib.stride_tricks.sliding_window_view(np.pad(label, 1), (3, 3)).max(axis=(2, 3))
-                    new = np.where(on, around, 0)
-                    if np.array_equal(new, label):
-                        break
-                    label = new
-                sizes = np.unique(label[on], return_counts=True)[1]
-                rows.append((len(sizes), int(sizes.max(initial=0))))
+                sizes = np.bincount(regions(np.asarray(p).reshape(-1, int(w)) > 0)[2])
+                rows.append((int((sizes > 0).sum()), int(sizes.max(initial=0))))
             yield pd.DataFrame(rows, columns=["components", "largest"])
 
     return masks.withColumn("__m", labelled(data, width)).select(*keys, "__m.*")
 
 
-def closeness(edges_: DataFrame, seeds: DataFrame) -> DataFrame:
-    """node, reached, distance, closeness of the seeds given, by breadth-first joins over unweighted edges.
+def distances(edges_: DataFrame, seeds: DataFrame) -> DataFrame:
+    """seed, node, d: how many edges each node is from each seed that it can be reached from, by breadth-first joins.
 
     A round holds one row for each seed and node reached, written to the shared folder; so seeds are to be few or dealt
-    with in turn. Rounds go on until nothing new is reached, however far that is. closeness is reached / distance, 0 for a node alone.
+    with in turn. Rounds go on until nothing new is reached, however far that is.
     """
     both = cut(edges_.select("src", "dst").union(edges_.select("dst", "src")).distinct())
     seen = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("d")))
@@ -90,7 +108,81 @@ def closeness(edges_: DataFrame, seeds: DataFrame) -> DataFrame:
         onward = front.join(both, front["node"] == both["src"]).select("seed", F.col("dst").alias("node")).distinct()
         front = cut(onward.join(seen, ["seed", "node"], "left_anti").withColumn("d", F.lit(step)))
         if not front.limit(1).count():
-            break
+            return seen
         seen = cut(seen.union(front))
-    sums = seen.groupBy("seed").agg((F.count("*") - 1).alias("reached"), F.sum("d").alias("distance"))
+
+
+def closeness(edges_: DataFrame, seeds: DataFrame) -> DataFrame:
+    """node, reached, distance, closeness of the seeds given; closeness is reached / distance, 0 for a node alone."""
+    sums = distances(edges_, seeds).groupBy("seed").agg((F.count("*") - 1).alias("reached"), F.sum("d").alias("distance"))
     return sums.select(F.col("seed").alias("node"), "reached", "distance", F.when(F.col("distance") > 0, F.col("reached") / F.col("distance")).otherwise(0.0).alias("closeness"))
+
+
+def betweenness(edges_: DataFrame, seeds: DataFrame) -> DataFrame:
+    """node, betweenness: shares of shortest paths from the seeds that go through a node (Brandes, 2001), over unweighted edges.
+
+    Out from all seeds at once, a round for each step, counting shortest paths; then back, handing on what depends on each
+    node. With all nodes as seeds each unordered pair counts once (the sum is halved). Tables hold a row for each seed and
+    node reached and are written to the shared folder, so seeds are to be few or dealt with in turn.
+    """
+    both = cut(edges_.select("src", "dst").union(edges_.select("dst", "src")).filter("src <> dst").distinct())
+    seen = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("d"), F.lit(1.0).alias("paths")))
+    front, step = seen, 0
+    while front.limit(1).count():
+        step += 1
+        onward = front.join(both, front["node"] == both["src"]).groupBy("seed", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths"))
+        front = cut(onward.join(seen, ["seed", "node"], "left_anti").select("seed", "node", F.lit(step).alias("d"), "paths"))
+        seen = cut(seen.union(front))
+    due = cut(seen.withColumn("due", F.lit(0.0)))
+    for d in range(step - 1, 0, -1):
+        # what depends on the nodes at distance d goes to their predecessors, by their shares of the paths
+        far = due.filter(F.col("d") == d).select("seed", F.col("node").alias("far"), F.col("paths").alias("all"), F.col("due").alias("more"))
+        near = due.filter(F.col("d") == d - 1).select("seed", "node", "paths")
+        handed = far.join(both, far["far"] == both["src"]).join(near.withColumnRenamed("seed", "s"), (F.col("dst") == F.col("node")) & (F.col("seed") == F.col("s")))
+        given = handed.groupBy("seed", "node").agg(F.sum(F.col("paths") / F.col("all") * (1 + F.col("more"))).alias("given"))
+        due = cut(due.join(given, ["seed", "node"], "left").withColumn("due", F.col("due") + F.coalesce("given", F.lit(0.0))).drop("given"))
+    return due.groupBy("node").agg((F.sum(F.when(F.col("d") > 0, F.col("due")).otherwise(0.0)) / 2).alias("betweenness"))
+
+
+def skeleton_graph(lines: DataFrame, *keys: str) -> DataFrame:
+    """keys, src, dst, weight: centre lines (points: x, y) as edges between their ends, weighted by their length in pixels (GR2).
+
+    A node is the place of its pixel, as y * 2^20 + x.
+    """
+    place = lambda p: p["y"].cast("long") * (1 << 20) + p["x"]
+    far = lambda a, b: F.sqrt(F.pow(a["x"] - b["x"], 2) + F.pow(a["y"] - b["y"], 2))
+    steps = F.zip_with(F.slice("points", 1, F.size("points") - 1), F.slice("points", 2, F.size("points") - 1), far)
+    length = F.aggregate(steps, F.lit(0.0), lambda a, x: a + x)
+    return lines.select(*keys, place(F.element_at("points", 1)).alias("src"), place(F.element_at("points", -1)).alias("dst"), length.alias("weight"))
+
+
+def pruned(edges_: DataFrame, least: float) -> DataFrame:
+    """The edges (src, dst, weight) of the components whose edges together weigh at least so much (GR1)."""
+    named = edges_.join(components(edges_).withColumnRenamed("node", "src"), "src")
+    heavy = cut(named.groupBy("component").agg(F.sum("weight").alias("__w")).filter(F.col("__w") >= least).select("component"))
+    return named.join(heavy, "component", "left_semi").select(*edges_.columns)
+
+
+def reachability(component_rows: DataFrame) -> DataFrame:
+    """nodes, pairs, reachable: one row; reachable is the share of ordered pairs of different nodes that can reach each other."""
+    sizes = component_rows.groupBy("component").agg(F.count("*").cast("double").alias("n"))
+    out = sizes.agg(F.coalesce(F.sum("n"), F.lit(0.0)).alias("nodes"), F.coalesce(F.sum(F.col("n") * (F.col("n") - 1)), F.lit(0.0)).alias("pairs"))
+    return out.select(F.col("nodes").cast("long").alias("nodes"), F.col("pairs").cast("long").alias("pairs"), F.when(F.col("nodes") > 1, F.col("pairs") / (F.col("nodes") * (F.col("nodes") - 1))).otherwise(0.0).alias("reachable"))
+
+
+def resilience(edges_: DataFrame, failed: DataFrame, seeds: DataFrame) -> DataFrame:
+    """connectivity, reach, detour, index: what failing nodes or edges leave, one row (GR5; definitions of our own).
+
+    connectivity: the largest component after, over that before. reach: reachable pairs after, over those before. detour:
+    the mean distance from the seeds to what they still reach, over that before to the same nodes. index: the mean of
+    connectivity, reach and 1 / detour.
+    """
+    rest = without(edges_, failed)
+    was, now = components(edges_), components(rest)
+    a, b = reachability(was).select(F.col("pairs").alias("p0")), reachability(now).select(F.col("pairs").alias("p1"))
+    sizes = largest_component(was).withColumnRenamed("size", "l0").join(F.broadcast(largest_component(now).withColumnRenamed("size", "l1"))).join(F.broadcast(a)).join(F.broadcast(b))
+    known = distances(edges_, seeds).withColumnRenamed("d", "d0").join(distances(rest, seeds).withColumnRenamed("d", "d1"), ["seed", "node"])
+    far = known.agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1"))
+    over = lambda x, y: F.when(F.col(y) > 0, F.col(x) / F.col(y)).otherwise(F.lit(1.0))
+    out = sizes.join(F.broadcast(far)).select(over("l1", "l0").alias("connectivity"), over("p1", "p0").alias("reach"), over("d1", "d0").alias("detour"))
+    return out.withColumn("index", (F.col("connectivity") + F.col("reach") + 1 / F.col("detour")) / 3)

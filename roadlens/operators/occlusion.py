@@ -179,7 +179,7 @@ def simulate(tiles: DataFrame, seed: int = 42) -> DataFrame:
 
 
 def road_width(masks: DataFrame, *keys: str, data: str = "data", width: str = "width") -> DataFrame:
-    """keys, avg_road_width_px, max_road_width_px, road_density of masks held as arrays.
+    """keys, avg_road_width_px, max_road_width_px, road_density of masks held as arrays or bytes; a null mask is one without road.
 
     Widths are twice the mean and twice the greatest distance of road pixels to the background; null without road.
     """
@@ -188,7 +188,10 @@ def road_width(masks: DataFrame, *keys: str, data: str = "data", width: str = "w
     def measured(pixels: pd.Series, widths: pd.Series) -> pd.DataFrame:
         rows = []
         for p, w in zip(pixels, widths):
-            m = np.asarray(p).reshape(-1, int(w)) > 0
+            if p is None:
+                rows.append((None, None, 0.0))
+                continue
+            m = (np.frombuffer(p, np.uint8) if isinstance(p, bytes) else np.asarray(p)).reshape(-1, int(w)) > 0
             d = kernels.chamfer(m)[m]
             rows.append((2 * d.mean(), 2 * d.max(), m.mean()) if len(d) else (None, None, 0.0))
         return pd.DataFrame(rows, columns=["avg_road_width_px", "max_road_width_px", "road_density"]).astype(float)

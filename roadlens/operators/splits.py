@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.errors import RatioError
+from roadlens.errors import LeakageError, RatioError
 from roadlens.functions import numbers
 
 BUCKETS = 4096
@@ -71,6 +71,14 @@ def leakage(rows: DataFrame, key: str, splits: tuple[str, ...] = ("train", "val"
     return counts.select(F.inline(F.array(*[F.struct(F.lit(f"{a}_{b}").alias("pair"), F.col(f"{a}_{b}").alias("shared")) for a, b in pairs])))
 
 
+def verified(rows: DataFrame, key: str, splits: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
+    """rows, if no two splits share a key; else LeakageError names the pairs that do."""
+    shared = [f"{r['pair']}: {r['shared']}" for r in leakage(rows, key, splits).collect() if r["shared"]]  # one row for each pair of splits
+    if shared:
+        raise LeakageError(f"splits share values of {key}: {', '.join(shared)}")
+    return rows
+
+
 def sample(rows: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
     """n rows by hash order, the same on any cluster; each task keeps n rows of its own."""
     return rows.withColumn("__key", numbers.order_key(seed, F.col(id_col))).orderBy("__key", id_col).limit(n)

@@ -1,101 +1,167 @@
-"""From image files to the master table and its report: one lazy plan in steps (OP1-2, RAS10, D1-D6, §3 of the survey).
+"""From image files to the master table and its report (OP1-2, OP6, RAS10, SRC13, D1-D6, §3 of the survey).
 
-Steps are functions from DataFrames to DataFrames. Spark computes what the outputs asked for need, so there is no
-order of steps to keep and nothing to fill in when one is left out.
+Every file is decoded once, as what its manifest row says it is, and its content is hashed and read for tags in one other
+pass. An image and its mask meet in one task, where they are cut into tiles; what comes out is written as one table of
+columns, whose pixels only those read that ask for them. All other steps are functions from DataFrames to DataFrames of
+narrow rows, or work on a tile in its own row: no join carries pixels.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.config import Config
 from roadlens.functions import text
-from roadlens.operators import master, occlusion, splits, stats
-from roadlens.sources import images, manifests
+from roadlens.operators import kernels, master, occlusion, splits, stats
+from roadlens.session import cut, new_path, small
+from roadlens.sources import geotiff, images, manifests
 
-TILE_ROWS = "tile_id string, source_image_id string, source_dataset string, split string, row long, col long, x_start long, y_start long, x_end long, y_end long, height int, width int, road_pixel_pct double, image_std double, rgb binary, mask binary"
+KEY = ["image_id", "source_dataset", "split", "sat_image_path", "mask_path"]
+RECORD = "height int, width int, channels int, mask_height int, mask_width int, road_pixel_count long, windows int, kept int"
+TILE = "tile_id string, row long, col long, x_start long, y_start long, x_end long, y_end long, tile_height int, tile_width int, road_pixel_pct double, image_std double, rgb binary, mask binary"
+MADE = ", ".join(f"{k} string" for k in KEY) + f", {RECORD}, {TILE}"
+NAMES = [c.split()[0] for c in MADE.split(", ")]
 
 
-def _local(path):
+def _local(path: Column) -> Column:
     """A path without its scheme, as one file is named in several ways."""
     return F.regexp_replace(path, "^[a-z]+:/+", "/")
 
 
-def ingested(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
-    """A row for each image of a manifest that can be read: its pixels, its mask's, sizes and errors."""
-    read = images.images(spark, folder).withColumn("path", _local(F.col("path")))
-    pixels = images.standardised(read).select(F.col("path").alias("sat_image_path"), "height", "width", "channels", "rgb")
-    masks = images.masks(read).select(F.col("path").alias("mask_path"), F.col("height").alias("mask_height"), F.col("width").alias("mask_width"), "road_pixel_count", "mask")
-    sizes = images.hashes(spark, folder).select(_local(F.col("path")).alias("sat_image_path"), "size_bytes", F.col("md5").alias("md5_image"))
+def roles(manifest: DataFrame) -> DataFrame:
+    """path, role (image or mask) and the manifest row's columns: a row for each file that a manifest names."""
     named = manifest.withColumns({"sat_image_path": _local(F.col("sat_image_path")), "mask_path": _local(F.col("mask_path"))})
-    joined = named.join(pixels, "sat_image_path").join(masks, "mask_path", "left").join(sizes, "sat_image_path", "left")
-    return manifests.validated(joined)
+    return named.select(*KEY, F.inline(F.array(*[F.struct(F.col(c).alias("path"), F.lit(r).alias("role")) for c, r in (("sat_image_path", "image"), ("mask_path", "mask"))]))).filter("path is not null")
 
 
-def records(ingested_rows: DataFrame) -> DataFrame:
-    """What is known of each image, without pixels."""
-    return ingested_rows.drop("rgb", "mask").withColumn("invalid", F.size("validation_errors") > 0)
+def windows(h: int, w: int, size: int, step: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """How much an image is to grow on its far sides, and where its windows begin (y, x)."""
+    grow = [(0, max(0, size - n) if n <= size else -(n - size) % step) for n in (h, w)]
+    return grow, [(y, x) for y in range(0, h + grow[0][1] - size + 1, step) for x in range(0, w + grow[1][1] - size + 1, step)]
 
 
-def tiles(ingested_rows: DataFrame, config: Config) -> DataFrame:
-    """The best tiles of each image with their pixels. An image is cut, judged and capped in its own row."""
+def _shrunk(mask: np.ndarray, h: int, w: int) -> np.ndarray:
+    """A mask at the size of its image when that was scaled: each pixel is the nearest one's."""
+    pick = lambda n, m: np.minimum(((np.arange(m) + 0.5) * n / m).astype(int), n - 1)
+    return mask[np.ix_(pick(mask.shape[0], h), pick(mask.shape[1], w))]
+
+
+def _cut(config: Config):
+    """For one image's rows (itself and its mask): a row of what is known of it, then its best tiles."""
     size, step = config.tile_size, config.stride
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in TILE_ROWS.split(", ")]
-        for f in frames:
-            for r in f.itertuples():
-                rgb, mask = np.frombuffer(r.rgb, np.uint8).reshape(r.height, r.width, 3), np.frombuffer(r.mask, np.uint8).reshape(r.height, r.width)
-                grow = [(0, max(0, size - n) if n <= size else -(n - size) % step) for n in (r.height, r.width)]
-                rgb, mask = np.pad(rgb, [*grow, (0, 0)], mode="reflect"), np.pad(mask, grow, mode="reflect")
-                found = []
-                for y in range(0, rgb.shape[0] - size + 1, step):
-                    for x in range(0, rgb.shape[1] - size + 1, step):
-                        a, m = rgb[y : y + size, x : x + size], mask[y : y + size, x : x + size]
-                        road, spread = 100 * float((m > 0).mean()), float(a.std())
-                        if road >= config.min_road_pixel_pct and spread >= config.min_image_std:
-                            found.append((-road, y, x, spread))
-                rows = []
-                for road, y, x, spread in sorted(found)[: config.max_tiles_per_image]:
-                    i, j = y // step, x // step
-                    box = np.s_[y : y + size, x : x + size]
-                    rows.append((f"{r.split}_{r.image_id}_r{i:03d}_c{j:03d}", r.image_id, r.source_dataset, r.split, i, j, x, y, x + size, y + size, size, size, -road, spread, rgb[box].tobytes(), mask[box].tobytes()))
-                if rows:
-                    yield pd.DataFrame(rows, columns=names)
-
-    whole = ingested_rows.filter("has_mask and size(validation_errors) = 0")
-    return whole.select("image_id", "source_dataset", "split", "height", "width", "rgb", "mask").mapInPandas(cut, TILE_ROWS)
+    def made(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        read = {r.role: r for r in rows.itertuples() if r.height > 0}
+        about = dict(zip(KEY, key))
+        picture, other = read.get("image"), read.get("mask")
+        mask = None
+        if other is not None:
+            over = 0 if other.path.lower().endswith(images.TIFF) else 127
+            mask = images.mask_of(other.pixels, other.channels, over).reshape(other.height, other.width)
+            about |= {"mask_height": other.height, "mask_width": other.width, "road_pixel_count": int(mask.sum())}
+        if picture is None:
+            return pd.DataFrame([about], columns=NAMES, dtype=object)
+        about |= {"height": picture.height, "width": picture.width, "channels": picture.channels, "windows": 0, "kept": 0}
+        if mask is not None and mask.shape != (picture.height, picture.width):
+            return pd.DataFrame([about], columns=NAMES, dtype=object)
+        rgb = images.rgb_of(picture.pixels, picture.channels).reshape(picture.height, picture.width, 3)
+        if config.max_dimension and max(rgb.shape) > config.max_dimension:
+            rgb = kernels.lanczos(rgb, config.max_dimension)
+            mask = None if mask is None else _shrunk(mask, *rgb.shape[:2])
+        grow, places = windows(*rgb.shape[:2], size, step)
+        rgb = np.pad(rgb, [*grow, (0, 0)], mode="reflect")
+        mask = None if mask is None else np.pad(mask * np.uint8(255), grow, mode="reflect")
+        found = []
+        for y, x in places:
+            box = np.s_[y : y + size, x : x + size]
+            road, spread = 0.0 if mask is None else 100 * float((mask[box] > 0).mean()), float(rgb[box].std())
+            if road >= config.min_road_pixel_pct and spread >= config.min_image_std:
+                found.append((-road, y, x, spread))
+        about |= {"windows": len(places), "kept": len(found)}
+        out = [about]
+        for road, y, x, spread in sorted(found)[: config.max_tiles_per_image]:
+            box = np.s_[y : y + size, x : x + size]
+            out.append({k: about[k] for k in KEY} | {
+                "tile_id": f"{about['split']}_{about['image_id']}_r{y // step:03d}_c{x // step:03d}", "row": y // step, "col": x // step, "x_start": x, "y_start": y, "x_end": x + size, "y_end": y + size,
+                "tile_height": size, "tile_width": size, "road_pixel_pct": -road + 0.0, "image_std": spread, "rgb": rgb[box].tobytes(), "mask": None if mask is None else mask[box].tobytes(),
+            })
+        return pd.DataFrame(out, columns=NAMES, dtype=object)
+
+    return made
+
+
+def made(spark: SparkSession, named: DataFrame, folder: str, config: Config) -> DataFrame:
+    """MADE: for each manifest row of which a file can be read a row about the image (no tile_id), and rows of its tiles.
+
+    named: roles of a manifest. Pixels are dealt out once, to bring an image and its mask together: a picture file is one
+    row, and only Spark's image source decodes it.
+    """
+    read = images.images(spark, folder, broken=True).withColumn("path", _local(F.col("path")))
+    return read.join(small(named), "path").groupBy(*KEY).applyInPandas(_cut(config), MADE)
+
+
+def facts(spark: SparkSession, named: DataFrame, folder: str) -> DataFrame:
+    """KEY with size_bytes, md5_image, md5_mask, listed, and the image's geographic tags: one pass over the files' contents."""
+    is_tiff = text.extension(F.col("path")).isin(*images.TIFF)
+    content = images.hashes(spark, folder, geotiff.tags_of(F.when(is_tiff, F.col("content"))).alias("geo")).withColumn("path", _local(F.col("path")))
+    of = lambda role, c: F.max(F.when(F.col("role") == role, F.col(c)))
+    return named.join(content, "path", "left").groupBy(*KEY).agg(
+        of("image", "size_bytes").alias("size_bytes"), of("image", "md5").alias("md5_image"), of("mask", "md5").alias("md5_mask"), of("image", "md5").isNotNull().alias("listed"),
+        *[F.first(F.when((F.col("role") == "image") & F.col("geo.is_georeferenced"), F.col(f"geo.{c}")), ignorenulls=True).alias(c) for c in ("crs", "transform", "bounds", "resolution_x", "resolution_y")],
+    ).withColumn("is_georeferenced", F.col("crs").isNotNull())
+
+
+def records(made_rows: DataFrame, facts_: DataFrame) -> DataFrame:
+    """What is known of each image that can be read, without pixels."""
+    known = made_rows.filter("tile_id is null").select(*KEY, *[c.split()[0] for c in RECORD.split(", ")])
+    joined = facts_.join(known, [facts_[k].eqNullSafe(known[k]) for k in KEY]).select(facts_["*"], *[known[c.split()[0]] for c in RECORD.split(", ")])
+    return manifests.validated(joined).withColumn("invalid", F.size("validation_errors") > 0)
+
+
+def failures(facts_: DataFrame, known: DataFrame) -> DataFrame:
+    """image_id, source_dataset, sat_image_path, reason of the manifest rows whose image is missing or cannot be read (OP6)."""
+    lost = facts_.join(known.select("image_id", "source_dataset", "sat_image_path"), ["image_id", "source_dataset", "sat_image_path"], "left_anti")
+    return lost.select("image_id", "source_dataset", "sat_image_path", F.when(F.col("listed"), "image_unreadable").otherwise("image_missing").alias("reason"))
+
+
+def tiles(made_rows: DataFrame) -> DataFrame:
+    """The best tiles of each image with their pixels; mask is null where the image has none."""
+    return made_rows.filter("tile_id is not null").select(
+        "tile_id", F.col("image_id").alias("source_image_id"), "source_dataset", "split", "row", "col", "x_start", "y_start", "x_end", "y_end",
+        F.col("tile_height").alias("height"), F.col("tile_width").alias("width"), "road_pixel_pct", "image_std", "rgb", "mask",
+    )
 
 
 @dataclass(frozen=True)
 class Dataset:
     records: DataFrame
+    failures: DataFrame
     tiles: DataFrame
     occlusions: DataFrame
     master: DataFrame
     report: DataFrame
 
 
-def build(spark: SparkSession, manifest: DataFrame, folder: str, config: Config = Config(), source: str = "images") -> Dataset:
-    """All tables of a dataset. Nothing is computed until one is used; write `tiles` before reading it several times."""
-    rows = ingested(spark, manifests.in_splits(manifest, config.active_splits).withColumn("source_dataset", F.lit(source)), folder)
-    cut = tiles(rows, config)
-    plan = splits.occlusion_plan(cut.withColumns({"image_path": F.col("tile_id"), "mask_path": F.col("tile_id")}), occlusion.TYPES, occlusion.SEVERITIES, config.occlusion_samples, seed=config.seed)
-    done = occlusion.simulate(plan.drop("rgb", "mask", "height", "width").select("tile_id", "occlusion_type", "severity").join(cut.select("tile_id", "height", "width", "rgb", "mask"), "tile_id"), config.seed)
-    measured = occlusion.road_width(cut.withColumn("data", images.bytes_as_array(F.col("mask"))), "tile_id")
-    paths = {"image_tile_path": F.concat(F.lit("images/"), "tile_id", F.lit(".png")), "mask_tile_path": F.concat(F.lit("masks/"), "tile_id", F.lit(".png"))}
-    described = cut.drop("rgb", "mask").join(measured, "tile_id").withColumns({"tile_width": F.col("width"), "tile_height": F.col("height"), **paths})
-    known = records(rows)
-    references = known.select(F.col("image_id").alias("source_image_id"), F.lit(None).cast("string").alias("reference"))
+def build(spark: SparkSession, manifest: DataFrame, folder: str, config: Config = Config(), source: str = "images", out: str | None = None) -> Dataset:
+    """All tables of a dataset. Files are read and tiles cut and written here, to `out` or the shared folder; the tables read that."""
+    named = cut(roles(manifests.in_splits(manifest, config.active_splits).withColumn("source_dataset", F.lit(source))))
+    path = out or new_path(spark, "dataset")
+    made(spark, named, folder, config).write.mode("overwrite").parquet(path)
+    rows, about = spark.read.parquet(path), cut(facts(spark, named, folder))
+    known, best = records(rows, about), tiles(rows)
+    ready = best.drop("rgb", "mask").withColumns({"image_path": F.col("tile_id"), "mask_path": F.col("tile_id")})
+    with_mask = ready.filter(best["mask"].isNotNull())
+    plan = splits.occlusion_plan(with_mask, occlusion.TYPES, occlusion.SEVERITIES, config.occlusion_samples, seed=config.seed).select("tile_id", "occlusion_type", "severity")
+    # the plan has as many rows as the configuration says; tiles stay where they are
+    done = occlusion.simulate(best.join(small(cut(plan)), "tile_id"), config.seed)
+    measured = occlusion.road_width(best, *[c for c in best.columns if c not in ("rgb", "mask")], data="mask")
+    paths = {"image_tile_path": F.concat("split", F.lit("/images/"), "tile_id", F.lit(".png")), "mask_tile_path": F.concat("split", F.lit("/masks/"), "tile_id", F.lit(".png"))}
+    described = measured.withColumns({"tile_width": F.col("width"), "tile_height": F.col("height"), **paths})
+    references = known.filter("is_georeferenced").select(F.col("image_id").alias("source_image_id"), F.col("sat_image_path").alias("reference"))
     table = master.master(described, done.withColumn("ordinal", F.lit(0)), references)
-    return Dataset(known, cut, done, table, stats.dataset_report_with_total(known, "source_dataset"))
-
-
-def split_names(manifest: DataFrame) -> DataFrame:
-    return manifest.withColumn("split", text.split_name(F.col("split")))
+    return Dataset(known, failures(about, known), best, done, table, stats.dataset_report_with_total(known, "source_dataset"))

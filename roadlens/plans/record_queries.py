@@ -74,9 +74,9 @@ def q_validate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT c_custkey AS id, c_name AS name, c_nationkey::BIGINT AS nation, c_acctbal AS balance, c_mktsegment AS segment, 'customer' AS source_dataset FROM customer UNION ALL SELECT s_suppkey, s_name, s_nationkey, s_acctbal, NULL, 'supplier' FROM supplier")
 def q_scan_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC1, SRC17, SET1: sources one under another; what one lacks is null."""
-    a = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"), F.lit("customer").alias("source_dataset"))
-    b = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance"), F.lit("supplier").alias("source_dataset"))
-    return rounded(a.unionByName(b, allowMissingColumns=True), 2)
+    a = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"))
+    b = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance"))
+    return rounded(manifests.combined({"customer": a, "supplier": b}), 2)
 
 
 @query(f"WITH {IMAGES} SELECT split, source_dataset, count(*) AS n FROM images WHERE split IN ('train', 'val') GROUP BY 1, 2")
@@ -89,7 +89,7 @@ def q_scan_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_manifest_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC7: padded text is trimmed, split names are made the usual ones."""
     raw = F.element_at(F.array(F.lit(" Valid "), F.lit(""), F.lit("TEST ")), F.col("p_size") % 3 + 1)
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.trim(F.concat(F.lit("  "), "p_name", F.lit(" "))).alias("name"), text.split_name(raw).alias("split"))
+    return manifests.cleaned(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.concat(F.lit("  "), "p_name", F.lit(" ")).alias("name"), raw.alias("split")))
 
 
 @query("""WITH b AS (SELECT page_id, url, string_split(url, '/')[-1] AS b FROM pages) SELECT page_id, regexp_extract(url, '^https?://([^/]+)/', 1) AS host, b AS name, regexp_replace(b, '^(.+)\\.[^.]*$', '\\1') AS stem, lower(regexp_extract(b, '^.+(\\.[^.]*)$', 1)) AS extension FROM b""")

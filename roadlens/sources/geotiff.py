@@ -5,7 +5,7 @@ from __future__ import annotations
 import struct
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Fixed values of the TIFF 6.0 and GeoTIFF 1.1 specifications: field types by number, and the tags that are read.
@@ -73,12 +73,17 @@ def described(content: bytes) -> tuple:
     return (w, h, t.get(SAMPLES, (1,))[0], dtype, crs is not None, crs, dict(zip("abcdef", matrix)), {"left": min(xs), "bottom": min(ys), "right": max(xs), "top": max(ys)}, abs(a), abs(e), nodata)
 
 
-def metadata(spark: SparkSession, path: str) -> DataFrame:
-    """path and SCHEMA of every file below a folder; files that are no TIFF have nulls and are not georeferenced."""
+def tags_of(content: Column) -> Column:
+    """SCHEMA of a file's content; nulls, and not georeferenced, if it is no TIFF or null."""
 
     @F.pandas_udf(SCHEMA)
     def of(content: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([described(bytes(c)) for c in content], columns=[c.split()[0] for c in "width height band_count dtype is_georeferenced crs transform bounds resolution_x resolution_y nodata".split()]).astype({"width": "Int32", "height": "Int32", "band_count": "Int32"})
+        return pd.DataFrame([described(bytes(c or b"")) for c in content], columns=[c.split()[0] for c in "width height band_count dtype is_georeferenced crs transform bounds resolution_x resolution_y nodata".split()]).astype({"width": "Int32", "height": "Int32", "band_count": "Int32"})
+
+    return of(content)
 
+
+def metadata(spark: SparkSession, path: str) -> DataFrame:
+    """path and SCHEMA of every file below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", of("content").alias("m")).select("path", "m.*")
+    return files.select("path", tags_of(F.col("content")).alias("m")).select("path", "m.*")

@@ -4,26 +4,49 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.functions import numbers
+from roadlens.functions import numbers, text
 from roadlens.operators.kernels import lanczos
 
 
-def images(spark: SparkSession, path: str) -> DataFrame:
-    """path, height, width, channels, pixels (bytes as stored: blue, green, red) of JPEG and PNG files; broken files go."""
-    rows = spark.read.format("image").option("dropInvalid", "true").load(path)
+TIFF = (".tif", ".tiff")
+#: The weights of blue, green and red in grey, in parts of 2^14.
+LUMA = np.array([1868, 9617, 4899])
+
+
+def images(spark: SparkSession, path: str, broken: bool = False) -> DataFrame:
+    """path, height, width, channels, pixels (bytes as stored: blue, green, red) of JPEG, PNG and TIFF files.
+
+    Files that cannot be decoded go or, with broken, stay with a height of -1 and no pixels.
+    """
+    rows = spark.read.format("image").option("dropInvalid", "false" if broken else "true").option("recursiveFileLookup", "true").load(path)
     return rows.select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"), F.col("image.width").alias("width"), F.col("image.nChannels").alias("channels"), F.col("image.data").alias("pixels"))
 
 
-def hashes(spark: SparkSession, path: str) -> DataFrame:
-    """path, size_bytes, md5 of the whole file and of its first 64 KiB."""
+def hashes(spark: SparkSession, path: str, *more: Column) -> DataFrame:
+    """path, size_bytes, md5 of the whole file and of its first 64 KiB, and any more that is told from `content` in the same pass."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.col("length").alias("size_bytes"), numbers.whole_hash(F.col("content")).alias("md5"), numbers.prefix_hash(F.col("content")).alias("md5_prefix"))
+    return files.select("path", F.col("length").alias("size_bytes"), numbers.whole_hash(F.col("content")).alias("md5"), numbers.prefix_hash(F.col("content")).alias("md5_prefix"), *more)
+
+
+def rgb_of(pixels: bytes, channels: int) -> np.ndarray:
+    """Pixels as stored, as rows of red, green and blue. Grey is repeated; a fourth channel goes."""
+    x = np.frombuffer(pixels, np.uint8).reshape(-1, channels)
+    return np.repeat(x, 3, 1) if channels == 1 else x[:, 2::-1]
+
+
+def mask_of(pixels: bytes, channels: int, over: int = 127, any_channel: bool = False) -> np.ndarray:
+    """Whether each pixel is grey enough: by the usual weights of blue, green and red, or by its brightest channel."""
+    x = np.frombuffer(pixels, np.uint8).reshape(-1, channels)[:, :3]
+    if x.shape[1] == 1 or any_channel:
+        return (x > over).any(1)
+    return (x.astype(np.int64) @ LUMA + (1 << 13)) >> 14 > over
 
 
 def standardised(rows: DataFrame) -> DataFrame:
@@ -31,11 +54,7 @@ def standardised(rows: DataFrame) -> DataFrame:
 
     @F.pandas_udf("binary")
     def rgb(pixels: pd.Series, channels: pd.Series) -> pd.Series:
-        out = []
-        for p, c in zip(pixels, channels):
-            x = np.frombuffer(p, np.uint8).reshape(-1, int(c))
-            out.append((np.repeat(x, 3, 1) if c == 1 else x[:, 2::-1]).tobytes())
-        return pd.Series(out)
+        return pd.Series([rgb_of(p, int(c)).tobytes() for p, c in zip(pixels, channels)])
 
     return rows.withColumn("rgb", rgb("pixels", "channels"))
 
@@ -51,18 +70,22 @@ def limited(rows: DataFrame, most: int) -> DataFrame:
     return rows.withColumn("__s", scaled("rgb", "height", "width")).withColumns({c: F.col(f"__s.{c}") for c in ("rgb", "height", "width")}).drop("__s")
 
 
-def masks(rows: DataFrame, over: int = 127) -> DataFrame:
-    """Adds mask (bytes, 0 or 255: any channel over the limit) and road_pixel_count."""
+def masks(rows: DataFrame, over: int = 127, any_channel: bool = False) -> DataFrame:
+    """Adds mask (bytes, 255 where the grey value, or any channel, is over the limit, else 0) and road_pixel_count.
+
+    A TIFF mask counts from its first level on (SRC12).
+    """
 
     @F.pandas_udf("mask binary, road long")
-    def threshold(pixels: pd.Series, channels: pd.Series) -> pd.DataFrame:
+    def threshold(pixels: pd.Series, channels: pd.Series, limits: pd.Series) -> pd.DataFrame:
         out = []
-        for p, c in zip(pixels, channels):
-            on = (np.frombuffer(p, np.uint8).reshape(-1, int(c))[:, :3] > over).any(1)
+        for p, c, limit in zip(pixels, channels, limits):
+            on = mask_of(p, int(c), int(limit), any_channel)
             out.append(((on * np.uint8(255)).tobytes(), int(on.sum())))
         return pd.DataFrame(out, columns=["mask", "road"])
 
-    return rows.withColumn("__m", threshold("pixels", "channels")).withColumns({"mask": F.col("__m.mask"), "road_pixel_count": F.col("__m.road")}).drop("__m")
+    limit = F.when(text.extension(F.col("path")).isin(*TIFF), 0).otherwise(over)
+    return rows.withColumn("__m", threshold("pixels", "channels", limit)).withColumns({"mask": F.col("__m.mask"), "road_pixel_count": F.col("__m.road")}).drop("__m")
 
 
 def bytes_as_array(data: Column) -> Column:
@@ -90,3 +113,31 @@ def as_png(data: Column, height: Column, width: Column, channels: int = 3) -> Co
         return pd.Series([png(np.frombuffer(x, np.uint8).reshape((a, b, 3) if channels == 3 else (a, b))) for x, a, b in zip(d, h, w)])
 
     return encode(data, height, width)
+
+
+def write_files(rows: DataFrame, folder: str, name: str = "name", content: str = "content") -> None:
+    """Writes each row's content (bytes) as a file of its name below a folder of any file system that Arrow knows (SNK2-3, SNK9).
+
+    A task that is run again writes the same files again. Names may hold folders; rows without a name or content write nothing.
+    """
+
+    def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, top = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        for b in batches:
+            for n, c in zip(b[name], b[content]):
+                store.create_dir(f"{top}/{n}".rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(f"{top}/{n}") as out:
+                    out.write(c)
+            yield pd.DataFrame({"n": [len(b)]})
+
+    known = rows.select(name, content).filter(F.col(name).isNotNull() & F.col(content).isNotNull())
+    known.mapInPandas(written, "n long").agg(F.sum("n")).first()
+
+
+def write_tiles(tiles: DataFrame, folder: str) -> None:
+    """Tiles (tile_id, split, height, width, rgb, mask) as {split}/images/{tile_id}.png and {split}/masks/{tile_id}.png."""
+    at = lambda kind: F.concat("split", F.lit(f"/{kind}/"), "tile_id", F.lit(".png"))
+    write_files(tiles.select(at("images").alias("name"), as_png(F.col("rgb"), F.col("height"), F.col("width")).alias("content")), folder)
+    write_files(tiles.filter("mask is not null").select(at("masks").alias("name"), as_png(F.col("mask"), F.col("height"), F.col("width"), 1).alias("content")), folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,6 +18,7 @@ IMAGE_EXTENSIONS = (".tif", ".tiff", ".png", ".jpg", ".jpeg")
 MASK_EXTENSIONS = (".png", ".tif", ".tiff", ".jpg", ".jpeg")
 MANIFEST = "image_id string, split string, sat_image_path string, mask_path string"
 
+log = logging.getLogger(__name__)
 _SCANNERS: dict[str, Callable[..., DataFrame]] = {}
 
 
@@ -31,29 +33,49 @@ def scanner(name: str):
 
 
 def scan(spark: SparkSession, sources: dict[str, dict]) -> DataFrame:
-    """The records of all enabled sources, one under another; unknown adapters are scanned as plain folders.
+    """The records of all sources with enabled: true, one under another; unknown adapters are scanned as plain folders.
 
-    Sources that fail when they are set up are left out; if none is left, SourceError names the reasons.
+    Sources that fail when they are set up are left out, and each is logged as an error; `failures` names them. If none is
+    left, SourceError names the reasons.
     """
-    parts, failed = [], []
+    parts, failed = _scanned(spark, sources)
+    for name, reason in failed.items():
+        log.error("source %s cannot be read: %s", name, reason)
+    if not parts:
+        raise SourceError("no source can be read: " + ("; ".join(f"{k}: {v}" for k, v in failed.items()) or "none is enabled"))
+    return combined(parts)
+
+
+def failures(spark: SparkSession, sources: dict[str, dict]) -> DataFrame:
+    """source_dataset, reason of the enabled sources that cannot be set up."""
+    return spark.createDataFrame(list(_scanned(spark, sources)[1].items()), "source_dataset string, reason string")
+
+
+def _scanned(spark: SparkSession, sources: dict[str, dict]) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    parts, failed = {}, {}
     for name, settings in sources.items():
-        if not settings.get("enabled", True):
+        if not settings.get("enabled", False):
             continue
         try:
-            made = _SCANNERS.get(str(settings.get("adapter", "folder")).strip().lower(), _SCANNERS["folder"])(spark, settings)
-            parts.append(made.withColumn("source_dataset", F.lit(name)))
-        except Exception as e:  # a source that is absent is reported, the others go on
-            failed.append(f"{name}: {str(e).splitlines()[0]}")
-    if not parts:
-        raise SourceError("no source can be read: " + "; ".join(failed))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            parts[name] = _SCANNERS.get(str(settings.get("adapter", "folder")).strip().lower(), _SCANNERS["folder"])(spark, settings)
+        except Exception as e:  # whatever is wrong with one source, the others go on
+            failed[name] = str(e).splitlines()[0]
+    return parts, failed
+
+
+def combined(parts: dict[str, DataFrame]) -> DataFrame:
+    """The rows of named sources, one under another, with source_dataset; what a source lacks is null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn("source_dataset", F.lit(name)) for name, df in parts.items()])
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """A CSV manifest with its four columns trimmed and splits by their usual names."""
-    rows = spark.read.schema(MANIFEST).csv(path, header=True)
-    trimmed = {c: F.trim(c) for c in rows.columns}
-    return rows.withColumns(trimmed).withColumn("split", text.split_name(F.col("split")))
+    return cleaned(spark.read.schema(MANIFEST).csv(path, header=True))
+
+
+def cleaned(rows: DataFrame) -> DataFrame:
+    """Manifest rows with their texts trimmed and their splits by the usual names."""
+    return rows.withColumns({c: F.trim(c) for c, kind in rows.dtypes if kind == "string"}).withColumn("split", text.split_name(F.col("split")))
 
 
 def in_splits(records: DataFrame, splits: tuple[str, ...] = ("train",)) -> DataFrame:

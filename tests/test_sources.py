@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from roadlens import config
 from roadlens.errors import ConfigError, SourceError
 from roadlens.operators import augment, inference, kernels, tiling
-from roadlens.plans import dataset
 from roadlens.sources import geotiff, images, manifests, tables, vector_files
 from roadlens.streaming import ingest
 
@@ -48,15 +47,20 @@ def test_pixels_survive(spark, folder):
     assert (by["1_mask.png"]["mask"], by["1_mask.png"]["road_pixel_count"], by["1_mask.png"]["channels"]) == (mask.tobytes(), 800, 1)
 
 
-def test_listing_pairing_and_discovery(spark, folder):
+def test_listing_pairing_and_discovery(spark, folder, caplog):
     found = manifests.listing(spark, str(folder)).collect()
     assert len(found) == 7 and all(r["size_bytes"] > 0 for r in found)
-    out = manifests.scan(spark, {"a": {"images": str(folder)}, "b": {"enabled": False}, "c": {"adapter": "Manifest", "path": str(folder / "none.csv")}, "d": {"adapter": "unknown", "images": str(folder), "masks": str(folder)}})
+    sources = {"a": {"enabled": True, "images": str(folder)}, "b": {}, "c": {"enabled": True, "adapter": "Manifest", "path": str(folder / "none.csv")}, "d": {"enabled": True, "adapter": "unknown", "images": str(folder), "masks": str(folder)}}
+    out = manifests.scan(spark, sources)
+    assert "PATH_NOT_FOUND" in "".join(r["reason"] for r in manifests.failures(spark, sources).collect()) and [r["source_dataset"] for r in manifests.failures(spark, sources).collect()] == ["c"]
+    assert "source c cannot be read" in caplog.text
     assert {r["source_dataset"] for r in out.collect()} == {"a", "d"}
     pairs = {r["image_id"]: r["mask_path"] for r in out.filter("source_dataset = 'd' and sat_image_path like '%sat%'").collect()}
     assert pairs["0"].endswith("0_mask.png") and pairs["2"] is None
     with pytest.raises(SourceError):
-        manifests.scan(spark, {"x": {"images": str(folder / "nowhere")}})
+        manifests.scan(spark, {"x": {"enabled": True, "images": str(folder / "nowhere")}})
+    with pytest.raises(SourceError):
+        manifests.scan(spark, {"x": {"images": str(folder)}})
 
 
 def test_manifest_is_trimmed(spark, tmp_path):
@@ -65,24 +69,6 @@ def test_manifest_is_trimmed(spark, tmp_path):
     assert (rows["1"]["split"], rows["1"]["mask_path"], rows["2"]["mask_path"], rows["3"]["split"]) == ("val", "b.png", None, "train")
 
 
-def test_files_to_master_table(spark, folder, tmp_path):
-    made = dataset.build(spark, manifest(spark, folder), str(folder / "train"), config.Config(tile_size=32, stride=16, max_tiles_per_image=4, occlusion_samples=5))
-    known = {r["image_id"]: r for r in made.records.collect()}
-    assert set(known) == {"0", "1", "2", "3"} and known["2"]["validation_errors"] == ["mask_unreadable"] and known["0"]["road_pixel_pct"] == 12.5
-    cut = made.tiles.drop("rgb", "mask").collect()
-    assert {i: sum(r["source_image_id"] == i for r in cut) for i in "0123"} == {"0": 4, "1": 4, "2": 0, "3": 0}
-    best = {(r["row"], r["col"]): r["road_pixel_pct"] for r in cut if r["source_image_id"] == "0"}
-    assert best == {(1, 0): 25.0, (1, 1): 25.0, (1, 2): 25.0, (0, 0): 12.5}
-    tables.write_master(made.master, str(tmp_path / "m"))
-    back = tables.read_master(spark, str(tmp_path / "m/csv"))
-    assert back.count() == 8 and back.filter("occlusion_type is not null").count() == 5
-    assert back.agg(F.max("max_road_width_px")).first()[0] == 8.0
-    again = tiling.rehydrated(back.withColumnRenamed("image_id", "tile_id"), stride=16).collect()
-    assert {(r["tile_id"], r["row"], r["col"], r["x_end"]) for r in again} == {(r["tile_id"], r["row"], r["col"], r["x_end"]) for r in cut}
-    tables.write_report(made.report, str(tmp_path / "r"))
-    assert {r["total_masks"] for r in spark.read.json(str(tmp_path / "r")).collect()} == {3}
-
-
 def tile_rows(spark):
     rows = []
     for k in range(3):
@@ -142,6 +128,22 @@ def tiff(order, entries, w=40, h=30):
     return mark + struct.pack(order + "I", 8) + struct.pack(order + "H", len(fields)) + heads + b"\0" * 4 + body
 
 
+def test_masks_count_by_their_grey_value(spark, tmp_path):
+    colours = np.array([[[255, 0, 0], [0, 255, 0], [0, 0, 255], [128, 128, 128], [127, 127, 127], [255, 255, 0]]], np.uint8)
+    (tmp_path / "m.png").write_bytes(images.png(colours))
+    read = images.images(spark, str(tmp_path))
+    assert list(images.masks(read).first()["mask"]) == [0, 255, 0, 255, 0, 255]
+    assert list(images.masks(read, any_channel=True).first()["mask"]) == [255, 255, 255, 255, 0, 255]
+    assert list(images.masks(read.withColumn("path", F.lit("m.TIF"))).first()["mask"]) == [255] * 6
+
+
+def test_files_are_written_and_read_back(spark, tmp_path):
+    images.write_tiles(tile_rows(spark).withColumns({"split": F.lit("val"), "mask": F.when(F.col("tile_id") != "t1", F.col("mask"))}), str(tmp_path))
+    back = {r["path"].rsplit("/", 3)[-3:][1] + "/" + r["path"].rsplit("/", 1)[1]: r for r in images.standardised(images.images(spark, str(tmp_path))).collect()}
+    assert sorted(back) == ["images/t0.png", "images/t1.png", "images/t2.png", "masks/t0.png", "masks/t2.png"]
+    assert back["images/t2.png"]["rgb"] == picture(32, 32, 2)[0].tobytes() and back["masks/t0.png"]["channels"] == 1
+
+
 def test_geographic_metadata(spark, tmp_path):
     scale, tie = (33550, "d", [2.0, 3.0, 0.0]), (33922, "d", [0.0, 0.0, 0.0, 100.0, 200.0, 0.0])
     keys = lambda code, point: (34735, "H", [1, 1, 0, 2, 1025, 0, 1, point, 3072, 0, 1, code])
