@@ -52,3 +52,18 @@ def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     df has to be cheap to count: a cut table.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def join_often(rows: DataFrame, names: DataFrame, on: list[str], how: str = "inner", often: int = 1_000) -> DataFrame:
+    """rows joined with names, which has one row for each key and, as n, how many of rows have that key; n is not in the result.
+
+    Keys of more than `often` rows are at most a share of 1 / often of them: they meet their names by broadcast, where
+    they lie, if their table is small. All others join by shuffle, where no task gets many rows of one key. names has to be
+    a cut table; how is inner or left.
+    """
+    hot = names.filter(F.col("n") > often).drop("n")
+    if not hot.limit(1).count():
+        return rows.join(names.drop("n"), on, how)
+    hot = small(hot, 200_000)
+    rest = rows.join(hot.select(*on), on, "left_anti").join(names.filter(F.col("n") <= often).drop("n"), on, how)
+    return rows.join(hot, on).unionByName(rest)
