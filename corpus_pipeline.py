@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from roadlens.llm import decontaminate, pii, quality, sentencepiece_codec, simhash_dedup
-from roadlens.llm.common import new_path
+from roadlens.llm.common import drop_path, new_path
 from roadlens.llm.queries import table, tokenizer_path
 
 
@@ -50,10 +50,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. What a stage wrote is deleted when the next has written; the last of them stays, as the result reads it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
             docs.write.parquet(path := new_path(spark, "stage"))
-            docs = spark.read.parquet(path)
+            if before:
+                drop_path(spark, before)
+            docs, before = spark.read.parquet(path), path
     return docs

@@ -7,9 +7,9 @@ import logging
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.session import cut, drop_path, new_path, small
+from roadlens.session import cut, drop_path, join_often, new_path, small
 
-__all__ = ["Recent", "cut", "drop_path", "held_out", "new_path", "small", "spread", "unused"]
+__all__ = ["Recent", "cut", "drop_path", "held_out", "join_often", "new_path", "small", "spread", "unused"]
 
 log = logging.getLogger(__name__)
 

@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.operators.components import connected_components
+from roadlens.operators.unions import join_roots
 
-from .common import cut, small
-from .unions import join_roots
+from .common import cut, join_often, small
 
 TILE = 2048
 #: Open pairs that are computed anew together.
@@ -165,10 +165,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     component = connected_components(met, "node", "root")
     links = met.groupBy("node").agg(F.sum("links").alias("links"))
     known = distinct.join(links, "node", "left").join(component, "node", "left")
+    known = cut(known.select("label", "v", "node", "n", F.col("n").alias("copies"), "links", "component"))
     named = F.col("vec_id").isNotNull()
-    return src.join(known, ["label", "v"], "left").select(
+    return join_often(src, known, ["label", "v"], "left").select(
         "vec_id",
-        F.coalesce(F.when(named, F.coalesce("links", F.lit(0)) + F.col("n") - 1), F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce(F.when(named, F.coalesce("links", F.lit(0)) + F.col("copies") - 1), F.lit(0)).cast("long").alias("n_links"),
         (c := F.when(named, F.coalesce("component", "node", "vec_id"))).alias("component_id"),
         F.col("vec_id").eqNullSafe(c).alias("kept"),
     )

@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.operators.components import connected_components
+from roadlens.operators.unions import join_roots
 
-from .common import cut, small, spread, unused
-from .unions import join_roots
+from .common import cut, join_often, small, spread, unused
 
 CELL = 2048
 SEED = 42
@@ -159,14 +159,14 @@ def near_duplicates(docs: DataFrame, most: int = 3, id_col: str = "doc_id", text
 def _grouped(docs: DataFrame, most: int, id_col: str = "doc_id", text_col: str = "text", cell: int = CELL) -> DataFrame:
     """doc_id, fp, c, component_id: like near_duplicates, with the group itself, as groups of one repeated id share its name."""
     src = cut(spread(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).select("doc_id", fingerprints(F.col("text")).alias("fp")))
-    prints = cut(src.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    prints = cut(src.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     component = connected_components(links(prints.select("fp"), most, cell), "a", "b")
     linked = cut(prints.join(component, prints["fp"] == component["node"]).select("fp", "least", F.col("component").alias("c")))
     # a component may hold a third of all rows: its name is broadcast, or joined by exchanges on both sides, which AQE may split
     names = small(cut(linked.groupBy("c").agg(F.min("least").alias("component_id"))), 500_000)
     of_print = prints.join(linked.join(names, "c").select("fp", "c", "component_id"), "fp", "left")
-    of_print = of_print.select("fp", F.coalesce("c", "fp").alias("c"), F.when(F.col("c").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
-    return src.join(of_print, "fp").select("doc_id", "fp", "c", "component_id")
+    of_print = of_print.select("fp", F.coalesce("c", "fp").alias("c"), F.when(F.col("c").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"), "n")
+    return join_often(src, cut(of_print), ["fp"]).select("doc_id", "fp", "c", "component_id")
 
 
 def one_of_each(docs: DataFrame, most: int = 3) -> DataFrame:
