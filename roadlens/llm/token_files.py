@@ -98,9 +98,31 @@ class Encoder:
             self.known[key] = got
         return got
 
+    def _learn_words(self, keys: set) -> list:
+        """Learns chunks of plain words and gives back all others. Most are one word, or one with a mark behind it."""
+        known, older, tokenize, code, blank, ends = self.known, self.known.older, self.model.tokenize, self.code, self.letters[32], {k: v for k, v in self.marks.items() if k != "\n"}
+        rest = []
+        for key in keys:
+            got = older.get(key)
+            if got is None:
+                if type(key) is str and key.isascii():
+                    word, mark = (key, b"") if key.isalpha() else (key[:-1], ends.get(key[-1:]))
+                    if mark is not None and word.isalpha():
+                        got = known.get(word) or older.get(word)
+                        if got is None:
+                            got = array(code, [t.id for t in tokenize(blank + word)]).tobytes()
+                            if mark:
+                                known[word] = got
+                        got += mark
+                if got is None and (got := self._by_words(key)) is None:
+                    rest.append(key)
+                    continue
+            known[key] = got
+        return rest
+
     def _learn(self, keys: set) -> None:
         known = self.known
-        rest = [k for k in keys if (self._by_words(k) if self.by_word else known.recall(k)) is None]
+        rest = self._learn_words(keys) if self.by_word else [k for k in keys if known.recall(k) is None]
         for k in range(0, len(rest), 4096):
             part = rest[k : k + 4096]
             known.update((c, self._packed(i)) for c, i in zip(part, self._ids([c[0] if type(c) is tuple else " " + c for c in part])))
