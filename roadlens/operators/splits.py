@@ -63,12 +63,12 @@ def by_group(rows: DataFrame, group: str, train: float = 0.85, seed: int = 42) -
     return rows.join(named, group)
 
 
-def leakage(rows: DataFrame, key: str, splits: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
-    """pair, shared: how many keys two splits have in common. One aggregation, not a join for each pair."""
-    seen = rows.groupBy(key).agg(*[F.max((F.col("split") == s).cast("int")).alias(s) for s in splits])
+def leakage(rows: DataFrame, key: str, splits: tuple[str, ...] = ("train", "val", "test"), by: tuple[str, ...] = ()) -> DataFrame:
+    """by, pair, shared: how many keys two splits have in common. One aggregation, not a join for each pair."""
+    seen = rows.groupBy(*by, key).agg(*[F.max((F.col("split") == s).cast("int")).alias(s) for s in splits])
     pairs = [(a, b) for i, a in enumerate(splits) for b in splits[i + 1 :]]
-    counts = seen.agg(*[F.coalesce(F.sum(F.col(a) * F.col(b)), F.lit(0)).cast("long").alias(f"{a}_{b}") for a, b in pairs])
-    return counts.select(F.inline(F.array(*[F.struct(F.lit(f"{a}_{b}").alias("pair"), F.col(f"{a}_{b}").alias("shared")) for a, b in pairs])))
+    counts = seen.groupBy(*by).agg(*[F.coalesce(F.sum(F.col(a) * F.col(b)), F.lit(0)).cast("long").alias(f"{a}_{b}") for a, b in pairs])
+    return counts.select(*by, F.inline(F.array(*[F.struct(F.lit(f"{a}_{b}").alias("pair"), F.col(f"{a}_{b}").alias("shared")) for a, b in pairs])))
 
 
 def verified(rows: DataFrame, key: str, splits: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.functions import numbers, raster
@@ -110,3 +110,14 @@ def coverage(rasters: DataFrame, occluded: Column, road: Column, *by: str) -> Da
     """Share of pixels occluded, and share of road pixels occluded (0 without road), of rasters in their rows."""
     both = F.zip_with(occluded, road, lambda o, r: F.when((o > 0) & (r > 0), 1).otherwise(0))
     return rasters.select(*by, numbers.percentage(raster.positives(occluded), F.size(occluded)).alias("coverage_pct"), numbers.percentage(raster.positives(both), raster.positives(road)).alias("road_coverage_pct"))
+
+
+def scatter(tiles: DataFrame, x: str = "road_density", y: str = "road_pixel_pct") -> DataFrame:
+    """x and y of the tiles that have both (VIS5)."""
+    return tiles.select(x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+
+
+def panel(rows: DataFrame, by: list[str], order: list, n: int = 1) -> DataFrame:
+    """The first n rows of each group: what a panel of examples shows (VIS8-9). Each task keeps n rows of a group."""
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return rows.withColumn("__place", place).filter(F.col("__place") <= n).drop("__place")

@@ -13,7 +13,7 @@ WAY = "struct<type: string, id: bigint, geometry: array<struct<lon: double, lat:
 HIGHWAYS = ("motorway", "trunk", "primary", "secondary", "tertiary", "residential", "unclassified", "road")
 
 
-def feature(points: Column, source: str = "roadlens", crs: str = "pixel") -> Column:
+def feature(points: Column, source: str = "roadlens", crs: str | Column = "pixel") -> Column:
     """A GeoJSON feature, as text, of an array of points (x, y)."""
     coordinates = F.transform(points, lambda p: F.array(p["x"].cast("double"), p["y"].cast("double")))
     return F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("LineString").alias("type"), coordinates.alias("coordinates")).alias("geometry"), F.create_map(F.lit("source"), F.lit(source), F.lit("crs"), F.lit(crs)).alias("properties")))
@@ -56,9 +56,18 @@ def burnt(segments_: DataFrame, *keys: str, height: int, width: int, reach: floa
     return boxed.filter(a * a + b * b <= reach * reach).select(*keys, F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y")).distinct()
 
 
-def on_map(pixels: DataFrame, transform: Column, x: str = "x", y: str = "y") -> DataFrame:
-    """Pixel columns replaced by the map coordinates of the pixels' centres."""
-    return pixels.withColumn("__p", geo.pixel_centre(transform, F.col(x), F.col(y))).withColumns({x: F.col("__p.x"), y: F.col("__p.y")}).drop("__p")
+def map_features(lines: DataFrame, *keys: str, references: DataFrame | None = None, source: str = "roadlens") -> DataFrame:
+    """keys, line, feature: centre lines (points in pixels) as GeoJSON features (RAS25).
+
+    references: keys, crs, transform of georeferenced rasters; their lines are in map coordinates, of the pixels' centres.
+    All others stay in pixels.
+    """
+    if references is None:
+        return lines.select(*keys, "line", feature(F.col("points"), source).alias("feature"))
+    known = lines.join(references.select(*keys, F.col("crs").alias("__crs"), F.col("transform").alias("__t")), list(keys), "left")
+    placed = F.transform("points", lambda p: F.when(F.col("__t").isNotNull(), geo.pixel_centre(F.col("__t"), p["x"], p["y"])).otherwise(F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y"))))
+    crs = F.when(F.col("__t").isNull(), F.lit("pixel")).otherwise(F.coalesce("__crs", F.lit("unknown")))
+    return known.select(*keys, "line", feature(placed, source, crs).alias("feature"))
 
 
 def collection(features: DataFrame, by: str, column: str = "feature") -> DataFrame:

@@ -261,7 +261,17 @@ def q_degree_centrality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(graphs.degree_centrality(road_graph(spark, sf_dir)))
 
 
-@query()
+def _suppliers(g: str, k: str) -> str:
+    """Components of the two-sided graph by its left side: l links those that share a part, c names their components, s has their sizes."""
+    return f"""l{k} AS (SELECT DISTINCT a.src AS a, b.src AS b FROM {g} a JOIN {g} b ON a.dst = b.dst), r{k} AS (SELECT DISTINCT src AS node, src AS root FROM {g} UNION SELECT l{k}.b, r{k}.root FROM r{k} JOIN l{k} ON l{k}.a = r{k}.node),
+  c{k} AS (SELECT node, min(root) AS root FROM r{k} GROUP BY 1), s{k} AS (SELECT root, count(DISTINCT src) + count(DISTINCT dst) AS n FROM {g} JOIN c{k} ON node = src GROUP BY 1)"""
+
+
+BUSIEST = "n AS (SELECT src AS node FROM g UNION ALL SELECT dst FROM g), f AS (SELECT node FROM (SELECT node, count(*) AS d FROM n GROUP BY 1) ORDER BY d DESC, node LIMIT 1), h AS (SELECT * FROM g WHERE src NOT IN (SELECT node FROM f) AND dst NOT IN (SELECT node FROM f))"
+
+
+@query(f"""WITH RECURSIVE {EDGES}, {BUSIEST}, {_suppliers("g", "0")}, {_suppliers("h", "1")}
+  SELECT (SELECT count(DISTINCT node) FROM n) AS nodes_before, (SELECT max(n) FROM s0) AS lcc_before, (SELECT max(n) FROM s1) AS lcc_after, round((SELECT max(n) FROM s1) / (SELECT max(n) FROM s0)::DOUBLE, 6) AS ratio""")
 def q_failure_lcc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GR4 (extension): what is left of the largest component when the busiest node fails."""
     road = road_graph(spark, sf_dir)
@@ -269,6 +279,23 @@ def q_failure_lcc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(graphs.failure(road, busiest))
 
 
+@query(f"""WITH RECURSIVE {EDGES}, {_suppliers("g", "0")} SELECT sum(n)::BIGINT AS nodes, sum(n * (n - 1))::BIGINT AS pairs, round(sum(n * (n - 1)) / (sum(n) * (sum(n) - 1.0::DOUBLE)), 6) AS reachable FROM s0""")
+def q_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GR5 (extension): how many pairs of nodes reach each other."""
+    return rounded(graphs.reachability(graphs.components(road_graph(spark, sf_dir))))
+
+
+@query("""WITH p AS (SELECT vec_id, (i // 4) * 3 + i % 4 + 1 AS place, (floor(embedding[i + 1]::DOUBLE * 2000)::BIGINT % 256 + 256) % 256 AS v FROM embeddings, generate_series(0, 63) s(i) WHERE i % 4 < 3)
+  SELECT vec_id, count(*) AS n, sum(place * v)::BIGINT AS weighted, 30 * 192::BIGINT AS dark FROM p GROUP BY 1""")
+def q_ensure_rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAS2-3, RAS28: four channels become three, values wrap around; beside it the placeholder of the same size."""
+    whole = F.transform(F.col("data"), lambda v: F.floor(v * 2000))
+    seen = rasters(spark, sf_dir).select("vec_id", raster.rgb(whole, 4).alias("rgb"))
+    weighted = F.aggregate(F.transform("rgb", lambda v, i: v.cast("long") * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x)
+    dark = F.aggregate(raster.placeholder(SIDE, SIDE), F.lit(0).cast("long"), lambda a, x: a + x)
+    return seen.select("vec_id", F.size("rgb").cast("long").alias("n"), weighted.alias("weighted"), dark.alias("dark"))
+
+
 @query("SELECT time_bucket(INTERVAL 1 hour, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def q_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An extension: the plan that also runs on streams."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadlens.functions import numbers, text
 from roadlens.operators import stats
-from roadlens.sources import manifests
+from roadlens.sources import manifests, tables
 from roadlens.sources.tables import property_of, table
 
 from .registry import IMAGES, RECORDS, four_sql, images, query, records, rounded
@@ -136,6 +136,19 @@ def q_json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", property_of("props", "k", 0.0).alias("k"), property_of("props", "none", -1.0).alias("missing"))
 
 
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS stamp, printf('%02d:%02d:%02d', s // 3600 % 24, s // 60 % 60, s % 60) AS eta FROM (SELECT *, floor(value * 5000)::BIGINT AS s FROM events)")
+def q_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN10: times to the second, and what is left as on a clock."""
+    return table(spark, sf_dir, "events").select("event_id", text.stamp(F.col("ts")).alias("stamp"), text.clock(F.floor(F.col("value") * 5000)).alias("eta"))
+
+
+@query("SELECT printf('experiment_%03d', coalesce(max(CASE WHEN page_id % 3 = 0 THEN page_id END), 0) + 1) AS name FROM pages")
+def q_next_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML9: the number after the highest; other names do not count."""
+    names = table(spark, sf_dir, "pages").select(F.concat(F.when(F.col("page_id") % 3 == 0, F.lit("experiment_")).otherwise(F.lit("run_")), F.col("page_id").cast("string")).alias("name"))
+    return tables.next_experiment(names)
+
+
 @query("SELECT o_orderkey AS image_id, CASE WHEN o_custkey % 20 = 0 THEN 0 ELSE round(o_totalprice / (o_custkey % 20) * 100, 4) END::DOUBLE AS pct FROM orders")
 def q_percentage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ1: shares, 0 where the whole is 0."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadlens.functions import raster, text
 from roadlens.operators import master, occlusion, splits, stats, tiling
+from roadlens.sources import tables
 from roadlens.sources.tables import table
 
 from .registry import IMAGES, ORDER, TILES, four_sql, images, query, rounded, tiles
@@ -151,9 +152,9 @@ def q_simple_split(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT level, 'train_val' AS pair, sum(a * b)::BIGINT AS shared FROM s GROUP BY 1 UNION ALL SELECT level, 'train_test', sum(a * c)::BIGINT FROM s GROUP BY 1 UNION ALL SELECT level, 'val_test', sum(b * c)::BIGINT FROM s GROUP BY 1""")
 def q_leakage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SET2: splits by tile share no tiles, but images."""
-    rows = simply_split(spark, sf_dir)
-    level = lambda name, key: splits.leakage(rows, key).select(F.lit(name).alias("level"), "pair", "shared")
-    return level("tile", "tile_id").unionByName(level("image", "image_id"))
+    level = lambda name, key: F.struct(F.lit(name).alias("level"), F.col(key).cast("string").alias("key"))
+    rows = simply_split(spark, sf_dir).select("split", F.inline(F.array(level("tile", "tile_id"), level("image", "image_id"))))
+    return splits.leakage(rows, "key", by=("level",))
 
 
 @query(f"""WITH {TILES}, i AS (SELECT DISTINCT image_id FROM tiles), p AS (SELECT image_id, row_number() OVER (ORDER BY md5('42:' || image_id), image_id) - 1 AS place, count(*) OVER () AS n FROM i)
@@ -169,6 +170,26 @@ def q_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles(spark, sf_dir).select("tile_id", "road_pixel_pct").orderBy(F.desc("road_pixel_pct"), "tile_id").limit(10)
 
 
+@query(f"WITH {TILES} SELECT share AS road_density, road_pixel_pct FROM tiles WHERE share <> 0")
+def q_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VIS5: density against share, where there is a density."""
+    return stats.scatter(tiles(spark, sf_dir).withColumn("road_density", F.nullif("share", F.lit(0.0))))
+
+
+@query(f"WITH {TILES} SELECT flag, status, tile_id, road_pixel_pct FROM (SELECT *, row_number() OVER (PARTITION BY flag, status ORDER BY road_pixel_pct DESC, tile_id) AS k FROM tiles) WHERE k <= 3")
+def q_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VIS8-9: three examples of each type and severity."""
+    return stats.panel(tiles(spark, sf_dir).select("flag", "status", "tile_id", "road_pixel_pct"), ["flag", "status"], [F.desc("road_pixel_pct"), "tile_id"], 3)
+
+
+@query(f"""WITH {IMAGES} SELECT 42::BIGINT AS random_seed, count(*) AS total, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'val') AS val, count(*) FILTER (split = 'test') AS test,
+  count(*) FILTER (split = 'val' AND source_dataset = '1-URGENT') AS urgent_val FROM images""")
+def q_split_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK5: the metadata of a split, as it is written beside the tables."""
+    out = tables.split_metadata(images(spark, sf_dir), 42, (0.7, 0.15, 0.15))
+    return rounded(out.select("random_seed", "counts.total", "counts.train", "counts.val", "counts.test", F.element_at("source_distribution.val", F.lit("1-URGENT")).alias("urgent_val")))
+
+
 @query(f"""WITH {TILES} SELECT count(*) AS tiles, {four_sql("road_pixel_pct", "road", 4)}, {four_sql("nullif(tax, 0)", "width")}, {four_sql("nullif(share, 0)", "widest")}, {four_sql("image_std", "density")} FROM tiles""")
 def q_quality_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG5, FIL5-6: nulls never count, a greatest width of 0 doesn't either."""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.errors import SourceError
+from roadlens.operators import vectors
 
 COLLECTION = "struct<crs: struct<properties: struct<name: string>>, features: array<struct<geometry: struct<type: string, coordinates: string>, properties: map<string, string>>>>"
 POINTS = "array<struct<x: double, y: double>>"
@@ -71,3 +72,17 @@ def all_lines(spark: SparkSession, folder: str) -> DataFrame:
     if first is None or not both.limit(1).count():
         raise SourceError(f"no lines below {folder}")
     return both.withColumn("crs", F.lit(first["c"]))
+
+
+def mask_of(spark: SparkSession, folder: str, height: int = 1024, width: int = 1024, reach: float = 5.0) -> DataFrame:
+    """x, y: the pixels of one mask that lie within reach (in pixels) of any line below a folder (RAS23).
+
+    The mask spans the box of all lines; a box without width or height is one pixel wide or high.
+    """
+    lines = all_lines(spark, folder)
+    point = lines.select(F.explode("points").alias("p"))
+    box = F.broadcast(point.agg(F.min("p.x").alias("l"), F.min("p.y").alias("b"), F.max("p.x").alias("r"), F.max("p.y").alias("t")))  # one row
+    x = lambda p: F.when(F.col("r") > F.col("l"), (p["x"] - F.col("l")) / (F.col("r") - F.col("l")) * width).otherwise(0.5) - 0.5
+    y = lambda p: F.when(F.col("t") > F.col("b"), (F.col("t") - p["y"]) / (F.col("t") - F.col("b")) * height).otherwise(0.5) - 0.5
+    placed = lines.join(box).select(F.transform("points", lambda p: F.struct(x(p).alias("x"), y(p).alias("y"))).alias("points"))
+    return vectors.burnt(vectors.segments(placed), height=height, width=width, reach=reach)
