@@ -16,9 +16,9 @@ def batches(rows: DataFrame, size: int, key: str, *ties: str, ranges: int = 200)
     Quantiles of the key deal rows into ranges, rows are numbered within a range, and what the ranges before hold is
     added from one row for each, so no task sorts the table.
     """
-    edges = sorted(set(rows.approxQuantile(key, [i / ranges for i in range(1, ranges)], 0.001)))
-    at = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e < F.col(key))) if edges else F.lit(0)
-    dealt = rows.withColumn("__range", at)
+    edges = rows.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 1000).alias("__edges"))  # one row
+    at = F.coalesce(F.size(F.filter("__edges", lambda e: e < F.col(key))), F.lit(0))
+    dealt = rows.join(F.broadcast(edges)).withColumn("__range", at).drop("__edges")
     sizes = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
     # one row for each range: at most as many as asked for
     before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).drop("__n")
