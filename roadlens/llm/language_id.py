@@ -30,6 +30,8 @@ TYPICAL = 0.34
 LEAST = 2e-6
 WORD = 62  # languages in a mask word
 UNKNOWN = "und"
+#: There are some 7,000 languages; a column with more values is refused, as every one takes a bit in each slot.
+MOST = 8_000
 
 
 @functools.cache
@@ -110,7 +112,9 @@ def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, size: int = SLOTS) -> Filters:
     """Filters of the non-null languages of docs, filled from a bounded hash sample of each."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    per = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    per = {r["lang"]: r["count"] for r in known.groupBy("lang").count().limit(MOST + 1).collect()}
+    if len(per) > MOST:
+        raise ValueError(f"the column of languages holds more than {MOST} values: these are no languages")
     languages = tuple(sorted(per))
     if not languages:
         return Filters((), np.zeros((size, 1), np.int64))

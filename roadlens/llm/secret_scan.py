@@ -175,7 +175,7 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, out: str = "spa
     """
     rows = keyed(spread(docs))
     met = cut(candidates(build_index(rows, rules) if index is None else index, rules))
-    both = rows.join(small(met, 1_000_000), "key", "left")
+    both = rows.join(small(met, 200_000), "key", "left")
     names = []
     for r in rules:
         full = trigram_query(r.pattern) is True
