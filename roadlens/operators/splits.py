@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from roadlens.errors import LeakageError, RatioError
 from roadlens.functions import numbers
 
-BUCKETS = 4096
+#: Buckets of the shuffled order, by so many hexadecimal digits of a row's hash.
+DIGITS = 4
 
 
 def check_ratios(train: float, val: float, test: float) -> None:
@@ -20,14 +21,14 @@ def places(rows: DataFrame, seed: int, id_col: str, by: str | None = None) -> Da
     """Adds place (0 first in shuffled order) and of (how many there are), within each group or over all rows.
 
     The order is that of a hash, whose first digits deal the rows into buckets of about equal size. Rows are numbered
-    within a bucket; what the buckets before hold is added from a table of at most BUCKETS rows per group. So neither
+    within a bucket; what the buckets before hold is added from a table of at most 16^DIGITS rows per group. So neither
     one large group nor the table itself is ever sorted in one task.
     """
     key = numbers.order_key(seed, F.col(id_col))
     group = [by] if by else []
-    keyed = rows.withColumn("__key", key).withColumn("__bucket", F.conv(F.substring("__key", 1, 3), 16, 10).cast("int"))
+    keyed = rows.withColumn("__key", key).withColumn("__bucket", F.conv(F.substring("__key", 1, DIGITS), 16, 10).cast("int"))
     sizes = keyed.groupBy(*group, "__bucket").agg(F.count("*").alias("__n"))
-    # of one group only: BUCKETS rows, whatever the table's size
+    # of one group only: as many rows as there are buckets at most, whatever the table's size
     lines = Window.partitionBy(*(group or [F.lit(0)]))
     before = sizes.withColumns({"__before": F.sum("__n").over(lines.orderBy("__bucket")) - F.col("__n"), "of": F.sum("__n").over(lines)}).drop("__n")
     within = F.row_number().over(Window.partitionBy(*group, "__bucket").orderBy("__key", id_col))
