@@ -200,7 +200,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None) -> None:
     """Writes the token files of docs: in ascending id order (nulls first), each text's ids followed by end_id.
 
-    Null texts count as empty. Rows with equal ids stay together in no given order. An empty table makes files without blocks.
+    Null texts count as empty. Rows with equal ids come one after another in no given order. An empty table makes files without blocks.
     """
     spark, width = docs.sparkSession, _width(tokenizer)
     dictionary = train_dictionary(docs, tokenizer, id_col, text_col)
@@ -234,7 +234,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, id
     # as many ranges as the table has files at least, so that they do not grow with it
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(docs.inputFiles()))
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
-    ordered = rows.repartitionByRange(n, "i").sortWithinPartitions("i").withColumn("p", F.spark_partition_id())
+    # the number of a row as read tells rows of one id, or of none, apart, so that they need not lie in one range
+    numbered = rows.withColumn("k", F.monotonically_increasing_id())
+    ordered = numbered.repartitionByRange(n, "i", "k").sortWithinPartitions("i", "k").select("i", "t", F.spark_partition_id().alias("p"))
     ordered.mapInPandas(blocks, BLOCK_SCHEMA).write.mode("overwrite").parquet(f"{path}/blocks")
 
 

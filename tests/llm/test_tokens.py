@@ -65,6 +65,18 @@ def test_token_files_of_repeated_nameless_and_no_rows(spark):
     assert token_files.round_trip(spark.createDataFrame([], schema), BYTES).collect() == []
 
 
+def test_rows_of_one_id_are_dealt_over_ranges(spark):
+    df = spark.createDataFrame([(7 if k % 3 else None if k % 2 else k, f"text {k}") for k in range(900)], "doc_id long, text string").repartition(6)
+    path = new_path(spark, "tokens")
+    token_files.write(df, path, BYTES, partitions=8)
+    per_part = [r["n"] for r in spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum(F.size("doc_ids")).alias("n")).collect()]
+    assert max(per_part) < 300 and sum(per_part) == 900
+    out = token_files.read(spark, path, ids=True).orderBy("start").collect()
+    ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in out]
+    assert ids == sorted(ids) and [r["start"] for r in out] == np.cumsum([0, *(r["n_tokens"] for r in out)])[:-1].tolist()
+    assert len(token_files.document_ids(spark, path, 7)) == 600
+
+
 def test_a_damaged_dictionary_is_noticed(spark):
     path = new_path(spark, "tokens")
     token_files.write(spark.read.parquet(f"{SMALL}/documents.parquet"), path, BYTES, partitions=2)
