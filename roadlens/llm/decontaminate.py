@@ -45,6 +45,8 @@ SEED = 11
 PASS_WORDS = 1 << 19
 #: Characters of texts that are searched together.
 STRETCH = 1 << 18
+#: Words of windows that are looked at together.
+PART = 1 << 19
 WORD = re.compile(r"\w+")
 
 
@@ -221,14 +223,12 @@ def build(ids: np.ndarray, items: list[np.ndarray], similarity: float = SIMILARI
     return Index(ids, seq, begins, pairs, keys, where, [[Seen(np.unique(k)) for k in p[1:]] for p in prefixes], Seen(first))
 
 
-def candidates(index: Index, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of a sequence and the places in the items' words that they have a key in common with."""
-    at: list[np.ndarray] = [np.zeros(0, np.int64)]
-    theirs: list[np.ndarray] = [np.zeros(0, np.int64)]
+def candidates(index: Index, seq: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For one repeat after another: places of a sequence and the places in the items' words that they have a key in common with."""
+    if not index.prefixes:
+        return
     padded = _padded(seq)
     bits, starts = random_bits(padded), np.flatnonzero(seq)
-    if not index.prefixes:
-        return at[0], theirs[0]
     # every walk begins with the word it starts on, in all repeats
     starts = starts[index.first(_grown(np.uint64(0), seq[starts]))]
     for repeat, (keys, where, prefixes) in enumerate(zip(index.keys, index.where, index.prefixes)):
@@ -236,32 +236,36 @@ def candidates(index: Index, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for s, k, own, place in zip(w.starts, w.keys, keys, where):
             lo = np.searchsorted(own, k, "left")
             many = np.searchsorted(own, k, "right") - lo
-            at.append(np.repeat(s, many))
-            theirs.append(place[np.repeat(lo - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())])
-    return np.concatenate(at), np.concatenate(theirs)
+            yield np.repeat(s, many), place[np.repeat(lo - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())]
 
 
 def _windows(index: Index, seq: np.ndarray, begins: np.ndarray, similarity: float) -> pd.DataFrame:
     """doc, item, lo, hi: the windows around candidates that hold all words of their item but as many as may be edited.
 
-    seq holds texts one after another, with a zero behind each; begins tells where each begins, and the end.
+    seq holds texts one after another, with a zero behind each; begins tells where each begins, and the end. Hits are
+    kept as one number each: which item, which text, and how the two are lined up. Hits of many keys in one are one.
     """
-    at, theirs = candidates(index, seq)
-    item, doc = index.item_of(theirs), np.searchsorted(begins, at, "right") - 1
-    lined_up = np.unique(np.stack([doc, item, at - (theirs - index.begins[item])]), axis=1)
-    doc, item, at = lined_up
-    n = np.diff(index.begins)[item]
+    sizes, docs = np.diff(index.begins), len(begins) - 1
+    longest = int(sizes.max(initial=0))
+    shift = int(len(seq) + longest + 1).bit_length()
+    hits = np.zeros(0, np.int64)
+    for at, theirs in candidates(index, seq):
+        if len(at):
+            item, doc = index.item_of(theirs), np.searchsorted(begins, at, "right") - 1
+            hits = np.union1d(hits, (item * docs + doc) << shift | at - begins[doc] - (theirs - index.begins[item]) + longest)
+    item, doc = np.divmod(hits >> shift, max(docs, 1))
+    at = (hits & ((1 << shift) - 1)) - longest + begins[doc]
+    n = sizes[item]
     most = edits_of(n, similarity)
     lo, hi = np.maximum(begins[doc], at - most), np.minimum(begins[doc + 1] - 1, at + n + most)
-    enough_there = np.zeros(len(at), bool)
-    for k in range(0, len(at), 4096):
-        part = slice(k, k + 4096)
-        size = hi[part] - lo[part]
-        of = np.repeat(np.arange(len(size)), size)
-        place = np.repeat(lo[part] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+    there, size = np.zeros(len(at), np.int64), hi - lo
+    parts = np.searchsorted(np.cumsum(size), np.arange(0, int(size.sum()) + PART, PART), "right")
+    for part in map(slice, parts, parts[1:]):
+        of = np.repeat(np.arange(len(size[part])), size[part])
+        place = np.repeat(lo[part] - np.r_[0, np.cumsum(size[part])[:-1]][: len(size[part])], size[part]) + np.arange(len(of))
         met = _among(index.pairs, _grown(item[part][of].astype(np.uint64), seq[place]))
-        enough_there[part] = np.bincount(of[met], minlength=len(size)) >= (n - most)[part]
-    return pd.DataFrame({"doc": doc, "item": item, "lo": lo, "hi": hi})[enough_there]
+        there[part] = np.bincount(of[met], minlength=len(size[part]))
+    return pd.DataFrame({"doc": doc, "item": item, "lo": lo, "hi": hi})[there >= n - most]
 
 
 def _among(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Recent, new_path, small
+from .common import Recent, new_path
 
 BLOCK_TOKENS = 1 << 18
 BLOCK_DOCS = 2_000

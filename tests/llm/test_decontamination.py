@@ -159,6 +159,14 @@ def test_recall_by_length_and_rate(rate):
         assert got >= (0.99 if rate else 1.0) * each, (n, got)
 
 
+def test_parts_of_windows_leave_none_out(monkeypatch):
+    items = [(k, f"a{k} b{k} c{k} d{k} e{k} f{k} g{k} h{k}") for k in range(9)]
+    texts = [f"x {t} y" for _, t in items]
+    for part in (1, 2, 10, 20, 30, 90):
+        monkeypatch.setattr(decontaminate, "PART", part)
+        assert [[m[0] for m in got] for got in decontaminate.matches(index_of(items), texts)] == [[k] for k, _ in items]
+
+
 def test_an_index_is_small_and_quick_to_build():
     rng = np.random.default_rng(1)
     items = [rng.integers(1, 1 << 62, 40).astype(np.uint64) for _ in range(1 << 13)]
