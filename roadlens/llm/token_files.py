@@ -30,7 +30,7 @@ DICTIONARY_BYTES = 64 << 10
 #: The dictionary is trained on at most so many documents, the first by a hash of their ids, of at most so many ids each.
 SAMPLE_DOCS = 2_000
 SAMPLE_IDS = 4_096
-LEVEL = 3
+LEVEL = 2
 #: Chunks a worker remembers the ids of (as many again while they are still in use), and characters it encodes in one go.
 MEMORY = 500_000
 STRETCH = 1 << 20
