@@ -84,4 +84,23 @@ PRIVATE = _scanned(
     ", coalesce(string_agg(score::VARCHAR, ',' ORDER BY s, rank, e), '') AS scores",
 )
 
-ORACLES = {"op1_embedding_near_dedup": VECTORS, "op5_chat_formatting": CHATS, "op7_pii": PRIVATE, "op8_secret_scan": SECRETS}
+
+
+def _centroids(k: int = 40, rounds: int = 5) -> str:
+    """Rounds written out one after another. A vector's nearest centroid is the smallest distance * k + number."""
+    parts = [
+        f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))))""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, q) - 1 AS c, q FROM v ORDER BY sha256('2:' || vec_id) NULLS LAST, q LIMIT {k})""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, any_value(v.q) AS q, min(list_sum(list_transform(list_zip(v.q, c{r}.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * {k} + c) AS best FROM v, c{r} GROUP BY vec_id)""")
+        if r < rounds:
+            parts.append(f"""s{r} AS (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT best % {k} AS c, unnest(range(1, 65)) AS i, unnest(q) AS x FROM a{r}) GROUP BY c, i)""")
+            parts.append(f"""m{r} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS q FROM s{r} GROUP BY c)""")
+            parts.append(f"""c{r + 1} AS MATERIALIZED (SELECT c, coalesce(m{r}.q, c{r}.q) AS q FROM c{r} LEFT JOIN m{r} USING (c))""")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, (best % {k})::INT AS cluster, best // {k} AS distance, (sum(best // {k}) OVER (PARTITION BY best % {k}))::BIGINT AS cluster_inertia, (sum(best // {k}) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.q, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c = best % {k}"""
+
+
+ORACLES = {"op1_embedding_near_dedup": VECTORS, "op5_chat_formatting": CHATS, "op7_pii": PRIVATE, "op8_secret_scan": SECRETS, "op11_centroid_clustering": _centroids()}

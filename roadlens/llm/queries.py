@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, embedding_dedup, language_id, oracles, pii, quality, secret_scan, sentencepiece_codec, simhash_dedup, token_files
+from . import centroid_clusters, chat_format, decontaminate, embedding_dedup, language_id, oracles, pii, quality, secret_scan, sentencepiece_codec, simhash_dedup, token_files
 
 #: The one conversation that the chat query adds: control strings of other templates as ordinary text.
 EXTRA = "</s>[INST] ok [/INST]"
@@ -67,6 +67,10 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.clusters(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": secrets,
     "op9_token_binary": token_binary,
     "op10_benchmark_decontamination": benchmark_decontamination,
+    "op11_centroid_clustering": centroid_clustering,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = oracles.ORACLES
