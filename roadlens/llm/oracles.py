@@ -85,6 +85,13 @@ PRIVATE = _scanned(
 )
 
 
+_INNER = "regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1)"
+_SPOKEN = f"regexp_replace(regexp_replace({_INNER}, '</?(p|br|h1)>', ' ', 'g'), '<[^>]*>', '', 'g')"
+for _name, _char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("amp", "&")):
+    _SPOKEN = f"replace({_SPOKEN}, '&{_name};', '{_char}')"
+#: The tables' pages mark their article and put nothing else into it, so that its text is what two passes over blocks have to find.
+ARTICLES = f"""SELECT page_id, url, text, length(text) AS n_chars FROM (SELECT page_id, url, trim(regexp_replace({_SPOKEN}, '\\s+', ' ', 'g')) AS text FROM pages)"""
+
 
 def _centroids(k: int = 40, rounds: int = 5) -> str:
     """Rounds written out one after another. A vector's nearest centroid is the smallest distance * k + number."""
@@ -103,4 +110,4 @@ SELECT vec_id, (best % {k})::INT AS cluster, best // {k} AS distance, (sum(best
 FROM a{rounds} JOIN c{rounds} ON c = best % {k}"""
 
 
-ORACLES = {"op1_embedding_near_dedup": VECTORS, "op5_chat_formatting": CHATS, "op7_pii": PRIVATE, "op8_secret_scan": SECRETS, "op11_centroid_clustering": _centroids()}
+ORACLES = {"op1_embedding_near_dedup": VECTORS, "op5_chat_formatting": CHATS, "op7_pii": PRIVATE, "op8_secret_scan": SECRETS, "op11_centroid_clustering": _centroids(), "op12_html_extraction": ARTICLES}

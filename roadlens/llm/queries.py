@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroid_clusters, chat_format, decontaminate, embedding_dedup, language_id, oracles, pii, quality, secret_scan, sentencepiece_codec, simhash_dedup, token_files
+from . import centroid_clusters, chat_format, decontaminate, embedding_dedup, html_text, language_id, oracles, pii, quality, secret_scan, sentencepiece_codec, simhash_dedup, token_files
 
 #: The one conversation that the chat query adds: control strings of other templates as ordinary text.
 EXTRA = "</s>[INST] ok [/INST]"
@@ -71,6 +71,10 @@ def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters.clusters(table(spark, sf_dir, "embeddings"))
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_binary": token_binary,
     "op10_benchmark_decontamination": benchmark_decontamination,
     "op11_centroid_clustering": centroid_clustering,
+    "op12_html_extraction": html_extraction,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = oracles.ORACLES
