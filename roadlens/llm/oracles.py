@@ -92,6 +92,13 @@ for _name, _char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("a
 #: The tables' pages mark their article and put nothing else into it, so that its text is what two passes over blocks have to find.
 ARTICLES = f"""SELECT page_id, url, text, length(text) AS n_chars FROM (SELECT page_id, url, trim(regexp_replace({_SPOKEN}, '\\s+', ' ', 'g')) AS text FROM pages)"""
 
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+RANKED = f"""WITH d AS MATERIALIZED (SELECT doc_id, t, len(t) AS n FROM (SELECT doc_id, {_TERMS} AS t FROM documents) WHERE len(t) > 0), s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+  q AS MATERIALIZED (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark), p AS MATERIALIZED (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+  w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, s GROUP BY term, docs),
+  r AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))))::BIGINT AS score FROM q JOIN w USING (term) JOIN p USING (term), s GROUP BY ALL)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0) WHERE rank <= 10"""
+
 
 def _centroids(k: int = 40, rounds: int = 5) -> str:
     """Rounds written out one after another. A vector's nearest centroid is the smallest distance * k + number."""
@@ -110,4 +117,4 @@ SELECT vec_id, (best % {k})::INT AS cluster, best // {k} AS distance, (sum(best
 FROM a{rounds} JOIN c{rounds} ON c = best % {k}"""
 
 
-ORACLES = {"op1_embedding_near_dedup": VECTORS, "op5_chat_formatting": CHATS, "op7_pii": PRIVATE, "op8_secret_scan": SECRETS, "op11_centroid_clustering": _centroids(), "op12_html_extraction": ARTICLES}
+ORACLES = {"op1_embedding_near_dedup": VECTORS, "op5_chat_formatting": CHATS, "op7_pii": PRIVATE, "op8_secret_scan": SECRETS, "op11_centroid_clustering": _centroids(), "op12_html_extraction": ARTICLES, "op13_lexical_search": RANKED}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroid_clusters, chat_format, decontaminate, embedding_dedup, html_text, language_id, oracles, pii, quality, secret_scan, sentencepiece_codec, simhash_dedup, token_files
+from . import centroid_clusters, chat_format, decontaminate, embedding_dedup, html_text, language_id, lexical_search, oracles, pii, quality, secret_scan, sentencepiece_codec, simhash_dedup, token_files
 
 #: The one conversation that the chat query adds: control strings of other templates as ordinary text.
 EXTRA = "</s>[INST] ok [/INST]"
@@ -75,6 +75,10 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
 
+def lexical_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_benchmark_decontamination": benchmark_decontamination,
     "op11_centroid_clustering": centroid_clustering,
     "op12_html_extraction": html_extraction,
+    "op13_lexical_search": lexical_ranking,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = oracles.ORACLES
