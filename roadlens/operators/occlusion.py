@@ -34,6 +34,9 @@ VEHICLE_RGB = ((200, 200, 200), (40, 40, 40), (180, 30, 30), (30, 30, 160), (200
 CLOUD_RGB, CLOUD_SIGMA, CLOUD_BLUR, CLOUD_COVER, CLOUD_EDGE, CLOUDS = (240, 242, 245), (20, 60), 15, 0.1, 0.15, 30
 #: End of fixed values.
 
+#: Trees in a row that add no pixel, after which none is expected to.
+STALE = 400
+
 
 def generator(seed: int, *names: object) -> np.random.Generator:
     return np.random.default_rng(int.from_bytes(hashlib.md5(":".join(map(str, (seed, *names))).encode()).digest()[:8], "little"))
@@ -55,13 +58,17 @@ class Draw:
 
 
 def _canopy(image: np.ndarray, road: np.ndarray, severity: str, draw: Draw) -> tuple[np.ndarray, np.ndarray]:
-    """Trees until the share aimed at is reached, however many that takes; each looks at the pixels of its own square only."""
+    """Trees until the share aimed at is reached, however many that takes; each looks at the pixels of its own square only.
+
+    A tile so small that its trees do not reach that share ends when STALE of them in a row have added nothing; what was
+    reached is the coverage that `simulate` tells.
+    """
     out, cover, rng = image.astype(float), np.zeros((draw.h, draw.w), bool), draw.rng
     wanted = rng.uniform(*TARGET["tree_canopy"][severity]) * cover.size
     widest = max(1, int(CANOPY_RADIUS[1] * draw.unit))
     texture = kernels.noise_texture(max(4 * widest, draw.h, draw.w) + 1, CANOPY_NOISE / draw.unit, rng)
-    covered = 0
-    while covered < wanted:
+    covered = stale = 0
+    while covered < wanted and stale < STALE:
         r = draw.pixels(CANOPY_RADIUS)
         cx, cy = draw.whole(r, draw.w - r), draw.whole(r, draw.h - r)
         tree = kernels.noisy_disc(r, texture, rng) > CANOPY_EDGE
@@ -70,7 +77,8 @@ def _canopy(image: np.ndarray, road: np.ndarray, severity: str, draw: Draw) -> t
         box = np.s_[top : top + tree.shape[0], left : left + tree.shape[1]]
         leaves = np.clip(np.array(CANOPY_RGB) + rng.uniform(-CANOPY_SPREAD, CANOPY_SPREAD, 3), 0, 255)
         out[box][tree] += (leaves - out[box][tree]) * rng.uniform(*CANOPY_ALPHA)
-        covered += int((tree & ~cover[box]).sum())
+        added = int((tree & ~cover[box]).sum())
+        covered, stale = covered + added, 0 if added else stale + 1
         cover[box] |= tree
     return out, cover
 
@@ -90,9 +98,11 @@ def _shadows(image: np.ndarray, road: np.ndarray, severity: str, draw: Draw) ->
         if x0 >= x1 or y0 >= y1:
             continue
         shade = kernels.inside(y1 - y0, x1 - x0, [tuple(p) for p in (outline - (x0, y0)).tolist()])
-        depth = np.where(shade, kernels.chamfer(np.pad(shade, 1))[1:-1, 1:-1], 0)
-        depth /= max(depth.max(), 1)
-        light[y0:y1, x0:x1][shade] *= (SHADOW_DARK + (1 - SHADOW_DARK) * SHADOW_FADE * depth)[shade]
+        # beyond the box is light, beyond the tile nothing
+        rim = [(int(y0 > 0), int(y1 < draw.h)), (int(x0 > 0), int(x1 < draw.w))]
+        depth = kernels.chamfer(np.pad(shade, rim))[rim[0][0] : rim[0][0] + y1 - y0, rim[1][0] : rim[1][0] + x1 - x0][shade]
+        depth = depth / max(depth.max(initial=0), 1e-6) if np.isfinite(depth).all() else np.ones(len(depth))
+        light[y0:y1, x0:x1][shade] *= 1 - (1 - SHADOW_FADE * depth) * (1 - SHADOW_DARK) ** 2
     return image * light[:, :, None], light < 1
 
 

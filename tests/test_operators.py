@@ -194,6 +194,31 @@ def test_canopies_reach_what_they_aim_at():
             assert np.array_equal(out[~cover], rgb[~cover]) and (out[cover] != rgb[cover]).any(1).mean() > 0.9
 
 
+@pytest.mark.parametrize("kind", occlusion.TYPES)
+def test_tiles_of_any_size_end(kind):
+    for h, w in [(n, n) for n in range(1, 17)] + [(1, 40), (40, 1), (3, 100)]:
+        for severity in occlusion.SEVERITIES:
+            out, cover = occlusion.occlude(np.full((h, w, 3), 99, np.uint8), np.zeros((h, w), np.uint8), kind, severity, occlusion.generator(1, h, w, severity))
+            assert out.shape == (h, w, 3) and cover.shape == (h, w)
+
+
+@pytest.mark.parametrize("size", [(512, 512), (96, 96), (60, 200)])
+def test_one_shadow_has_its_closed_form(monkeypatch, size):
+    """What is left of the light is 1 - (1 - 0.4 d)(1 - 0.35)^2 at a share d of the greatest distance to the light; the tile's edge is none."""
+    monkeypatch.setattr(occlusion, "SHADOWS", 1)
+    seen = 0
+    for k in range(12):
+        out, cover = occlusion.occlude(np.full((*size, 3), 200, np.uint8), np.zeros(size, np.uint8), "building_shadow", "heavy", occlusion.generator(k))
+        if not cover.any() or cover.all():
+            continue
+        d = kernels.chamfer(cover)
+        want = np.where(cover, 200 * (1 - (1 - 0.4 * d / d.max()) * 0.65**2), 200)
+        assert np.abs(out[:, :, 0] - want).max() <= 1 and (out[cover] < 200).all()
+        assert out.min() >= int(200 * 0.5775) and out[cover].max() <= 200 * (0.5775 + 0.169) + 1
+        seen += cover[0].any() or cover[-1].any() or cover[:, 0].any() or cover[:, -1].any()
+    assert seen  # some touch the tile's edge
+
+
 def test_shadows_and_clouds_and_vehicles_of_a_whole_tile():
     rng = np.random.default_rng(1)
     rgb, road = rng.integers(0, 256, (512, 512, 3), dtype=np.uint8), np.zeros((512, 512), np.uint8)
