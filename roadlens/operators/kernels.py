@@ -101,6 +101,58 @@ def lanczos(x: np.ndarray, most: int, a: int = 4) -> np.ndarray:
     return out.round().clip(0, 255).astype(np.uint8)
 
 
+def ordered(x: np.ndarray) -> np.ndarray:
+    """Unsigned whole numbers in the order of the values of any numeric type (NaN aside)."""
+    x = np.ascontiguousarray(x)
+    if x.dtype.kind == "u":
+        return x
+    u, sign = x.view(f"u{x.itemsize}"), np.array(1 << (8 * x.itemsize - 1), f"u{x.itemsize}")
+    return np.where(u & sign, ~u, u | sign) if x.dtype.kind == "f" else u ^ sign
+
+
+def order_statistics(x: np.ndarray, ranks: list[int]) -> list[float]:
+    """The values of given ranks (0 the least) of a flat array, by histograms of 65,536 bins: one for types of up to 16 bits, else one for each 16 bits more."""
+    keys, out = ordered(x), []
+    for rank in ranks:
+        where = np.arange(len(keys))
+        for shift in range(max(8 * x.itemsize - 16, 0), -1, -16):
+            digit = (keys[where] >> np.array(shift, keys.dtype)).astype(np.uint16)
+            below = np.cumsum(np.bincount(digit, minlength=1 << 16))
+            bin_ = int(np.searchsorted(below, rank, side="right"))
+            rank -= int(below[bin_ - 1]) if bin_ else 0
+            where = where[digit == bin_]
+        out.append(float(x[where[0]]))
+    return out
+
+
+def between(a: float, b: float, t: float) -> float:
+    """a + (b - a) t, taken from the nearer end."""
+    return a + (b - a) * t if t < 0.5 else b - (b - a) * (1 - t)
+
+
+def percentiles(x: np.ndarray, qs: tuple[float, ...]) -> list[float]:
+    """Percentiles of a flat array with linear interpolation; NaN if it holds one."""
+    if not x.size or x.dtype.kind == "f" and np.isnan(x).any():
+        return [float("nan")] * len(qs)
+    at = [(x.size - 1) * (q / 100) for q in qs]
+    found = iter(order_statistics(x, [min(int(p) + k, x.size - 1) for p in at for k in (0, 1)]))
+    return [between(next(found), next(found), p - int(p)) for p in at]
+
+
+def levels(band: np.ndarray, low: float, high: float) -> np.ndarray:
+    """A band as bytes from 0 to 255 between two values, truncated; 0 throughout if the second is not greater (RAS5)."""
+    if not high > low:
+        return np.zeros(band.shape, np.uint8)
+    return np.nan_to_num(np.clip((band.astype(np.float64) - low) / (high - low) * 255, 0, 255)).astype(np.uint8)
+
+
+def stretched(x: np.ndarray, low: float = 2, high: float = 98) -> np.ndarray:
+    """Each band of (h, w, bands) between its own two percentiles as bytes; bytes stay as they are."""
+    if x.dtype == np.uint8:
+        return x
+    return np.stack([levels(x[:, :, k], *percentiles(x[:, :, k].ravel(), (low, high))) for k in range(x.shape[2])], axis=2)
+
+
 def inside(h: int, w: int, polygon: list[tuple[float, float]]) -> np.ndarray:
     """Pixels within a polygon, by crossings."""
     y, x = np.mgrid[:h, :w]

@@ -62,15 +62,46 @@ def histogram(values: DataFrame, column: str, bins: int) -> DataFrame:
     return placed.groupBy("bin").agg(F.min("__a").alias("a"), F.min("__w").alias("w"), F.count("*").alias("n")).select("bin", (F.col("a") + F.col("bin") * F.col("w")).alias("low"), (F.col("a") + (F.col("bin") + 1) * F.col("w")).alias("high"), "n")
 
 
+#: Bins of a histogram between a group's least and greatest value.
+BINS = 1 << 16
+
+
+def quantiles(counted: DataFrame, by: list[str], value: str, n: str, qs: list[float]) -> DataFrame:
+    """by, quantiles array<double>: exact, with linear interpolation, of values that stand n times each (a row for each by and value).
+
+    A group's values fall into BINS equal bins; running counts over the bins tell in which of them the wanted ranks lie, and
+    only the values of these are put in order. So no task holds a group's distinct values; null values do not count.
+    """
+    x = F.col(value).cast("double")
+    known = counted.filter(F.col(value).isNotNull()).select(*by, x.alias("__v"), F.col(n).cast("long").alias("__n"))
+    ends = known.groupBy(*by).agg(F.min("__v").alias("__a"), F.max("__v").alias("__b"), F.sum("__n").alias("__all"))
+    at = F.when(F.col("__b") > F.col("__a"), F.floor((F.col("__v") - F.col("__a")) / (F.col("__b") - F.col("__a")) * (BINS - 1))).otherwise(0).cast("long")
+    placed = known.join(ends, by).select(*by, "__v", "__n", at.alias("__bin"))
+    before = lambda keys, order: F.coalesce(F.sum("__n").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bins = placed.groupBy(*by, "__bin").agg(F.sum("__n").alias("__n")).withColumn("__before", before(by, "__bin"))
+    ranks = F.array(*[F.struct(F.lit(k).alias("k"), (r := (F.col("__all") - 1) * F.lit(q)).alias("at"), (F.floor(r) if down else F.ceil(r)).alias("rank"), F.lit(down).alias("down")) for k, q in enumerate(qs) for down in (True, False)])
+    wanted = ends.select(*by, F.inline(ranks))
+    hit = (F.col("rank") >= F.col("__before")) & (F.col("rank") < F.col("__before") + F.col("__n"))
+    in_bins = wanted.join(bins, by).filter(hit).select(*by, "k", "at", "rank", "down", "__bin", "__before")
+    opened = placed.join(in_bins.select(*by, "__bin", "__before").distinct(), [*by, "__bin"])
+    opened = opened.withColumn("__before", F.col("__before") + before([*by, "__bin"], "__v"))
+    found = in_bins.drop("__before").join(opened, [*by, "__bin"]).filter(hit)
+    side = lambda down: F.max(F.when(F.col("down") == down, F.col("__v")))
+    low, high, rank = side(True), side(False), F.max("at")
+    # from the nearer end; equal ends stay what they are
+    mixed = F.when(F.floor(rank) == F.ceil(rank), low).otherwise((F.ceil(rank) - rank) * low + (rank - F.floor(rank)) * high)
+    each = found.groupBy(*by, "k").agg(mixed.alias("q"))
+    return each.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "q"))), lambda s: s["q"]).alias("quantiles"))
+
+
 def percentile_stretch(values: DataFrame, by: str, column: str, low: float = 0.02, high: float = 0.98) -> DataFrame:
     """by, level, n: how many values of a band fall on each level from 0 to 255 between its two percentiles.
 
-    Percentiles are exact, with linear interpolation. Values are counted before, so that a band's percentile sees each
-    distinct value once with its frequency.
+    Percentiles are exact, with linear interpolation, of values counted before.
     """
     counted = values.filter(F.col(column).isNotNull()).groupBy(by, column).agg(F.count("*").alias("__n"))
-    ends = counted.groupBy(by).agg(F.call_function("percentile", F.col(column), F.array(F.lit(low), F.lit(high)), F.col("__n")).alias("__p"))
-    level = raster.stretched(F.col(column), F.element_at("__p", 1), F.element_at("__p", 2))
+    ends = quantiles(counted, [by], column, "__n", [low, high])
+    level = raster.stretched(F.col(column), F.element_at("quantiles", 1), F.element_at("quantiles", 2))
     return counted.join(ends, by).groupBy(by, level.alias("level")).agg(F.sum("__n").alias("n"))
 
 

@@ -1,13 +1,15 @@
 """From image files to the master table and its report (OP1-2, OP6, RAS10, SRC13, D1-D6, §3 of the survey).
 
-Every file is decoded once, as what its manifest row says it is, and its content is hashed and read for tags in one other
-pass. An image and its mask meet in one task, where they are cut into tiles; what comes out is written as one table of
-columns, whose pixels only those read that ask for them. All other steps are functions from DataFrames to DataFrames of
-narrow rows, or work on a tile in its own row: no join carries pixels.
+Files are chosen by the manifest before any is opened, PASS_FILES at a time; each is decoded once, as what its manifest row
+says it is, and its content is hashed and read for tags in one other pass. An image and its mask meet in one task, where
+they are cut into tiles; what comes out is written as one table of columns, whose pixels only those read that ask for them.
+All other steps are functions from DataFrames to DataFrames of narrow rows, or work on a tile in its own row: no join
+carries pixels.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +28,8 @@ RECORD = "height int, width int, channels int, mask_height int, mask_width int,
 TILE = "tile_id string, row long, col long, x_start long, y_start long, x_end long, y_end long, tile_height int, tile_width int, road_pixel_pct double, image_std double, rgb binary, mask binary"
 MADE = ", ".join(f"{k} string" for k in KEY) + f", {RECORD}, {TILE}"
 NAMES = [c.split()[0] for c in MADE.split(", ")]
+#: Files that one pass opens, about: their names are broadcast, and the hashes of their paths are part of the plan.
+PASS_FILES = 50_000
 
 
 def _local(path: Column) -> Column:
@@ -98,17 +102,28 @@ def _cut(config: Config):
 def made(spark: SparkSession, named: DataFrame, folder: str, config: Config) -> DataFrame:
     """MADE: for each manifest row of which a file can be read a row about the image (no tile_id), and rows of its tiles.
 
-    named: roles of a manifest. Pixels are dealt out once, to bring an image and its mask together: a picture file is one
-    row, and only Spark's image source decodes it.
+    named: roles of at most 100,000 files, as a cut table. Only these files are opened: their paths choose them in the
+    listing. They meet their names by broadcast; pixels are dealt out once, to bring an image and its mask together: a
+    picture file is one row, and only Spark's image source decodes it.
     """
-    read = images.images(spark, folder, broken=True).withColumn("path", _local(F.col("path")))
-    return read.join(small(named), "path").groupBy(*KEY).applyInPandas(_cut(config), MADE)
+    chosen = images.among([r[0] for r in named.select(F.xxhash64("path")).distinct().collect()])
+    names = small(named)
+    pictures = images.images(spark, folder, broken=True, named=chosen).join(names, "path")
+    scenes = images.decoded_tiffs(images.tiff_contents(spark, folder, chosen).join(names, "path"), F.col("role") == "mask")
+    return pictures.unionByName(scenes).groupBy(*KEY).applyInPandas(_cut(config), MADE)
+
+
+def passes(named: DataFrame, most: int = PASS_FILES) -> Iterator[DataFrame]:
+    """named (a cut table) in parts of about `most` files, each with both files of its manifest rows."""
+    n = max(1, -(-named.count() // most))
+    for k in range(n):
+        yield named if n == 1 else named.filter(F.pmod(F.xxhash64(*KEY), F.lit(n)) == k)
 
 
 def facts(spark: SparkSession, named: DataFrame, folder: str) -> DataFrame:
     """KEY with size_bytes, md5_image, md5_mask, listed, and the image's geographic tags: one pass over the files' contents."""
     is_tiff = text.extension(F.col("path")).isin(*images.TIFF)
-    content = images.hashes(spark, folder, geotiff.tags_of(F.when(is_tiff, F.col("content"))).alias("geo")).withColumn("path", _local(F.col("path")))
+    content = images.hashes(spark, folder, geotiff.tags_of(F.when(is_tiff, F.col("content"))).alias("geo"))
     of = lambda role, c: F.max(F.when(F.col("role") == role, F.col(c)))
     return named.join(content, "path", "left").groupBy(*KEY).agg(
         of("image", "size_bytes").alias("size_bytes"), of("image", "md5").alias("md5_image"), of("mask", "md5").alias("md5_mask"), of("image", "md5").isNotNull().alias("listed"),
@@ -151,7 +166,8 @@ def build(spark: SparkSession, manifest: DataFrame, folder: str, config: Config
     """All tables of a dataset. Files are read and tiles cut and written here, to `out` or the shared folder; the tables read that."""
     named = cut(roles(manifests.in_splits(manifest, config.active_splits).withColumn("source_dataset", F.lit(source))))
     path = out or new_path(spark, "dataset")
-    made(spark, named, folder, config).write.mode("overwrite").parquet(path)
+    for k, part in enumerate(passes(named)):
+        made(spark, part, folder, config).write.mode("append" if k else "overwrite").parquet(path)
     rows, about = spark.read.parquet(path), cut(facts(spark, named, folder))
     known, best = records(rows, about), tiles(rows)
     ready = best.drop("rgb", "mask").withColumns({"image_path": F.col("tile_id"), "mask_path": F.col("tile_id")})

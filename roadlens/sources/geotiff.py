@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Fixed values of the TIFF 6.0 and GeoTIFF 1.1 specifications: field types by number, and the tags that are read.
-FIELD = {1: "B", 2: "c", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d"}
+FIELD = {1: "B", 2: "c", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q", 17: "q", 18: "Q"}
 WIDTH, HEIGHT, BITS, SAMPLES, FORMAT = 256, 257, 258, 277, 339
 SCALE, TIEPOINT, MATRIX, GEO_KEYS, NODATA = 33550, 33922, 34264, 34735, 42113
 GEOGRAPHIC_KEY, PROJECTED_KEY, PIXEL_IS_KEY = 2048, 3072, 1025
@@ -20,21 +20,23 @@ SCHEMA = (
 
 
 def tags(content: bytes) -> dict[int, tuple]:
-    """The tags of the first image of a TIFF file; nothing if it is no classic TIFF or is cut short."""
-    order = {b"II*\0": "<", b"MM\0*": ">"}.get(content[:4])
-    if order is None:
+    """The tags of the first image of a TIFF file, classic or big; nothing if it is no TIFF or is cut short."""
+    order, big = {b"II*\0": ("<", False), b"MM\0*": (">", False), b"II+\0": ("<", True), b"MM\0+": (">", True)}.get(content[:4], ("", False))
+    if not order:
         return {}
+    place_kind, number_kind, entry, inline = ("Q", "Q", 20, 8) if big else ("I", "H", 12, 4)
     out = {}
     try:
-        (at,) = struct.unpack_from(order + "I", content, 4)
-        (n,) = struct.unpack_from(order + "H", content, at)
+        (at,) = struct.unpack_from(order + place_kind, content, 8 if big else 4)
+        (n,) = struct.unpack_from(order + number_kind, content, at)
+        at += struct.calcsize(number_kind)
         for k in range(n):
-            tag, kind, count = struct.unpack_from(order + "HHI", content, at + 2 + 12 * k)
-            if kind not in FIELD:
+            tag, kind, count = struct.unpack_from(f"{order}HH{place_kind}", content, at + entry * k)
+            if kind not in FIELD or count > len(content):
                 continue
-            place = at + 10 + 12 * k
-            if struct.calcsize(FIELD[kind]) * count > 4:
-                (place,) = struct.unpack_from(order + "I", content, place)
+            place = at + entry * (k + 1) - inline
+            if struct.calcsize(FIELD[kind]) * count > inline:
+                (place,) = struct.unpack_from(order + place_kind, content, place)
             values = struct.unpack_from(f"{order}{count}{FIELD[kind]}", content, place)
             out[tag] = (b"".join(values),) if kind == 2 else values
     except struct.error:
