@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.session import cut
+from roadlens.session import cut, new_path
 
 from .components import connected_components
 from .unions import join_roots
@@ -94,54 +96,118 @@ def pixel_components(masks: DataFrame, *keys: str, data: str = "data", width: st
     return masks.withColumn("__m", labelled(data, width)).select(*keys, "__m.*")
 
 
+def both_ways(edges_: DataFrame, weight: str | None = None) -> DataFrame:
+    """src, dst, w, as a cut table: every edge but loops from either end, once, with the least of its weights (1 without). A weight that is no positive number is an error."""
+    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    sound = F.when((w > 0) & (w < float("inf")), w).otherwise(F.raise_error(F.lit("a length has to be a positive number")).cast("double"))
+    ends = edges_.filter("src <> dst").select(F.inline(F.array(*[F.struct(F.col(a).alias("src"), F.col(b).alias("dst"), sound.alias("w")) for a, b in (("src", "dst"), ("dst", "src"))])))
+    return cut(ends.groupBy("src", "dst").agg(F.min("w").alias("w")))
+
+
 def distances(edges_: DataFrame, seeds: DataFrame) -> DataFrame:
     """seed, node, d: how many edges each node is from each seed that it can be reached from, by breadth-first joins.
 
-    A round holds one row for each seed and node reached, written to the shared folder; so seeds are to be few or dealt
-    with in turn. Rounds go on until nothing new is reached, however far that is.
+    A round writes what it has reached, once. Neighbours of the last front are in it, in the one before or not yet reached,
+    so a round looks at these two and not at all that was seen. Rounds go on until nothing new is reached, however far.
+    There is a row for each seed and node reached; so seeds are to be few or dealt with in turn.
     """
-    both = cut(edges_.select("src", "dst").union(edges_.select("dst", "src")).distinct())
-    seen = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("d")))
-    front, step = seen, 0
-    while True:
+    both, path = both_ways(edges_), new_path(edges_.sparkSession, "distances")
+    front, last, step = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("d")).distinct()), None, 0
+    front.write.parquet(path)
+    while front.limit(1).count():
         step += 1
         onward = front.join(both, front["node"] == both["src"]).select("seed", F.col("dst").alias("node")).distinct()
-        front = cut(onward.join(seen, ["seed", "node"], "left_anti").withColumn("d", F.lit(step)))
-        if not front.limit(1).count():
-            return seen
-        seen = cut(seen.union(front))
+        known = front if last is None else front.union(last)
+        front, last = cut(onward.join(known, ["seed", "node"], "left_anti").withColumn("d", F.lit(step))), front
+        front.write.mode("append").parquet(path)
+    return edges_.sparkSession.read.schema(front.schema).parquet(path)
+
+
+def _least(rows: list[DataFrame]) -> DataFrame:
+    """seed, node and the least d of several tables."""
+    return reduce(DataFrame.unionByName, rows).groupBy("seed", "node").agg(F.min("d").alias("d"))
+
 
+def lengths(edges_: DataFrame, seeds: DataFrame, weight: str = "weight", step: float | None = None) -> DataFrame:
+    """seed, node, d: the length of the shortest path from each seed to every node that it reaches (GR3).
 
-def closeness(edges_: DataFrame, seeds: DataFrame) -> DataFrame:
-    """node, reached, distance, closeness of the seeds given; closeness is reached / distance, 0 for a node alone."""
-    sums = distances(edges_, seeds).groupBy("seed").agg((F.count("*") - 1).alias("reached"), F.sum("d").alias("distance"))
+    Distances are settled by ranges of `step` (the greatest weight, unless given). The nodes of the lowest range that is open
+    are relaxed until none of it gets nearer, where only rows that changed are written and go on; then the range is
+    written to the result. No edge leads further back than the greatest weight, so older ranges are not looked at again. An edge without a
+    positive length is an error; of edges between the same nodes the shortest counts. Lengths are added as doubles.
+    """
+    spark = edges_.sparkSession
+    both, path = both_ways(edges_, weight), new_path(spark, "lengths")
+    longest = both.agg(F.max("w")).first()[0] or 1.0
+    step = step or longest
+    open_ = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0.0).alias("d")).distinct())
+    open_.limit(0).write.parquet(path)
+    settled: list[tuple[float, DataFrame]] = []
+    while (low := open_.agg(F.min("d")).first()[0]) is not None:
+        limit = max((math.floor(low / step) + 1) * step, math.nextafter(low, math.inf))
+        found, front = [open_], open_.filter(F.col("d") < limit)
+        while True:
+            reached = front.join(both, front["node"] == both["src"]).groupBy("seed", F.col("dst").alias("node")).agg(F.min(F.col("d") + F.col("w")).alias("d"))
+            known = _least([*found, *(rows for _, rows in settled)]).withColumnRenamed("d", "old")
+            nearer = cut(reached.join(known, ["seed", "node"], "left").filter("old is null or d < old").select("seed", "node", "d"))
+            if not nearer.limit(1).count():
+                break
+            found.append(nearer)
+            front = nearer.filter(F.col("d") < limit)
+        now = cut(_least(found)) if len(found) > 1 else open_
+        done, open_ = now.filter(F.col("d") < limit), now.filter(F.col("d") >= limit)
+        done.write.mode("append").parquet(path)
+        settled = [(end, rows) for end, rows in [*settled, (limit, done)] if end > limit - longest]
+    return spark.read.schema(open_.schema).parquet(path)
+
+
+def closeness(edges_: DataFrame, seeds: DataFrame, weight: str | None = None) -> DataFrame:
+    """node, reached, distance, closeness of the seeds given, in edges or by length; closeness is reached / distance, 0 for a node alone."""
+    found = distances(edges_, seeds) if weight is None else lengths(edges_, seeds, weight)
+    sums = found.groupBy("seed").agg((F.count("*") - 1).alias("reached"), F.sum("d").alias("distance"))
     return sums.select(F.col("seed").alias("node"), "reached", "distance", F.when(F.col("distance") > 0, F.col("reached") / F.col("distance")).otherwise(0.0).alias("closeness"))
 
 
-def betweenness(edges_: DataFrame, seeds: DataFrame) -> DataFrame:
-    """node, betweenness: shares of shortest paths from the seeds that go through a node (Brandes, 2001), over unweighted edges.
+def _summed(nodes: DataFrame, arcs: DataFrame) -> DataFrame:
+    """seed, node, value of nodes (seed, node, own): its own value and those of all that have an arc (seed, src, dst) to it.
 
-    Out from all seeds at once, a round for each step, counting shortest paths; then back, handing on what depends on each
-    node. With all nodes as seeds each unordered pair counts once (the sum is halved). Tables hold a row for each seed and
-    node reached and are written to the shared folder, so seeds are to be few or dealt with in turn.
+    Arcs make no circle. A round sends on the values of nodes that have all of theirs; others wait, with what they have got so far.
     """
-    both = cut(edges_.select("src", "dst").union(edges_.select("dst", "src")).filter("src <> dst").distinct())
-    seen = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("d"), F.lit(1.0).alias("paths")))
-    front, step = seen, 0
+    spark = nodes.sparkSession
+    path = new_path(spark, "sums")
+    to = arcs.groupBy("seed", F.col("dst").alias("node")).agg(F.count("*").alias("due"))
+    known = nodes.join(to, ["seed", "node"], "left").select("seed", "node", "own", F.coalesce("due", F.lit(0)).alias("due"))
+    known = cut(known)
+    # an arc knows what its end waits for
+    sent = cut(arcs.join(known.select("seed", F.col("node").alias("dst"), "own", "due"), ["seed", "dst"]))
+    front = cut(known.filter("due = 0").select("seed", "node", F.col("own").alias("value")))
+    front.write.parquet(path)
+    waiting = None
     while front.limit(1).count():
-        step += 1
-        onward = front.join(both, front["node"] == both["src"]).groupBy("seed", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths"))
-        front = cut(onward.join(seen, ["seed", "node"], "left_anti").select("seed", "node", F.lit(step).alias("d"), "paths"))
-        seen = cut(seen.union(front))
-    due = cut(seen.withColumn("due", F.lit(0.0)))
-    for d in range(step - 1, 0, -1):
-        # what depends on the nodes at distance d goes to their predecessors, by their shares of the paths
-        far = due.filter(F.col("d") == d).select("seed", F.col("node").alias("far"), F.col("paths").alias("all"), F.col("due").alias("more"))
-        near = due.filter(F.col("d") == d - 1).select("seed", "node", "paths")
-        handed = far.join(both, far["far"] == both["src"]).join(near.withColumnRenamed("seed", "s"), (F.col("dst") == F.col("node")) & (F.col("seed") == F.col("s")))
-        given = handed.groupBy("seed", "node").agg(F.sum(F.col("paths") / F.col("all") * (1 + F.col("more"))).alias("given"))
-        due = cut(due.join(given, ["seed", "node"], "left").withColumn("due", F.col("due") + F.coalesce("given", F.lit(0.0))).drop("given"))
-    return due.groupBy("node").agg((F.sum(F.when(F.col("d") > 0, F.col("due")).otherwise(0.0)) / 2).alias("betweenness"))
+        got = front.withColumnRenamed("node", "src").join(sent, ["seed", "src"]).select("seed", F.col("dst").alias("node"), "own", "due", "value", F.lit(1).cast("long").alias("got"))
+        got = got if waiting is None else got.unionByName(waiting)
+        now = cut(got.groupBy("seed", "node").agg(F.first("own").alias("own"), F.first("due").alias("due"), F.sum("value").alias("value"), F.sum("got").alias("got")))
+        front, waiting = now.filter("got = due").select("seed", "node", (F.col("own") + F.col("value")).alias("value")), now.filter("got < due")
+        front.write.mode("append").parquet(path)
+    return spark.read.schema(front.schema).parquet(path)
+
+
+def betweenness(edges_: DataFrame, seeds: DataFrame, weight: str | None = None) -> DataFrame:
+    """node, betweenness: shares of shortest paths from the seeds that go through a node (Brandes, 2001), in edges or by length.
+
+    Edges that lie on shortest paths are arcs away from the seed. Along them paths are counted; against them each node
+    hands on (1 + what depends on it) / paths, which is 1 / paths and the sum of what it gets. With all nodes as seeds each
+    unordered pair counts once (the sum is halved). Lengths tie if they are equal as doubles: give whole numbers where that
+    matters. Tables hold a row for each seed and node reached, so seeds are to be few or dealt with in turn.
+    """
+    both = both_ways(edges_, weight)
+    found = cut(distances(edges_, seeds) if weight is None else lengths(edges_, seeds, weight))
+    near, far = (found.select("seed", F.col("node").alias(end), F.col("d").alias(f"d_{end}")) for end in ("src", "dst"))
+    arcs = cut(near.join(both, "src").join(far, ["seed", "dst"]).filter(F.col("d_src") + F.col("w") == F.col("d_dst")).select("seed", "src", "dst"))
+    paths = cut(_summed(found.select("seed", "node", F.when(F.col("seed") == F.col("node"), 1.0).otherwise(0.0).alias("own")), arcs).withColumnRenamed("value", "paths"))
+    handed = _summed(paths.select("seed", "node", (1 / F.col("paths")).alias("own")), arcs.select("seed", F.col("dst").alias("src"), F.col("src").alias("dst")))
+    due = paths.join(handed, ["seed", "node"]).withColumn("due", F.when(F.col("seed") == F.col("node"), 0.0).otherwise(F.col("paths") * F.col("value") - 1))
+    return due.groupBy("node").agg((F.sum("due") / 2).alias("betweenness"))
 
 
 def skeleton_graph(lines: DataFrame, *keys: str) -> DataFrame:
@@ -170,18 +236,19 @@ def reachability(component_rows: DataFrame) -> DataFrame:
     return out.select(F.col("nodes").cast("long").alias("nodes"), F.col("pairs").cast("long").alias("pairs"), F.when(F.col("nodes") > 1, F.col("pairs") / (F.col("nodes") * (F.col("nodes") - 1))).otherwise(0.0).alias("reachable"))
 
 
-def resilience(edges_: DataFrame, failed: DataFrame, seeds: DataFrame) -> DataFrame:
+def resilience(edges_: DataFrame, failed: DataFrame, seeds: DataFrame, weight: str | None = None) -> DataFrame:
     """connectivity, reach, detour, index: what failing nodes or edges leave, one row (GR5; definitions of our own).
 
     connectivity: the largest component after, over that before. reach: reachable pairs after, over those before. detour:
-    the mean distance from the seeds to what they still reach, over that before to the same nodes. index: the mean of
-    connectivity, reach and 1 / detour.
+    the mean distance, in edges or by length, from the seeds to what they still reach, over that before to the same nodes.
+    index: the mean of connectivity, reach and 1 / detour.
     """
     rest = without(edges_, failed)
     was, now = components(edges_), components(rest)
     a, b = reachability(was).select(F.col("pairs").alias("p0")), reachability(now).select(F.col("pairs").alias("p1"))
     sizes = largest_component(was).withColumnRenamed("size", "l0").join(F.broadcast(largest_component(now).withColumnRenamed("size", "l1"))).join(F.broadcast(a)).join(F.broadcast(b))
-    known = distances(edges_, seeds).withColumnRenamed("d", "d0").join(distances(rest, seeds).withColumnRenamed("d", "d1"), ["seed", "node"])
+    from_seeds = lambda e: distances(e, seeds) if weight is None else lengths(e, seeds, weight)
+    known = from_seeds(edges_).withColumnRenamed("d", "d0").join(from_seeds(rest).withColumnRenamed("d", "d1"), ["seed", "node"])
     far = known.agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1"))
     over = lambda x, y: F.when(F.col(y) > 0, F.col(x) / F.col(y)).otherwise(F.lit(1.0))
     out = sizes.join(F.broadcast(far)).select(over("l1", "l0").alias("connectivity"), over("p1", "p0").alias("reach"), over("d1", "d0").alias("detour"))

@@ -203,3 +203,54 @@ def lines(skeleton: np.ndarray) -> list[list[tuple[int, int]]]:
                 p, q = q, onward[0]
             out.append(chain)
     return out
+
+
+#: The eight neighbours in counter-clockwise order on the screen, from the right: (dy, dx).
+RING = ((0, 1), (-1, 1), (-1, 0), (-1, -1), (0, -1), (1, -1), (1, 0), (1, 1))
+
+
+def contours(mask: np.ndarray) -> list[tuple[bool, list[tuple[int, int]]]]:
+    """All borders of a mask's 8-connected regions, outer ones and those of holes, in the order of their first pixels:
+    (whether it is a hole's, points as (x, y)), by border following (Suzuki and Abe, 1985).
+
+    A border is closed; points go counter-clockwise around a region and may repeat where it is one pixel wide.
+    """
+    grid = np.pad((mask > 0).astype(np.int64), 1)
+    w = grid.shape[1]
+    starts = np.flatnonzero((grid > 0) & ((np.roll(grid, 1, 1) == 0) | (np.roll(grid, -1, 1) == 0)))
+    f, step = grid.ravel().tolist(), [dy * w + dx for dy, dx in RING]
+    out, mark = [], 1
+    for at in starts.tolist():
+        # a mark below 0 says that the pixel's right side has been followed
+        if f[at] == 1 and not f[at - 1]:
+            hole, side = False, 4
+        elif f[at] >= 1 and not f[at + 1]:
+            hole, side = True, 0
+        else:
+            continue
+        mark += 1
+        # clockwise from the empty side to the last pixel of the border
+        last = next((d % 8 for d in range(side - 1, side - 9, -1) if f[at + step[d % 8]]), None)
+        if last is None:
+            f[at] = -mark
+            out.append((hole, [(at % w - 1, at // w - 1)]))
+            continue
+        end, now, d, points = at + step[last], at, last, []
+        while True:
+            points.append((now % w - 1, now // w - 1))
+            right = False
+            for k in range(1, 9):
+                side = (d + k) % 8
+                if f[now + step[side]]:
+                    break
+                right |= side == 0
+            if right:
+                f[now] = -mark
+            elif f[now] == 1:
+                f[now] = mark
+            onward = now + step[side]
+            if onward == at and now == end:
+                break
+            now, d = onward, (side + 4) % 8
+        out.append((hole, points))
+    return out

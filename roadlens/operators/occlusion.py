@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
@@ -237,3 +237,39 @@ def centre_lines(masks: DataFrame, *keys: str, data: str = "data", width: str =
         return pd.Series(out)
 
     return masks.withColumn("__l", traced(data, width)).select(*keys, F.posexplode("__l").alias("line", "points"))
+
+
+BORDERS = "array<struct<hole: boolean, points: array<struct<x: int, y: int>>>>"
+
+
+def borders(data: Column | str, width: Column | str, thin: bool = False) -> Column:
+    """All borders of a mask held as an array or bytes, point by point: whether a hole's, and its points. A null mask has none."""
+
+    @F.pandas_udf(BORDERS)
+    def followed(pixels: pd.Series, widths: pd.Series) -> pd.Series:
+        out = []
+        for p, w in zip(pixels, widths):
+            m = np.zeros((1, 1)) if p is None else (np.frombuffer(p, np.uint8) if isinstance(p, bytes) else np.asarray(p)).reshape(-1, int(w))
+            out.append([{"hole": hole, "points": [{"x": x, "y": y} for x, y in points]} for hole, points in kernels.contours(kernels.thinned(m) if thin else m)])
+        return pd.Series(out)
+
+    return followed(data, width)
+
+
+def at_corners(points: Column) -> Column:
+    """The points of a closed border at which its direction changes."""
+    n = F.size(points)
+    turn = lambda a, b: F.struct((b["x"] - a["x"]).alias("x"), (b["y"] - a["y"]).alias("y"))
+    at = lambda k: F.get(points, F.pmod(k, n))
+    return F.when(n < 2, points).otherwise(F.filter(points, lambda p, k: turn(at(k - 1), p) != turn(p, at(k + 1))))
+
+
+def contours(masks: DataFrame, *keys: str, data: str = "data", width: str = "width", least: int = 2, thin: bool = False) -> DataFrame:
+    """keys, line (0 first), hole, points array<struct<x, y>>: the closed borders of masks held as arrays or bytes, at their corners (RAS24).
+
+    Borders of fewer than `least` corners go, as single pixels do. thin: the borders of a mask's centre lines instead of
+    its own, which run along both sides of a line. A raster is followed in its row; null masks have no borders.
+    """
+    cornered = F.transform(borders(data, width, thin), lambda b: F.struct(b["hole"].alias("hole"), at_corners(b["points"]).alias("points")))
+    rows = masks.withColumn("__l", F.filter(cornered, lambda b: F.size(b["points"]) >= least)).select(*keys, F.posexplode("__l").alias("line", "__b"))
+    return rows.select(*keys, "line", "__b.hole", "__b.points")

@@ -131,6 +131,19 @@ def q_skeleton_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return occlusion.skeleton_nodes(rasters(spark, sf_dir), "vec_id")
 
 
+@query(f"""WITH RECURSIVE {PIXELS}, f AS (SELECT vec_id, y * 10 + x + 11 AS p FROM e WHERE v > 0), b AS (SELECT vec_id, p FROM (SELECT DISTINCT vec_id FROM e), generate_series(0, 99) s(p) WHERE (vec_id, p) NOT IN (SELECT vec_id, p FROM f)),
+  n AS (SELECT p, q, abs(p // 10 - q // 10) + abs(p % 10 - q % 10) = 1 AS side FROM generate_series(0, 99) a(p), generate_series(0, 99) b(q) WHERE p <> q AND abs(p // 10 - q // 10) <= 1 AND abs(p % 10 - q % 10) <= 1),
+  rf AS (SELECT vec_id, p, p AS root FROM f UNION SELECT f.vec_id, f.p, rf.root FROM rf JOIN n ON n.p = rf.p JOIN f ON f.vec_id = rf.vec_id AND f.p = n.q), rb AS (SELECT vec_id, p, p AS root FROM b UNION SELECT b.vec_id, b.p, rb.root FROM rb JOIN n ON n.p = rb.p AND side JOIN b ON b.vec_id = rb.vec_id AND b.p = n.q),
+  cf AS (SELECT vec_id, p, min(root) AS r FROM rf GROUP BY 1, 2), cb AS (SELECT vec_id, p, min(root) AS r FROM rb GROUP BY 1, 2), m AS (SELECT DISTINCT cf.vec_id, cf.p, cf.r AS region, cb.r AS around FROM cf JOIN n ON n.p = cf.p AND side JOIN cb ON cb.vec_id = cf.vec_id AND cb.p = n.q)
+  SELECT vec_id, count(DISTINCT region) AS outer_borders, count(DISTINCT (region, around)) - count(DISTINCT region) AS hole_borders, count(*) AS border_pixels FROM m GROUP BY 1""")
+def q_contours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAS24: borders of regions and of their holes; each parts one region from one stretch of background."""
+    found = rasters(spark, sf_dir).withColumn("borders", occlusion.borders("data", "width"))
+    size = lambda holes: F.size(F.filter("borders", lambda b: b["hole"] == holes)).cast("long")
+    pixels = F.aggregate(F.transform("borders", lambda b: F.size(F.array_distinct(b["points"]))), F.lit(0), lambda a, n: a + n).cast("long")
+    return found.filter(F.size("borders") > 0).select("vec_id", size(False).alias("outer_borders"), size(True).alias("hole_borders"), pixels.alias("border_pixels"))
+
+
 @query()
 def q_centre_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RAS24-25, SNK7: centre lines as GeoJSON features."""
@@ -261,6 +274,19 @@ def q_degree_centrality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(graphs.degree_centrality(road_graph(spark, sf_dir)))
 
 
+HOPS = 12
+
+
+@query(f"""WITH RECURSIVE {EDGES}, e AS (SELECT src AS a, dst AS b, weight AS w FROM g UNION ALL SELECT dst, src, weight FROM g), s AS (SELECT min(src) AS node FROM g UNION ALL SELECT max(src) FROM g),
+  r AS (SELECT node AS seed, node, 0.0::DOUBLE AS d, 0 AS hops FROM s UNION ALL SELECT * FROM (SELECT r.seed, e.b AS node, min(r.d + e.w) AS d, any_value(r.hops) + 1 AS hops FROM r JOIN e ON e.a = r.node WHERE r.hops < {HOPS} GROUP BY 1, 2)),
+  m AS (SELECT seed, node, min(d) AS d FROM r GROUP BY 1, 2) SELECT seed, node, round(d, 6) AS d FROM m""")
+def q_path_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GR3 (extension): lengths of shortest paths from two nodes by weight; the SQL walks up to {HOPS} edges, which no shortest path here exceeds."""
+    road = road_graph(spark, sf_dir)
+    ends = road.agg(F.min("src").alias("a"), F.max("src").alias("b"))
+    return rounded(graphs.lengths(road, ends.select(F.explode(F.array("a", "b")).alias("node"))))
+
+
 def _suppliers(g: str, k: str) -> str:
     """Components of the two-sided graph by its left side: l links those that share a part, c names their components, s has their sizes."""
     return f"""l{k} AS (SELECT DISTINCT a.src AS a, b.src AS b FROM {g} a JOIN {g} b ON a.dst = b.dst), r{k} AS (SELECT DISTINCT src AS node, src AS root FROM {g} UNION SELECT l{k}.b, r{k}.root FROM r{k} JOIN l{k} ON l{k}.a = r{k}.node),
