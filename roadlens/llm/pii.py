@@ -1,6 +1,6 @@
 """Personal data in texts: regular expressions propose, checksums confirm, context words weigh. DataFrame functions only.
 
-All patterns run in linear time: repeats are possessive, and a match may begin only where its run begins (or where the
+All patterns run in time linear in the text and its spans: repeats are possessive, and a match may begin only where its run begins (or where the
 match before ended), which changes no match of the base kinds. Account numbers are proposed from every place where one may
 begin, in a window of bounded length, and may end at any word's end in it.
 
@@ -10,11 +10,13 @@ against it. Added kinds count only from a score on, and masking leaves base kind
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import spread, unused
-from .spans import found, listed, number_of, tagged
+from .spans import before_each, cut_out, found, let, listed, number_of, pieces_of, tagged
 
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
@@ -103,9 +105,8 @@ def _account_numbers(text: Column) -> Column:
         return F.struct(s["start"].alias("start"), (s["start"] + F.coalesce(F.get(usual, F.lit(0)), F.array_max(ends))).alias("end"))
 
     spans = F.filter(F.transform(found(text, IBAN, group=1), ended), lambda s: s["end"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start: int, end: int>>)").alias("out"))
-    step = lambda a, s: F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["end"] > a["at"], F.concat(a["out"], F.array(s))).otherwise(a["out"]).alias("out"))
-    return F.aggregate(spans, start, step, lambda a: a["out"])
+    within = lambda s: let(before_each(s["end"], F.lit(0), lambda a, b: F.greatest(a, b)), lambda ends: F.filter(s, lambda x, k: x["end"] > F.get(ends, k)))
+    return let(spans, within)
 
 
 def near(words: str) -> str:
@@ -113,14 +114,14 @@ def near(words: str) -> str:
     return "(?:^|[^a-z0-9-])(?:" + "|".join(words.split()) + ")(?:[^a-z0-9-]|$)"
 
 
-def _score(text: Column, kind: str):
-    """The kind's prior, moved by the words on either side of the span, in hundredths."""
+def _score(pieces: Column, size: Column, kind: str):
+    """The kind's prior, moved by the words on either side of the span, in hundredths. pieces and size: of the text."""
 
     def score(s: Column) -> Column:
-        before = F.substring(text, F.greatest(s["start"] - BEFORE + 1, F.lit(1)), F.least(s["start"], F.lit(BEFORE)))
-        around = F.translate(F.concat(before, F.lit("\n"), F.substring(text, s["end"] + 1, F.lit(BEHIND))), UPPER, UPPER.lower())
-        moved = lambda words, by: F.when(F.regexp(around, F.lit(near(words))), by).otherwise(0)
-        return F.lit(PRIOR[kind]) + moved(CONTEXT[kind], SUPPORT) + moved(AGAINST[kind], CONTRARY)
+        before, behind = cut_out(pieces, F.greatest(s["start"] - BEFORE, F.lit(0)), s["start"]), cut_out(pieces, s["end"], F.least(s["end"] + BEHIND, size))
+        around = F.translate(F.concat(before, F.lit("\n"), behind), UPPER, UPPER.lower())
+        moved = lambda a, words, by: F.when(F.regexp(a, F.lit(near(words))), by).otherwise(0)
+        return let(around, lambda a: F.lit(PRIOR[kind]) + moved(a, CONTEXT[kind], SUPPORT) + moved(a, AGAINST[kind], CONTRARY))
 
     return score
 
@@ -140,7 +141,15 @@ def spans_of(text: Column) -> Column:
         "ssn": F.filter(found(text, SSN), lambda s: F.regexp(s["hit"], F.lit(SSN_ISSUED))),
     }
     likely = lambda spans, k: spans if k in BASE else F.filter(spans, lambda s: s["score"] >= LEAST)
-    return F.array_sort(F.concat(*[likely(tagged(proposed[k], r, k, k in BASE, _score(text, k)), k) for r, k in enumerate(KINDS)]))
+    all_of = F.struct(*[proposed[k].alias(k) for k in KINDS])
+    none = F.expr("cast(array() as array<struct<start: int, rank: int, end: int, kind: string, base: boolean, score: int>>)")
+
+    def scored(t: Column) -> Column:
+        tagged_ = [likely(tagged(t["found"][k], r, k, k in BASE, _score(t["pieces"], t["size"], k)), k) for r, k in enumerate(KINDS)]
+        return F.array_sort(F.concat(*tagged_))
+
+    some = lambda f: reduce(Column.__or__, [F.size(f[k]) > 0 for k in KINDS])
+    return let(all_of, lambda f: F.when(some(f), let(F.struct(f.alias("found"), pieces_of(text).alias("pieces"), F.length(text).alias("size")), scored)).otherwise(none))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -165,13 +174,14 @@ def masked(docs: DataFrame, least: int = LEAST) -> DataFrame:
     name = unused(docs, "spans")
     seen = spread(docs).withColumn(name, F.filter(spans_of(F.col("text")), lambda s: s["score"] >= least))
     text, chosen = F.col("text"), F.col(name)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(a: Column, s: Column) -> Column:
-        fresh = F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] >= a["at"], fresh).otherwise(a["out"]).alias("out"))
+    def joined(t: Column) -> Column:
+        # a span that begins before the end of one before it is part of that one's mask
+        fresh = lambda ends: F.transform(t["spans"], lambda s, k: F.when(s["start"] >= F.get(ends, k), F.concat(cut_out(t["pieces"], F.get(ends, k), s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise(""))
+        parts = let(before_each(t["spans"]["end"], F.lit(0), lambda a, b: F.greatest(a, b)), fresh)
+        return F.concat(F.array_join(parts, ""), cut_out(t["pieces"], F.array_max(t["spans"]["end"]), t["size"]))
 
-    new = F.aggregate(chosen, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    new = let(F.struct(chosen.alias("spans"), pieces_of(text).alias("pieces"), F.length(text).alias("size")), joined)
     out = seen.withColumn("text", F.when(F.size(chosen) == 0, text).otherwise(new))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size(chosen) == 0, F.col("n_chars")).otherwise(F.length("text")).cast(dict(docs.dtypes)["n_chars"]))

@@ -1,8 +1,10 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -260,3 +262,35 @@ def test_a_stored_index_serves_again(spark):
 def test_native_operators_run_no_python(spark, name):
     plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_long_text_full_of_spans(spark):
+    """Time grows with the text and its spans, not with their product: 10 MB with some 230,000 addresses."""
+    n = 230_000
+    texts = [" ".join(f"mail ü{k}.user{k}@host{k % 97}.example.com to others" for k in range(m)) for m in (300, n)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2).cache()
+    df.count()
+    start = time.perf_counter()
+    got = {r["doc_id"]: r for r in pii.scan(df).collect()}
+    masked = {r["doc_id"]: r["text"] for r in pii.masked(df).collect()}
+    took = time.perf_counter() - start
+    assert [got[k]["n_email"] for k in (0, 1)] == [300, n] and took < 120
+    assert got[1]["spans"].startswith(got[0]["spans"]) and got[1]["scores"].split(",").count("90") + got[1]["scores"].split(",").count("115") + got[1]["scores"].split(",").count("65") == n
+    for k, m in ((0, 300), (1, n)):
+        assert masked[k] == " ".join(["mail ü<EMAIL> to others"] * m)
+    secrets = spark.createDataFrame([(1, " ".join(f"token = abc{k}xyz12345 word" for k in range(n)))], "doc_id long, text string")
+    start = time.perf_counter()
+    assert secret_scan.scan(secrets).first()["n_assign"] == n and time.perf_counter() - start < 60
+
+
+def test_places_before_each_and_cut_out(spark):
+    from roadlens.llm import spans
+
+    rng = np.random.default_rng(1)
+    rows = [(k, rng.integers(0, 9, n).tolist(), "añ\U0001f600\n"[k % 4] * 3 + "xyzé" * n) for k, n in enumerate([0, 1, 2, 255, 256, 257, 512, 1000])]
+    df = spark.createDataFrame(rows, "k int, v array<int>, t string")
+    out = df.select("k", spans.before_each(F.col("v"), F.lit(0), lambda a, x: a + x).alias("s"), spans.before_each(F.col("v"), F.lit(0), lambda a, x: F.greatest(a, x)).alias("m"), F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: spans.let(spans.pieces_of(F.col("t")), lambda p: spans.cut_out(p, i * 100, F.least(i * 150, F.length("t"))))).alias("c"))
+    for r in out.collect():
+        v, t = rows[r["k"]][1:]
+        assert r["s"] == [sum(v[:i]) for i in range(len(v))] and r["m"] == [max(v[:i], default=0) for i in range(len(v))]
+        assert r["c"] == [t[i * 100 : min(i * 150, len(t))] for i in range(7)]
