@@ -13,6 +13,11 @@ With at most a fifth of its words edited, an item of six words or more has three
 repeat takes a key with a chance of about a quarter: repeats, not a plainer path, make up the recall, which
 tests/llm/test_decontamination.py measures by length and rate of edits.
 
+Three ordinary words in a row are no evidence, and a large benchmark holds most of them. So an item keeps windows from its
+rarest places only, counted by how often their three words stand in all items: as many places as e edits can spoil (three
+each) and SPARE more, which any e edits leave whole. An item that has these is looked at where two of its places hit in
+the same line, give or take e words; one that is too short for them keeps all, and is looked at wherever one hits.
+
 Keys are looked up as they grow: where no item's key begins like it, a walk ends. That gives the same buckets as whole
 keys at a fraction of the cost. Every hit names an item and a place; the window around it is verified by exact edit
 distance in words.
@@ -39,6 +44,8 @@ from .common import cut, spread
 REPEATS = 24
 #: Places of a walk that make up a key. The first is the first step, as a window begins at every word; so far the next are apart, at most.
 SAMPLED, APART = 3, 2
+#: Places of an item that any edits it may have leave whole, if it has so many.
+SPARE = 3
 SIMILARITY = 0.8
 SEED = 11
 #: Words of the items handled in one pass.
@@ -154,13 +161,14 @@ class Index:
     """One pass's items and, for each repeat and level, their keys in order with the places they stand for.
 
     words holds all items' words one after another, begins where each item begins (and the last ends); a place is a place
-    in words. pairs are the numbers of all pairs of item and word, in order. prefixes tells for each repeat which keys of each
+    in words. asked is how many places of each item have to hit in a line. pairs are the numbers of all pairs of item and word, in order. prefixes tells for each repeat which keys of each
     level after the first some item's key begins with; first tells which words some item's key in any repeat begins with.
     """
 
     ids: np.ndarray
     words: np.ndarray
     begins: np.ndarray
+    asked: np.ndarray
     pairs: np.ndarray
     keys: list[list[np.ndarray]]
     where: list[list[np.ndarray]]
@@ -172,7 +180,7 @@ class Index:
 
     def nbytes(self) -> int:
         flat = [x.nbytes for part in (self.keys, self.where) for r in part for x in r] + [s.map.nbytes for r in self.prefixes for s in r]
-        return sum(x.nbytes for x in (self.ids, self.words, self.begins, self.pairs)) + sum(flat)
+        return sum(x.nbytes for x in (self.ids, self.words, self.begins, self.asked, self.pairs)) + sum(flat)
 
 
 def enough(n: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
@@ -181,6 +189,20 @@ def enough(n: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
     return np.clip(-(-(n - edits) // (edits + 1)), 1, SAMPLED)
 
 
+def rarest(seq: np.ndarray, begins: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Which places of the items' words keep their keys: of items with more than they need, those whose three words are rarest."""
+    n = np.diff(begins)
+    of = np.repeat(np.arange(len(n)), n)
+    _, number, often = np.unique(seq, return_inverse=True, return_counts=True)
+    common = np.log(often)[number]
+    whole = np.arange(len(seq)) + SAMPLED <= begins[1:][of]
+    score = np.where(whole, sum(np.r_[common[k:], np.zeros(min(k, len(common)))] for k in range(SAMPLED)), np.inf)
+    order = np.lexsort((score, of))
+    rank = np.empty(len(seq), np.int64)
+    rank[order] = np.arange(len(seq)) - begins[of]
+    return rank < (SAMPLED * edits_of(n, similarity) + SPARE)[of]
+
+
 def build(ids: np.ndarray, items: list[np.ndarray], similarity: float = SIMILARITY) -> Index:
     """The index of items given as the numbers of their words."""
     some = [k for k, w in enumerate(items) if len(w)]
@@ -190,6 +212,9 @@ def build(ids: np.ndarray, items: list[np.ndarray], similarity: float = SIMILARI
     starts, of, padded = np.arange(len(seq)), np.repeat(np.arange(len(n)), n), _padded(seq)
     bits = random_bits(padded)
     asked, last = enough(n, similarity)[of], begins[1:][of]
+    rare = rarest(seq, begins, similarity) if len(seq) else np.zeros(0, bool)
+    rare |= asked < SAMPLED
+    used = np.zeros(len(seq), bool)
     keys, where, prefixes = [], [], []
     best = np.zeros(len(n), np.int64)  # for each item the most words that a key of it holds
     found = np.zeros(len(n), bool)
@@ -198,9 +223,9 @@ def build(ids: np.ndarray, items: list[np.ndarray], similarity: float = SIMILARI
         w = walk(padded, bits, repeat, starts, ends=last)
         # a walk counts by the last place at which it stands inside the item
         final = [~np.isin(a, b) for a, b in zip(w.starts, [*w.starts[1:], np.zeros(0, np.int64)])]
-        good = [f & (d >= asked[s]) for f, d, s in zip(final, w.distinct, w.starts)]
+        good = [f & (d >= asked[s]) & rare[s] for f, d, s in zip(final, w.distinct, w.starts)]
         for level, (g, f, s, k, d) in enumerate(zip(good, final, w.starts, w.keys, w.distinct)):
-            found[of[s[g]]] = True
+            found[of[s[g]]] = used[s[g]] = True
             first = np.flatnonzero(f & (s == begins[of[s]]))
             for j in first[d[first] > best[of[s[first]]]].tolist():
                 best[of[s[j]]], spare[of[s[j]]] = d[j], (repeat, level, int(s[j]), k[j])
@@ -220,7 +245,8 @@ def build(ids: np.ndarray, items: list[np.ndarray], similarity: float = SIMILARI
             prefixes[repeat][k] = np.r_[prefixes[repeat][k], own]
     pairs = np.unique(_grown(of.astype(np.uint64), seq))
     first = np.unique(np.concatenate([np.zeros(0, np.uint64), *(p[0] for p in prefixes)]))
-    return Index(ids, seq, begins, pairs, keys, where, [[Seen(np.unique(k)) for k in p[1:]] for p in prefixes], Seen(first))
+    in_line = 1 + (np.bincount(of[used], minlength=len(n)) >= SAMPLED * edits_of(n, similarity) + SPARE - 1) * (enough(n, similarity) == SAMPLED)
+    return Index(ids, seq, begins, in_line, pairs, keys, where, [[Seen(np.unique(k)) for k in p[1:]] for p in prefixes], Seen(first))
 
 
 def candidates(index: Index, seq: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -243,16 +269,24 @@ def _windows(index: Index, seq: np.ndarray, begins: np.ndarray, similarity: floa
     """doc, item, lo, hi: the windows around candidates that hold all words of their item but as many as may be edited.
 
     seq holds texts one after another, with a zero behind each; begins tells where each begins, and the end. Hits are
-    kept as one number each: which item, which text, and how the two are lined up. Hits of many keys in one are one.
+    kept as one number each: which item, which text, and how the two are lined up; and a bit for each of the item's places
+    that hit there, modulo 64. Hits of many keys in one are one.
     """
     sizes, docs = np.diff(index.begins), len(begins) - 1
     longest = int(sizes.max(initial=0))
     shift = int(len(seq) + longest + 1).bit_length()
-    hits = np.zeros(0, np.int64)
+    hits, bits = np.zeros(0, np.int64), np.zeros(0, np.uint64)
     for at, theirs in candidates(index, seq):
         if len(at):
             item, doc = index.item_of(theirs), np.searchsorted(begins, at, "right") - 1
-            hits = np.union1d(hits, (item * docs + doc) << shift | at - begins[doc] - (theirs - index.begins[item]) + longest)
+            place = theirs - index.begins[item]
+            hits = np.r_[hits, (item * docs + doc) << shift | at - begins[doc] - place + longest]
+            bits = np.r_[bits, np.uint64(1) << (place & 63).astype(np.uint64)]
+            order = np.argsort(hits, kind="stable")
+            hits, bits = hits[order], bits[order]
+            first = np.flatnonzero(np.r_[True, hits[1:] != hits[:-1]])
+            hits, bits = hits[first], np.bitwise_or.reduceat(bits, first)
+    hits = hits[_in_line(index, hits, bits, docs, shift, similarity)]
     item, doc = np.divmod(hits >> shift, max(docs, 1))
     at = (hits & ((1 << shift) - 1)) - longest + begins[doc]
     n = sizes[item]
@@ -268,6 +302,16 @@ def _windows(index: Index, seq: np.ndarray, begins: np.ndarray, similarity: floa
     return pd.DataFrame({"doc": doc, "item": item, "lo": lo, "hi": hi})[there >= n - most]
 
 
+def _in_line(index: Index, hits: np.ndarray, bits: np.ndarray, docs: int, shift: int, similarity: float) -> np.ndarray:
+    """Which hits have as many places of their item as it asks for on lines as near as its edits may move them."""
+    item, low = (hits >> shift) // max(docs, 1), (hits >> shift) << shift
+    apart = edits_of(np.diff(index.begins), similarity)[item]
+    places_ = np.r_[0, np.cumsum(np.bitwise_count(bits).astype(np.int64))]
+    lo = np.searchsorted(hits, np.maximum(hits - apart, low), "left")
+    hi = np.searchsorted(hits, np.minimum(hits + apart, low | ((1 << shift) - 1)), "right")
+    return places_[hi] - places_[lo] >= index.asked[item]
+
+
 def _among(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
     if not len(sorted_):
         return np.zeros(len(x), bool)

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -173,3 +174,48 @@ def test_an_index_is_small_and_quick_to_build():
     index = decontaminate.build(np.arange(len(items)), items)
     # a pass holds PASS_WORDS words, more than here
     assert index.nbytes() * decontaminate.PASS_WORDS / (40 << 13) < 200e6
+
+
+def test_work_hardly_grows_with_the_benchmark():
+    """Words as they are in prose, a few of them everywhere: 85 times the items, none of which is there, may not take much longer."""
+    rng, vocabulary = np.random.default_rng(1), np.array([f"w{k}" for k in range(30_000)])
+    p = 1 / np.arange(1, len(vocabulary) + 1)
+    text = lambda n: " ".join(vocabulary[rng.choice(len(vocabulary), n, p=p / p.sum())])
+    docs, took = [text(1000) for _ in range(300)], []
+    for n in (200, 17_000):
+        items = [text(30) for _ in range(n)]
+        index = decontaminate.build(np.arange(n), [decontaminate.numbers(decontaminate.words(t)) for t in items])
+        start = time.process_time()
+        found = list(decontaminate.matches(index, docs))
+        took.append(time.process_time() - start)
+        assert not any(found)
+    assert took[1] < 3 * took[0] + 0.5
+    # and what is there is found, of such words too
+    planted = [f"{docs[k]} {items[k]} {docs[k + 1]}" for k in range(200)]
+    assert all(k in [m[0] for m in got] for k, got in enumerate(decontaminate.matches(index, planted)))
+
+
+def test_edited_items_of_prose_are_found():
+    """A fifth of the words edited at random, in items whose words are mostly frequent ones."""
+    rng, vocabulary = np.random.default_rng(2), np.array([f"w{k}" for k in range(3_000)])
+    p = 1 / np.arange(1, len(vocabulary) + 1)
+    draw = lambda n: vocabulary[rng.choice(len(vocabulary), n, p=p / p.sum())].tolist()
+    items = [draw(int(n)) for n in rng.integers(8, 61, 3_000)]
+    index = decontaminate.build(np.arange(len(items)), [decontaminate.numbers(x) for x in items])
+    planted = []
+    for item in items[:600]:
+        x = list(item)
+        for at in rng.choice(len(x), int(0.2 * len(x)), replace=False):
+            x[at] = f"new{rng.integers(1 << 30)}"
+        planted.append(" ".join([*draw(50), *x, *draw(50)]))
+    found = [k in [m[0] for m in got] for k, got in enumerate(decontaminate.matches(index, planted))]
+    assert sum(found) >= 0.99 * len(found)
+
+
+def test_an_item_of_frequent_words_alone():
+    """Nothing in it is rare, and it still keeps as many places as its edits leave whole."""
+    item = decontaminate.words("to be or not to be that is the question whether it is nobler in the mind to suffer the slings and arrows")
+    index = decontaminate.build(np.array([7]), [decontaminate.numbers(item)] * 1)
+    for at in range(2, len(item) - 2, 3):
+        text = " ".join(["before", *item[:at], "x", *item[at + 1 :], "after"])
+        assert [m[0] for m in next(iter(decontaminate.matches(index, [text])))] == [7]
