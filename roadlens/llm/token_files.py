@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,11 @@ LEVEL = 2
 #: Chunks a worker remembers the ids of (as many again while they are still in use), and characters it encodes in one go.
 MEMORY = 500_000
 STRETCH = 1 << 20
+#: Documents of a range of ids, and ranges at most: a range is written by one task.
+RANGE_DOCS, MOST_RANGES = 50_000, 100_000
 BLOCK_SCHEMA = "part int, block int, first_id long, last_id long, doc_ids array<long>, counts array<long>, bounds array<long>, frames binary, dictionary string, width int"
+_LONG = pa.int64()
+BLOCK = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first_id", _LONG), ("last_id", _LONG), *[(c, pa.list_(_LONG)) for c in ("doc_ids", "counts", "bounds")], ("frames", pa.binary()), ("dictionary", pa.string()), ("width", pa.int32())])
 
 
 def _byte_letters() -> dict[int, str]:
@@ -197,47 +202,71 @@ def train_dictionary(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
         return b""
 
 
+def _bounds(ids: DataFrame, n: int) -> np.ndarray:
+    """Ids that part those of a table (one column, i) into n ranges of about as many rows, nulls before all; from the ids alone."""
+    if n < 2:
+        return np.zeros(0, np.int64)
+    share = [k / n for k in range(1, n)]
+    found = ids.agg(F.percentile_approx(F.coalesce("i", F.lit(-(2**63))), F.array(*[F.lit(q) for q in share]), F.lit(max(10_000, 20 * n))).alias("b")).first()["b"]
+    return np.array(found or [], np.int64)
+
+
+def _ranges(ids: list[int | None], bounds: np.ndarray, at: int) -> np.ndarray:
+    """The range of each id. An id that fills several has its rows dealt round these, from the at-th on."""
+    i = np.array([-(2**63) if x is None else x for x in ids], np.int64)
+    low, high = np.searchsorted(bounds, i, "left"), np.searchsorted(bounds, i, "right")
+    # a bound belongs to the range that it ends; an id that is several bounds fills the ranges that end with it
+    return low + (at + np.arange(len(i))) % np.maximum(high - low, 1)
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None) -> None:
     """Writes the token files of docs: in ascending id order (nulls first), each text's ids followed by end_id.
 
-    Null texts count as empty. Rows with equal ids come one after another in no given order. An empty table makes files without blocks.
+    Texts are encoded and compressed where they are read; only frames are dealt out to the ranges of ids, whose bounds come
+    from the ids alone. Null texts count as empty. Rows with equal ids come one after another in no given order. An empty
+    table makes files without blocks.
     """
     spark, width = docs.sparkSession, _width(tokenizer)
     dictionary = train_dictionary(docs, tokenizer, id_col, text_col)
     name, kind, end = hashlib.sha256(dictionary).hexdigest(), f"<u{width}", [] if end_id is None else [end_id]
     spark.createDataFrame([(name, bytearray(dictionary))], "dictionary string, bytes binary").write.mode("overwrite").parquet(f"{path}/dictionary")
+    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
+    # ranges grow in number with the table
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(rows.count() // RANGE_DOCS, MOST_RANGES))
+    bounds = _bounds(rows.select("i"), n)
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of, tail = encoder(tokenizer, kind), np.array(end, kind).tobytes()
+    def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, tail, at = encoder(tokenizer, kind), np.array(end, kind).tobytes(), 0
         squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
-        number, ids, counts, frames, tokens = 0, [], [], [], 0
+        for b in batches:
+            ids = b.column(0).to_pylist()
+            raw = [x.tobytes() + tail for x in of([t or "" for t in b.column(1).to_pylist()])]
+            parts = _ranges(ids, bounds, at)
+            at += len(ids)
+            yield pa.RecordBatch.from_pydict({"part": pa.array(parts, pa.int32()), "i": b.column(0), "n": pa.array([len(r) // width for r in raw], pa.int64()), "frame": pa.array([squeeze.compress(r) for r in raw], pa.binary())})
 
-        def block() -> pd.DataFrame:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, part, ids, counts, frames, tokens = 0, 0, [], [], [], 0
+
+        def block() -> pa.RecordBatch:
             real = [i for i in ids if i is not None]
-            row = {"part": 0, "block": number, "first_id": min(real, default=None), "last_id": max(real, default=None), "doc_ids": ids, "counts": counts, "bounds": np.r_[0, np.cumsum([len(f) for f in frames])].tolist(), "frames": b"".join(frames), "dictionary": name, "width": width}
-            return pd.DataFrame([row])
+            row = {"part": part, "block": number, "first_id": min(real, default=None), "last_id": max(real, default=None), "doc_ids": ids, "counts": counts, "bounds": np.r_[0, np.cumsum([len(f) for f in frames])].tolist(), "frames": b"".join(frames), "dictionary": name, "width": width}
+            return pa.RecordBatch.from_pylist([row], schema=BLOCK)
 
         for b in batches:
-            for i, found, part in zip(b["i"], of([t or "" for t in b["t"]]), b["p"]):
-                raw = found.tobytes() + tail
-                ids.append(None if pd.isna(i) else int(i))
-                counts.append(len(raw) // width)
-                frames.append(squeeze.compress(raw))
-                tokens += counts[-1]
+            for part, i, n, frame in zip(*(b.column(k).to_pylist() for k in range(4))):
+                ids.append(i)
+                counts.append(n)
+                frames.append(frame)
+                tokens += n
                 if tokens >= BLOCK_TOKENS or len(ids) >= BLOCK_DOCS:
-                    yield block().assign(part=part)
-                    number, ids, counts, frames, tokens, last = number + 1, [], [], [], 0, part
-                last = part
+                    yield block()
+                    number, ids, counts, frames, tokens = number + 1, [], [], [], 0
         if ids:
-            yield block().assign(part=last)
+            yield block()
 
-    # as many ranges as the table has files at least, so that they do not grow with it
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(docs.inputFiles()))
-    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
-    # the number of a row as read tells rows of one id, or of none, apart, so that they need not lie in one range
-    numbered = rows.withColumn("k", F.monotonically_increasing_id())
-    ordered = numbered.repartitionByRange(n, "i", "k").sortWithinPartitions("i", "k").select("i", "t", F.spark_partition_id().alias("p"))
-    ordered.mapInPandas(blocks, BLOCK_SCHEMA).write.mode("overwrite").parquet(f"{path}/blocks")
+    dealt = rows.mapInArrow(framed, "part int, i long, n long, frame binary").repartitionById(n, F.col("part")).sortWithinPartitions(F.asc_nulls_first("i"))
+    dealt.mapInArrow(blocks, BLOCK_SCHEMA).write.mode("overwrite").parquet(f"{path}/blocks")
 
 
 def _opened(path: str, spark: SparkSession) -> tuple[DataFrame, Callable]:
