@@ -23,12 +23,15 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df over all cores: a table in fewer files than there are cores has its rows dealt round; any other stays.
+    """df over all cores: a small table in fewer files than there are cores has its rows dealt round; any other stays.
 
-    For steps that take long for a row. Large tables lie in many files, so nothing of them is shuffled.
+    For steps that take long for a row. Small are fewer bytes than the cores read in one split each: of what is larger,
+    Spark's own splits keep them busy, and nothing is shuffled nor its file names brought together.
     """
-    cores, files = df.sparkSession.sparkContext.defaultParallelism, len(df.inputFiles())
-    if not 0 < files < cores:
+    spark = df.sparkSession
+    cores, split = spark.sparkContext.defaultParallelism, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= cores * split or not 0 < (files := len(df.inputFiles())) < cores:
         return df
     log.info("the rows of %d files are dealt out to %d cores", files, cores)
     return df.repartition(cores)
