@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 
 def session(name: str = "roadlens", **settings: str) -> SparkSession:
-    """A session with the settings that the library is written for; a cluster's own settings stay."""
-    builder = SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC")
+    """A session with the settings that the library is written for; a cluster's own settings stay.
+
+    Checkpoints are deleted when nothing refers to them any more.
+    """
+    builder = SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC").config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for k, v in settings.items():
         builder = builder.config(k.replace("__", "."), v)
     return builder.getOrCreate()
