@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.functions import geo, numbers, raster
-from roadlens.operators import graphs, metrics, occlusion, stats, tiling, vectors
+from roadlens.operators import graphs, metrics, occlusion, overlay, stats, tiling, vectors
 from roadlens.sources.tables import table
 from roadlens.streaming import ingest
 
@@ -305,6 +305,28 @@ def q_failure_lcc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(graphs.failure(road, busiest))
 
 
+CORNERS = ((-1.0, -1.0), (1.0, -1.0), (0.25, 0.0), (1.0, 1.0), (-0.5, 0.5))
+
+
+@query(f"""WITH e AS (SELECT c_custkey AS src, c_custkey * 37 % 1000 AS x1, c_custkey * 91 % 1000 AS y1, c_custkey * 37 % 1000 + c_custkey % 23 - 11 AS x2, c_custkey * 91 % 1000 + c_custkey % 17 - 8 AS y2 FROM customer),
+  z AS (SELECT s_suppkey AS zone, s_suppkey * 53 % 1000 AS x, s_suppkey * 29 % 1000 AS y, s_suppkey % 40 * 4 + 12 AS r FROM supplier),
+  k AS (SELECT * FROM (VALUES {", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE, {d}::DOUBLE)" for (a, b), (c, d) in zip(CORNERS, CORNERS[1:] + CORNERS[:1]))}) v(a, b, c, d)),
+  r AS (SELECT zone, x + r * a AS p, y + r * b AS q, x + r * c AS s, y + r * d AS t FROM z, k),
+  m AS (SELECT src, zone, max(CASE WHEN sign((x2 - x1) * (q - y1) - (y2 - y1) * (p - x1)) * sign((x2 - x1) * (t - y1) - (y2 - y1) * (s - x1)) <= 0 AND sign((s - p) * (y1 - q) - (t - q) * (x1 - p)) * sign((s - p) * (y2 - q) - (t - q) * (x2 - p)) <= 0
+      AND greatest(x1, x2) >= least(p, s) AND greatest(p, s) >= least(x1, x2) AND greatest(y1, y2) >= least(q, t) AND greatest(q, t) >= least(y1, y2) THEN 1 ELSE 0 END) AS met,
+    sum(CASE WHEN (q > y1) <> (t > y1) THEN CASE WHEN x1 < (s - p) * (y1 - q) / (t - q) + p THEN 1 ELSE 0 END ELSE 0 END) % 2 AS inside FROM e, r GROUP BY 1, 2)
+  SELECT src, zone FROM m WHERE met = 1 OR inside = 1""")
+def q_flooded_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GR4 (extension): customers as road edges, suppliers as zones with a notch."""
+    at = lambda c, k: F.col(c) * k % 1000
+    edges = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("src"), (-F.col("c_custkey")).alias("dst"), at("c_custkey", 37).alias("x1"), at("c_custkey", 91).alias("y1"), (at("c_custkey", 37) + F.col("c_custkey") % 23 - 11).alias("x2"), (at("c_custkey", 91) + F.col("c_custkey") % 17 - 8).alias("y2"),
+    )
+    r = F.col("s_suppkey") % 40 * 4 + 12
+    ring = F.array(*[F.struct((at("s_suppkey", 53) + r * a).alias("x"), (at("s_suppkey", 29) + r * b).alias("y")) for a, b in CORNERS])
+    return overlay.flooded(edges, table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("zone"), ring.alias("points")), 16.0).select("src", "zone")
+
+
 @query(f"""WITH RECURSIVE {EDGES}, {_suppliers("g", "0")} SELECT sum(n)::BIGINT AS nodes, sum(n * (n - 1))::BIGINT AS pairs, round(sum(n * (n - 1)) / (sum(n) * (sum(n) - 1.0::DOUBLE)), 6) AS reachable FROM s0""")
 def q_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GR5 (extension): how many pairs of nodes reach each other."""
