@@ -79,19 +79,19 @@ def quantiles(counted: DataFrame, by: list[str], value: str, n: str, qs: list[fl
     placed = known.join(ends, by).select(*by, "__v", "__n", at.alias("__bin"))
     before = lambda keys, order: F.coalesce(F.sum("__n").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bins = placed.groupBy(*by, "__bin").agg(F.sum("__n").alias("__n")).withColumn("__before", before(by, "__bin"))
-    ranks = F.array(*[F.struct(F.lit(k).alias("k"), (r := (F.col("__all") - 1) * F.lit(q)).alias("at"), (F.floor(r) if down else F.ceil(r)).alias("rank"), F.lit(down).alias("down")) for k, q in enumerate(qs) for down in (True, False)])
+    ranks = F.array(*[F.struct(F.lit(k).alias("__k"), (r := (F.col("__all") - 1) * F.lit(q)).alias("__at"), (F.floor(r) if down else F.ceil(r)).alias("__rank"), F.lit(down).alias("__down")) for k, q in enumerate(qs) for down in (True, False)])
     wanted = ends.select(*by, F.inline(ranks))
-    hit = (F.col("rank") >= F.col("__before")) & (F.col("rank") < F.col("__before") + F.col("__n"))
-    in_bins = wanted.join(bins, by).filter(hit).select(*by, "k", "at", "rank", "down", "__bin", "__before")
+    hit = (F.col("__rank") >= F.col("__before")) & (F.col("__rank") < F.col("__before") + F.col("__n"))
+    in_bins = wanted.join(bins, by).filter(hit).select(*by, "__k", "__at", "__rank", "__down", "__bin", "__before")
     opened = placed.join(in_bins.select(*by, "__bin", "__before").distinct(), [*by, "__bin"])
     opened = opened.withColumn("__before", F.col("__before") + before([*by, "__bin"], "__v"))
     found = in_bins.drop("__before").join(opened, [*by, "__bin"]).filter(hit)
-    side = lambda down: F.max(F.when(F.col("down") == down, F.col("__v")))
-    low, high, rank = side(True), side(False), F.max("at")
+    side = lambda down: F.max(F.when(F.col("__down") == down, F.col("__v")))
+    low, high, rank = side(True), side(False), F.max("__at")
     # from the nearer end; equal ends stay what they are
     mixed = F.when(F.floor(rank) == F.ceil(rank), low).otherwise((F.ceil(rank) - rank) * low + (rank - F.floor(rank)) * high)
-    each = found.groupBy(*by, "k").agg(mixed.alias("q"))
-    return each.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "q"))), lambda s: s["q"]).alias("quantiles"))
+    each = found.groupBy(*by, "__k").agg(mixed.alias("__q"))
+    return each.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("__k", "__q"))), lambda s: s["__q"]).alias("quantiles"))
 
 
 def percentile_stretch(values: DataFrame, by: str, column: str, low: float = 0.02, high: float = 0.98) -> DataFrame:

@@ -14,13 +14,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadlens.config import Config
 from roadlens.functions import text
 from roadlens.operators import kernels, master, occlusion, splits, stats
-from roadlens.session import cut, new_path, small
+from roadlens.session import cut, drop_path, new_path, path_exists, small
 from roadlens.sources import geotiff, images, manifests
 
 KEY = ["image_id", "source_dataset", "split", "sat_image_path", "mask_path"]
@@ -152,6 +152,50 @@ def tiles(made_rows: DataFrame) -> DataFrame:
     )
 
 
+#: What a run has written: the images and the hashes of their files, by the number of the run and the settings that tiles depend on.
+STATE = ", ".join(f"{k} string" for k in KEY) + ", md5_image string, md5_mask string, settings string, run int"
+
+
+def settings_of(config: Config) -> str:
+    return repr((config.tile_size, config.stride, config.min_road_pixel_pct, config.min_image_std, config.max_tiles_per_image, config.max_dimension))
+
+
+def written(spark: SparkSession, named: DataFrame, about: DataFrame, folder: str, config: Config, path: str, resume: bool) -> DataFrame:
+    """MADE rows of all of named, as the folder `path` has them after this run.
+
+    With resume only images are opened that no earlier run has written with the same contents of their files and the same
+    settings. Rows are appended, a subfolder a run; of an image that was written again, or is no longer named, the earlier
+    rows are left out. A run that fails before its end is repeated by the next, as its images are noted at the end.
+    """
+    keys = lambda df: [F.col(k).eqNullSafe(df[f"__{k}"]) for k in KEY]
+    renamed = lambda df: df.select(*[F.col(k).alias(f"__{k}") for k in KEY], *[c for c in df.columns if c not in KEY])
+    state_path = f"{path}/_state"
+    before = spark.createDataFrame([], STATE)
+    if resume and path_exists(spark, state_path):
+        before = cut(spark.read.schema(STATE).parquet(state_path))
+    elif path_exists(spark, path):
+        drop_path(spark, path)
+    run = 1 + (before.agg(F.max("run")).first()[0] or 0)
+    last = before.withColumn("__r", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("run")))).filter("__r = 1").drop("__r")
+    same = renamed(last.filter(F.col("settings") == settings_of(config)).withColumnsRenamed({"md5_image": "__i", "md5_mask": "__m"}))
+    now = about.select(*KEY, "md5_image", "md5_mask")
+    todo = cut(now.join(same, [*keys(same), F.col("md5_image").eqNullSafe(F.col("__i")), F.col("md5_mask").eqNullSafe(F.col("__m"))], "left_anti"))
+    wanted = renamed(todo)
+    if path_exists(spark, f"{path}/run={run}"):  # what a run that failed has left
+        drop_path(spark, f"{path}/run={run}")
+    fresh = cut(named.join(wanted, keys(wanted), "left_semi")) if run > 1 else named
+    for part in passes(fresh) if fresh.limit(1).count() else ():
+        made(spark, part, folder, config).write.mode("append").parquet(f"{path}/run={run}")
+    todo.select(*KEY, "md5_image", "md5_mask", F.lit(settings_of(config)).alias("settings"), F.lit(run).alias("run")).write.mode("append").parquet(state_path)
+    # an image's rows of this run are its own; earlier ones go if it was written again, or is not named
+    rows = spark.read.schema(f"{MADE}, run int").option("basePath", path).parquet(path)
+    current = renamed(now)
+    stale = before.join(wanted, keys(wanted), "left_semi").union(before.join(current, keys(current), "left_anti"))
+    old = before.join(last.select(*[F.col(k).alias(f"__{k}") for k in KEY], F.col("run").alias("__run")), [*[F.col(k).eqNullSafe(F.col(f"__{k}")) for k in KEY], F.col("run") < F.col("__run")], "left_semi")
+    gone = renamed(cut(stale.union(old).select(*KEY, "run").distinct())).withColumnRenamed("run", "__run")
+    return rows.join(small(gone), [*keys(gone), rows["run"] == gone["__run"]], "left_anti").drop("run") if run > 1 else rows.drop("run")
+
+
 @dataclass(frozen=True)
 class Dataset:
     records: DataFrame
@@ -162,13 +206,14 @@ class Dataset:
     report: DataFrame
 
 
-def build(spark: SparkSession, manifest: DataFrame, folder: str, config: Config = Config(), source: str = "images", out: str | None = None) -> Dataset:
-    """All tables of a dataset. Files are read and tiles cut and written here, to `out` or the shared folder; the tables read that."""
+def build(spark: SparkSession, manifest: DataFrame, folder: str, config: Config = Config(), source: str = "images", out: str | None = None, resume: bool = False) -> Dataset:
+    """All tables of a dataset. Files are read and tiles cut and written here, to `out` or the shared folder; the tables read that.
+
+    resume: only what is new or has changed since earlier runs to the same `out` is decoded and cut (OP2).
+    """
     named = cut(roles(manifests.in_splits(manifest, config.active_splits).withColumn("source_dataset", F.lit(source))))
-    path = out or new_path(spark, "dataset")
-    for k, part in enumerate(passes(named)):
-        made(spark, part, folder, config).write.mode("append" if k else "overwrite").parquet(path)
-    rows, about = spark.read.parquet(path), cut(facts(spark, named, folder))
+    path, about = out or new_path(spark, "dataset"), cut(facts(spark, named, folder))
+    rows = written(spark, named, about, folder, config, path, resume)
     known, best = records(rows, about), tiles(rows)
     ready = best.drop("rgb", "mask").withColumns({"image_path": F.col("tile_id"), "mask_path": F.col("tile_id")})
     with_mask = ready.filter(best["mask"].isNotNull())

@@ -43,6 +43,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, through the file system that it names."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute df once into the shared folder, so that later steps neither repeat it nor lose it with an executor."""
     shared_folder(df.sparkSession)

@@ -90,3 +90,45 @@ def test_whole_size_images(spark, tmp_path):
         got.setdefault(r["source_image_id"], []).append((-r["road_pixel_pct"], (r["row"], r["col"])))
     assert {k: sorted(v) for k, v in got.items()} == want
     assert {(r["windows"], min(r["kept"], 6) == len(want[r["image_id"]])) for r in made.records.collect()} == {(9, True)} and made.occlusions.count() == 4
+
+
+def test_a_second_run_decodes_what_is_new_or_has_changed(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+
+    def put(k, seed):
+        rgb, mask = picture(32, 32, seed)
+        (folder / f"{k}_sat.png").write_bytes(images.png(rgb))
+        (folder / f"{k}_mask.png").write_bytes(images.png(mask))
+        return rgb
+
+    def run(ids, how=SMALL, resume=True):
+        rows = spark.createDataFrame([(str(k), "train", f"{folder}/{k}_sat.png", f"{folder}/{k}_mask.png") for k in ids], manifests.MANIFEST)
+        made = dataset.build(spark, rows, str(folder), how, out=out, resume=resume)
+        tiles = {(r["source_image_id"], r["row"], r["col"]): r["rgb"] for r in made.tiles.collect()}
+        state = spark.read.parquet(f"{out}/_state")
+        last = state.agg(F.max("run")).first()[0]
+        return made, tiles, {r["image_id"] for r in state.filter(F.col("run") == last).collect()}, last
+
+    pictures = {k: put(k, k) for k in range(50)}
+    _, tiles, done, last = run(range(50), resume=False)
+    assert len(done) == 50 and last == 1 and {k: tiles[str(k), 0, 0] for k in pictures} == {k: p.tobytes() for k, p in pictures.items()}
+    pictures[7], pictures[50] = put(7, 107), put(50, 50)
+    made, tiles, done, last = run(range(51))
+    assert done == {"7", "50"} and last == 2 and {r["image_id"] for r in spark.read.parquet(f"{out}/run=2").select("image_id").distinct().collect()} == {"7", "50"}
+    assert {k: tiles[str(k), 0, 0] for k in pictures} == {k: p.tobytes() for k, p in pictures.items()} and len(tiles) == 51
+    assert made.records.count() == 51 and made.master.count() == 51
+    made, tiles, done, last = run(range(1, 51))  # nothing new, one image no longer named
+    assert {int(i) for i, _, _ in tiles} == set(range(1, 51)) and made.records.count() == 50 and made.failures.count() == 0
+    pictures[7] = put(7, 7)  # as it was at first
+    _, tiles, done, last = run(range(1, 51))
+    assert done == {"7"} and tiles["7", 0, 0] == pictures[7].tobytes() and len(tiles) == 50
+    _, tiles, done, last = run(range(1, 51), config.Config(tile_size=16, stride=16, max_tiles_per_image=4, occlusion_samples=5))
+    assert len(done) == 50 and all(len(x) == 16 * 16 * 3 for x in tiles.values())  # other settings: all anew
+    (tmp_path / "out/run=5").mkdir()
+    (tmp_path / "out/run=5/part-0.parquet").write_bytes(b"cut short")  # of a run that failed
+    put(5, 500)
+    _, tiles, done, last = run(range(1, 51), config.Config(tile_size=16, stride=16, max_tiles_per_image=4, occlusion_samples=5))
+    assert done == {"5"} and last == 5
+    _, tiles, done, last = run(range(3), resume=False)
+    assert last == 1 and len(done) == 3
