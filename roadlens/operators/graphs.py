@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
+from xml.sax.saxutils import quoteattr
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.functions import geo
 from roadlens.session import cut, new_path
 
 from .components import connected_components
@@ -210,18 +212,73 @@ def betweenness(edges_: DataFrame, seeds: DataFrame, weight: str | None = None)
     return due.groupBy("node").agg((F.sum("due") / 2).alias("betweenness"))
 
 
-def skeleton_graph(lines: DataFrame, *keys: str) -> DataFrame:
+def _steps(points: str, far: Callable[[Column, Column], Column]) -> Column:
+    """The sum of far over neighbouring points."""
+    each = F.zip_with(F.slice(points, 1, F.size(points) - 1), F.slice(points, 2, F.size(points) - 1), far)
+    return F.aggregate(each, F.lit(0.0), lambda a, x: a + x)
+
+
+def skeleton_graph(lines: DataFrame, *keys: str, references: DataFrame | None = None) -> DataFrame:
     """keys, src, dst, weight: centre lines (points: x, y) as edges between their ends, weighted by their length in pixels (GR2).
 
+    references: keys, crs, transform of georeferenced rasters in EPSG:4326 or 3857, one row for each; the weights of their lines are metres on
+    the ellipsoid, between the pixels' centres. Rasters in other systems, or without a reference, have no metres: their weight is null.
     A node is the place of its pixel, as y * 2^20 + x.
     """
     place = lambda p: p["y"].cast("long") * (1 << 20) + p["x"]
-    far = lambda a, b: F.sqrt(F.pow(a["x"] - b["x"], 2) + F.pow(a["y"] - b["y"], 2))
-    steps = F.zip_with(F.slice("points", 1, F.size("points") - 1), F.slice("points", 2, F.size("points") - 1), far)
-    length = F.aggregate(steps, F.lit(0.0), lambda a, x: a + x)
+    if references is None:
+        length = _steps("points", lambda a, b: F.sqrt(F.pow(a["x"] - b["x"], 2) + F.pow(a["y"] - b["y"], 2)))
+    else:
+        lines = lines.select(*keys, "points").join(references.select(*keys, F.col("crs").alias("__crs"), F.col("transform").alias("__t")), list(keys), "left")
+        on_earth = lambda p: F.when(F.col("__crs") == "EPSG:3857", geo.from_mercator(p["x"], p["y"])).when(F.col("__crs") == "EPSG:4326", F.struct(p["x"].alias("lon"), p["y"].alias("lat")))
+        lines = lines.withColumn("__map", F.transform("points", lambda p: geo.pixel_centre(F.col("__t"), p["x"], p["y"])))
+        lines = lines.withColumn("__earth", F.transform("__map", on_earth))
+        length = _steps("__earth", lambda a, b: geo.geodesic(a["lon"], a["lat"], b["lon"], b["lat"]))
     return lines.select(*keys, place(F.element_at("points", 1)).alias("src"), place(F.element_at("points", -1)).alias("dst"), length.alias("weight"))
 
 
+def _xml(value: Column) -> Column:
+    """Text as it may stand in XML: signs escaped, characters that XML has not left out."""
+    plain = F.regexp_replace(value.cast("string"), r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]", "")
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("\n", "&#10;"), ("\r", "&#13;"), ("\t", "&#9;")):
+        plain = F.replace(plain, F.lit(sign), F.lit(name))
+    return plain
+
+
+#: The types of GraphML's keys.
+XML_TYPES = {"string": "string", "double": "double", "float": "float", "int": "int", "bigint": "long", "boolean": "boolean"}
+
+
+def graphml(edges_: DataFrame, by: str, nodes: DataFrame | None = None) -> DataFrame:
+    """by, graphml: undirected graphs as GraphML text, one for each file that is to be written (by), whose size bounds a row (GR2).
+
+    edges_: by, src, dst and attributes; nodes: by, node and attributes. Nodes that only edges name are declared too, without
+    any. Attributes may be text, numbers or booleans; a null one is left out. Rows without both ends, or without a node, go. Nodes and edges are in order, so the same rows give the same text.
+    """
+    def data(df: DataFrame, known: set[str], short: str) -> tuple[str, Column]:
+        names = [c for c in df.columns if c not in known]
+        kinds = dict(df.dtypes)
+        if wrong := [c for c in names if kinds[c] not in XML_TYPES]:
+            raise ValueError(f"GraphML has no type for {', '.join(wrong)}")
+        of = {"n": "node", "e": "edge"}[short]
+        keys = "".join(f'<key id="{short}{k}" for="{of}" attr.name={quoteattr(c)} attr.type="{XML_TYPES[kinds[c]]}"/>' for k, c in enumerate(names))
+        return keys, F.concat(F.lit(""), *[F.coalesce(F.concat(F.lit(f'<data key="{short}{k}">'), _xml(F.col(f"`{c}`")), F.lit("</data>")), F.lit("")) for k, c in enumerate(names)])
+
+    edges_ = edges_.dropna(subset=["src", "dst"])
+    edge_keys, edge_data = data(edges_, {by, "src", "dst"}, "e")
+    named = edges_.select(by, F.inline(F.array(F.struct(F.col("src").alias("node")), F.struct(F.col("dst").alias("node"))))).withColumn("__d", F.lit(""))
+    node_keys = ""
+    if nodes is not None:
+        node_keys, node_data = data(nodes, {by, "node"}, "n")
+        named = named.unionByName(nodes.dropna(subset=["node"]).select(by, "node", node_data.alias("__d")))
+    declared = named.groupBy(by, "node").agg(F.max("__d").alias("__d"))
+    one = declared.select(by, F.lit(0).alias("k"), F.col("node").alias("a"), F.col("node").alias("b"), F.concat(F.lit('<node id="'), _xml(F.col("node")), F.lit('">'), F.col("__d"), F.lit("</node>")).alias("t"))
+    two = edges_.select(by, F.lit(1).alias("k"), F.col("src").alias("a"), F.col("dst").alias("b"), F.concat(F.lit('<edge source="'), _xml(F.col("src")), F.lit('" target="'), _xml(F.col("dst")), F.lit('">'), edge_data, F.lit("</edge>")).alias("t"))
+    texts = one.union(two).groupBy(by).agg(F.array_sort(F.collect_list(F.struct("k", "a", "b", "t"))).alias("__t"))
+    head = f'<?xml version="1.0" encoding="UTF-8"?><graphml xmlns="http://graphml.graphdrawing.org/xmlns">{node_keys}{edge_keys}<graph edgedefault="undirected">'
+    return texts.select(by, F.concat(F.lit(head), F.concat_ws("", F.transform("__t", lambda r: r["t"])), F.lit("</graph></graphml>")).alias("graphml"))
+
+
 def pruned(edges_: DataFrame, least: float) -> DataFrame:
     """The edges (src, dst, weight) of the components whose edges together weigh at least so much (GR1)."""
     named = edges_.join(components(edges_).withColumnRenamed("node", "src"), "src")

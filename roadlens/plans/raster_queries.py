@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.functions import geo, numbers, raster
-from roadlens.operators import graphs, metrics, occlusion, overlay, stats, tiling, vectors
+from roadlens.operators import graphs, metrics, nearest, occlusion, overlay, stats, tiling, vectors
 from roadlens.sources.tables import table
 from roadlens.streaming import ingest
 
@@ -305,6 +305,14 @@ def q_failure_lcc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(graphs.failure(road, busiest))
 
 
+def road_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as road edges with places."""
+    at = lambda c, k: F.col(c) * k % 1000
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("src"), (-F.col("c_custkey")).alias("dst"), at("c_custkey", 37).alias("x1"), at("c_custkey", 91).alias("y1"), (at("c_custkey", 37) + F.col("c_custkey") % 23 - 11).alias("x2"), (at("c_custkey", 91) + F.col("c_custkey") % 17 - 8).alias("y2"),
+    )
+
+
 CORNERS = ((-1.0, -1.0), (1.0, -1.0), (0.25, 0.0), (1.0, 1.0), (-0.5, 0.5))
 
 
@@ -319,12 +327,42 @@ CORNERS = ((-1.0, -1.0), (1.0, -1.0), (0.25, 0.0), (1.0, 1.0), (-0.5, 0.5))
 def q_flooded_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GR4 (extension): customers as road edges, suppliers as zones with a notch."""
     at = lambda c, k: F.col(c) * k % 1000
-    edges = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("src"), (-F.col("c_custkey")).alias("dst"), at("c_custkey", 37).alias("x1"), at("c_custkey", 91).alias("y1"), (at("c_custkey", 37) + F.col("c_custkey") % 23 - 11).alias("x2"), (at("c_custkey", 91) + F.col("c_custkey") % 17 - 8).alias("y2"),
-    )
     r = F.col("s_suppkey") % 40 * 4 + 12
     ring = F.array(*[F.struct((at("s_suppkey", 53) + r * a).alias("x"), (at("s_suppkey", 29) + r * b).alias("y")) for a, b in CORNERS])
-    return overlay.flooded(edges, table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("zone"), ring.alias("points")), 16.0).select("src", "zone")
+    return overlay.flooded(road_edges(spark, sf_dir), table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("zone"), ring.alias("points")), 16.0).select("src", "zone")
+
+
+@query("""WITH e AS (SELECT c_custkey AS src, (c_custkey * 37 % 1000 + c_custkey * 37 % 1000 + c_custkey % 23 - 11) / 2::DOUBLE AS px, (c_custkey * 91 % 1000 + c_custkey * 91 % 1000 + c_custkey % 17 - 8) / 2::DOUBLE AS py FROM customer),
+  w AS (SELECT s_suppkey AS way_id, s_nationkey::VARCHAR AS highway, s_name AS name, s_suppkey * 53 % 1000 AS x, s_suppkey * 29 % 1000 AS y, s_suppkey % 31 - 15 AS a, s_suppkey % 13 * 3 - 18 AS b FROM supplier),
+  g AS (SELECT way_id, x AS x1, y AS y1, x + a AS x2, y + b AS y2 FROM w UNION ALL SELECT way_id, x + a, y + b, x + 2 * a, y FROM w),
+  v AS (SELECT src, way_id, px - x1 AS vx, py - y1 AS vy, x2 - x1 AS ux, y2 - y1 AS uy FROM e, g),
+  t AS (SELECT *, CASE WHEN ux * ux + uy * uy > 0 THEN least(greatest((vx * ux + vy * uy) / (ux * ux + uy * uy), 0), 1) ELSE 0 END AS t FROM v),
+  d AS (SELECT src, way_id, (vx - t * ux) * (vx - t * ux) + (vy - t * uy) * (vy - t * uy) AS d FROM t),
+  n AS (SELECT src, way_id, d FROM d QUALIFY row_number() OVER (PARTITION BY src ORDER BY d, way_id) = 1)
+  SELECT src, CASE WHEN sqrt(d) <= 40 THEN way_id END AS way_id, CASE WHEN sqrt(d) <= 40 THEN highway END AS highway, CASE WHEN sqrt(d) <= 40 THEN name END AS name, CASE WHEN sqrt(d) <= 40 THEN round(sqrt(d), 6) END AS way_distance FROM n JOIN w USING (way_id)""")
+def q_nearest_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GR2 (extension): customers as road edges with the attributes of the way nearest to them, of suppliers as ways."""
+    x, y, a, b = F.col("s_suppkey") * 53 % 1000, F.col("s_suppkey") * 29 % 1000, F.col("s_suppkey") % 31 - 15, F.col("s_suppkey") % 13 * 3 - 18
+    points = F.array(*[F.struct(u.cast("double").alias("x"), v.cast("double").alias("y")) for u, v in ((x, y), (x + a, y + b), (x + a * 2, y))])
+    ways = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("way_id"), F.col("s_nationkey").cast("string").alias("highway"), F.col("s_name").alias("name"), points.alias("points"))
+    return rounded(nearest.enriched(road_edges(spark, sf_dir), ways, 16.0, reach=40.0).select("src", "way_id", "highway", "name", "way_distance"))
+
+
+@query(f"""WITH RECURSIVE p AS (SELECT c_custkey AS k, {geo.FLATTENING!r}::DOUBLE AS f, c_custkey * 91 % 171 - 85 AS lat1, c_custkey * 53 % 169 - 84 AS lat2, c_custkey % 61 + 1 AS far FROM customer),
+  q AS (SELECT k, f, atan((1 - f) * tan(radians(lat1))) AS u, atan((1 - f) * tan(radians(lat2))) AS v, radians(far) AS far FROM p),
+  r AS (SELECT k, f, u, v, far, far AS lam, 0 AS i FROM q UNION ALL SELECT k, f, u, v, far, far + (1 - c) * f * sa * (s + c * ss * (m + c * cs * (2 * m * m - 1))), i + 1
+    FROM (SELECT *, f / 16 * q2 * (4 + f * (4 - 3 * q2)) AS c, CASE WHEN q2 > 0 THEN cs - 2 * sin(u) * sin(v) / q2 ELSE 0 END AS m, atan2(ss, cs) AS s
+    FROM (SELECT *, 1 - sa * sa AS q2 FROM (SELECT *, cos(u) * cos(v) * sin(lam) / ss AS sa
+    FROM (SELECT *, sqrt((cos(v) * sin(lam)) ** 2 + (cos(u) * sin(v) - sin(u) * cos(v) * cos(lam)) ** 2) AS ss, sin(u) * sin(v) + cos(u) * cos(v) * cos(lam) AS cs FROM r)))) WHERE i < 15),
+  e AS (SELECT *, atan2(ss, cs) AS s, CASE WHEN q2 > 0 THEN cs - 2 * sin(u) * sin(v) / q2 ELSE 0 END AS m, sqrt(1 + q2 * (1 / (1 - f) ** 2 - 1)) AS w
+    FROM (SELECT *, 1 - (cos(u) * cos(v) * sin(lam) / ss) ** 2 AS q2 FROM (SELECT *, sqrt((cos(v) * sin(lam)) ** 2 + (cos(u) * sin(v) - sin(u) * cos(v) * cos(lam)) ** 2) AS ss, sin(u) * sin(v) + cos(u) * cos(v) * cos(lam) AS cs FROM r WHERE i = 15))),
+  h AS (SELECT *, (w - 1) / (w + 1) AS j FROM e), l AS (SELECT *, (1 + j * j / 4) / (1 - j) AS a, j * (1 - 3 * j * j / 8) AS b FROM h)
+  SELECT k, round({geo.RADIUS!r}::DOUBLE * (1 - f) * a * (s - b * ss * (m + b / 4 * (cs * (2 * m * m - 1) - b / 6 * m * (4 * ss * ss - 3) * (4 * m * m - 3)))), 2) AS metres FROM l""")
+def q_geodesic_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GR2 (extension): metres on the ellipsoid between two places of each customer."""
+    k = F.col("c_custkey")
+    length = geo.geodesic(k % 360, k * 91 % 171 - 85, k % 360 + k % 61 + 1, k * 53 % 169 - 84)
+    return rounded(table(spark, sf_dir, "customer").select(k.alias("k"), length.alias("metres")), 2)
 
 
 @query(f"""WITH RECURSIVE {EDGES}, {_suppliers("g", "0")} SELECT sum(n)::BIGINT AS nodes, sum(n * (n - 1))::BIGINT AS pairs, round(sum(n * (n - 1)) / (sum(n) * (sum(n) - 1.0::DOUBLE)), 6) AS reachable FROM s0""")
