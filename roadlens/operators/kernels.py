@@ -163,13 +163,13 @@ def inside(h: int, w: int, polygon: list[tuple[float, float]]) -> np.ndarray:
     return odd
 
 
-def thinned(mask: np.ndarray) -> np.ndarray:
-    """One-pixel centre lines (Zhang and Suen, 1984)."""
+def thinned(mask: np.ndarray, passes: int | None = None) -> np.ndarray:
+    """One-pixel centre lines (Zhang and Suen, 1984); what at most so many passes leave, if given."""
     m = np.pad((mask > 0).astype(np.int8), 1)
     ring = ((-1, 0), (-1, 1), (0, 1), (1, 1), (1, 0), (1, -1), (0, -1), (-1, -1))
-    changed = True
-    while changed:
-        changed = False
+    changed, left = True, -1 if passes is None else passes
+    while changed and left:
+        changed, left = False, left - 1
         for odd in (True, False):
             p = [np.roll(m, (-dy, -dx), (0, 1)) for dy, dx in ring]
             n = sum(p)
@@ -182,13 +182,14 @@ def thinned(mask: np.ndarray) -> np.ndarray:
     return m[1:-1, 1:-1]
 
 
-def lines(skeleton: np.ndarray) -> list[list[tuple[int, int]]]:
-    """The skeleton's pixel chains (x, y) between end points and junctions, each traced once; closed loops too."""
+def lines(skeleton: np.ndarray, stops: frozenset = frozenset()) -> list[list[tuple[int, int]]]:
+    """The skeleton's pixel chains (x, y) between end points, junctions and stops, each traced once; closed loops too."""
     spots = {(int(x), int(y)) for y, x in zip(*np.nonzero(skeleton))}
     near = {p: [q for q in ((p[0] + a, p[1] + b) for b in (-1, 0, 1) for a in (-1, 0, 1) if a or b) if q in spots] for p in spots}
+    ends = {p for p in spots if len(near[p]) != 2 or p in stops}
     walked: set[frozenset] = set()
     out = []
-    for start in [*sorted(p for p in spots if len(near[p]) != 2), *sorted(p for p in spots if len(near[p]) == 2)]:
+    for start in [*sorted(ends), *sorted(spots - ends)]:
         for q in sorted(near[start]):
             if frozenset((start, q)) in walked:
                 continue
@@ -198,7 +199,7 @@ def lines(skeleton: np.ndarray) -> list[list[tuple[int, int]]]:
                 walked.add(frozenset((p, q)))
                 chain.append(q)
                 onward = [r for r in near[q] if r != p and frozenset((q, r)) not in walked]
-                if len(near[q]) != 2 or not onward or q == start:
+                if q in ends or not onward or q == start:
                     break
                 p, q = q, onward[0]
             out.append(chain)

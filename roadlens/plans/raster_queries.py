@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.functions import geo, numbers, raster
-from roadlens.operators import graphs, metrics, nearest, occlusion, overlay, stats, tiling, vectors
+from roadlens.operators import graphs, metrics, nearest, occlusion, overlay, scenes, stats, tiling, vectors
 from roadlens.sources.tables import table
 from roadlens.streaming import ingest
 
@@ -371,6 +371,34 @@ def q_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(graphs.reachability(graphs.components(road_graph(spark, sf_dir))))
 
 
+ABOVE = 0.13
+
+
+def scene_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as tiles of scenes of four by four; what is above ABOVE is road."""
+    bits = F.array_join(F.transform(DATA_COLUMN, lambda v: F.when(v > ABOVE, "01").otherwise("00")), "")
+    k = F.col("vec_id")
+    return rasters(spark, sf_dir).select(F.floor(k / 16).alias("scene"), F.floor(k % 16 / 4).alias("row"), (k % 4).alias("col"), F.lit(SIDE).alias("height"), F.lit(SIDE).alias("width"), F.unhex(bits).alias("data"))
+
+
+@query(f"""WITH RECURSIVE {PIXELS}, o AS (SELECT vec_id // 16 AS scene, (vec_id % 16 // 4) * 8 + y AS y, vec_id % 4 * 8 + x AS x FROM e WHERE v > {ABOVE}),
+  l AS (SELECT a.scene, a.y, a.x, b.y AS v, b.x AS u FROM o a JOIN o b ON a.scene = b.scene AND b.y BETWEEN a.y - 1 AND a.y + 1 AND b.x BETWEEN a.x - 1 AND a.x + 1),
+  r AS (SELECT scene, y, x, y * 32 + x AS root FROM o UNION SELECT r.scene, l.v, l.u, r.root FROM r JOIN l ON r.scene = l.scene AND r.y = l.y AND r.x = l.x),
+  c AS (SELECT scene, y, x, min(root) AS root FROM r GROUP BY 1, 2, 3), s AS (SELECT scene, root, count(*) AS n FROM c GROUP BY 1, 2)
+  SELECT scene::BIGINT AS scene, count(*) AS regions, max(n) AS largest, sum(n * n)::BIGINT AS squares FROM s GROUP BY 1""")
+def q_scene_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GR1 (extension): regions of scenes that lie in tiles."""
+    found = scenes.regions(scene_tiles(spark, sf_dir), SIDE)
+    return found.groupBy("scene").agg(F.count("*").alias("regions"), F.max("pixels").alias("largest"), F.sum(F.col("pixels") * F.col("pixels")).alias("squares"))
+
+
+@query()
+def q_scene_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GR2, RAS24 (extension): road graphs of scenes that lie in tiles; tests/test_scenes.py holds them against whole scenes."""
+    thin = scenes.thinned(scene_tiles(spark, sf_dir), SIDE)
+    return rounded(scenes.road_graph(thin, SIDE))
+
+
 @query("""WITH p AS (SELECT vec_id, (i // 4) * 3 + i % 4 + 1 AS place, (floor(embedding[i + 1]::DOUBLE * 2000)::BIGINT % 256 + 256) % 256 AS v FROM embeddings, generate_series(0, 63) s(i) WHERE i % 4 < 3)
   SELECT vec_id, count(*) AS n, sum(place * v)::BIGINT AS weighted, 30 * 192::BIGINT AS dark FROM p GROUP BY 1""")
 def q_ensure_rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
