@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,13 +50,27 @@ def dimensions(width: Column, height: Column) -> Column:
     return F.concat_ws("x", width.cast("string"), height.cast("string"))
 
 
-def human_size(n: Column) -> Column:
-    """Bytes with the largest unit that leaves at least one of it, to one decimal."""
+#: The doubles next to the halves of tenths, and whether a part of that size rounds up: of exact halves, 0.75 does and 0.25 does not.
+HALVES = tuple(((2 * k + 1) / 20, Fraction((2 * k + 1) / 20) > Fraction(2 * k + 1, 20) or k == 7) for k in range(10))
+
+
+def one_decimal(x: Column) -> Column:
+    """x to one decimal as C and Python print it: by its exact value, where Java's formats round its shortest digits half up."""
+    size = F.abs(x)
+    whole = F.floor(size)
+    tenths = reduce(add, [(size - whole >= half if up else size - whole > half).cast("long") for half, up in HALVES])
+    digits = F.concat((whole + F.when(tenths > 9, 1).otherwise(0)).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+    return F.concat(F.when(x < 0, "-").otherwise(""), digits)
+
+
+def human_size(n: Column, units: tuple[str, ...] = UNITS) -> Column:
+    """Bytes with the largest of the units that leaves at least one of it, to one decimal."""
     size = n.cast("double")
-    out = F.format_string("%.1f " + UNITS[-1], size / 1024.0 ** (len(UNITS) - 1))
-    for k in reversed(range(len(UNITS) - 1)):
-        out = F.when(size < 1024.0 ** (k + 1), F.format_string("%.1f " + UNITS[k], size / 1024.0**k)).otherwise(out)
-    return F.when(n.isNotNull(), out)
+    scaled, unit = size / 1024.0 ** (len(units) - 1), F.lit(units[-1])
+    for k in reversed(range(len(units) - 1)):
+        below = size < 1024.0 ** (k + 1)
+        scaled, unit = F.when(below, size / 1024.0**k).otherwise(scaled), F.when(below, units[k]).otherwise(unit)
+    return F.concat(one_decimal(scaled), F.lit(" "), unit)
 
 
 def after(path: Column, folder: str) -> Column:

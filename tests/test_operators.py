@@ -27,6 +27,35 @@ def test_names_and_sizes(spark):
     assert [(o["r"], o["c"]) for o in out] == [(0, 0), (3, 12), (0, 0), (0, 0)]
 
 
+def test_sizes_round_as_python_prints_them(spark):
+    sizes = [1280, 1792, 1177, 1126, 1023, 1024, 1048575, 1048576, 157286, 9 * 1024**4 // 4, 11 * 1024**4 // 4, 3 * 10**15, 5 * 1024**5, 2**62, *range(1000, 3000, 7)]
+    near = [x for k in range(10) for half in [(2 * k + 1) / 20] for x in (half, float(np.nextafter(half, 0)), float(np.nextafter(half, 1)), 3 + half)] + [0.96, -1.25, 99.95, 1e15]
+
+    def ladder(n, units):
+        for u in units[:-1]:
+            if n < 1024:
+                return f"{n:.1f} {u}"
+            n /= 1024
+        return f"{n:.1f} {units[-1]}"
+
+    for units in (text.UNITS, text.UNITS[:5]):
+        got = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", text.human_size(F.col("n"), units).alias("h")).collect()
+        assert [r["h"] for r in got] == [ladder(r["n"], units) for r in got]
+    got = spark.createDataFrame([(x,) for x in near], "x double").select("x", text.one_decimal(F.col("x")).alias("h")).collect()
+    assert [r["h"] for r in got] == [f"{r['x']:.1f}" for r in got]
+
+
+def test_format_bytes_agrees_with_sql_beyond_terabytes_and_longs(spark, tmp_path):
+    import duckdb
+
+    from roadlens.plans import record_queries, registry
+
+    spark.range(64).selectExpr("id * 10000000 doc_id", "id % 5 + 16 n_chars", "id % 3 source", "id % 2 lang").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(r) for r in record_queries.q_format_bytes(spark, str(tmp_path)).collect()}
+    want = duckdb.sql(registry.ORACLES["q_format_bytes"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'")).fetchall()
+    assert got == set(want) and any(len(size) > 10 for _, _, size in got)
+
+
 def test_reflection_is_numpys(spark):
     for n, to in itertools.product(range(1, 8), (8, 13)):
         got = first(spark.range(1).select(F.transform(raster.indices(F.lit(to)), lambda i: raster.reflected(i, F.lit(n))).alias("x")))["x"]
