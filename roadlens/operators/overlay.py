@@ -8,13 +8,23 @@ spread over the rows of its cover; in the others the point is tested against the
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadlens.session import cut, small
+
 #: By so large a part of a cell covers reach over its border, so that rounding loses nothing.
 PAD = 1e-6
 
 
+#: Zones of one place go in lists of about so many; so many lists at most are broadcast.
+LIST, LISTS = 1_000, 2_000
+PLACE = ["x1", "y1", "x2", "y2"]
+
+
 def _cell(v: Column, size: float) -> Column:
     return F.floor(v / size).cast("long")
 
@@ -58,15 +68,16 @@ def _named(rows: DataFrame, prefix: str) -> DataFrame:
     return rows.withColumnsRenamed({f"{c}{k}": f"{prefix}{c}{k}" for c in "xy" for k in (1, 2)})
 
 
-def flooded(edges: DataFrame, zones: DataFrame, size: float) -> DataFrame:
-    """src, dst, zone: each edge (src, dst, x1, y1, x2, y2) and zone (zone, points) that touches or holds it, once.
+def _shapes(rows: DataFrame, by: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """The different shapes of rows (name, n: how many have it, by), and rows with the name of theirs. Both are cut tables."""
+    shapes = cut(rows.groupBy(*by).agg(F.count("*").alias("n")).withColumn(name, F.monotonically_increasing_id()))
+    return shapes, cut(rows.join(shapes, by).drop(*by))
 
-    size: of a grid cell, about the length of an edge. Inside is by the even-odd rule; the ring itself counts. Edges with a
-    null coordinate, and zones without points, touch nothing; empty tables give an empty one.
-    """
-    roads = edges.select("src", "dst", *[F.col(f"{c}{k}").cast("double").alias(f"{c}{k}") for k in (1, 2) for c in "xy"]).dropna(subset=["x1", "y1", "x2", "y2"])
+
+def _meetings(roads: DataFrame, zones: DataFrame, size: float) -> DataFrame:
+    """road, zone: each segment (road, x1, y1, x2, y2) and ring (zone, points) that touch, or of which one holds the other, once."""
     rim, cells = sides(zones), covered(sides(zones), size)
-    crossed = _named(covered(roads, size), "a").join(_named(cells, "b"), ["cx", "cy"]).filter(touching("a", "b")).select("src", "dst", "zone")
+    crossed = _named(covered(roads, size), "a").join(_named(cells, "b"), ["cx", "cy"]).filter(touching("a", "b")).select("road", "zone")
     # cells of the middle lines between crossings, that no side enters
     middle = (F.col("cy") + 0.5) * size
     rows = rim.withColumn("cy", F.explode(F.sequence(_cell(F.least("y1", "y2"), size), _cell(F.greatest("y1", "y2"), size)))).filter((F.col("y1") > middle) != (F.col("y2") > middle))
@@ -77,12 +88,37 @@ def flooded(edges: DataFrame, zones: DataFrame, size: float) -> DataFrame:
     inner = spans.withColumns({"first": first, "last": last}).filter("first <= last").select("zone", "cy", F.explode(F.sequence("first", "last")).alias("cx"))
     border = cells.select("zone", "cx", "cy").distinct()
     inner = inner.join(border, ["zone", "cx", "cy"], "left_anti")
-    starts = roads.withColumns({"cx": _cell(F.col("x1"), size), "cy": _cell(F.col("y1"), size)}).select("src", "dst", F.col("x1").alias("px"), F.col("y1").alias("py"), "cx", "cy")
-    within = starts.join(inner, ["cx", "cy"]).select("src", "dst", "zone")
+    starts = roads.select("road", F.col("x1").alias("px"), F.col("y1").alias("py"), _cell(F.col("x1"), size).alias("cx"), _cell(F.col("y1"), size).alias("cy"))
+    within = starts.join(inner, ["cx", "cy"]).select("road", "zone")
     # beside a side: crossings of the ray to the right, of the zone's sides that reach the point's height
-    near = starts.join(border, ["cx", "cy"]).select("src", "dst", "px", "py", "cy", "zone").distinct()
+    near = starts.join(border, ["cx", "cy"]).select("road", "px", "py", "cy", "zone")
     tall = rim.withColumn("cy", F.explode(F.sequence(_cell(F.least("y1", "y2"), size), _cell(F.greatest("y1", "y2"), size))))
     to_right = ((F.col("y1") > F.col("py")) != (F.col("y2") > F.col("py"))) & (F.col("px") < (F.col("x2") - F.col("x1")) * (F.col("py") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
     safe = F.when(F.col("y1") != F.col("y2"), to_right).otherwise(False)
-    beside = near.join(tall, ["zone", "cy"]).groupBy("src", "dst", "px", "py", "zone").agg(F.sum(safe.cast("int")).alias("n")).filter("n % 2 = 1").select("src", "dst", "zone")
-    return crossed.union(within.select("src", "dst", "zone")).union(beside).distinct()
+    beside = near.join(tall, ["zone", "cy"]).groupBy("road", "zone").agg(F.sum(safe.cast("int")).alias("n")).filter("n % 2 = 1").select("road", "zone")
+    return crossed.union(within).union(beside).distinct()
+
+
+def flooded(edges: DataFrame, zones: DataFrame, size: float) -> DataFrame:
+    """src, dst, zone: each edge (src, dst, x1, y1, x2, y2) and zone (zone, points) that touches or holds it, once.
+
+    size: of a grid cell, about the length of an edge. Inside is by the even-odd rule; the ring itself counts. Edges with a
+    null coordinate, and zones without points, touch nothing; empty tables give an empty one. Edges and zones of the same
+    place are looked at once: their pairs are spelt out last, from lists of LIST zones at most, and not shuffled again.
+    """
+    roads = edges.select("src", "dst", *[F.col(c).cast("double").alias(c) for c in PLACE]).dropna(subset=PLACE).distinct()
+    lines, roads = _shapes(roads, PLACE, "road")
+    rings, named = _shapes(zones.select("zone", "points").filter("points is not null").distinct(), ["points"], "ring")
+    # what is named by several places may come more than once
+    repeated = lambda df, *by: df.groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(F.count("*").alias("__n")).filter("__n > 1").drop("__n").withColumn("again", F.lit(True))
+    marked = lambda df, again, *by: df.join(again, reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]), "left").select(*df.columns, F.coalesce("again", F.lit(False)).alias("again"))
+    roads_again, zones_again = repeated(roads, "src", "dst"), repeated(named, "zone")
+    lists = marked(named, zones_again, "zone").groupBy("ring", "again", F.pmod(F.xxhash64("zone"), F.ceil(F.col("n") / LIST)).alias("part")).agg(F.collect_list(F.struct("zone")).alias("zones"))
+    lists = small(cut(lists.select("ring", F.col("again").alias("z"), "zones")), LISTS)
+    met = _meetings(lines, rings.select(F.col("ring").alias("zone"), "points"), size).withColumnRenamed("zone", "ring")
+    pairs = met.join(marked(roads, roads_again, "src", "dst").select("road", "src", "dst", "again"), "road").join(lists, "ring")
+    once = lambda rows: rows.select("src", "dst", F.explode("zones").alias("z")).select("src", "dst", "z.zone")
+    if not roads_again.limit(1).count() and not zones_again.limit(1).count():
+        return once(pairs)
+    pairs = cut(pairs.withColumn("again", F.col("again") | F.col("z")))
+    return once(pairs.filter("not again")).union(once(pairs.filter("again")).distinct())

@@ -51,3 +51,18 @@ def test_odd_rows_and_what_a_flood_leaves(spark):
     left = graphs.failure(edges.select("src", "dst"), out.select("src", "dst")).first()
     assert (left["lcc_before"], left["lcc_after"]) == (5, 3)
     assert overlay.flooded(edges.limit(0), zones, 1.0).count() == overlay.flooded(edges, zones.limit(0), 1.0).count() == 0
+
+
+def test_places_are_looked_at_once_and_pairs_are_spelt_out_last(spark, monkeypatch):
+    """Copies of an edge and of a zone; an edge with two places and a zone of two rings are named once for each other."""
+    box = lambda x: [(x, 0.0), (x + 2.0, 0.0), (x + 2.0, 2.0), (x, 2.0)]
+    edges = [(k, -k, 0.5, 0.5, 1.5, 0.5) for k in range(40)] + [(3, -3, 0.5, 0.5, 1.5, 0.5), (7, -7, 5.5, 0.5, 6.0, 0.5), (90, 91, 5.5, 0.5, 6.0, 0.5), (92, 93, 50.0, 0.0, 51.0, 0.0)]
+    zones = [(f"z{k}", box(0.0)) for k in range(30)] + [("z5", box(5.0)), ("z6", box(5.0)), ("z6", box(5.0)), (None, box(5.0))]
+    seen = []
+    meetings = overlay._meetings
+    monkeypatch.setattr(overlay, "_meetings", lambda roads, rings, size: seen.append((roads.count(), rings.count())) or meetings(roads, rings, size))
+    monkeypatch.setattr(overlay, "LIST", 7)
+    got = [(r["src"], r["dst"], r["zone"]) for r in overlay.flooded(*frames(spark, edges, zones), 1.0).collect()]
+    assert seen == [(3, 2)]
+    assert len(got) == len(set(got))
+    assert set(got) == {(e[0], e[1], z) for e in edges for z, ring in zones if hit(e, ring)}
