@@ -51,3 +51,27 @@ def test_joins_with_keys_that_occur_often(spark, how):
     want = sorted(map(str, rows.join(names.drop("n"), ["k"], how).collect()))
     for often in (10, 1000):
         assert sorted(map(str, join_often(rows, names, ["k"], how, often).collect())) == want
+
+
+def test_links_that_lie_together_become_stars_before_any_shuffle(spark, monkeypatch):
+    """Chunks of one Arrow batch or of many; a star of each component of a chunk is what is left of its links."""
+    import pyarrow as pa
+
+    from roadlens.operators import components
+
+    rng = random.Random(5)
+    pairs = [(a, b) for a, b in ((rng.randrange(300), rng.randrange(300)) for _ in range(4000)) if a > b]
+    batches = [pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs[i : i + 97]], pa.int64()) for k in (0, 1)], ["u", "v"]) for i in range(0, len(pairs), 97)]
+    for chunk in (1, 500, 10**6):
+        monkeypatch.setattr(components, "CHUNK", chunk)
+        out = [(u, v) for b in components._telling(iter(batches)) for u, v in zip(b["u"].to_pylist(), b["v"].to_pylist())]
+        assert all(u > v for u, v in out) and brute(out) == brute(pairs)
+    assert len(out) == 299
+    assert list(components._telling(iter([]))) == []
+
+
+def test_repeated_edges_change_no_failure(spark):
+    rows = [(1, 2), (2, 3), (2, 3), (3, 4), (5, 5), (2, 1)]
+    df = spark.createDataFrame(rows, "src long, dst long")
+    out = graphs.failure(df, spark.createDataFrame([(2,)], "node long")).first()
+    assert tuple(out)[:3] == (5, 4, 2)
