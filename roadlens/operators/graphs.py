@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions import geo
-from roadlens.session import cut, new_path
+from roadlens.session import cut, drop_path, new_path, small
 
-from .components import connected_components
+from .components import FEW, connected_components
 from .unions import join_roots
 
 
@@ -52,13 +52,17 @@ def largest_component(component_rows: DataFrame) -> DataFrame:
 def without(edges_: DataFrame, failed: DataFrame) -> DataFrame:
     """The edges that stand when nodes fail (a column node) or edges do (src and dst, either way round)."""
     if "node" in failed.columns:
-        return edges_.join(failed.select(F.col("node").alias("src")), "src", "left_anti").join(failed.select(F.col("node").alias("dst")), "dst", "left_anti")
+        nodes = cut(failed.select("node").distinct())
+        return reduce(lambda rows, end: rows.join(small(nodes.withColumnRenamed("node", end)), end, "left_anti"), ("src", "dst"), edges_)
     both = failed.select("src", "dst").union(failed.select("dst", "src"))
     return edges_.join(both, ["src", "dst"], "left_anti")
 
 
 def failure(edges_: DataFrame, failed: DataFrame) -> DataFrame:
-    """nodes_before, lcc_before, lcc_after, ratio: how much of the largest component is left when nodes fail (node) or edges do (src, dst)."""
+    """nodes_before, lcc_before, lcc_after, ratio: how much of the largest component is left when nodes fail (node) or edges do (src, dst).
+
+    Edges may be repeated, and are read twice.
+    """
     was, now = components(edges_), components(without(edges_, failed))
     counts = was.agg(F.count("*").alias("nodes_before"))
     out = counts.join(F.broadcast(largest_component(was).withColumnRenamed("size", "lcc_before"))).join(F.broadcast(largest_component(now).withColumnRenamed("size", "lcc_after")))
@@ -98,12 +102,25 @@ def pixel_components(masks: DataFrame, *keys: str, data: str = "data", width: st
     return masks.withColumn("__m", labelled(data, width)).select(*keys, "__m.*")
 
 
-def both_ways(edges_: DataFrame, weight: str | None = None) -> DataFrame:
-    """src, dst, w, as a cut table: every edge but loops from either end, once, with the least of its weights (1 without). A weight that is no positive number is an error."""
+def both_ways(edges_: DataFrame, weight: str | None = None, path: str | None = None) -> DataFrame:
+    """src, dst, w: every edge but loops from either end, once, with the least of its weights (1 without). A weight that is no positive number is an error.
+
+    Kept are edges one way round, in a cut table or, for rounds that look at them often, as columns in files at `path`.
+    """
     w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     sound = F.when((w > 0) & (w < float("inf")), w).otherwise(F.raise_error(F.lit("a length has to be a positive number")).cast("double"))
-    ends = edges_.filter("src <> dst").select(F.inline(F.array(*[F.struct(F.col(a).alias("src"), F.col(b).alias("dst"), sound.alias("w")) for a, b in (("src", "dst"), ("dst", "src"))])))
-    return cut(ends.groupBy("src", "dst").agg(F.min("w").alias("w")))
+    once = edges_.filter("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), sound.alias("w")).groupBy("a", "b").agg(F.min("w").alias("w"))
+    if path is None:
+        kept = cut(once)
+    else:
+        once.write.parquet(path)
+        kept = edges_.sparkSession.read.schema(once.schema).parquet(path)
+    return kept.select(F.inline(F.array(*[F.struct(F.col(a).alias("src"), F.col(b).alias("dst"), "w") for a, b in (("a", "b"), ("b", "a"))])))
+
+
+def _onward(front: DataFrame, both: DataFrame) -> DataFrame:
+    """A cut front (seed, node, d) joined with the edges that leave it. A front of FEW rows goes to the edges, which then are not shuffled."""
+    return small(front, FEW).join(both, F.col("node") == F.col("src"))
 
 
 def distances(edges_: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -113,16 +130,19 @@ def distances(edges_: DataFrame, seeds: DataFrame) -> DataFrame:
     so a round looks at these two and not at all that was seen. Rounds go on until nothing new is reached, however far.
     There is a row for each seed and node reached; so seeds are to be few or dealt with in turn.
     """
-    both, path = both_ways(edges_), new_path(edges_.sparkSession, "distances")
+    spark = edges_.sparkSession
+    path, ends = new_path(spark, "distances"), new_path(spark, "edges")
+    both = both_ways(edges_, path=ends)
     front, last, step = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("d")).distinct()), None, 0
     front.write.parquet(path)
     while front.limit(1).count():
         step += 1
-        onward = front.join(both, front["node"] == both["src"]).select("seed", F.col("dst").alias("node")).distinct()
+        onward = _onward(front, both).select("seed", F.col("dst").alias("node")).distinct()
         known = front if last is None else front.union(last)
         front, last = cut(onward.join(known, ["seed", "node"], "left_anti").withColumn("d", F.lit(step))), front
         front.write.mode("append").parquet(path)
-    return edges_.sparkSession.read.schema(front.schema).parquet(path)
+    drop_path(spark, ends)
+    return spark.read.schema(front.schema).parquet(path)
 
 
 def _least(rows: list[DataFrame]) -> DataFrame:
@@ -139,7 +159,8 @@ def lengths(edges_: DataFrame, seeds: DataFrame, weight: str = "weight", step: f
     positive length is an error; of edges between the same nodes the shortest counts. Lengths are added as doubles.
     """
     spark = edges_.sparkSession
-    both, path = both_ways(edges_, weight), new_path(spark, "lengths")
+    path, ends = new_path(spark, "lengths"), new_path(spark, "edges")
+    both = both_ways(edges_, weight, ends)
     longest = both.agg(F.max("w")).first()[0] or 1.0
     step = step or longest
     open_ = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0.0).alias("d")).distinct())
@@ -149,7 +170,7 @@ def lengths(edges_: DataFrame, seeds: DataFrame, weight: str = "weight", step: f
         limit = max((math.floor(low / step) + 1) * step, math.nextafter(low, math.inf))
         found, front = [open_], open_.filter(F.col("d") < limit)
         while True:
-            reached = front.join(both, front["node"] == both["src"]).groupBy("seed", F.col("dst").alias("node")).agg(F.min(F.col("d") + F.col("w")).alias("d"))
+            reached = _onward(front, both).groupBy("seed", F.col("dst").alias("node")).agg(F.min(F.col("d") + F.col("w")).alias("d"))
             known = _least([*found, *(rows for _, rows in settled)]).withColumnRenamed("d", "old")
             nearer = cut(reached.join(known, ["seed", "node"], "left").filter("old is null or d < old").select("seed", "node", "d"))
             if not nearer.limit(1).count():
@@ -160,6 +181,7 @@ def lengths(edges_: DataFrame, seeds: DataFrame, weight: str = "weight", step: f
         done, open_ = now.filter(F.col("d") < limit), now.filter(F.col("d") >= limit)
         done.write.mode("append").parquet(path)
         settled = [(end, rows) for end, rows in [*settled, (limit, done)] if end > limit - longest]
+    drop_path(spark, ends)
     return spark.read.schema(open_.schema).parquet(path)
 
 

@@ -108,3 +108,14 @@ def test_odd_graphs(spark):
     for bad in (0.0, -1.0, float("nan"), float("inf"), None):
         with pytest.raises(Exception, match="positive number"):
             graphs.lengths(spark.createDataFrame([(1, 2, bad)], schema), seeds).count()
+
+
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_small_fronts_go_to_the_edges(spark, monkeypatch, few):
+    """Beyond FEW rows a front meets the edges by shuffle, with the same lengths; below it the edges stay where they lie."""
+    monkeypatch.setattr(graphs, "FEW", few)
+    edges = spark.createDataFrame([(1, 2, 3.0), (2, 1, 2.0), (2, 3, 1.5), (3, 1, 9.0), (4, 4, 1.0)], "src long, dst long, weight double")
+    both, front = graphs.both_ways(edges, "weight"), graphs.cut(spark.createDataFrame([(1, 1, 0.0)], "seed long, node long, d double"))
+    plan = graphs._onward(front, both)._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (few > 0)
+    assert {tuple(r) for r in graphs.lengths(edges, front.select("node")).collect()} == {(1, 1, 0.0), (1, 2, 2.0), (1, 3, 3.5)}
