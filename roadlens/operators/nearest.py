@@ -111,9 +111,19 @@ def nearest(points: DataFrame, segments: DataFrame, size: float) -> DataFrame:
         cells = cut(cells) if at % STRIDE == 0 else cells
     if cells is None:
         cells = spots.limit(0).select("px", "py", F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"))
-    told = cells.join(lines, ["cx", "cy"]).select("px", "py", F.struct(distance2(F.col("px"), F.col("py")).alias("d"), F.col("way").alias("way")).alias("__m"))
-    best = told.groupBy("px", "py").agg(F.min("__m").alias("__m"))
-    return best.select("px", "py", F.col("__m.way").alias("way"), F.sqrt("__m.d").alias("d"))
+    return _best(cells, lines)
+
+
+def _best(cells: DataFrame, lines: DataFrame) -> DataFrame:
+    """px, py, way, d of the cells (px, py, cx, cy; a cut table) with the lines in them (a cut table too).
+
+    First the least distance, which tasks keep in a hash table as they go, then the least of the ways that are as far: the pair
+    of both at once would have all distances sorted.
+    """
+    d = distance2(F.col("px"), F.col("py"))
+    least = cells.join(lines, ["cx", "cy"]).groupBy("px", "py").agg(F.min(d).alias("least"))
+    met = cells.join(least, ["px", "py"]).join(lines, ["cx", "cy"]).filter(d == F.col("least"))
+    return met.groupBy("px", "py", "least").agg(F.min("way").alias("way")).select("px", "py", "way", F.sqrt("least").alias("d"))
 
 
 def enriched(edges: DataFrame, ways: DataFrame, size: float, reach: float | None = None) -> DataFrame:

@@ -65,3 +65,14 @@ def test_odd_rows_and_attributes(spark):
     assert nearest.enriched(edges, ways, 2.0).filter("src = 2").first()["way_distance"] == 10.0
     assert nearest.enriched(edges, ways.limit(0), 2.0).filter(F.col("way_id").isNull()).count() == 4
     assert nearest.enriched(edges.limit(0), ways, 2.0).count() == 0
+
+
+def test_no_sort_of_all_distances(spark):
+    """Of ways as near the least counts, and the distances go into hash tables: an aggregation that sorts holds every pair."""
+    from roadlens.session import cut
+
+    cells = cut(spark.createDataFrame([(0.0, 0.0, 0, 0), (0.0, 0.0, 1, 0), (5.0, 5.0, 1, 0)], "px double, py double, cx long, cy long"))
+    lines = cut(spark.createDataFrame([(w, x, 1.0, x, 1.0, c, 0) for w, x, c in ((9, 0.0, 0), (4, 0.0, 1), (7, 0.0, 0), (1, 3.0, 1))], "way long, x1 double, y1 double, x2 double, y2 double, cx long, cy long"))
+    out = nearest._best(cells, lines)
+    assert {tuple(r) for r in out.collect()} == {(0.0, 0.0, 4, 1.0), (5.0, 5.0, 1, 20.0**0.5)}
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
