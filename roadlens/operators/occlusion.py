@@ -7,10 +7,12 @@ seed, tile, type and severity: any executor that computes a tile again gets the
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -245,13 +247,23 @@ BORDERS = "array<struct<hole: boolean, points: array<struct<x: int, y: int>>>>"
 def borders(data: Column | str, width: Column | str, thin: bool = False) -> Column:
     """All borders of a mask held as an array or bytes, point by point: whether a hole's, and its points. A null mask has none."""
 
-    @F.pandas_udf(BORDERS)
-    def followed(pixels: pd.Series, widths: pd.Series) -> pd.Series:
-        out = []
+    @F.arrow_udf(BORDERS)
+    def followed(pixels: pa.Array, widths: pa.Array) -> pa.Array:
+        # flat arrays grow with the borders' points; objects for all points of a batch would take many times as much
+        ends, holes, stops, xs, ys = array("i", [0]), array("b"), array("i", [0]), array("i"), array("i")
         for p, w in zip(pixels, widths):
-            m = np.zeros((1, 1)) if p is None else (np.frombuffer(p, np.uint8) if isinstance(p, bytes) else np.asarray(p)).reshape(-1, int(w))
-            out.append([{"hole": hole, "points": [{"x": x, "y": y} for x, y in points]} for hole, points in kernels.contours(kernels.thinned(m) if thin else m)])
-        return pd.Series(out)
+            if p.is_valid:
+                flat = np.frombuffer(p.as_buffer(), np.uint8) if pa.types.is_binary(p.type) or pa.types.is_large_binary(p.type) else p.values.to_numpy(zero_copy_only=False)
+                m = flat.reshape(-1, w.as_py())
+                for hole, points in kernels.contours(kernels.thinned(m) if thin else m):
+                    holes.append(hole)
+                    xs.extend(x for x, _ in points)
+                    ys.extend(y for _, y in points)
+                    stops.append(len(xs))
+            ends.append(len(holes))
+        whole = lambda v: pa.array(np.frombuffer(v, np.int32), pa.int32())
+        points = pa.ListArray.from_arrays(whole(stops), pa.StructArray.from_arrays([whole(xs), whole(ys)], ["x", "y"]))
+        return pa.ListArray.from_arrays(whole(ends), pa.StructArray.from_arrays([pa.array(np.frombuffer(holes, np.int8).astype(bool)), points], ["hole", "points"]))
 
     return followed(data, width)
 

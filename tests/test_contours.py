@@ -2,6 +2,8 @@
 
 import json
 
+import re
+
 import numpy as np
 import pytest
 
@@ -87,3 +89,19 @@ def test_contours_of_tables(spark, as_bytes):
     assert len(line) >= 2 and all(len(r["points"]) >= 2 for r in line)
     features = [json.loads(r[0]) for r in spark.createDataFrame(out).select(vectors.feature("points")).collect()]
     assert [f["geometry"]["type"] for f in features] == ["LineString"] * 3
+
+
+def test_borders_are_handed_over_as_arrays_of_numbers(spark):
+    """Not as Python objects for each point: the function that follows them is one on Arrow arrays. Null, empty and byte masks too."""
+    from pyspark.util import PythonEvalType
+
+    from roadlens.operators import occlusion
+
+    masks = [(0, [1.0] * 9, 3), (1, None, 3), (2, [0.0] * 4, 2), (3, [0.0, 1.0, None, 0.0], 2)]
+    df = spark.createDataFrame(masks, "id long, data array<double>, width int").withColumn("b", occlusion.borders("data", "width"))
+    assert PythonEvalType.SQL_SCALAR_ARROW_UDF in [int(n) for n in re.findall(r"\], (\d+)", df._jdf.queryExecution().executedPlan().toString())]
+    got = {r["id"]: [(b["hole"], [tuple(p) for p in b["points"]]) for b in r["b"]] for r in df.collect()}
+    assert got[1] == got[2] == [] and got[3] == [(False, [(1, 0)])]
+    assert [hole for hole, _ in got[0]] == [False] and len(got[0][0][1]) == 8
+    stored = spark.createDataFrame([(bytearray([0, 1, 0, 0]), 2)], "data binary, width int").select(occlusion.borders("data", "width").alias("b")).first()["b"]
+    assert [(b["hole"], [tuple(p) for p in b["points"]]) for b in stored] == [(False, [(1, 0)])]
