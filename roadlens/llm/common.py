@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roadlens.session import cut, drop_path, join_often, new_path, small
 
-__all__ = ["Recent", "cut", "drop_path", "held_out", "join_often", "new_path", "small", "spread", "unused"]
+__all__ = ["cut", "drop_path", "held_out", "join_often", "new_path", "small", "spread", "unused"]
 
 log = logging.getLogger(__name__)
 
@@ -37,27 +37,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
-class Recent(dict):
-    """A dictionary of at most about twice `most` entries: when it is full, what is then used again outlives the rest."""
-
-    def __init__(self, most: int):
-        super().__init__()
-        self.most, self.older = most, {}
-
-    def turn(self) -> None:
-        """Call between uses: makes the entries old if there are too many."""
-        if len(self) > self.most:
-            self.older = dict(self)
-            self.clear()
-
-    def recall(self, key):
-        """The value of a key that is here or was here lately, else None."""
-        got = self.get(key)
-        if got is None and (got := self.older.get(key)) is not None:
-            self[key] = got
-        return got
-
-
 def held_out(doc_id: Column) -> Column:
     """The fold that no model may learn from: crc32 of the id as text is divisible by five. A null id is not in it."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

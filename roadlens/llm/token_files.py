@@ -10,19 +10,23 @@ decompressing one frame. Ids are little-endian, two bytes each if the vocabulary
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+import unicodedata
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Recent, new_path
+from .common import new_path
 
 BLOCK_TOKENS = 1 << 18
 BLOCK_DOCS = 2_000
@@ -31,9 +35,8 @@ DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS = 2_000
 SAMPLE_IDS = 4_096
 LEVEL = 2
-#: Chunks a worker remembers the ids of (as many again while they are still in use), and characters it encodes in one go.
-MEMORY = 500_000
-STRETCH = 1 << 20
+#: Characters whose chunks are told apart together, characters that the library takes in one go, pre-tokens of a long string.
+STRETCH, BATCH, GROUP = 1 << 23, 1 << 17, 128
 #: Documents of a range of ids, and ranges at most: a range is written by one task.
 RANGE_DOCS, MOST_RANGES = 50_000, 100_000
 BLOCK_SCHEMA = "part int, block int, first_id long, last_id long, doc_ids array<long>, counts array<long>, bounds array<long>, frames binary, dictionary string, width int"
@@ -46,127 +49,114 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in shown else next(hidden)) for b in range(256)}
 
 
+def _of_class(codes: Iterable[int], kinds: str) -> str:
+    """The characters of some general categories, as the inside of a bracket of a regular expression."""
+    return re.escape("".join(chr(c) for c in codes if unicodedata.category(chr(c))[0] in kinds))
+
+
+#: A space that no visible character follows, and one that one follows.
+LOOSE, FAST = re.compile(r" (?![^\s\x00-\x20\x7f-\xa0])"), re.compile(r" (?=[^\s\x00-\x20\x7f-\xa0])")
+#: Letters and marks in blocks that every version of Unicode agrees on.
+LETTERS, MARKS = _of_class(range(0x500), "L"), _of_class([*range(0x100), *range(0x2010, 0x2028), *range(0x2030, 0x205F)], "PS")
+#: A chunk whose pre-tokens are told without the tokenizer, and those of its pre-tokens that are no words.
+PLAIN, NO_WORD = rf"\A ?(?:[{LETTERS}0-9{MARKS}]+\n?)*\z", rf"'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[{MARKS}]+|\n"
+#: Bytes that the vocabulary writes otherwise than Latin-1 does.
+HIDDEN = {chr(b): x for b, x in _byte_letters().items() if chr(b) != x}
+#: A byte that no UTF-8 text has, as byte-level vocabularies write it: it ends a pre-token.
+WORD_END = "\xff"
+
+
 class Encoder:
-    """Ids of texts by a file of the tokenizers library, remembering what it said about a chunk.
+    """Ids of texts by a file of the tokenizers library, asked once in a stretch of texts for each different chunk.
 
     A text is cut before each single space that a visible character follows: no token of a byte-level pre-tokenizer with
     the usual pattern lies across such a place, so the ids of the chunks joined are the ids of the text. Which files this
-    holds for is asked of the file; any other is applied to whole texts. A chunk of one word, or of words and end marks on
-    single lines, has its words and marks as pre-tokens, which go to the file's model as they are; all others go through
-    the whole tokenizer.
+    holds for is asked of the file; any other is applied to whole texts. Chunks of words, digits and marks on single lines
+    have pre-tokens that are told apart here; the different ones go to the file's model in long strings, with a byte between
+    them that it has no merges for. All others go through the whole tokenizer.
     """
 
     def __init__(self, path: str, kind: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for each core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind, self.known = Tokenizer.from_file(path), kind, Recent(MEMORY)
-        pre, self.vocabulary = self.tokenizer.pre_tokenizer, self.tokenizer.get_vocab_size()
+        self.tokenizer, self.kind = Tokenizer.from_file(path), kind
+        pre, model, vocabulary = self.tokenizer.pre_tokenizer, self.tokenizer.model, self.tokenizer.get_vocab()
+        self.vocabulary = self.tokenizer.get_vocab_size()
         self.by_chunk = type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space and pre.use_regex and self.tokenizer.normalizer is None
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.letters, self.model, self.code = _byte_letters(), self.tokenizer.model, {2: "H", 4: "I"}[int(kind[-1])]
-        self.marks = {x: self._packed([t.id for t in self.model.tokenize(self.letters[ord(x)])]) for x in ".,;:!?\n"} if self.by_chunk else {}
-        probes = ["a", " b", "word", " \u00e9tait,", " end.\nNext", " what?", "\u044f\u0437\u044b\u043a!"]
-        self.by_word = self.by_chunk and all(np.array(i, kind).tobytes() == self._by_words(p[1:] if p[0] == " " else (p,)) for p, i in zip(probes, self._ids(probes)))
-        self.known.clear()
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _packed(self, ids: list[int]) -> bytes:
-        return array(self.code, ids).tobytes()
-
-    def _pre_token(self, word: str) -> bytes:
-        shown = word.replace(" ", self.letters[32]) if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-        return self._packed([t.id for t in self.model.tokenize(shown)])
-
-    def _by_words(self, key: str | tuple) -> bytes | None:
-        """The ids of a chunk of plain words, or None if it is another. What it has learnt of its parts is remembered."""
-        got = self.known.recall(key)
-        if got is not None:
-            return got
-        first = type(key) is tuple
-        bare = key[0] if first else key
-        # letters in blocks that every version of Unicode agrees on
-        if bare.isalpha() and (bare.isascii() or max(bare) < "\u0500"):
-            got = self._pre_token(bare if first else " " + bare)
-        elif "\n" in bare:
-            head, *lines = bare.split("\n")
-            parts = [self._by_words((head,) if first else head), *(self._by_words((x,)) for x in lines)]
-            got = None if None in parts else self.marks["\n"].join(parts)
-        elif bare[-1:] in self.marks and bare[-2:-1].isalpha():
-            word = self._by_words((bare[:-1],) if first else bare[:-1])
-            got = None if word is None else word + self.marks[bare[-1]]
-        if got is not None:
-            self.known[key] = got
-        return got
-
-    def _learn_words(self, keys: set) -> list:
-        """Learns chunks of plain words and gives back all others. Most are one word, or one with a mark behind it."""
-        known, older, tokenize, code, blank, ends = self.known, self.known.older, self.model.tokenize, self.code, self.letters[32], {k: v for k, v in self.marks.items() if k != "\n"}
-        rest = []
-        for key in keys:
-            got = older.get(key)
-            if got is None:
-                if type(key) is str and key.isascii():
-                    word, mark = (key, b"") if key.isalpha() else (key[:-1], ends.get(key[-1:]))
-                    if mark is not None and word.isalpha():
-                        got = known.get(word) or older.get(word)
-                        if got is None:
-                            got = array(code, [t.id for t in tokenize(blank + word)]).tobytes()
-                            if mark:
-                                known[word] = got
-                        got += mark
-                if got is None and (got := self._by_words(key)) is None:
-                    rest.append(key)
-                    continue
-            known[key] = got
-        return rest
-
-    def _learn(self, keys: set) -> None:
-        known = self.known
-        rest = self._learn_words(keys) if self.by_word else [k for k in keys if known.recall(k) is None]
-        for k in range(0, len(rest), 4096):
-            part = rest[k : k + 4096]
-            known.update((c, self._packed(i)) for c, i in zip(part, self._ids([c[0] if type(c) is tuple else " " + c for c in part])))
+        self.bare, self.word_end = Tokenizer(model), vocabulary.get(WORD_END)
+        merges_only = type(model).__name__ == "BPE" and not (model.dropout or model.ignore_merges or model.continuing_subword_prefix or model.end_of_word_suffix)
+        self.by_word = self.by_chunk and merges_only and [x for x in vocabulary if WORD_END in x] == [WORD_END]
+        probes = ["a b word", " \u00e9tait, end.\nNext what?", "\u044f\u0437\u044b\u043a! it's 'so' 12 \u201cno\u201d"]
+        self.by_word = self.by_word and all(map(np.array_equal, self._ids(probes), self._stretch(probes)))
+
+    def _ids(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        for own in _stretches(texts, BATCH):
+            yield from [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(own, add_special_tokens=False)]
+
+    def _of_words(self, words: pa.Array) -> pa.LargeListArray:
+        """The ids of different pre-tokens, taken through the model in strings of GROUP of them."""
+        groups = pc.binary_join(pa.ListArray.from_arrays([*range(0, len(words), GROUP), len(words)], words), pa.scalar("\r", words.type)).to_pylist()
+        found = [np.zeros(0, "<u4")]
+        for k in range(0, len(groups), 64):
+            shown = "\r\0".join([*groups[k : k + 64], ""]).encode().decode("latin-1").replace("\r", WORD_END)
+            for byte, letter in HIDDEN.items():
+                shown = shown.replace(byte, letter)
+            said = self.bare.encode_batch_fast(shown.split(HIDDEN["\0"])[:-1], add_special_tokens=False)
+            found += [np.frombuffer(array("I", e.ids), "<u4") for e in said]
+        ids = np.concatenate(found)
+        real = ids != self.word_end
+        return pa.LargeListArray.from_arrays(np.r_[0, np.cumsum(real)[~real]], ids[real].astype(self.kind))
+
+    def _of_plain(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain chunks, one after another, and where each chunk's begin and the last one's end."""
+        cut = pc.split_pattern(pc.replace_substring_regex(chunks, NO_WORD, "\v\\0\v"), "\v")
+        words = cut.flatten().dictionary_encode()
+        found = self._of_words(words.dictionary).take(words.indices)
+        return found.values.to_numpy(), found.offsets.to_numpy()[np.r_[0, np.cumsum(pc.list_value_length(cut).to_numpy())]]
+
+    def _learn(self, chunks: pa.Array) -> tuple[pa.LargeListArray, np.ndarray]:
+        """The ids of different chunks, plain ones first, and the place of each chunk there."""
+        spaced = pc.replace_substring_regex(pc.binary_join_element_wise(pa.scalar("", chunks.type), chunks, pa.scalar(" ", chunks.type)), r"\A \t", "")
+        plain = pc.match_substring_regex(spaced, PLAIN).to_numpy(zero_copy_only=False) if self.by_word else np.zeros(len(chunks), bool)
+        ids, bounds = self._of_plain(spaced.filter(plain)) if plain.any() else (np.zeros(0, self.kind), np.zeros(1, int))
+        odd = list(self._ids(spaced.filter(~plain).to_pylist()))
+        bounds = np.r_[bounds, bounds[-1] + np.cumsum([len(x) for x in odd], dtype=int)]
+        return pa.LargeListArray.from_arrays(bounds, np.concatenate([ids, *odd])), np.where(plain, np.cumsum(plain), plain.sum() + np.cumsum(~plain)) - 1
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text. Texts are taken in stretches of about STRETCH characters."""
-        own, size = [], 0
-        for text in texts:
-            own.append(text)
-            size += len(text)
-            if size >= STRETCH:
-                yield from self._stretch(own)
-                own, size = [], 0
-        yield from self._stretch(own)
+        """The ids of each text."""
+        for own in _stretches(texts, STRETCH):
+            yield from self._stretch(own)
 
     def _stretch(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.by_chunk or any(x in t for t in texts for x in self.special):
-            return [np.array(i, self.kind) for i in self._ids(texts)]
-        parts = [_chunks(t) for t in texts]
-        self.known.turn()
-        self._learn(set().union(*parts).difference(self.known))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, p)), self.kind) for p in parts]
-
-
-#: A space that no visible character follows.
-LOOSE = re.compile(r" (?![^\s\x00-\x20\x7f-\xa0])")
-
-
-def _chunks(text: str) -> list:
-    """A text's chunks, each after its one space; the first, which has none before it, as a tuple."""
-    parts = text.split(" ")
-    out: list = [(parts[0],)]
-    if not LOOSE.search(text):
-        return out + parts[1:]
-    for p in parts[1:]:
-        if p and not LOOSE.match(" " + p[0]):
-            out.append(p)
-        elif len(out) == 1:
-            out[0] = (out[0][0] + " " + p,)
-        else:
-            out[-1] += " " + p
-    return out
+        kinds = ["whole" if not self.by_chunk or any(x in t for x in self.special) else "loose" if LOOSE.search(t) else "tidy" for t in texts]
+        whole, loose, tidy = ([k for k, kind in enumerate(kinds) if kind == x] for x in ("whole", "loose", "tidy"))
+        out = dict(zip(whole, self._ids(texts[k] for k in whole)))
+        # a tab, which begins no other chunk, tells the first, which has no space before it
+        cut = pc.split_pattern(pa.array(["\t" + texts[k] for k in tidy], pa.large_string()), " ")
+        cut_loose = [FAST.split("\t" + texts[k]) for k in loose]
+        chunks = pa.concat_arrays([cut.flatten(), pa.array([x for c in cut_loose for x in c], pa.large_string())]).dictionary_encode()
+        pool, places = self._learn(chunks.dictionary)
+        found = pool.take(pa.array(places[chunks.indices.to_numpy()]))
+        starts = np.cumsum([0, *pc.list_value_length(cut).to_pylist(), *map(len, cut_loose)])
+        bounds, ids = found.offsets.to_numpy()[starts].tolist(), found.values.to_numpy()
+        out.update((k, ids[lo:hi]) for k, lo, hi in zip([*tidy, *loose], bounds, bounds[1:]))
+        return [out[k] for k in range(len(texts))]
+
+
+def _stretches(texts: Iterable[str], most: int) -> Iterator[list[str]]:
+    """Texts in lists of about `most` characters: a list ends with the text that brings it there."""
+    own, size = [], 0
+    for text in texts:
+        own.append(text)
+        size += len(text)
+        if size >= most or len(own) >= most:
+            yield own
+            own, size = [], 0
+    if own:
+        yield own
 
 
 @lru_cache(maxsize=4)

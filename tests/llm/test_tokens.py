@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -32,6 +33,28 @@ def test_byte_level_ids_are_the_librarys():
         assert got.tolist() == library.encode(text, add_special_tokens=False).ids, text[:50]
 
 
+def test_chunks_of_marks_digits_and_contractions_are_the_librarys():
+    own, library = token_files.encoder(BYTES, "<u2"), Tokenizer.from_file(BYTES)
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for letters in (" ab'stmdrevl", "aé'’“”—…×²½ª\xad\xa0 \n1", "ÿþ яжα' .1\u0300", "\t\v\0\r \nab", " ab1.\n") for _ in range(2000)]
+    for text, got in zip(texts, own(texts), strict=True):
+        assert got.tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_words_that_do_not_repeat_take_half_the_librarys_time():
+    own, library = token_files.encoder(BYTES, "<u2"), Tokenizer.from_file(BYTES)
+    rng = random.Random(8)
+    syllables = ["er", "tion", "bre", "an", "lich", "ou", "sta", "thé", "ing", "po", "kä", "ne"]
+    texts = [" ".join("".join(rng.choices(syllables, k=rng.randrange(2, 6))) + rng.choice(["", "", ".", ",###"]) for _ in range(400)) for _ in range(500)]
+    times = []
+    for encode in (lambda: [x.tolist() for x in own(texts)], lambda: [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]):
+        begun = time.process_time()
+        ids = encode()
+        times.append(time.process_time() - begun)
+    assert ids == [x.tolist() for x in own(texts)]
+    assert times[0] < times[1] / 2, times
+
+
 def expected(rows):
     library, at, out = Tokenizer.from_file(BYTES), 0, {}
     for i, text in sorted(rows):
